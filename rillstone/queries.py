@@ -1,0 +1,4 @@
+"""Registry of the library's queries over the given tables."""
+
+QUERIES: dict = {}
+SQL: dict = {}

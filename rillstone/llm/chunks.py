@@ -19,14 +19,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillstone.storage import materialize
+from rillstone.storage import write_table
 
 CHUNK_SCHEMA = "chunk long, n long, payload binary"
 CHUNK_BYTES = 4 << 20
 
 
-def pack_array(values: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values).tobytes())
+def pack_array(values: np.ndarray, level: int = 1) -> bytes:
+    return zstandard.ZstdCompressor(level=level).compress(np.ascontiguousarray(values).tobytes())
 
 
 def unpack_array(blob: bytes, kind) -> np.ndarray:
@@ -45,10 +45,11 @@ def _payload(table: pa.Table) -> bytes:
     return out.getvalue()
 
 
-def pack(df: DataFrame, size_of: str, target: int = CHUNK_BYTES) -> DataFrame:
+def pack(df: DataFrame, size_of: str, target: int = CHUNK_BYTES) -> tuple[DataFrame, str]:
     """Chunks of df's rows (all columns), each with about target bytes of the column size_of.
 
-    Written once to the shared folder, so that chunk numbers stay fixed whatever is lost later.
+    Written once to the shared folder, so that chunk numbers stay fixed whatever is lost later;
+    returns the table and its path.
     """
     at = df.columns.index(size_of)
 
@@ -76,7 +77,7 @@ def pack(df: DataFrame, size_of: str, target: int = CHUNK_BYTES) -> DataFrame:
         if held:
             yield out()
 
-    return materialize(df.mapInArrow(chunks, CHUNK_SCHEMA), "chunks", row_group_bytes=8 << 20)
+    return write_table(df.mapInArrow(chunks, CHUNK_SCHEMA), "chunks", row_group_bytes=8 << 20)
 
 
 def texts_of(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:

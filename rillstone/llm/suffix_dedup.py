@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from rillstone.llm.chunks import by_bucket, pack, pack_array, per_row, table_of, texts_of, unpack_array, with_answers
 from rillstone.llm.kernels import anchors
-from rillstone.storage import materialize
+from rillstone.storage import materialize, remove
 
 GRAM = 25
 SHALLOW = 24
@@ -102,9 +102,11 @@ def _grams(row: dict, id_col: str, text_col: str, n: int, buckets: int) -> Itera
     first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
     shared = np.minimum.reduceat(owner, first) != np.maximum.reduceat(owner, first)
     h = h[first]
-    bucket, short = (h >> np.uint64(32)) % np.uint64(buckets), (h & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    bucket, short = (h >> np.uint64(32)) % np.uint64(buckets), (h & np.uint64(0xFFFFFF)).astype(np.uint32)
     for b, rows in _split(bucket, buckets):
-        yield row["chunk"], b, pack_array(short[rows]), np.packbits(shared[rows]).tobytes()
+        rows = rows[np.argsort(short[rows], kind="stable")]
+        steps = np.diff(short[rows], prepend=np.uint32(0))
+        yield row["chunk"], b, pack_array(steps.astype(np.uint16) if steps.max() < 1 << 16 else steps), int(steps.max() < 1 << 16), np.packbits(shared[rows]).tobytes()
 
 
 def _split(bucket: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -117,7 +119,7 @@ def _split(bucket: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]
 
 def _repeated(bucket: int, messages: list[dict]) -> Iterator[tuple]:
     """Tell each chunk which of its anchor hashes occur in two documents."""
-    lists = [unpack_array(m["hashes"], np.uint32) for m in messages]
+    lists = [np.cumsum(unpack_array(m["hashes"], np.uint16 if m["narrow"] else np.uint32), dtype=np.uint32) for m in messages]
     shared = [np.unpackbits(np.frombuffer(m["shared"], np.uint8), count=len(x)).astype(bool) for m, x in zip(messages, lists, strict=True)]
     values, number, count = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
     often = count > 1
@@ -144,6 +146,7 @@ class _Stretches:
         often, flags = np.zeros(len(hashes), bool), {a["bucket"]: a["often"] for a in row["answers"] or []}
         for b, rows in _split(bucket, buckets):
             if b in flags:
+                rows = rows[np.argsort(hashes[rows] & np.uint64(0xFFFFFF), kind="stable")]
                 often[rows] = np.unpackbits(np.frombuffer(flags[b], np.uint8), count=len(rows))
         keep = often[number]
         self.first, self.last, self.owner = first[keep], last[keep], self.ids[text[keep]]
@@ -165,7 +168,7 @@ class _Stretches:
     def messages(self, chunk: int) -> Iterator[tuple]:
         for b, (strings, lengths, least) in enumerate(self.buckets):
             if strings:
-                yield chunk, b, pack_array(np.frombuffer(b"".join(strings), np.uint8)), pack_array(np.array(lengths, np.int32)), pack_array(np.array(least, np.int64))
+                yield chunk, b, pack_array(np.frombuffer(b"".join(strings), np.uint8), level=5), pack_array(np.array(lengths, np.int32)), pack_array(np.array(least, np.int64))
 
 
 def _earliest(bucket: int, messages: list[dict], n: int) -> Iterator[tuple]:
@@ -221,16 +224,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if not 2 * GRAM <= min_bytes <= GRAM + 31:
         raise ValueError(f"min_bytes must lie between {2 * GRAM} and {GRAM + 31}")
     docs = docs.drop("kept_bytes", "n_bytes", "n_removed", "n_spans")
-    chunks = pack(docs.where(F.col(id_col).isNotNull()).withColumn(id_col, F.col(id_col).cast("long")), text_col)
+    chunks, path = pack(docs.where(F.col(id_col).isNotNull()).withColumn(id_col, F.col(id_col).cast("long")), text_col)
     weight = chunks.agg(F.coalesce(F.sum(F.length("payload")), F.lit(0)).alias("b")).first()["b"]
     buckets = max(8, int(weight >> 20))
     n = min_bytes
     grams = chunks.mapInArrow(
-        per_row(lambda row: _grams(row, id_col, text_col, n, buckets), ["chunk", "bucket", "hashes", "shared"], [pa.int64(), pa.int64(), pa.binary(), pa.binary()]),
-        "chunk long, bucket long, hashes binary, shared binary",
+        per_row(lambda row: _grams(row, id_col, text_col, n, buckets), ["chunk", "bucket", "hashes", "narrow", "shared"], [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary()]),
+        "chunk long, bucket long, hashes binary, narrow long, shared binary",
     )
     often = by_bucket(grams, _repeated, ["chunk", "bucket", "often"], [pa.int64(), pa.int64(), pa.binary()], "chunk long, bucket long, often binary")
     known = materialize(with_answers(chunks, often, ["bucket", "often"]), "stretches", row_group_bytes=8 << 20)
+    remove(docs.sparkSession, path)
     stretches = known.mapInArrow(
         per_row(
             lambda row: _Stretches(row, id_col, text_col, n, buckets).messages(row["chunk"]), ["chunk", "bucket", "strings", "lengths", "least"], [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]

@@ -8,6 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rillstone.llm.line_dedup import drop_common_lines
+from rillstone.llm.near_dup import near_duplicates
 from rillstone.llm.packing import pack_documents
 from rillstone.llm.suffix_dedup import remove_repeats
 from rillstone.llm.token_files import read_token_files, write_token_files
@@ -27,16 +29,44 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = drop_common_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce(F.encode("text", "utf-8"), F.lit(b"")), 256).alias("kept_sha256"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = write_token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     docs = read_token_files(manifest)
     return docs.select("doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_line_dedup": op5_line_dedup,
     "op7_token_files": op7_token_files,
+    "op10_near_dup": op10_near_dup,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op5_line_dedup": r"""
+        WITH lines AS (
+          SELECT doc_id, unnest(range(len(l))) AS k, unnest(l) AS line
+          FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),
+        keyed AS (
+          SELECT doc_id, k, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+        often AS (
+          SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= 20
+          GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+        judged AS (
+          SELECT k.doc_id, k.k, k.line, o.key IS NOT NULL AND k.doc_id <> o.last AS gone
+          FROM keyed k LEFT JOIN often o ON k.key = o.key)
+        SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN gone THEN 1 ELSE 0 END) AS BIGINT) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (WHERE NOT gone), '')) AS kept_sha256
+        FROM judged GROUP BY doc_id""",
+}

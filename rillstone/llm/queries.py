@@ -8,22 +8,33 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rillstone.llm.embedding_dedup import duplicate_vectors
 from rillstone.llm.line_dedup import drop_common_lines
 from rillstone.llm.near_dup import near_duplicates
 from rillstone.llm.packing import pack_documents
 from rillstone.llm.suffix_dedup import remove_repeats
 from rillstone.llm.token_files import read_token_files, write_token_files
+from rillstone.llm.topk_search import top_k_search
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return top_k_search(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return duplicate_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
@@ -45,7 +56,9 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_topk_search": op1_topk_search,
     "op2_packing": op2_packing,
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_line_dedup": op5_line_dedup,
     "op7_token_files": op7_token_files,
@@ -53,6 +66,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op1_topk_search": """
+        WITH whole AS (
+          SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+          WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        parts AS (SELECT vec_id, unnest(range(len(v))) AS i, unnest(v) AS x FROM whole),
+        scores AS (
+          SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+          FROM parts q JOIN parts c ON q.i = c.i AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0 GROUP BY 1, 2),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scores)
+        SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 5""",
+    "op3_embedding_dedup": """
+        WITH RECURSIVE good AS (
+          SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+          WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        unit AS (
+          SELECT vec_id, list_transform(v, lambda x: x / n) AS v FROM (SELECT vec_id, v, sqrt(list_dot_product(v, v)) AS n FROM good) WHERE n > 0),
+        links AS (
+          SELECT a.vec_id AS a, b.vec_id AS b FROM unit a JOIN unit b ON a.vec_id <> b.vec_id AND list_dot_product(a.v, b.v) >= 0.9),
+        reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+        SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links,
+               least(e.vec_id, coalesce((SELECT min(b) FROM reach r WHERE r.a = e.vec_id), e.vec_id)) AS component_id,
+               e.vec_id <= coalesce((SELECT min(b) FROM reach r WHERE r.a = e.vec_id), e.vec_id) AS kept
+        FROM embeddings e""",
     "op5_line_dedup": r"""
         WITH lines AS (
           SELECT doc_id, unnest(range(len(l))) AS k, unnest(l) AS line

@@ -12,6 +12,7 @@ from rillstone.llm.embedding_dedup import duplicate_vectors
 from rillstone.llm.line_dedup import drop_common_lines
 from rillstone.llm.near_dup import near_duplicates
 from rillstone.llm.packing import pack_documents
+from rillstone.llm.sharding import shard_documents
 from rillstone.llm.suffix_dedup import remove_repeats
 from rillstone.llm.token_files import read_token_files, write_token_files
 from rillstone.llm.topk_search import top_k_search
@@ -51,6 +52,11 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = shard_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
 def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -62,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_line_dedup": op5_line_dedup,
     "op7_token_files": op7_token_files,
+    "op9_sharding": op9_sharding,
     "op10_near_dup": op10_near_dup,
 }
 

@@ -15,6 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from rillstone.llm.chunks import by_bucket, pack, pack_array, per_row, table_of, unpack_array, with_answers
 from rillstone.llm.kernels import mix
@@ -218,7 +219,7 @@ def drop_common_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     answers = probes.groupBy("bucket").cogroup(index.groupBy("shard")).applyInArrow(probe, "chunk long, bucket long, often binary, last binary")
     known = with_answers(chunks, answers, ["bucket", "often", "last"])
     names = list(docs.columns)
-    out_schema = docs.schema.add("n_lines", "long").add("n_dropped", "long")
+    out_schema = StructType([*docs.schema.fields]).add("n_lines", "long").add("n_dropped", "long")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -15,6 +15,7 @@ from rillstone.llm.packing import pack_documents
 from rillstone.llm.sharding import shard_documents
 from rillstone.llm.suffix_dedup import remove_repeats
 from rillstone.llm.token_files import read_token_files, write_token_files
+from rillstone.llm.toxicity import score_toxicity
 from rillstone.llm.topk_search import top_k_search
 
 
@@ -46,6 +47,11 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce(F.encode("text", "utf-8"), F.lit(b"")), 256).alias("kept_sha256"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_toxicity(docs, _table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = write_token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     docs = read_token_files(manifest)
@@ -67,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_embedding_dedup": op3_embedding_dedup,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_line_dedup": op5_line_dedup,
+    "op6_toxicity": op6_toxicity,
     "op7_token_files": op7_token_files,
     "op9_sharding": op9_sharding,
     "op10_near_dup": op10_near_dup,

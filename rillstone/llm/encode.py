@@ -39,8 +39,87 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
-class WordEncoder:
+class BlockEncoder:
+    """Encodes many texts at once: cuts them into words, looks up each distinct word, joins the ids."""
+
+    def __init__(self):
+        self.known: dict[int, bytes] = {}
+
+    def whole(self, text: str) -> bytes:
+        """The ids of a whole text."""
+        raise NotImplementedError
+
+    def _words(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where the words of texts start and stop, and their hashes."""
+        raise NotImplementedError
+
+    def _lookup(self, words: list[bytes], opens: list[bool]) -> list[bytes]:
+        """The ids of words; opens tells which begin a text."""
+        raise NotImplementedError
+
+    def _long_or_odd(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Which texts must be encoded whole."""
+        raise NotImplementedError
+
+    def _block(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """ids of texts without odd space, one after another, and how many each has."""
+        n = len(starts) - 1
+        parts = []
+        for i, j in blocks(starts):
+            a = starts[i]
+            first, stop, sums = self._words(data[a : starts[j]], starts[i : j + 1] - a) if starts[j] > a else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))
+            parts.append((first + a, stop + a, sums))
+        first, stop, sums = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, np.int64),) * 3
+        if not len(first):
+            return np.zeros(0, np.uint32), np.zeros(n, np.int64)
+        order = np.argsort(sums, kind="stable")
+        sums = sums[order]
+        new = np.ones(len(sums), bool)
+        new[1:] = sums[1:] != sums[:-1]
+        distinct, where = sums[new].tolist(), order[new]
+        number = np.empty(len(sums), np.int64)
+        number[order] = np.cumsum(new) - 1
+        known = self.known
+        ids = list(map(known.get, distinct))
+        missing = [i for i, x in enumerate(ids) if x is None]
+        if missing:
+            a, b = first[where[missing]], stop[where[missing]]
+            opens = (starts[np.searchsorted(starts, a)] == a).tolist()
+            for i, found in zip(missing, self._lookup([data[i:j].tobytes() for i, j in zip(a.tolist(), b.tolist(), strict=True)], opens), strict=True):
+                ids[i] = known[distinct[i]] = found
+        if len(known) > CACHE_WORDS:
+            self.known = {}
+        size = np.array(list(map(len, ids))) // 4
+        flat, begin_of = np.frombuffer(b"".join(ids), np.uint32), np.cumsum(size) - size
+        count = size[number]
+        ends = np.cumsum(count)
+        out = flat[np.repeat(begin_of[number] - (ends - count), count) + np.arange(ends[-1])]
+        per_text = np.diff(np.concatenate([[0], ends])[np.searchsorted(first, starts)])
+        return out, per_text
+
+    def __call__(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """ids of all texts on end as unsigned 32-bit integers, and the n + 1 places where texts start."""
+        parts, counts = [], []
+        odd = self._long_or_odd(data, starts)
+        edges = np.flatnonzero(np.diff(np.concatenate([[True], odd, [True]]).astype(int)))
+        runs = sorted({0, len(odd), *edges.tolist()})
+        for a, b in zip(runs[:-1], runs[1:], strict=True):
+            if odd[a]:
+                for i in range(a, b):
+                    ids = np.frombuffer(self.whole(data[starts[i] : starts[i + 1]].tobytes().decode()), np.uint32)
+                    parts.append(ids)
+                    counts.append(np.array([len(ids)]))
+                continue
+            for i, j in blocks(starts[a : b + 1], 1 << 20):
+                ids, per_text = self._block(data[starts[a + i] : starts[a + j]], starts[a + i : a + j + 1] - starts[a + i])
+                parts.append(ids)
+                counts.append(per_text)
+        counts = np.concatenate([np.zeros(1, np.int64), *counts])
+        return np.concatenate([np.zeros(0, np.uint32), *parts]), np.cumsum(counts)
+
+class WordEncoder(BlockEncoder):
     def __init__(self, path: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -52,7 +131,6 @@ class WordEncoder:
         self.letters = _byte_letters()
         self.lowers = self.whole("AB") == self.whole("ab")
         self.direct = all(self.short(w) == self.whole(w) for w in ("ab", "Straße", "naïve.", "foo,") + ((" ab", " Été") if self.keeps_space else ()))
-        self.known: dict[int, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -82,6 +160,9 @@ class WordEncoder:
             letters = letters.lower()
         return self.piece(space + letters) + (self.piece(marks) if marks else b"")
 
+    def _lookup(self, words: list[bytes], opens: list[bool]) -> list[bytes]:
+        return [self.word(w.rstrip(b" \n") if self.drops_space else w) for w in words]
+
     def word(self, word: bytes) -> bytes:
         text = word.decode()
         out = self.short(text) if self.direct else None
@@ -110,40 +191,6 @@ class WordEncoder:
         sums = np.add.reduceat(code, first)
         return first, stop, sums ^ (sums >> np.uint64(31))
 
-    def _block(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """ids of texts without odd space, one after another, and how many each has."""
-        n = len(starts) - 1
-        parts = []
-        for i, j in blocks(starts):
-            a = starts[i]
-            first, stop, sums = self._words(data[a : starts[j]], starts[i : j + 1] - a) if starts[j] > a else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))
-            parts.append((first + a, stop + a, sums))
-        first, stop, sums = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, np.int64),) * 3
-        if not len(first):
-            return np.zeros(0, np.uint32), np.zeros(n, np.int64)
-        order = np.argsort(sums, kind="stable")
-        sums = sums[order]
-        new = np.ones(len(sums), bool)
-        new[1:] = sums[1:] != sums[:-1]
-        distinct, where = sums[new].tolist(), order[new]
-        number = np.empty(len(sums), np.int64)
-        number[order] = np.cumsum(new) - 1
-        known = self.known
-        ids = list(map(known.get, distinct))
-        missing = [i for i, x in enumerate(ids) if x is None]
-        for i, a, b in zip(missing, first[where[missing]].tolist(), stop[where[missing]].tolist(), strict=True):
-            word = data[a:b].tobytes()
-            ids[i] = known[distinct[i]] = self.word(word.rstrip(b" \n") if self.drops_space else word)
-        if len(known) > CACHE_WORDS:
-            self.known = {}
-        size = np.array(list(map(len, ids))) // 4
-        flat, begin_of = np.frombuffer(b"".join(ids), np.uint32), np.cumsum(size) - size
-        count = size[number]
-        ends = np.cumsum(count)
-        out = flat[np.repeat(begin_of[number] - (ends - count), count) + np.arange(ends[-1])]
-        per_text = np.diff(np.concatenate([[0], ends])[np.searchsorted(first, starts)])
-        return out, per_text
-
     def _long_or_odd(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Which texts must go to the library whole."""
         odd = np.zeros(len(starts) - 1, bool)
@@ -169,27 +216,6 @@ class WordEncoder:
             odd[full] |= gap[starts[full]] | gap[starts[full + 1] - 1]
         return odd
 
-    def __call__(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """ids of all texts on end as unsigned 32-bit integers, and the n + 1 places where texts start."""
-        parts, counts = [], []
-        odd = self._long_or_odd(data, starts)
-        edges = np.flatnonzero(np.diff(np.concatenate([[True], odd, [True]]).astype(int)))
-        runs = sorted({0, len(odd), *edges.tolist()})
-        for a, b in zip(runs[:-1], runs[1:], strict=True):
-            if odd[a]:
-                for i in range(a, b):
-                    ids = np.frombuffer(self.whole(data[starts[i] : starts[i + 1]].tobytes().decode()), np.uint32)
-                    parts.append(ids)
-                    counts.append(np.array([len(ids)]))
-                continue
-            for i, j in blocks(starts[a : b + 1], 1 << 20):
-                ids, per_text = self._block(data[starts[a + i] : starts[a + j]], starts[a + i : a + j + 1] - starts[a + i])
-                parts.append(ids)
-                counts.append(per_text)
-        counts = np.concatenate([np.zeros(1, np.int64), *counts])
-        return np.concatenate([np.zeros(0, np.uint32), *parts]), np.cumsum(counts)
-
-
 def encoder(path: str) -> WordEncoder:
     """The encoder of a tokenizers file, loaded once in each Python worker."""
     if path not in _loaded:

@@ -12,6 +12,7 @@ from rillstone.llm.embedding_dedup import duplicate_vectors
 from rillstone.llm.line_dedup import drop_common_lines
 from rillstone.llm.near_dup import near_duplicates
 from rillstone.llm.packing import pack_documents
+from rillstone.llm.sentencepiece_codec import codec_report
 from rillstone.llm.sharding import shard_documents
 from rillstone.llm.suffix_dedup import remove_repeats
 from rillstone.llm.token_files import read_token_files, write_token_files
@@ -58,6 +59,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codec_report(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = shard_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_line_dedup": op5_line_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_token_files": op7_token_files,
+    "op8_sentencepiece": op8_sentencepiece,
     "op9_sharding": op9_sharding,
     "op10_near_dup": op10_near_dup,
 }

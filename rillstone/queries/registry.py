@@ -22,6 +22,8 @@ def query(name: str, sql: str | None = None, given: str = "") -> Callable[[Query
             if head and body.upper().startswith("WITH RECURSIVE"):
                 body, head = body[len("WITH RECURSIVE") :], head.replace("WITH", "WITH RECURSIVE", 1)
                 SQL[name] = f"{head}, {body}"
+            elif head and body.startswith(","):
+                SQL[name] = f"{head}{body}"
             elif head and body.upper().startswith("WITH"):
                 SQL[name] = f"{head}, {body[4:]}"
             else:

@@ -133,7 +133,7 @@ def write_token_files(
     folder, by default one in the shared folder; every attempt of a task writes a file of its own,
     and the manifest, itself a table in the shared folder, names those that count: part (in order),
     path, n_docs, n_tokens, start (tokens in all files before).  Null ids come first; rows with
-    equal ids are ordered by text.  An empty table gives an empty manifest.  Other columns are ignored.
+    equal ids are ordered by a hash of the text.  An empty table gives an empty manifest.  Other columns are ignored.
     """
     spark = docs.sparkSession
     folder = folder or new_path(spark, "tokens")
@@ -141,8 +141,9 @@ def write_token_files(
     if partitions is None:
         size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).first()["b"]
         partitions = max(1, -(-size // (32 << 20)))
-    ordered = docs.repartitionByRange(partitions, F.col("doc").asc_nulls_first(), "text") if partitions > 1 else docs.coalesce(1)
-    ordered = ordered.sortWithinPartitions(F.col("doc").asc_nulls_first(), "text")
+    # equal ids are told apart by a hash, so that many of them do not meet in one file and samples stay small
+    ordered = docs.repartitionByRange(partitions, F.col("doc").asc_nulls_first(), F.xxhash64("text")) if partitions > 1 else docs.coalesce(1)
+    ordered = ordered.sortWithinPartitions(F.col("doc").asc_nulls_first(), F.xxhash64("text"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer, path, encode = None, f"{folder}/{uuid.uuid4().hex}.tok", encoder(tokenizer_path)

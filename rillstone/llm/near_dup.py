@@ -22,9 +22,10 @@ from rillstone.storage import materialize
 
 #: Sketch parameters: base of the spacing, rate of the exponential variates.
 BASE, RATE = 1.02, 20.0
-REGISTERS, BAND_WIDTH = 128, 4
-#: A pair is compared in full if its estimate is at most this much below the threshold (over four standard errors).
-SLACK = 0.16
+#: All registers serve the estimate, the first BANDS * BAND_WIDTH of them the candidates.
+REGISTERS, BANDS, BAND_WIDTH = 256, 32, 4
+#: A pair is compared in full if its estimate is at most this much below the threshold (four standard errors).
+SLACK = 0.11
 #: Pairs whose share of equal registers is this much lower still are not estimated at all.
 ROUGH = 0.1
 _SEEDS = np.random.default_rng(4242).integers(0, 1 << 32, 1024, dtype=np.uint32)
@@ -152,7 +153,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.75, registers: int = REGISTERS, band_width: int = BAND_WIDTH, block: int = 256
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.75, registers: int = REGISTERS, bands: int = BANDS, band_width: int = BAND_WIDTH, block: int = 256
 ) -> DataFrame:
     """One row per row of docs: id_col, n_shingles, component_id, kept.
 
@@ -161,8 +162,8 @@ def near_duplicates(
     nothing.  Documents whose sets' Jaccard similarity is at least similarity (a whole number of
     hundredths) are linked; component_id is the smallest id reachable; kept tells whether that is
     the document itself.  Equal sets are one node from the start.  Candidates share a band; within a
-    band every member is first compared with the smallest, then members in different components with
-    one another, the most alike first, in blocks of bounded size, so no pair of a band is lost.
+    band every member is first compared with the smallest, then all members that are still in
+    different components with one another, in blocks of bounded size, so no pair of a band is lost.
     Rows that repeat an id are one document.  Null ids take no part (component_id null, kept true).
     Other columns are ignored.  With the defaults a pair at the threshold misses every band with
     probability 6e-6.
@@ -175,10 +176,10 @@ def near_duplicates(
     texts = docs.where(F.col("doc").isNotNull() & F.col("text").isNotNull())
 
     size = 2 * band_width
-    keys = F.array(*[F.xxhash64(F.expr(f"substring(sketch, {k * size + 1}, {size})"), F.lit(k)) for k in range(registers // band_width)])
-    bands = nodes.select("rep", F.explode(keys).alias("key"))
-    shared = bands.groupBy("key").agg(F.count("*").alias("m"), F.min("rep").alias("leader")).where("m > 1")
-    members = materialize(bands.join(shared, "key"), "members")
+    keys = F.array(*[F.xxhash64(F.expr(f"substring(sketch, {k * size + 1}, {size})"), F.lit(k)) for k in range(bands)])
+    banded = nodes.select("rep", F.posexplode(keys).alias("band", "key"))
+    shared = banded.groupBy("key").agg(F.count("*").alias("m"), F.min("rep").alias("leader")).where("m > 1")
+    members = materialize(banded.join(shared, "key"), "members")
 
     wanted = ["rep", "n", "sketch"]
 
@@ -200,62 +201,39 @@ def near_duplicates(
     links = materialize(_verified(likely(stars), texts, width, percent), "links")
     component = star_components(links)
 
-    # Bands whose members are not yet in one component.  First each document is compared with its most
-    # promising partner in another component, again and again while that links anything; then all
-    # pairs that are left across components are compared.  Components only merge, so no link is lost.
-    def across(component: DataFrame, best_only: bool) -> DataFrame:
-        labelled = members.join(component.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("m")).where("lo <> hi").select("key", "m")
-        open_ = labelled.drop("m").join(mixed, "key").join(nodes.select(*wanted), "rep")
-        parts = F.ceil(F.col("m") / block).cast("int")
-        open_ = open_.withColumn("mine", F.pmod(F.xxhash64("rep"), parts).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-        open_ = open_.select("key", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), "mine", "rep", "component", "leader", "n", "sketch")
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for table in _groups(batches, 3):
-                p, q = table.column("p")[0].as_py(), table.column("q")[0].as_py()
-                part, rep, label, n = (table.column(c).to_numpy() for c in ("mine", "rep", "component", "n"))
-                sketch, leader = _sketch_matrix(table.column("sketch"), registers), table.column("leader")[0].as_py()
-                a, b = [], []
-                for i in np.flatnonzero(part == p).tolist():
-                    others = np.flatnonzero((label != label[i]) & (rep != leader) & (rep > rep[i] if p == q else part == q))
-                    if rep[i] != leader and len(others):
-                        like = others[(sketch[others] == sketch[i]).mean(1) >= similarity - SLACK - ROUGH]
-                        a.append(np.full(len(like), i))
-                        b.append(like)
-                a, b = (np.concatenate([*x, np.zeros(0, np.int64)]).astype(np.int64) for x in (a, b))
-                if not len(a):
-                    continue
-                estimate = likelihood_similarity(sketch[a], sketch[b], n[a], n[b])
-                ok = estimate >= similarity - SLACK
-                a, b, estimate = a[ok], b[ok], estimate[ok]
-                if best_only:
-                    # both ends may choose; one row for each document that has a partner
-                    a, b, estimate = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([estimate, estimate])
-                    order = np.lexsort((b, -estimate, a))
-                    a, b, estimate = a[order], b[order], estimate[order]
-                    first = np.flatnonzero(np.r_[True, a[1:] != a[:-1]]) if len(a) else np.zeros(0, np.int64)
-                    a, b, estimate = a[first], b[first], estimate[first]
-                if len(a):
-                    yield pa.RecordBatch.from_arrays([pa.array(rep[a]), pa.array(rep[b]), pa.array(estimate)], names=["a", "b", "e"])
-
-        found = open_.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q").mapInArrow(run, "a long, b long, e double")
-        if best_only:
-            found = found.groupBy("a").agg(F.max_by("b", F.struct("e", -F.col("b"))).alias("b"))
-        return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-    tested = stars
-    while True:
-        tries = materialize(across(component, True).join(tested, ["a", "b"], "left_anti"), "tries")
-        if tries.first() is None:
-            break
-        tested = tested.unionByName(tries)
-        late = materialize(_verified(tries, texts, width, percent), "late-links")
-        if late.first() is None:
-            break
-        links = links.unionByName(late)
-        component = star_components(links)
-    late = materialize(_verified(across(component, False).join(tested, ["a", "b"], "left_anti"), texts, width, percent), "late-links")
+    # bands whose members are not yet in one component: compare all of them across components
+    labelled = members.join(component.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("m")).where("lo <> hi").select("key", "m")
+    open_ = labelled.drop("m").join(mixed, "key").join(nodes.select(*wanted), "rep")
+    parts = F.ceil(F.col("m") / block).cast("int")
+    open_ = open_.withColumn("mine", F.pmod(F.xxhash64("rep"), parts).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    open_ = open_.select("key", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), "mine", "band", "rep", "component", "leader", "n", "sketch")
+
+    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _groups(batches, 3):
+            p, q, band = (table.column(c)[0].as_py() for c in ("p", "q", "band"))
+            part, rep, label, n = (table.column(c).to_numpy() for c in ("mine", "rep", "component", "n"))
+            sketch, leader = _sketch_matrix(table.column("sketch"), registers), table.column("leader")[0].as_py()
+            a, b = [], []
+            for i in np.flatnonzero(part == p).tolist():
+                others = np.flatnonzero((label != label[i]) & (rep != leader) & (rep > rep[i] if p == q else part == q))
+                if rep[i] != leader and len(others):
+                    like = others[(sketch[others] == sketch[i]).mean(1) >= similarity - SLACK - ROUGH]
+                    a.append(np.full(len(like), i))
+                    b.append(like)
+            a, b = (np.concatenate([*x, np.zeros(0, np.int64)]).astype(np.int64) for x in (a, b))
+            if band and len(a):
+                # a pair belongs to the first band that it shares
+                before = (sketch[a, : band * band_width] == sketch[b, : band * band_width]).reshape(len(a), band, band_width)
+                first = ~before.all(2).any(1)
+                a, b = a[first], b[first]
+            if len(a):
+                ok = likelihood_similarity(sketch[a], sketch[b], n[a], n[b]) >= similarity - SLACK
+                a, b = rep[a[ok]], rep[b[ok]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    more = open_.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q").mapInArrow(across, "a long, b long")
+    late = materialize(_verified(more.join(stars, ["a", "b"], "left_anti"), texts, width, percent), "late-links")
     if late.first() is not None:
         component = star_components(links.unionByName(late))
 

@@ -56,11 +56,13 @@ def star_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large, large_path = write_table(large, "large")
+        # few edges need few files; many keep as many tasks as they have
+        files = max(8, last[0] // 200_000)
+        large, large_path = write_table(large.coalesce(files), "large")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("e"))
         small = small.select(F.col("e.v").alias("u"), F.col("e.m").alias("v")).where("u <> v").distinct()
-        before, (now, next_path) = path, write_table(small, "edges")
+        before, (now, next_path) = path, write_table(small.coalesce(files), "edges")
         remove(spark, before)
         remove(spark, large_path)
         path, this = next_path, print_of(now)

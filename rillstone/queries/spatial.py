@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 from rillstone.operators import bias as V
 from rillstone.operators import spatial as S
 from rillstone.operators import stats as E
-from rillstone.operators import zones as D
 from rillstone.queries.focal import _round
 from rillstone.queries.registry import query
-from rillstone.queries.zones import FCELLS, feature_cells, labels_sql, low
+from rillstone.queries.zones import FCELLS, feature_cells, low
 from rillstone.sources import catalog as A
 from rillstone.sources.fixtures import FEATURES, LAYERS, POINTS, SAMPLES, UNITS, features, layers, points, samples, table, units
 from rillstone.storage import new_path
@@ -384,11 +383,14 @@ def p09(spark, sf):
     return S.perimeter_area_ratio(shapes, 1.5).select("fid")
 
 
-@query("p10_project_outline", f"""
+@query("p10_project_outline", """
     WITH RECURSIVE f AS (SELECT DISTINCT r, c FROM lake WHERE c < 64 AND r < 500),
     g AS (SELECT DISTINCT l.r + i AS r, l.c + j AS c FROM lake l CROSS JOIN (SELECT i, j FROM range(-1, 2) a(i), range(-1, 2) b(j) WHERE i * i * 10000 + j * j * 6400 <= 12100) k WHERE l.r + i BETWEEN 0 AND 511 AND l.c + j BETWEEN 0 AND 71 UNION SELECT r, c FROM lake),
-    rest AS (SELECT a.r, b.c FROM range(512) a(r) CROSS JOIN range(72) b(c) EXCEPT SELECT r, c FROM g), {labels_sql("true", 4, source="rest", rounds=400).replace("r * 64 + c", "r * 72 + c")}
-    SELECT r, c FROM g UNION SELECT r, c FROM zones WHERE zone NOT IN (SELECT zone FROM zones WHERE r = 0 OR c = 0 OR r = 511 OR c = 71)""", LAKE)
+    rest AS (SELECT a.r, b.c FROM range(512) a(r) CROSS JOIN range(72) b(c) EXCEPT SELECT r, c FROM g),
+    k4 AS (SELECT * FROM (VALUES (0, 1), (1, 0), (0, -1), (-1, 0)) AS k(i, j)),
+    flood AS (SELECT r, c FROM rest WHERE r = 0 OR c = 0 OR r = 511 OR c = 71
+      UNION SELECT x.r, x.c FROM flood f CROSS JOIN k4 JOIN rest x ON x.r = f.r + k4.i AND x.c = f.c + k4.j)
+    SELECT r, c FROM g UNION SELECT r, c FROM rest WHERE NOT EXISTS (SELECT 1 FROM flood f WHERE f.r = rest.r AND f.c = rest.c)""", LAKE)
 def p10(spark, sf):
     cells = feature_cells(spark, sf, "fclass = 'lake'").select(F.col("r").cast("long").alias("r"), F.col("c").cast("long").alias("c"))
     return S.project_outline(cells, 512, 72, 110.0, 80.0, 100.0)
@@ -477,7 +479,3 @@ def a10(spark, sf):
     path = new_path(spark, "features")
     A.write_partitioned(features(spark, sf), path, "fclass")
     return A.read_features(spark, path, "fclass = 'river'").select("fid", "r0", "c0", "r1", "c1")
-
-
-def zones_of(spark, sf):
-    return low(spark, sf), D

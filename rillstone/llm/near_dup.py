@@ -23,9 +23,9 @@ from rillstone.storage import materialize
 #: Sketch parameters: base of the spacing, rate of the exponential variates.
 BASE, RATE = 1.02, 20.0
 #: All registers serve the estimate, the first BANDS * BAND_WIDTH of them the candidates.
-REGISTERS, BANDS, BAND_WIDTH = 256, 32, 4
+REGISTERS, BANDS, BAND_WIDTH = 512, 32, 4
 #: A pair is compared in full if its estimate is at most this much below the threshold (four standard errors).
-SLACK = 0.11
+SLACK = 0.08
 #: Pairs whose share of equal registers is this much lower still are not estimated at all.
 ROUGH = 0.1
 _SEEDS = np.random.default_rng(4242).integers(0, 1 << 32, 1024, dtype=np.uint32)

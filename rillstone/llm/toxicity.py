@@ -98,7 +98,7 @@ def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 30) -> tuple[
     return post, rates, share
 
 
-def fit_linear(x: np.ndarray, target: np.ndarray, steps: int = 400, ridge: float = 1e-3) -> tuple[np.ndarray, float]:
+def fit_linear(x: np.ndarray, target: np.ndarray, steps: int = 600, ridge: float = 1e-4) -> tuple[np.ndarray, float]:
     """Logistic regression on soft labels by gradient steps with momentum."""
     n, m = x.shape
     w, b = np.zeros(m), float(np.log((target.mean() + 1e-3) / (1 - target.mean() + 1e-3)))

@@ -9,7 +9,8 @@ from rillstone.operators import depressions as I
 from rillstone.operators import drainage as J
 from rillstone.operators import focal as K
 from rillstone.operators import water as H
-from rillstone.queries.focal import NEAR, _round
+from rillstone.plans.noise import KERNELS, adaptive_filter
+from rillstone.queries.focal import NEAR, _gradient, _kernel, _pad, _round
 from rillstone.queries.registry import query
 from rillstone.queries.spatial import cube
 from rillstone.queries.zones import ROUNDS, feature_cells, labels_sql, low
@@ -488,10 +489,29 @@ def k03(spark, sf):
 # the adaptive filter, bias removal and the noise-removal plan
 
 
-@query("c24_adaptive_filter")
-def c24(spark, sf):
-    from rillstone.plans.noise import adaptive_filter
+def _kernel_sql(size: int, weights) -> str:
+    total = sum(w for _, _, w in K.ring_offsets(weights))
+    return f"k{size} AS (SELECT l.r, l.c, sum(p.z_mm * k.w) / {total} AS k{size} FROM layers l CROSS JOIN {_kernel(list(weights))} JOIN padded p ON p.r = l.r + k.i AND p.c = l.c + k.j GROUP BY l.r, l.c)"
+
+
+FILTERED = f"""
+    WITH {_pad(4)}, {", ".join(_kernel_sql(k, w) for k, w in KERNELS.items())},
+    smooth AS (SELECT l.*, k9, k7, k5, k3 FROM layers l JOIN k9 USING (r, c) JOIN k7 USING (r, c) JOIN k5 USING (r, c) JOIN k3 USING (r, c)),
+    {_gradient("smooth", "k9", 1000.0, 1200.0)},
+    bend AS (SELECT *, lag(gx) OVER (PARTITION BY r ORDER BY c) AS gw, lead(gx) OVER (PARTITION BY r ORDER BY c) AS ge, lag(gy) OVER (PARTITION BY c ORDER BY r) AS gn, lead(gy) OVER (PARTITION BY c ORDER BY r) AS gs FROM grad),
+    curve AS (SELECT *, CAST(floor(degrees(atan(sqrt(gx * gx + gy * gy)))) AS INT) AS slope,
+      CASE WHEN gw IS NULL THEN (ge - gx) / 1000.0 WHEN ge IS NULL THEN (gx - gw) / 1000.0 ELSE (ge - gw) / 2000.0 END
+      + CASE WHEN gn IS NULL THEN (gs - gy) / 1200.0 WHEN gs IS NULL THEN (gy - gn) / 1200.0 ELSE (gs - gn) / 2400.0 END AS cv FROM bend),
+    judged AS (SELECT *, CASE WHEN cv > 2.5 * sd THEN 0 WHEN cv < -2.5 * sd THEN 2 WHEN slope >= 30 THEN 1
+      WHEN abs(cv) > sd OR slope BETWEEN 15 AND 30 THEN 3 WHEN slope BETWEEN 6 AND 15 THEN 5 WHEN slope BETWEEN 2 AND 6 THEN 7 ELSE 9 END AS m FROM curve CROSS JOIN (SELECT stddev_pop(cv) AS sd FROM curve) x),
+    wet AS (SELECT *, CASE WHEN swo > 80 THEN 3 ELSE m END AS m2 FROM judged),
+    patched AS (SELECT *, CASE WHEN edm = 5 AND m2 < 3 THEN 3 ELSE m2 END AS m3 FROM wet)
+    SELECT r, c, CASE WHEN edm IN (2, 3) THEN 1 ELSE m3 END AS filter_mask,
+      round(CASE WHEN edm IN (2, 3) THEN z_mm WHEN m3 = 9 THEN k9 WHEN m3 = 7 THEN k7 WHEN m3 = 5 THEN k5 WHEN m3 = 3 THEN k3 ELSE z_mm END, 4) + 0.0 AS filtered FROM patched"""
 
+
+@query("c24_adaptive_filter", FILTERED, LAYERS)
+def c24(spark, sf):
     cells = layers(spark, sf).withColumn("z", F.col("z_mm").cast("double"))
     out = adaptive_filter(cells, "z", 1000.0, 1200.0, *K.extent(cells), water=F.col("swo") > 80, edited=F.col("edm").isin(2, 3), fill=F.col("edm") == 5)
     return out.select("r", "c", _round("filtered", 4).alias("filtered"), "filter_mask")

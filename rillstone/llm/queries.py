@@ -125,4 +125,20 @@ SQL: dict[str, str] = {
         SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN gone THEN 1 ELSE 0 END) AS BIGINT) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (WHERE NOT gone), '')) AS kept_sha256
         FROM judged GROUP BY doc_id""",
+    "op10_near_dup": r"""
+        WITH RECURSIVE cut AS (
+          SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+          FROM documents),
+        sets AS (
+          SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                 ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM cut),
+        parts AS (SELECT doc_id, unnest(s) AS x FROM sets),
+        common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM parts a JOIN parts b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
+        links AS (
+          SELECT a, b FROM common JOIN sets p ON p.doc_id = a JOIN sets q ON q.doc_id = b WHERE 100 * n >= 75 * (len(p.s) + len(q.s) - n)),
+        both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reach AS (SELECT a, b FROM both_ways UNION SELECT r.a, l.b FROM reach r JOIN both_ways l ON r.b = l.a),
+        least_of AS (SELECT a, min(b) AS m FROM reach GROUP BY a)
+        SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id, doc_id <= coalesce(m, doc_id) AS kept
+        FROM sets LEFT JOIN least_of ON a = doc_id""",
 }

@@ -159,7 +159,7 @@ def _target(spark):
 
 
 @query("b15_resample_nearest", """
-    WITH t AS (SELECT a.r AS tr, b.c AS tcol, CAST(trunc((50.0 - (50.0 - a.r * 0.03 - 0.015)) / 0.0125) AS BIGINT) AS r, CAST(trunc((10.0 + b.c * 0.025 + 0.0125 - 10.0) / 0.01) AS BIGINT) AS c FROM range(200) a(r) CROSS JOIN range(25) b(c))
+    WITH t AS (SELECT a.r AS tr, b.c AS tcol, CAST(trunc((50.0e0 - (50.0e0 - a.r * 0.03e0 - 0.03e0 / 2)) / 0.0125e0) AS BIGINT) AS r, CAST(trunc((10.0e0 + b.c * 0.025e0 + 0.025e0 / 2 - 10.0e0) / 0.01e0) AS BIGINT) AS c FROM range(200) a(r) CROSS JOIN range(25) b(c))
     SELECT tr AS r, tcol AS c, l.z_mm FROM t LEFT JOIN layers l ON l.r = t.r AND l.c = t.c""", LAYERS)
 def b15(spark, sf):
     return G.resample_nearest(layers(spark, sf), GRID, _target(spark), COARSE, ["z_mm"])

@@ -42,6 +42,8 @@ def _byte_letters() -> dict[int, str]:
 class BlockEncoder:
     """Encodes many texts at once: cuts them into words, looks up each distinct word, joins the ids."""
 
+    cache_words = CACHE_WORDS
+
     def __init__(self):
         self.known: dict[int, bytes] = {}
 
@@ -87,7 +89,7 @@ class BlockEncoder:
             opens = (starts[np.searchsorted(starts, a)] == a).tolist()
             for i, found in zip(missing, self._lookup([data[i:j].tobytes() for i, j in zip(a.tolist(), b.tolist(), strict=True)], opens), strict=True):
                 ids[i] = known[distinct[i]] = found
-        if len(known) > CACHE_WORDS:
+        if len(known) > self.cache_words:
             self.known = {}
         size = np.array(list(map(len, ids))) // 4
         flat, begin_of = np.frombuffer(b"".join(ids), np.uint32), np.cumsum(size) - size

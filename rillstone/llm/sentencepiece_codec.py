@@ -230,6 +230,8 @@ class Pieces:
 
 
 class SentencePieceEncoder(BlockEncoder):
+    cache_words = 250_000  # lattices need memory beside the cache
+
     def __init__(self, pieces: Pieces):
         super().__init__()
         self.pieces = pieces
@@ -300,7 +302,7 @@ def encode_pieces(docs: DataFrame, model_path: str, text_col: str = "text", ids_
         encode = _encoder(raw)
         for big in batches:
             _, places = texts_of(big.column(at))
-            for i, j in blocks(places, 4 << 20):
+            for i, j in blocks(places, 1 << 20):
                 batch = big.slice(i, j - i)
                 ids, starts = encode(*texts_of(batch.column(at)))
                 blob = ids.astype("<u4").tobytes()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from rillstone.operators import focal as K
 from rillstone.operators import grid as G
 from rillstone.queries.focal import _round
 from rillstone.queries.registry import query
@@ -120,7 +121,7 @@ def b08(spark, sf):
 def b09(spark, sf):
     cells = layers(spark, sf)
     zones = cells.where("z_mm < -380").select(F.expr("r % 7").alias("zone"), "r", "c")
-    return G.clip_window(cells.select("r", "c", "z_mm"), zones, "zone", 3, 500, 64)
+    return G.clip_window(cells.select("r", "c", "z_mm"), zones, "zone", 3, *K.extent(cells))
 
 
 @query("b10_clip_polygon", "SELECT l.r, l.c, CASE WHEN EXISTS (SELECT 1 FROM features f WHERE f.fclass = 'lake' AND l.r BETWEEN f.r0 AND f.r1 AND l.c BETWEEN f.c0 AND f.c1) THEN z_mm END AS z_mm FROM layers l", LAYERS + "," + FEATURES.strip()[4:])
@@ -141,7 +142,8 @@ def b11(spark, sf):
 
 @query("b12_trim_halo", "SELECT r, c, z_mm FROM layers WHERE r BETWEEN 5 AND 494 AND c BETWEEN 5 AND 58", LAYERS)
 def b12(spark, sf):
-    return G.trim_halo(layers(spark, sf).select("r", "c", "z_mm"), 5, 500, 64)
+    cells = layers(spark, sf).select("r", "c", "z_mm")
+    return G.trim_halo(cells, 5, *K.extent(cells))
 
 
 @query("b13_add_halo", "SELECT t.tr, u.tc, l.r, l.c, l.z_mm FROM range(4) t(tr) CROSS JOIN range(2) u(tc) JOIN layers l ON l.r BETWEEN t.tr * 125 - 4 AND t.tr * 125 + 128 AND l.c BETWEEN u.tc * 32 - 4 AND u.tc * 32 + 35", LAYERS)
@@ -196,7 +198,8 @@ def b19(spark, sf):
 
 @query("b20_realign_shifted", "SELECT r, c, CAST(7 AS BIGINT) AS diff FROM layers WHERE r < 499", LAYERS)
 def b20(spark, sf):
-    cells = layers(spark, sf).select("r", "c", "z_mm").where("r < 499")
+    cells = layers(spark, sf).select("r", "c", "z_mm")
+    cells = cells.where(F.col("r") < K.extent(cells)[0] - 1)
     moved = cells.select((F.col("r") + 1).alias("r"), "c", (F.col("z_mm") + 7).alias("z_mm"))
     return G.realign_shifted(moved, cells, "z_mm")
 

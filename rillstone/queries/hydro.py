@@ -80,8 +80,9 @@ def h05(spark, sf):
 
 @query("h06_large_lakes")
 def h06(spark, sf):
-    lakes = feature_cells(spark, sf, "fclass = 'lake' and c1 < 64 and r1 < 500").select("fid", F.col("r").cast("long").alias("r"), F.col("c").cast("long").alias("c"))
-    return H.large_lakes(lakes, 500, 64, 20, 100.0, 80.0, 100.0)
+    lakes = feature_cells(spark, sf, "fclass = 'lake' and c1 < 64").select("fid", F.col("r").cast("long").alias("r"), F.col("c").cast("long").alias("c"))
+    rows, cols = (max(x) for x in zip(K.extent(layers(spark, sf)), K.extent(lakes), strict=True))  # lakes may reach below the grid
+    return H.large_lakes(lakes, rows, cols, 20, 100.0, 80.0, 100.0)
 
 
 BURN = "CASE WHEN swo >= 80 THEN {d} ELSE greatest(0.0, least({d}, (swo - {c}) * {d} / (80.0 - {c}))) END"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rillstone.operators import bias as V
+from rillstone.operators import focal as K
 from rillstone.operators import spatial as S
 from rillstone.operators import stats as E
 from rillstone.queries.focal import _round
@@ -374,7 +375,7 @@ def p07(spark, sf):
 
 @query("p08_rasterize", "SELECT a.r, b.c, max(fid) AS fid, arg_max(fclass, fid) AS fclass FROM features JOIN range(500) a(r) ON a.r >= r0 AND a.r < r1 JOIN range(64) b(c) ON b.c >= c0 AND b.c < c1 GROUP BY 1, 2", FEATURES)
 def p08(spark, sf):
-    return S.rasterize(feature_segments(spark, sf), features(spark, sf), "fid", "fclass", 500, 64)
+    return S.rasterize(feature_segments(spark, sf), features(spark, sf), "fid", "fclass", *K.extent(layers(spark, sf)))
 
 
 @query("p09_perimeter_area_ratio", "SELECT fid FROM (SELECT fid, (c1 - c0) * (r1 - r0) AS a, 2 * (c1 - c0 + r1 - r0) AS p FROM features) q WHERE p / CAST(a AS DOUBLE) < 1.5", FEATURES)

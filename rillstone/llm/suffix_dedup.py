@@ -5,6 +5,8 @@ q-gram with the least hash in it) is, so only stretches of text around anchors w
 in two documents take part.  Their suffixes are dealt out by anchor and sorted in each bucket by
 deep-shallow sorting: multikey quicksort on eight bytes at a time to a shallow depth, then blind
 tries for the groups that still share a prefix.  Equal n-byte strings are neighbours then.
+The windows of an anchor that very many stretches share are dealt out one by one, by a hash of
+their own n bytes: equal windows still meet, and no bucket holds a whole anchor.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ from rillstone.storage import materialize, remove
 GRAM = 25
 SHALLOW = 24
 WORD = 8
+#: Stretches around one anchor hash beyond which its windows are dealt out one by one.
+HOT = 1 << 15
 
 
 def sort_suffixes(data: np.ndarray, starts: np.ndarray, depth: int, shallow: int = SHALLOW) -> tuple[np.ndarray, np.ndarray]:
@@ -90,7 +94,7 @@ def sort_suffixes(data: np.ndarray, starts: np.ndarray, depth: int, shallow: int
 
 
 def _grams(row: dict, id_col: str, text_col: str, n: int, buckets: int) -> Iterator[tuple]:
-    """Which anchor hashes a chunk holds, and whether two of its documents do."""
+    """Which anchor hashes a chunk holds, how often, and whether two of its documents do."""
     table = table_of(row["payload"])
     ids = table.column(id_col).to_numpy()
     text, _, _, _, h = anchors(*texts_of(table.column(text_col)), n, GRAM)
@@ -101,12 +105,13 @@ def _grams(row: dict, id_col: str, text_col: str, n: int, buckets: int) -> Itera
     h, owner = h[order], owner[order]
     first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
     shared = np.minimum.reduceat(owner, first) != np.maximum.reduceat(owner, first)
+    times = np.diff(np.append(first, len(h))).astype(np.uint32)
     h = h[first]
     bucket, short = (h >> np.uint64(32)) % np.uint64(buckets), (h & np.uint64(0xFFFFFF)).astype(np.uint32)
     for b, rows in _split(bucket, buckets):
         rows = rows[np.argsort(short[rows], kind="stable")]
         steps = np.diff(short[rows], prepend=np.uint32(0))
-        yield row["chunk"], b, pack_array(steps.astype(np.uint16) if steps.max() < 1 << 16 else steps), int(steps.max() < 1 << 16), np.packbits(shared[rows]).tobytes()
+        yield row["chunk"], b, pack_array(steps.astype(np.uint16) if steps.max() < 1 << 16 else steps), int(steps.max() < 1 << 16), np.packbits(shared[rows]).tobytes(), pack_array(times[rows])
 
 
 def _split(bucket: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -117,22 +122,35 @@ def _split(bucket: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]
             yield b, order[ends[b] : ends[b + 1]]
 
 
-def _repeated(bucket: int, messages: list[dict]) -> Iterator[tuple]:
-    """Tell each chunk which of its anchor hashes occur in two documents."""
+def _window_hash(data: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
+    """A hash of the n bytes (at least 8) at each of starts."""
+    word = np.ndarray((max(0, len(data) - WORD + 1),), "<u8", buffer=np.ascontiguousarray(data), strides=(1,))
+    out = np.zeros(len(starts), np.uint64)
+    for d in range(0, n, WORD):
+        out = (out ^ word[starts + min(d, n - WORD)]) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return out
+
+
+def _repeated(bucket: int, messages: list[dict], hot: int) -> Iterator[tuple]:
+    """Tell each chunk which of its anchor hashes occur in two documents, and which more than hot times."""
     lists = [np.cumsum(unpack_array(m["hashes"], np.uint16 if m["narrow"] else np.uint32), dtype=np.uint32) for m in messages]
     shared = [np.unpackbits(np.frombuffer(m["shared"], np.uint8), count=len(x)).astype(bool) for m, x in zip(messages, lists, strict=True)]
     values, number, count = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
     often = count > 1
     np.logical_or.at(often, number, np.concatenate(shared))
-    for m, x in zip(messages, np.split(often[number], np.cumsum([len(x) for x in lists])[:-1]), strict=True):
+    times = np.bincount(number, np.concatenate([unpack_array(m["times"], np.uint32) for m in messages]))
+    cuts = np.cumsum([len(x) for x in lists])[:-1]
+    for m, x, y in zip(messages, np.split(often[number], cuts), np.split((often & (times > hot))[number], cuts), strict=True):
         if x.any():
-            yield m["chunk"], bucket, np.packbits(x).tobytes()
+            yield m["chunk"], bucket, np.packbits(x).tobytes(), np.packbits(y).tobytes() if y.any() else None
 
 
 class _Stretches:
     """The stretches of a chunk whose anchors are repeated, each distinct one once, by bucket.
 
-    A stretch is the union of the n-byte windows that share an anchor.
+    A stretch is the union of the n-byte windows that share an anchor; of hot anchors, each distinct
+    window stands for itself, after the stretches of its bucket.
     """
 
     def __init__(self, row: dict, id_col: str, text_col: str, n: int, buckets: int):
@@ -143,12 +161,15 @@ class _Stretches:
         text, place, first, last, h = anchors(self.data, self.starts, n, GRAM)
         hashes, number = np.unique(h, return_inverse=True)
         bucket = ((hashes >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-        often, flags = np.zeros(len(hashes), bool), {a["bucket"]: a["often"] for a in row["answers"] or []}
+        often, hot, flags = np.zeros(len(hashes), bool), np.zeros(len(hashes), bool), {a["bucket"]: a for a in row["answers"] or []}
         for b, rows in _split(bucket, buckets):
             if b in flags:
                 rows = rows[np.argsort(hashes[rows] & np.uint64(0xFFFFFF), kind="stable")]
-                often[rows] = np.unpackbits(np.frombuffer(flags[b], np.uint8), count=len(rows))
-        keep = often[number]
+                often[rows] = np.unpackbits(np.frombuffer(flags[b]["often"], np.uint8), count=len(rows))
+                if flags[b]["hot"] is not None:
+                    hot[rows] = np.unpackbits(np.frombuffer(flags[b]["hot"], np.uint8), count=len(rows))
+        self._windows(first[hot[number]], last[hot[number]], self.ids[text[hot[number]]], n, buckets)
+        keep = (often & ~hot)[number]
         self.first, self.last, self.owner = first[keep], last[keep], self.ids[text[keep]]
         self.bucket, self.slot = bucket[number[keep]], np.zeros(int(keep.sum()), np.int64)
         raw, seen = self.data.tobytes(), {}
@@ -165,10 +186,27 @@ class _Stretches:
                 least[k] = doc
             self.slot[i] = k
 
+    def _windows(self, first: np.ndarray, last: np.ndarray, owner: np.ndarray, n: int, buckets: int) -> None:
+        """The windows of hot anchors: at, of and kind for each, start and least for each distinct one, by_bucket the distinct ones."""
+        count = last - first + 1
+        self.at = np.repeat(first, count) + np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+        self.of, self.kind, self.n, self.by_bucket = np.repeat(owner, count), np.zeros(len(self.at), np.int64), n, {}
+        if not len(self.at):
+            return
+        order, group = sort_suffixes(self.data, self.at, n)
+        self.kind[order] = group
+        head = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+        self.start, self.least = self.at[order[head]], np.minimum.reduceat(self.of[order], head)
+        self.by_bucket = dict(_split((_window_hash(self.data, self.start, n) % np.uint64(buckets)).astype(np.int64), buckets))
+
     def messages(self, chunk: int) -> Iterator[tuple]:
         for b, (strings, lengths, least) in enumerate(self.buckets):
-            if strings:
-                yield chunk, b, pack_array(np.frombuffer(b"".join(strings), np.uint8), level=5), pack_array(np.array(lengths, np.int32)), pack_array(np.array(least, np.int64))
+            data, lengths, least = np.frombuffer(b"".join(strings), np.uint8), np.array(lengths, np.int32), np.array(least, np.int64)
+            if (alone := self.by_bucket.get(b)) is not None:
+                data = np.concatenate([data, self.data[self.start[alone, None] + np.arange(self.n)].ravel()])
+                lengths, least = np.append(lengths, np.full(len(alone), self.n, np.int32)), np.append(least, self.least[alone])
+            if len(lengths):
+                yield chunk, b, pack_array(data, level=5), pack_array(lengths), pack_array(least)
 
 
 def _earliest(bucket: int, messages: list[dict], n: int) -> Iterator[tuple]:
@@ -207,10 +245,17 @@ def _covered(held: _Stretches, answers: list[dict], n: int) -> np.ndarray:
             at = held.first[(own >> np.uint64(k)) & np.uint64(1) == 1] + k
             mark += np.bincount(at, minlength=len(mark)).astype(np.int32)
             mark -= np.bincount(at + n, minlength=len(mark)).astype(np.int32)
+    if len(held.at):
+        earlier = np.zeros(len(held.start), bool)
+        for b, alone in held.by_bucket.items():
+            earlier[alone] = bits[b][len(held.buckets[b][0]) :]
+        at = held.at[earlier[held.kind] | (held.of > held.least[held.kind])]
+        mark += np.bincount(at, minlength=len(mark)).astype(np.int32)
+        mark -= np.bincount(at + n, minlength=len(mark)).astype(np.int32)
     return np.cumsum(mark)[:-1] > 0
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = 50) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = 50, hot: int = HOT) -> DataFrame:
     """docs with every byte removed that an earlier document's min_bytes-byte string covers.
 
     Texts are UTF-8 bytes, a null text is empty; a byte goes if it lies in a string of min_bytes
@@ -220,6 +265,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     column.  Rows with a null id take no part and are returned unchanged; rows with equal ids do
     not count as earlier than each other.
     Any other columns are returned as they are; columns named like the four new ones are replaced.
+    An anchor with more than hot stretches has its windows dealt out one by one; the result is the same.
     """
     if not 2 * GRAM <= min_bytes <= GRAM + 31:
         raise ValueError(f"min_bytes must lie between {2 * GRAM} and {GRAM + 31}")
@@ -229,11 +275,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     buckets = max(8, int(weight >> 20))
     n = min_bytes
     grams = chunks.mapInArrow(
-        per_row(lambda row: _grams(row, id_col, text_col, n, buckets), ["chunk", "bucket", "hashes", "narrow", "shared"], [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary()]),
-        "chunk long, bucket long, hashes binary, narrow long, shared binary",
+        per_row(lambda row: _grams(row, id_col, text_col, n, buckets), ["chunk", "bucket", "hashes", "narrow", "shared", "times"], [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary()]),
+        "chunk long, bucket long, hashes binary, narrow long, shared binary, times binary",
     )
-    often = by_bucket(grams, _repeated, ["chunk", "bucket", "often"], [pa.int64(), pa.int64(), pa.binary()], "chunk long, bucket long, often binary")
-    known = materialize(with_answers(chunks, often, ["bucket", "often"]), "stretches", row_group_bytes=8 << 20)
+    often = by_bucket(grams, lambda b, m: _repeated(b, m, hot), ["chunk", "bucket", "often", "hot"], [pa.int64(), pa.int64(), pa.binary(), pa.binary()], "chunk long, bucket long, often binary, hot binary")
+    known = materialize(with_answers(chunks, often, ["bucket", "often", "hot"]), "stretches", row_group_bytes=8 << 20)
     remove(docs.sparkSession, path)
     stretches = known.mapInArrow(
         per_row(

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from rillstone.llm.chunks import texts_of
+from rillstone.llm.chunks import _payload, texts_of, unpack_array
 from rillstone.llm.embedding_dedup import duplicate_vectors
 from rillstone.llm.encode import WordEncoder
 from rillstone.llm.line_dedup import PerfectHash, drop_common_lines
@@ -307,3 +307,28 @@ def test_sketch_estimates():
 def test_digest_of_kept_text(docs):
     kept = by_id(remove_repeats(docs).select("doc_id", "kept_bytes", F.sha2("kept_bytes", 256).alias("h")))
     assert all(hashlib.sha256(bytes(r["kept_bytes"])).hexdigest() == r["h"] for r in kept.values())
+
+
+def test_hot_anchors_are_dealt_out_by_window(spark, docs):
+    from rillstone.llm import suffix_dedup as X
+
+    rng = np.random.default_rng(8)
+    edge = lambda k: "".join(rng.choice(list("abcdefghijklmnop"), k))
+    rows = [(i, f"{edge(60)} Licensed under the terms of use. {PASSAGE if i % 2 else PASSAGE[:40]}{edge(60)}") for i in range(60)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    columns = ["doc_id", "kept_bytes", "n_removed", "n_spans"]
+    for df in (table, docs):
+        got = remove_repeats(df, hot=3).select(columns).orderBy("doc_id").collect()
+        assert got == remove_repeats(df).select(columns).orderBy("doc_id").collect()
+    # no bucket gets the windows of a hot anchor together
+    n, buckets = 50, 8
+    chunk = {"chunk": 0, "payload": _payload(pa.table({"doc_id": list(range(400)), "text": [f"{edge(60)} Licensed under the terms of use. {edge(60)}" for _ in range(400)]}))}
+    most = {}
+    for hot in (3, 1 << 15):
+        answers = []
+        for m in X._grams(chunk, "doc_id", "text", n, buckets):
+            row = dict(zip(["chunk", "bucket", "hashes", "narrow", "shared", "times"], m))
+            answers += [dict(zip(["chunk", "bucket", "often", "hot"], a)) for a in X._repeated(row["bucket"], [row], hot)]
+        sent = [unpack_array(m[3], np.int32) - n + 1 for m in X._Stretches(chunk | {"answers": answers}, "doc_id", "text", n, buckets).messages(0)]
+        most[hot] = max(x.sum() for x in sent) / (sum(x.sum() for x in sent) / buckets)
+    assert most[3] < 1.6 < most[1 << 15]

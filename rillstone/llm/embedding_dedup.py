@@ -22,18 +22,20 @@ from rillstone.storage import materialize
 TABLES, BITS = 32, 12
 
 
-def vectors_of(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """Which rows hold a vector of finite numbers of the usual length, and those vectors in double precision.
+def usual_length(vectors: DataFrame, vector_col: str) -> int:
+    """The most frequent length of the table's vectors, ties to the smaller; 0 without any."""
+    sizes = vectors.select(F.size(vector_col).alias("size")).where("size > 0").groupBy("size").agg(F.count("*").alias("n"))
+    first = sizes.orderBy(F.desc("n"), "size").first()
+    return first["size"] if first else 0
 
-    The usual length is that of the batch's first such vector; the caller's table has one length.
-    """
+
+def vectors_of(column: pa.Array | pa.ChunkedArray, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows hold a vector of dim finite numbers, and those vectors in double precision."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     size = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-    ok = size > 0
+    ok = (size > 0) & (size == dim)
     if not ok.any():
-        return np.zeros(0, np.int64), np.zeros((0, 0))
-    dim = int(size[ok][0])
-    ok &= size == dim
+        return np.zeros(0, np.int64), np.zeros((0, dim))
     rows = np.flatnonzero(ok)
     values = column.take(pa.array(rows)).flatten().cast(pa.float64()).fill_null(np.nan).to_numpy(zero_copy_only=False).reshape(-1, dim)
     good = np.isfinite(values).all(1)
@@ -56,15 +58,17 @@ def duplicate_vectors(
     0.004 with the defaults, at 0.95 with 6e-6.  n_links counts the vectors linked directly;
     component_id is the smallest id reachable; kept tells whether that is the row's own.  Vectors
     that are null, zero, or hold null or non-finite components, or have another length than the
-    table's other vectors, link with nothing.  Rows that repeat an id count as vectors of their own
+    table's most frequent one, link with nothing.  Rows that repeat an id count as vectors of their own
     and share their id's row results; a null id is returned with no links and takes no part.
     Other columns are ignored.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"))
 
+    dim = usual_length(rows, "vector")
+
     def hash_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, values = vectors_of(batch.column(1))
+            at, values = vectors_of(batch.column(1), dim)
             if not len(values):
                 continue
             scale = np.abs(values).max(1)

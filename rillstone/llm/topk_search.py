@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillstone.llm.embedding_dedup import vectors_of
+from rillstone.llm.embedding_dedup import usual_length, vectors_of
 from rillstone.storage import materialize
 
 PIVOTS, SAMPLE = 64, 4096
@@ -26,9 +26,9 @@ PART_ROWS, ANNULUS_ROWS, QUERY_ROWS = 4096, 128, 1024
 ROUNDING = 1e-9
 
 
-def quantised(batch: pa.RecordBatch, scale: float) -> tuple[pa.Array, np.ndarray]:
+def quantised(batch: pa.RecordBatch, scale: float, dim: int) -> tuple[pa.Array, np.ndarray]:
     """ids and floor(scale * x) of the vectors that take part."""
-    at, values = vectors_of(batch.column(1))
+    at, values = vectors_of(batch.column(1), dim)
     ids = batch.column(0).take(pa.array(at))
     here = ids.is_valid().to_numpy(zero_copy_only=False)
     return ids.filter(pa.array(here)), np.floor(scale * values[here]) if len(here) else values
@@ -105,17 +105,18 @@ def top_k_search(
 
     Both tables' vectors are taken as floor(scale * x); the score is their integer inner product, and
     equal scores go to the smaller id.  A row is no answer to the query with its own id.  Vectors
-    that are null, hold null or non-finite components or have another length than the rest take no
+    that are null, hold null or non-finite components or have another length than most of vectors take no
     part, nor do rows with a null id; a query without any candidate returns no row.  Pivots come from
     a sample of at most sample rows; every row is indexed and the result is exact.  Rows that repeat
     an id are candidates of their own.  Other columns are ignored.
     """
     spark = vectors.sparkSession
+    dim = usual_length(vectors, vector_col)
 
     def take(df: DataFrame) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                ids, values = quantised(batch, scale)
+                ids, values = quantised(batch, scale, dim)
                 if len(ids):
                     yield pa.RecordBatch.from_arrays([ids, pa.array([x.tobytes() for x in values], pa.binary()), pa.array((values**2).sum(1))], names=["id", "v", "square"])
 
@@ -129,7 +130,7 @@ def top_k_search(
     longest2, n = known["s"] * (1 + 1e-12), known["n"]
     # a bounded sample: the rows with the least hashes
     drawn = np.stack([np.frombuffer(r["v"]) for r in rows.orderBy(F.xxhash64("id"), "id").limit(sample).select("v").collect()])
-    geometry = Geometry(np.zeros((1, drawn.shape[1] + 1)), longest2)
+    geometry = Geometry(np.zeros((1, dim + 1)), longest2)
     points = geometry.lifted(drawn)
     chosen = [0]
     far = np.linalg.norm(points - points[0], axis=1)
@@ -141,7 +142,6 @@ def top_k_search(
         # centres of the sample's cells make tighter annuli than its outermost points
         cell = geometry.to_pivots(points).argmin(1)
         geometry.pivots = np.stack([points[cell == j].mean(0) if (cell == j).any() else old for j, old in enumerate(geometry.pivots)])
-    dim = drawn.shape[1]
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

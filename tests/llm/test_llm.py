@@ -332,3 +332,15 @@ def test_hot_anchors_are_dealt_out_by_window(spark, docs):
         sent = [unpack_array(m[3], np.int32) - n + 1 for m in X._Stretches(chunk | {"answers": answers}, "doc_id", "text", n, buckets).messages(0)]
         most[hot] = max(x.sum() for x in sent) / (sum(x.sum() for x in sent) / buckets)
     assert most[3] < 1.6 < most[1 << 15]
+
+
+def test_an_odd_length_at_the_head_drops_no_other_vector(spark):
+    rng = np.random.default_rng(12)
+    vectors = rng.normal(size=(40, 8))
+    vectors[1] = vectors[0]
+    rows = [(1000, [1.0] * 3)] + [(i, v.tolist()) for i, v in enumerate(vectors)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+    got = by_id(duplicate_vectors(table), "vec_id")
+    assert got[0]["n_links"] == got[1]["n_links"] == 1 and got[1000]["n_links"] == 0
+    found = top_k_search(table, table, k=3, pivots=4, part_rows=16).collect()
+    assert {r["query_id"] for r in found} == set(range(40)) and 1000 not in {r["vec_id"] for r in found}

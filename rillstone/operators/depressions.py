@@ -194,21 +194,25 @@ def apply_solution(cells: DataFrame, solved: DataFrame, pit_cells: DataFrame, ca
 
 
 def _carve(window: pd.DataFrame, max_depth: float, radius: int) -> pd.DataFrame:
-    """Least-cost path from a pit's lowest cell to a lower one in its window: the cost is the depth to cut."""
+    """Least-cost path of at most radius steps from a pit's lowest cell to a lower one in its window: the cost is the depth to cut.
+
+    A cell keeps each way that no other beats in both cost and length, as a dearer but shorter one may go further.
+    """
     empty = pd.DataFrame({"pit": pd.Series(dtype="int64"), "r": pd.Series(dtype="int64"), "c": pd.Series(dtype="int64"), "value": pd.Series(dtype="float64")})
     z = {(a, b): v for a, b, v in zip(window["r"].tolist(), window["c"].tolist(), window["z"].tolist(), strict=True)}
     start = (int(window["pr"].iloc[0]), int(window["pc"].iloc[0]))
-    low, came, heap, done = z[start], {start: None}, [(0.0, 0, start)], set()
+    low, came, best, heap, shortest = z[start], {(start, 0): None}, {}, [(0.0, 0, start)], {}
     while heap:
         cost, length, here = heapq.heappop(heap)
-        if here in done:
+        # ways come in order of cost, so only shorter ones than before are of use
+        if length >= shortest.get(here, length + 1):
             continue
-        done.add(here)
+        shortest[here] = length
         if z[here] < low:
             path = []
             while here is not None:
                 path.append(here)
-                here = came[here]
+                here, length = came[here, length], length - 1
             path.reverse()
             end, n = z[path[-1]], len(path) - 1
             values = [min(z[p], low + (end - low) * k / n) for k, p in enumerate(path)]
@@ -218,10 +222,10 @@ def _carve(window: pd.DataFrame, max_depth: float, radius: int) -> pd.DataFrame:
         for i in (-1, 0, 1):
             for j in (-1, 0, 1):
                 there = (here[0] + i, here[1] + j)
-                if there in z and there not in done and z[there] - low <= max_depth:
+                if there in z and length + 1 < shortest.get(there, length + 2) and z[there] - low <= max_depth:
                     new = cost + max(0.0, z[there] - low)
-                    if there not in came or new < came.get(("cost", there), float("inf")):
-                        came[there], came[("cost", there)] = here, new
+                    if new < best.get((there, length + 1), float("inf")):
+                        came[there, length + 1], best[there, length + 1] = here, new
                         heapq.heappush(heap, (new, length + 1, there))
     return empty
 

@@ -148,3 +148,11 @@ def test_partial_fill_and_unit_run_on_a_bowl(spark):
     out = I.condition_unit(cells, 12, 0.5, 6, I.SolutionLimits(max_carve_depth=50.0))
     done = grid_of(out, "final", z.shape)
     assert np.array_equal(done, priority_flood(grid_of(out, "solved", z.shape)))
+
+
+def test_breach_keeps_a_dearer_but_shorter_way(spark):
+    z = np.full((5, 9), 100.0)
+    z[2, 1:8] = [2.0, 9.0, 5.0, 5.0, 5.0, 5.0, 1.0]
+    z[1, 1], z[0, 2], z[1, 3] = 3.0, 3.0, 3.0  # a cheaper way to (2, 4), longer by a step
+    carve = I.breach_depressions(cells_of(spark, z), spark.createDataFrame([(1, 2, 1)], "pit long, r long, c long"), 6).collect()
+    assert [(r["r"], r["c"]) for r in carve] == [(2, 1), (2, 2), (1, 3), (2, 4), (2, 5), (2, 6), (2, 7)]

@@ -118,7 +118,7 @@ def nearest_points(points: DataFrame, queries: DataFrame, k: int, cell: float, p
     every point has been within reach.
     """
     spark_points = points.select(F.col(point_id), F.col("x").alias("_px"), F.col("y").alias("_py"), "z", F.floor(F.col("x") / cell).alias("_bx"), F.floor(F.col("y") / cell).alias("_by"))
-    size = points.unionByName(queries.select(F.col(query_id).alias(point_id), "x", "y", F.lit(None).cast(points.schema["z"].dataType).alias("z")).select(points.columns) if set(points.columns) == {point_id, "x", "y", "z"} else points.limit(0))
+    size = points.select("x", "y").unionByName(queries.select("x", "y"))
     span = size.agg(F.max("x") - F.min("x"), F.max("y") - F.min("y")).first()
     furthest = int(max(span[0] or 0, span[1] or 0) / cell) + 2
     reach, open_, settled = 1, queries.select(query_id, "x", "y"), []

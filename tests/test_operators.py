@@ -156,3 +156,9 @@ def test_breach_keeps_a_dearer_but_shorter_way(spark):
     z[1, 1], z[0, 2], z[1, 3] = 3.0, 3.0, 3.0  # a cheaper way to (2, 4), longer by a step
     carve = I.breach_depressions(cells_of(spark, z), spark.createDataFrame([(1, 2, 1)], "pit long, r long, c long"), 6).collect()
     assert [(r["r"], r["c"]) for r in carve] == [(2, 1), (2, 2), (1, 3), (2, 4), (2, 5), (2, 6), (2, 7)]
+
+
+def test_nearest_points_with_more_columns(spark):
+    points = spark.createDataFrame([(1, 0.0, 0.0, 5.0, "a"), (2, 100.0, 0.0, 7.0, "b")], "pid long, x double, y double, z double, name string")
+    queries = spark.createDataFrame([(1, 40.0, 0.0)], "qid long, x double, y double")
+    assert [(r["pid"], r["rank"]) for r in S.nearest_points(points, queries, 2, 1.0).orderBy("rank").collect()] == [(1, 1), (2, 2)]

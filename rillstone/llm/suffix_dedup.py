@@ -29,16 +29,24 @@ WORD = 8
 HOT = 1 << 15
 
 
+def _by_group(key: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """The order that sorts by group, then by key (unsigned); fewer than 2**32 of each."""
+    by = np.argsort(key)
+    pairs = (group[by].astype(np.uint64) << np.uint64(32)) | np.arange(len(by), dtype=np.uint64)
+    pairs.sort()
+    return by[(pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)]
+
+
 def sort_suffixes(data: np.ndarray, starts: np.ndarray, depth: int, shallow: int = SHALLOW) -> tuple[np.ndarray, np.ndarray]:
     """Sort the suffixes of data at starts by their first depth bytes (depth at least 8).
 
     Returns (order, group): order lists the suffixes in sorted order; group numbers them in that
     order, equal prefixes of depth bytes having one number.
     """
-    word = np.ndarray((max(0, len(data) - WORD + 1),), ">u8", buffer=np.ascontiguousarray(data), strides=(1,))
+    word = np.ndarray((max(0, len(data) - WORD + 1),), "<u8", buffer=np.ascontiguousarray(data), strides=(1,))
 
     def at(offset: np.ndarray | int, rows: np.ndarray) -> np.ndarray:
-        return word[starts[rows] + offset].astype(np.uint64)
+        return word[starts[rows] + offset].byteswap()
 
     n = len(starts)
     order, group = np.arange(n), np.zeros(n, np.int64)
@@ -49,7 +57,7 @@ def sort_suffixes(data: np.ndarray, starts: np.ndarray, depth: int, shallow: int
         if not len(open_):
             break
         key = at(d, order[open_])
-        by = np.lexsort((key, group[open_]))
+        by = _by_group(key, group[open_]) if d else np.argsort(key)
         order[open_] = order[open_][by]
         key, step = key[by], np.zeros(n, np.int64)
         step[1:] = group[1:] != group[:-1]
@@ -69,7 +77,9 @@ def sort_suffixes(data: np.ndarray, starts: np.ndarray, depth: int, shallow: int
             d = min(d, depth - WORD)
             differ = at(d, mine) ^ at(d, top)
             hit = differ != 0
-            common[hit] = d + (63 - np.floor(np.log2(differ[hit].astype(np.float64))).astype(int).clip(0, 63)) // 8
+            # without the bit below it, the top bit cannot round up
+            top_bit = (differ[hit] & ~(differ[hit] >> np.uint64(1))).astype(np.float64)
+            common[hit] = d + (63 - np.log2(top_bit).astype(int)) // 8
         skip = np.minimum.reduceat(common, first)
         ended = skip >= depth
         branch = np.repeat(~ended, np.diff(np.append(first, len(rows))))
@@ -79,7 +89,7 @@ def sort_suffixes(data: np.ndarray, starts: np.ndarray, depth: int, shallow: int
             break
         offset = skip[np.cumsum(head) - 1][branch]
         byte = data[starts[order[open_]] + offset]
-        by = np.lexsort((byte, group[open_]))
+        by = _by_group(byte, group[open_])
         order[open_] = order[open_][by]
         byte, old = byte[by], group[open_]
         step = np.zeros(n, np.int64)
@@ -87,9 +97,7 @@ def sort_suffixes(data: np.ndarray, starts: np.ndarray, depth: int, shallow: int
         step[open_[1:]] |= (byte[1:] != byte[:-1]) & (old[1:] == old[:-1])
         was = todo[group]
         group = np.cumsum(step)
-        todo = np.zeros(group[-1] + 1, bool)
-        np.maximum.at(todo, group, was)
-        todo &= np.bincount(group) > 1
+        todo = was[np.flatnonzero(np.r_[True, step[1:] > 0])] & (np.bincount(group) > 1)
     return order, group
 
 
@@ -146,113 +154,140 @@ def _repeated(bucket: int, messages: list[dict], hot: int) -> Iterator[tuple]:
             yield m["chunk"], bucket, np.packbits(x).tobytes(), np.packbits(y).tobytes() if y.any() else None
 
 
-class _Stretches:
-    """The stretches of a chunk whose anchors are repeated, each distinct one once, by bucket.
+def _padded(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Strings as rows of equal width, whole words: their bytes, zeros, and their length (below 256) at the end."""
+    width = -(-int(length.max(initial=0)) // WORD) * WORD + WORD
+    column = np.arange(width)
+    inside = column < length[:, None]
+    rows = np.where(inside, data[np.where(inside, start[:, None] + column, 0)], 0).astype(np.uint8)
+    rows[:, -1] = length
+    return rows
 
-    A stretch is the union of the n-byte windows that share an anchor; of hot anchors, each distinct
-    window stands for itself, after the stretches of its bucket.
+
+def _distinct(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which strings stand for the distinct ones, and the number of each string's own among those.
+
+    Strings of equal hashes are compared byte by byte; one that differs stands for itself.
     """
+    rows = _padded(data, start, length).view(np.uint64)
+    sums = np.zeros(len(rows), np.uint64)
+    for k in range(rows.shape[1]):
+        sums = (sums ^ rows[:, k]) * np.uint64(0x9E3779B97F4A7C15)
+        sums ^= sums >> np.uint64(29)
+    order = np.argsort(sums, kind="stable")
+    new = np.ones(len(sums), bool)
+    new[1:] = sums[order[1:]] != sums[order[:-1]]
+    leader = order[np.flatnonzero(new)][np.cumsum(new) - 1]
+    odd = np.flatnonzero((rows[order] != rows[leader]).any(1))
+    leader[odd] = order[odd]
+    stands = np.empty(len(sums), np.int64)
+    stands[order] = leader
+    return np.unique(stands, return_inverse=True)
+
+
+def _windows(data: np.ndarray, first: np.ndarray, last: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Every window from first to last, and whose it is."""
+    count = last - first + 1
+    return np.repeat(first, count) + np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count), np.repeat(owner, count)
+
+
+def _stretches(row: dict, id_col: str, text_col: str, n: int, buckets: int) -> Iterator[tuple]:
+    """The stretches of a chunk whose anchors are repeated, each distinct one once, by bucket.
 
-    def __init__(self, row: dict, id_col: str, text_col: str, n: int, buckets: int):
-        self.table = table_of(row["payload"])
-        self.ids = self.table.column(id_col).to_numpy()
-        self.data, self.starts = texts_of(self.table.column(text_col))
-        self.buckets = [([], [], []) for _ in range(buckets)]
-        text, place, first, last, h = anchors(self.data, self.starts, n, GRAM)
-        hashes, number = np.unique(h, return_inverse=True)
-        bucket = ((hashes >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-        often, hot, flags = np.zeros(len(hashes), bool), np.zeros(len(hashes), bool), {a["bucket"]: a for a in row["answers"] or []}
-        for b, rows in _split(bucket, buckets):
-            if b in flags:
-                rows = rows[np.argsort(hashes[rows] & np.uint64(0xFFFFFF), kind="stable")]
-                often[rows] = np.unpackbits(np.frombuffer(flags[b]["often"], np.uint8), count=len(rows))
-                if flags[b]["hot"] is not None:
-                    hot[rows] = np.unpackbits(np.frombuffer(flags[b]["hot"], np.uint8), count=len(rows))
-        self._windows(first[hot[number]], last[hot[number]], self.ids[text[hot[number]]], n, buckets)
-        keep = (often & ~hot)[number]
-        self.first, self.last, self.owner = first[keep], last[keep], self.ids[text[keep]]
-        self.bucket, self.slot = bucket[number[keep]], np.zeros(int(keep.sum()), np.int64)
-        raw, seen = self.data.tobytes(), {}
-        for i, (s, e, at, b, doc) in enumerate(zip(self.first.tolist(), (self.last + n).tolist(), (place[keep] - self.first).tolist(), self.bucket.tolist(), self.owner.tolist(), strict=True)):
-            key = (raw[s:e], at)
-            k = seen.get(key)
-            strings, lengths, least = self.buckets[b]
-            if k is None:
-                k = seen[key] = len(strings)
-                strings.append(key[0])
-                lengths.append(e - s)
-                least.append(doc)
-            elif doc < least[k]:
-                least[k] = doc
-            self.slot[i] = k
-
-    def _windows(self, first: np.ndarray, last: np.ndarray, owner: np.ndarray, n: int, buckets: int) -> None:
-        """The windows of hot anchors: at, of and kind for each, start and least for each distinct one, by_bucket the distinct ones."""
-        count = last - first + 1
-        self.at = np.repeat(first, count) + np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-        self.of, self.kind, self.n, self.by_bucket = np.repeat(owner, count), np.zeros(len(self.at), np.int64), n, {}
-        if not len(self.at):
-            return
-        order, group = sort_suffixes(self.data, self.at, n)
-        self.kind[order] = group
-        head = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
-        self.start, self.least = self.at[order[head]], np.minimum.reduceat(self.of[order], head)
-        self.by_bucket = dict(_split((_window_hash(self.data, self.start, n) % np.uint64(buckets)).astype(np.int64), buckets))
-
-    def messages(self, chunk: int) -> Iterator[tuple]:
-        for b, (strings, lengths, least) in enumerate(self.buckets):
-            data, lengths, least = np.frombuffer(b"".join(strings), np.uint8), np.array(lengths, np.int32), np.array(least, np.int64)
-            if (alone := self.by_bucket.get(b)) is not None:
-                data = np.concatenate([data, self.data[self.start[alone, None] + np.arange(self.n)].ravel()])
-                lengths, least = np.append(lengths, np.full(len(alone), self.n, np.int32)), np.append(least, self.least[alone])
-            if len(lengths):
-                yield chunk, b, pack_array(data, level=5), pack_array(lengths), pack_array(least)
+    A stretch is the union of the n-byte windows that share an anchor; of hot anchors each window is
+    a stretch of its own, dealt by its own hash.  The last message is the chunk's to itself: for
+    each stretch where it starts, how many windows it has, its bucket, its number there, and
+    whether an earlier document of the chunk holds it too.
+    """
+    table = table_of(row["payload"])
+    ids = table.column(id_col).to_numpy()
+    data, starts = texts_of(table.column(text_col))
+    text, _, first, last, h = anchors(data, starts, n, GRAM)
+    hashes, number = np.unique(h, return_inverse=True)
+    bucket = ((hashes >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+    often, hot, flags = np.zeros(len(hashes), bool), np.zeros(len(hashes), bool), {a["bucket"]: a for a in row["answers"] or []}
+    for b, rows in _split(bucket, buckets):
+        if b in flags:
+            rows = rows[np.argsort(hashes[rows] & np.uint64(0xFFFFFF), kind="stable")]
+            often[rows] = np.unpackbits(np.frombuffer(flags[b]["often"], np.uint8), count=len(rows))
+            if flags[b]["hot"] is not None:
+                hot[rows] = np.unpackbits(np.frombuffer(flags[b]["hot"], np.uint8), count=len(rows))
+    keep, split = (often & ~hot)[number], hot[number]
+    one, of = _windows(data, first[split], last[split], ids[text[split]], n)
+    start = np.append(first[keep], one)
+    length = np.append(last[keep] - first[keep] + n, np.full(len(one), n))
+    owner = np.append(ids[text[keep]], of)
+    if not len(start):
+        return
+    place = np.append(bucket[number[keep]], (_window_hash(data, one, n) % np.uint64(buckets)).astype(np.int64))
+    stands, number = _distinct(data, start, length)
+    least = np.full(len(stands), np.iinfo(np.int64).max)
+    np.minimum.at(least, number, owner)
+    slot = np.zeros(len(stands), np.int64)
+    for b, rows in _split(place[stands], buckets):
+        slot[rows] = np.arange(len(rows))
+        size = length[stands[rows]]
+        ends = np.cumsum(size)
+        yield row["chunk"], b, pack_array(data[np.repeat(start[stands[rows]] - (ends - size), size) + np.arange(ends[-1])], level=3), pack_array(size.astype(np.uint8)), pack_array(least[rows])
+    order = np.argsort(start, kind="stable")
+    number, later = number[order], owner[order] > least[number[order]]
+    itself = [np.diff(start[order], prepend=0).astype(np.uint32), (length[order] - n + 1).astype(np.uint8), place[stands][number].astype(np.uint32), slot[number].astype(np.uint32), np.packbits(later)]
+    parts = [pack_array(x) for x in itself]
+    yield row["chunk"], -1 - row["chunk"], b"".join(parts), pack_array(np.array([len(x) for x in parts])), b""
 
 
 def _earliest(bucket: int, messages: list[dict], n: int) -> Iterator[tuple]:
     """For each stretch, the windows (as bits) that an earlier document than the chunk's first holder has."""
-    sizes = [unpack_array(m["lengths"], np.int32) for m in messages]
-    lengths = np.concatenate(sizes).astype(np.int64)
+    if bucket < 0:
+        for m in messages:
+            yield m["chunk"], bucket, m["strings"], m["lengths"]
+        return
+    sizes = [unpack_array(m["lengths"], np.uint8) for m in messages]
+    length = np.concatenate(sizes).astype(np.int64)
     least = np.concatenate([unpack_array(m["least"], np.int64) for m in messages])
     data = np.concatenate([unpack_array(m["strings"], np.uint8) for m in messages])
-    count = lengths - n + 1
-    owner = np.repeat(np.arange(len(lengths)), count)
-    begin = np.cumsum(lengths) - lengths
+    begin = np.cumsum(length) - length
+    # whole stretches first: chunks that hold the same one need its windows sorted once
+    rows = _padded(data, begin, length)
+    order, group = sort_suffixes(rows.ravel(), np.arange(len(rows)) * rows.shape[1], rows.shape[1])
+    head = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+    own, holder, number = order[head], np.minimum.reduceat(least[order], head), np.empty(len(order), np.int64)
+    number[order] = group
+    count = length[own] - n + 1
+    owner = np.repeat(np.arange(len(own)), count)
     inside = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-    order, group = sort_suffixes(data, begin[owner] + inside, n)
+    order, group = sort_suffixes(data, begin[own][owner] + inside, n)
     first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
-    earliest = np.minimum.reduceat(least[owner[order]], first)[group]
+    earliest = np.minimum.reduceat(holder[owner[order]], first)[group]
     earlier = np.zeros(len(owner), np.uint32)
-    earlier[order] = earliest < least[owner[order]]
-    bits = np.bitwise_or.reduceat(earlier << inside.astype(np.uint32), np.cumsum(count) - count)
+    earlier[order] = earliest < holder[owner[order]]
+    bits = np.bitwise_or.reduceat(earlier << inside.astype(np.uint32), np.cumsum(count) - count)[number]
+    every = ((np.uint64(1) << count.astype(np.uint64)) - np.uint64(1)).astype(np.uint32)[number]
+    bits = np.where(least > holder[number], every, bits)
     for m, x in zip(messages, np.split(bits, np.cumsum([len(x) for x in sizes])[:-1]), strict=True):
-        yield m["chunk"], bucket, pack_array(x)
-
-
-def _covered(held: _Stretches, answers: list[dict], n: int) -> np.ndarray:
-    """Which bytes of the chunk lie in a repeated window."""
-    bits = {a["bucket"]: unpack_array(a["bits"], np.uint32) for a in answers}
-    mark = np.zeros(len(held.data) + 1, np.int32)
-    if len(held.first):
-        own = np.zeros(len(held.first), np.uint32)
-        for b, x in bits.items():
-            mine = held.bucket == b
-            own[mine] = x[held.slot[mine]]
-        first_holder = np.array([held.buckets[b][2][k] for b, k in zip(held.bucket.tolist(), held.slot.tolist(), strict=True)])
-        count = held.last - held.first + 1
-        own = np.where(held.owner > first_holder, (np.uint64(1) << count.astype(np.uint64)) - np.uint64(1), own.astype(np.uint64))
-        for k in range(int(count.max())):
-            at = held.first[(own >> np.uint64(k)) & np.uint64(1) == 1] + k
-            mark += np.bincount(at, minlength=len(mark)).astype(np.int32)
-            mark -= np.bincount(at + n, minlength=len(mark)).astype(np.int32)
-    if len(held.at):
-        earlier = np.zeros(len(held.start), bool)
-        for b, alone in held.by_bucket.items():
-            earlier[alone] = bits[b][len(held.buckets[b][0]) :]
-        at = held.at[earlier[held.kind] | (held.of > held.least[held.kind])]
-        mark += np.bincount(at, minlength=len(mark)).astype(np.int32)
-        mark -= np.bincount(at + n, minlength=len(mark)).astype(np.int32)
-    return np.cumsum(mark)[:-1] > 0
+        yield m["chunk"], bucket, pack_array(x), None
+
+
+def _covered(size: int, answers: list[dict], n: int) -> np.ndarray:
+    """Which bytes of a chunk of size bytes lie in a repeated window."""
+    itself = next((a for a in answers if a["bucket"] < 0), None)
+    if itself is None:
+        return np.zeros(size, bool)
+    cuts = np.cumsum(unpack_array(itself["lengths"], np.int64))
+    parts = [itself["bits"][a:b] for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist(), strict=True)]
+    step, count, place, slot = (unpack_array(x, k) for x, k in zip(parts, (np.uint32, np.uint8, np.uint32, np.uint32), strict=False))
+    first, later = np.cumsum(step, dtype=np.int64), np.unpackbits(unpack_array(parts[4], np.uint8), count=len(step)).astype(bool)
+    bits = {a["bucket"]: unpack_array(a["bits"], np.uint32) for a in answers if a["bucket"] >= 0}
+    base = np.zeros(max(bits) + 2, np.int64)
+    for b, x in bits.items():
+        base[b + 1] = len(x)
+    base = np.cumsum(base)
+    own = np.concatenate([bits[b] for b in sorted(bits)])[base[place] + slot]
+    own = np.where(later, (np.uint64(1) << count.astype(np.uint64)) - np.uint64(1), own.astype(np.uint64)).astype("<u4")
+    hit = np.flatnonzero(np.unpackbits(own.view(np.uint8), bitorder="little"))
+    total = np.cumsum(np.bincount(first[hit >> 5] + (hit & 31), minlength=size))
+    total[n:] -= total[:-n].copy()
+    return total > 0
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = 50, hot: int = HOT) -> DataFrame:
@@ -282,23 +317,21 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     known = materialize(with_answers(chunks, often, ["bucket", "often", "hot"]), "stretches", row_group_bytes=8 << 20)
     remove(docs.sparkSession, path)
     stretches = known.mapInArrow(
-        per_row(
-            lambda row: _Stretches(row, id_col, text_col, n, buckets).messages(row["chunk"]), ["chunk", "bucket", "strings", "lengths", "least"], [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-        ),
+        per_row(lambda row: _stretches(row, id_col, text_col, n, buckets), ["chunk", "bucket", "strings", "lengths", "least"], [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]),
         "chunk long, bucket long, strings binary, lengths binary, least binary",
     )
-    earliest = by_bucket(stretches, lambda b, m: _earliest(b, m, n), ["chunk", "bucket", "bits"], [pa.int64(), pa.int64(), pa.binary()], "chunk long, bucket long, bits binary")
-    bits = earliest.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "bits")).alias("found"))
+    earliest = by_bucket(stretches, lambda b, m: _earliest(b, m, n), ["chunk", "bucket", "bits", "lengths"], [pa.int64(), pa.int64(), pa.binary(), pa.binary()], "chunk long, bucket long, bits binary, lengths binary")
+    bits = earliest.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "bits", "lengths")).alias("found"))
     schema = docs.withColumn(id_col, F.col(id_col).cast("long")).schema
     names = list(schema.names)
     out_schema = schema.add("kept_bytes", "binary").add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                held = _Stretches(row, id_col, text_col, n, buckets)
-                gone = _covered(held, row["found"] or [], n)
-                starts, raw = held.starts, held.data
+            for row in batch.select(["payload", "found"]).to_pylist():
+                table = table_of(row["payload"])
+                raw, starts = texts_of(table.column(text_col))
+                gone = _covered(len(raw), row["found"] or [], n)
                 total = np.concatenate([[0], np.cumsum(gone)])
                 edge = np.r_[gone[:1], gone[1:] & ~gone[:-1]] if len(gone) else gone
                 edge = edge.copy()
@@ -308,9 +341,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 left = raw[~gone].tobytes()
                 at = (starts - total[starts]).tolist()
                 kept = [left[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
-                null = held.table.column(text_col).is_null().to_pylist()
+                null = table.column(text_col).is_null().to_pylist()
                 columns = [
-                    pa.array([None if x else k.decode("utf-8", "replace") for x, k in zip(null, kept, strict=True)], pa.string()) if name == text_col else held.table.column(name).combine_chunks() for name in names
+                    pa.array([None if x else k.decode("utf-8", "replace") for x, k in zip(null, kept, strict=True)], pa.string()) if name == text_col else table.column(name).combine_chunks() for name in names
                 ]
                 columns += [pa.array(kept, pa.binary()), pa.array(np.diff(starts)), pa.array(np.diff(total[starts])), pa.array(np.diff(spans[starts]))]
                 out = pa.table(columns, names=[*names, "kept_bytes", "n_bytes", "n_removed", "n_spans"])

@@ -17,8 +17,9 @@ import numpy as np
 
 from rillstone.llm.kernels import blocks
 
-#: Words kept per worker; beyond that the cache starts anew.
-CACHE_WORDS = 1_000_000
+#: Bytes of known words kept per worker, with about WORD_COST for each beside its ids; beyond that the cache starts anew.
+CACHE_BYTES = 150_000_000
+WORD_COST = 180
 #: Texts with a longer word go to the library whole.
 LONG_WORD = 1000
 
@@ -42,10 +43,11 @@ def _byte_letters() -> dict[int, str]:
 class BlockEncoder:
     """Encodes many texts at once: cuts them into words, looks up each distinct word, joins the ids."""
 
-    cache_words = CACHE_WORDS
+    cache_bytes = CACHE_BYTES
 
     def __init__(self):
         self.known: dict[int, bytes] = {}
+        self.held = 0
 
     def whole(self, text: str) -> bytes:
         """The ids of a whole text."""
@@ -89,8 +91,9 @@ class BlockEncoder:
             opens = (starts[np.searchsorted(starts, a)] == a).tolist()
             for i, found in zip(missing, self._lookup([data[i:j].tobytes() for i, j in zip(a.tolist(), b.tolist(), strict=True)], opens), strict=True):
                 ids[i] = known[distinct[i]] = found
-        if len(known) > self.cache_words:
-            self.known = {}
+                self.held += WORD_COST + len(found)
+        if self.held > self.cache_bytes:
+            self.known, self.held = {}, 0
         size = np.array(list(map(len, ids))) // 4
         flat, begin_of = np.frombuffer(b"".join(ids), np.uint32), np.cumsum(size) - size
         count = size[number]

@@ -252,6 +252,29 @@ def test_sentencepiece_equals_brute_force_and_round_trips(docs):
             assert at == 0 and abs(total - best(t)) < 1e-6
     rows = by_id(codec_report(docs, public_tokenizers.path("piece_bpe_32k.model")))
     assert all(r["round_trip"] for r in rows.values()) and len(rows) == len(some)
+    for i, (a, b) in enumerate(zip(starts, starts[1:])):
+        assert (rows[i]["n_ids"], rows[i]["ids_crc32"]) == (b - a, zlib.crc32(ids[a:b].astype("<u4")))
+    # a long word is walked alone, to the same end
+    odd = [("é日本😀\x00naïve▁" * 40).encode(), " ".join(WORDS).replace(" ", "▁").encode()]
+    assert [pieces._walk(w) for w in odd] == pieces.segment(odd)
+    # many texts at once are decoded as each alone, bytes that are no UTF-8 included
+    mixed = np.concatenate([ids, pieces.byte_ids[[0xFF, 0x41]], ids[:5]])
+    cuts = np.concatenate([starts, [len(ids) + 2, len(mixed)]])
+    back, at = pieces.decode_block(mixed, cuts)
+    for a, b, c, d in zip(cuts, cuts[1:], at, at[1:]):
+        assert back[c:d].tobytes().decode("utf-8", "replace") == pieces.decode(mixed[a:b])
+
+
+def test_codec_reports_each_row_of_odd_tables(spark):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    schema = "doc_id long, text string, n_ids string"
+    assert codec_report(spark.createDataFrame([], schema), path).count() == 0
+    rows = [(1, "same", "x"), (1, "same", "y"), (None, "no id", "z"), (3, None, None), (4, "w" * 100_000 + " é" * 200_000, "long")]
+    got = codec_report(spark.createDataFrame(rows, schema), path)
+    assert got.columns == ["doc_id", "n_ids", "ids_crc32", "round_trip"]
+    found = sorted(got.collect(), key=str)
+    assert len(found) == 5 and all(r["round_trip"] for r in found)
+    assert sum(r["doc_id"] == 1 for r in found) == 2 and {r["n_ids"] for r in found if r["doc_id"] == 3} == {0}
 
 
 def test_shards_are_even_whole_and_stable(spark, docs):
@@ -329,7 +352,7 @@ def test_hot_anchors_are_dealt_out_by_window(spark, docs):
         for m in X._grams(chunk, "doc_id", "text", n, buckets):
             row = dict(zip(["chunk", "bucket", "hashes", "narrow", "shared", "times"], m))
             answers += [dict(zip(["chunk", "bucket", "often", "hot"], a)) for a in X._repeated(row["bucket"], [row], hot)]
-        sent = [unpack_array(m[3], np.int32) - n + 1 for m in X._Stretches(chunk | {"answers": answers}, "doc_id", "text", n, buckets).messages(0)]
+        sent = [unpack_array(m[3], np.uint8).astype(int) - n + 1 for m in X._stretches(chunk | {"answers": answers}, "doc_id", "text", n, buckets) if m[1] >= 0]
         most[hot] = max(x.sum() for x in sent) / (sum(x.sum() for x in sent) / buckets)
     assert most[3] < 1.6 < most[1 << 15]
 

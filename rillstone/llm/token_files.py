@@ -3,12 +3,14 @@
 A file holds data frames, then two skippable frames: an index of documents (ids, token counts
 and the first document of each frame) and a seek table in the public seekable format: for each
 data frame its compressed size, its decompressed size and the low half of its content's XXH64,
-then the number of frames, a descriptor byte (checksums present) and the magic number.  A reader
-finds the table at the end of the file and decompresses only the frames that it needs.
+then the number of frames, a descriptor byte (checksums present) and the magic number, which ends
+the file.  A reader finds the table at the end, the index behind the last data frame, and
+decompresses only the frames that it needs; plain decoders skip both tables.
 """
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 from collections.abc import Iterator
@@ -18,11 +20,12 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillstone.llm.chunks import texts_of
 from rillstone.llm.encode import encoder
+from rillstone.llm.kernels import blocks
 from rillstone.storage import materialize, new_path
 
 # Fixed values of the public seekable format.
@@ -36,7 +39,14 @@ FRAME_TOKENS = 1 << 16
 
 
 def _open(path: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pafs.LocalFileSystem(), path)
+    local = re.fullmatch(r"file:/*(/.*)", path)
+    return (pafs.LocalFileSystem(), local[1]) if local else pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
+
+
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """folder with its scheme; one without is resolved as Spark resolves it, not on each executor's own disk."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
 
 
 class TokenFileWriter:
@@ -77,7 +87,7 @@ class TokenFileWriter:
         self.out.write(struct.pack("<II", SKIPPABLE_INDEX, len(index)) + index)
         rows = b"".join(struct.pack("<III", *x) for x in self.table)
         footer = struct.pack("<IBI", len(self.table), CHECKSUM_FLAG, SEEKABLE_MAGIC)
-        self.out.write(struct.pack("<II", SKIPPABLE_SEEK_TABLE, len(rows) + len(footer)) + rows + footer + struct.pack("<I", 8 + len(index)))
+        self.out.write(struct.pack("<II", SKIPPABLE_SEEK_TABLE, len(rows) + len(footer)) + rows + footer)
         self.out.close()
         return sum(self.counts)
 
@@ -89,15 +99,14 @@ class TokenFileReader:
         filesystem, inner = _open(path)
         self.file = filesystem.open_input_file(inner)
         size = self.file.size()
-        tail = self.file.read_at(13, size - 13)
-        frames, flag, magic, index_size = *struct.unpack("<IBI", tail[:9]), *struct.unpack("<I", tail[9:])
+        frames, flag, magic = struct.unpack("<IBI", self.file.read_at(9, size - 9)) if size >= 9 else (0, 0, 0)
         if magic != SEEKABLE_MAGIC or flag != CHECKSUM_FLAG:
             raise ValueError(f"{path} has no seek table")
-        at = size - 13 - 12 * frames
+        at = size - 9 - 12 * frames
         self.table = np.frombuffer(self.file.read_at(12 * frames, at), "<u4").reshape(-1, 3)
         self.frame_at = np.concatenate([[0], np.cumsum(self.table[:, 0], dtype=np.int64)])
-        blob = self.file.read_at(index_size, at - 8 - index_size)
-        raw = zstandard.ZstdDecompressor().decompress(blob[8:])
+        index = int(self.frame_at[-1])
+        raw = zstandard.ZstdDecompressor().decompress(self.file.read_at(at - 8 - index - 8, index + 8))
         n, f = struct.unpack("<QQ", raw[:16])
         self.docs = np.frombuffer(raw, "<i8", n, 16)
         self.counts = np.frombuffer(raw, "<i8", n, 16 + 8 * n)
@@ -136,7 +145,7 @@ def write_token_files(
     equal ids are ordered by a hash of the text.  An empty table gives an empty manifest.  Other columns are ignored.
     """
     spark = docs.sparkSession
-    folder = folder or new_path(spark, "tokens")
+    folder = _qualified(spark, folder or new_path(spark, "tokens"))
     docs = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     if partitions is None:
         size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).first()["b"]
@@ -149,13 +158,14 @@ def write_token_files(
         writer, path, encode = None, f"{folder}/{uuid.uuid4().hex}.tok", encoder(tokenizer_path)
         first = None
         for batch in batches:
-            names = batch.column(0).to_pylist()
-            ids, starts = encode(*texts_of(batch.column(1)))
-            ids, starts = np.insert(ids, starts[1:], end_id), starts + np.arange(len(starts))
-            for k, doc in enumerate(names):
-                if writer is None:
-                    writer, first = TokenFileWriter(path, frame_tokens), doc
-                writer.add(doc, ids[starts[k] : starts[k + 1]])
+            names, (data, places) = batch.column(0).to_pylist(), texts_of(batch.column(1))
+            for i, j in blocks(places, 1 << 20):
+                ids, starts = encode(data[places[i] : places[j]], places[i : j + 1] - places[i])
+                ids, starts = np.insert(ids, starts[1:], end_id), starts + np.arange(len(starts))
+                for k, doc in enumerate(names[i:j]):
+                    if writer is None:
+                        writer, first = TokenFileWriter(path, frame_tokens), doc
+                    writer.add(doc, ids[starts[k] : starts[k + 1]])
         if writer is not None:
             tokens = writer.close()
             yield pa.RecordBatch.from_arrays([pa.array([first], pa.int64()), pa.array([path]), pa.array([len(writer.docs)]), pa.array([tokens])], names=["first", "path", "n_docs", "n_tokens"])
@@ -171,7 +181,11 @@ def write_token_files(
 
 
 def read_token_files(manifest: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """All documents of the files of a manifest: id_col, start (tokens before it), ids (binary)."""
+    """All documents of the files of a manifest: id_col, start (tokens before it), ids (binary).
+
+    Files are read side by side, each a frame at a time; an empty manifest gives no rows.
+    """
+    files = max(1, manifest.count())
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,4 +202,4 @@ def read_token_files(manifest: DataFrame, id_col: str = "doc_id") -> DataFrame:
                 if docs:
                     yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(starts), pa.array(blobs, pa.binary())], names=["doc", "start", "ids"])
 
-    return manifest.repartition("path").select("path", "start").mapInArrow(read, "doc long, start long, ids binary").withColumnRenamed("doc", id_col)
+    return manifest.repartitionByRange(files, "part").select("path", "start").mapInArrow(read, "doc long, start long, ids binary").withColumnRenamed("doc", id_col)

@@ -64,7 +64,7 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = shard_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = shard_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
     return docs.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 

@@ -8,12 +8,14 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rillstone.storage import materialize
+
 #: Keys of the ring: places of the hash space that move as one.  A fixed number, so what is known of them is bounded.
 CELLS = 1 << 14
 VIRTUAL_NODES = 64
 SLACK = 0.001
-#: Rows of a cell that one task numbers.
-CELL_ROWS = 20_000
+#: Rows of a shard that are numbered together.
+SLICE_ROWS = 1 << 13
 
 
 def ring(shards: int, virtual_nodes: int = VIRTUAL_NODES, cells: int = CELLS, seed: int = 9) -> tuple[list[int], list[int]]:
@@ -50,7 +52,7 @@ def place(weights: dict[int, int], shards: int, slack: float = SLACK, virtual_no
     return out
 
 
-def shard_documents(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str = "text", slack: float = SLACK) -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str = "text", slack: float = SLACK, keep_text: bool = True) -> DataFrame:
     """docs with the columns size, text_crc32, law, shard, slot and grown_shard.
 
     The law is 'bytes': shards' sizes are near equal, and rows with equal texts share a shard.  A
@@ -59,31 +61,25 @@ def shard_documents(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", t
     than that), so a change of sizes or shards moves few cells.  size is the text's UTF-8 bytes plus
     1 (a null text has none and counts as one group); slot numbers a shard's rows from 0 without
     gaps; grown_shard is null, as this law looks at sizes too.  Only the bounded table of cells
-    meets the driver.  A cell of many rows is numbered in slices, so equal texts may be any share of
-    the rows.  Rows that repeat an id or have none are rows of their own.  Other columns are
-    returned as they are; columns named like the new ones are replaced.  An empty table stays empty.
+    meets the driver.  Slots are dealt in slices by a row's place in the table, whatever it holds, so
+    any share of the rows may have equal texts, equal ids or none.  Rows that repeat an id or have
+    none are rows of their own.  Other columns are returned as they are (the text unless keep_text
+    is false); columns named like the new ones are replaced.  An empty table stays empty.
     """
-    docs = docs.drop("size", "text_crc32", "law", "shard", "slot", "grown_shard", "_cell", "_slice", "_hash")
+    docs = docs.drop("size", "text_crc32", "law", "shard", "slot", "grown_shard", "_cell", "_slice", "_place")
     raw = F.encode(F.col(text_col), "utf-8")
     keyed = docs.withColumns(
-        {"size": F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long") + 1, "text_crc32": F.coalesce(F.crc32(raw), F.lit(0)).cast("long"), "_hash": F.xxhash64(text_col, F.lit("ring")), "_cell": F.pmod(F.xxhash64(text_col, F.lit("ring")), F.lit(CELLS)).cast("int")}
+        {"size": F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long") + 1, "text_crc32": F.coalesce(F.crc32(raw), F.lit(0)).cast("long"), "_cell": F.pmod(F.xxhash64(text_col, F.lit("ring")), F.lit(CELLS)).cast("int"), "_place": F.monotonically_increasing_id()}
     )
-    slices = 64
-    known = keyed.groupBy("_cell", F.pmod(F.xxhash64(id_col), F.lit(slices)).cast("int").alias("s")).agg(F.sum("size").alias("w"), F.count("*").alias("n"))
-    known = known.groupBy("_cell").agg(F.sum("w").alias("w"), F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("s", "n"))).alias("by"))
-    cells = {r["_cell"]: r for r in known.collect()}  # at most CELLS rows
-    shard_of = place({c: r["w"] for c, r in cells.items()}, shards, slack)
-    before, rows = [0] * shards, []
-    for c in sorted(cells):
-        shard, cut = shard_of[c], cells[c]["n"] > CELL_ROWS
-        for s in range(slices if cut else 1):
-            rows.append((c, s, cut, shard, before[shard]))
-            before[shard] += (cells[c]["by"] or {}).get(s, 0) if cut else cells[c]["n"]
-    spark = docs.sparkSession
-    table = spark.createDataFrame(rows, "_cell int, _slice int, _cut boolean, shard int, _base long")
-    cut = [c for c in cells if cells[c]["n"] > CELL_ROWS]
-    is_cut = F.col("_cell").isin(cut) if cut else F.lit(False)
-    keyed = keyed.withColumn("_slice", F.when(is_cut, F.pmod(F.xxhash64(id_col), F.lit(slices)).cast("int")).otherwise(0))
-    order = Window.partitionBy("_cell", "_slice").orderBy("_hash", id_col, "size")
-    out = keyed.withColumn("_row", F.row_number().over(order) - 1).join(F.broadcast(table.drop("_cut")), ["_cell", "_slice"])
-    return out.select(*docs.columns, "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("_base") + F.col("_row")).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+    names = [c for c in docs.columns if keep_text or c != text_col]
+    # written once, so that a row's place is the same in both passes
+    keyed = materialize(keyed.select(*names, "size", "text_crc32", "_cell", "_place"), "places")
+    weights = {r["_cell"]: r["w"] for r in keyed.groupBy("_cell").agg(F.sum("size").alias("w")).collect()}  # at most CELLS rows
+    shard_of = docs.sparkSession.createDataFrame(list(place(weights, shards, slack).items()), "_cell int, shard int")
+    slices = max(1, -(-keyed.count() // (shards * SLICE_ROWS)))
+    dealt = keyed.join(F.broadcast(shard_of), "_cell").withColumn("_slice", F.pmod(F.xxhash64("_place"), F.lit(slices)))
+    counts = dealt.groupBy("shard", "_slice").agg(F.count("*").alias("n"))
+    before = counts.select("shard", "_slice", (F.sum("n").over(Window.partitionBy("shard").orderBy("_slice")) - F.col("n")).alias("_base"))
+    row = F.row_number().over(Window.partitionBy("shard", "_slice").orderBy("_place")) - 1
+    out = dealt.withColumn("_row", row).join(before, ["shard", "_slice"])
+    return out.select(*names, "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("_base") + F.col("_row")).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))

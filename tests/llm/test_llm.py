@@ -1,7 +1,9 @@
 """The numbered operators against brute force, round trips and held-out labels on small fixtures with every odd case."""
 
 import hashlib
+import io
 import re
+import struct
 import zlib
 from collections import Counter
 
@@ -9,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -215,7 +218,11 @@ def test_token_files_round_trip(docs, tmp_path):
     file = manifest.orderBy("part").first()["path"]
     reader = TokenFileReader(file)
     assert len(reader.table) > 1 and all(np.array_equal(reader.document(k), ids) for k, (_, ids) in enumerate(reader))
-    raw = bytearray(open(file, "rb").read())
+    with open(file.removeprefix("file:"), "rb") as held:
+        raw = bytearray(held.read())
+    # a plain decoder passes over both tables, and the file ends with the format's magic number
+    plain = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(bytes(raw)), read_across_frames=True).read()
+    assert plain == b"".join(ids.astype("<u4").tobytes() for _, ids in reader) and raw[-4:] == struct.pack("<I", 0x8F92EAB1)
     raw[20] ^= 255
     (tmp_path / "bad.tok").write_bytes(raw)
     with pytest.raises(Exception):
@@ -298,6 +305,37 @@ def test_shards_are_even_whole_and_stable(spark, docs):
     assert np.mean([a[c] != b[c] for c in weights]) < 0.45
 
 
+def test_shards_equal_a_plain_ring_at_the_real_slack(spark):
+    rng = np.random.default_rng(5)
+    weights = {int(c): int(w) for c, w in zip(rng.permutation(1 << 14)[:6000], rng.pareto(2, 6000) * 100 + 1)}
+
+    def plain(shards):
+        places, owner = ring(shards)
+        limit = 1.001 * sum(weights.values()) / shards
+        load, out = Counter(), {}
+        heavy = [c for c in weights if weights[c] > limit * 0.001 / 2]
+        for cell in sorted(heavy, key=lambda c: (-weights[c], c)) + sorted(c for c in weights if c not in set(heavy)):
+            clockwise = sorted(range(len(places)), key=lambda i: (places[i] < cell, i))
+            fits = [owner[i] for i in clockwise if load[owner[i]] + weights[cell] <= limit]
+            out[cell] = fits[0] if fits else min(range(shards), key=lambda s: (load[s], s))
+            load[out[cell]] += weights[cell]
+        return out
+
+    for shards in (16, 17):
+        assert place(weights, shards) == plain(shards)
+    before, after = place(weights, 16), place(weights, 17)
+    assert sum(weights[c] for c in weights if before[c] != after[c]) < 0.2 * sum(weights.values())
+
+
+def test_shards_number_repeated_and_missing_ids(spark):
+    rows = [(i % 3 if i % 2 else None, "same" if i % 3 else None, "a", 7) for i in range(900)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, shard string, slot int").repartition(7)
+    got = shard_documents(table, 4).collect()
+    assert len(got) == 900 and sorted((r["shard"], r["slot"]) for r in got) == [(s, k) for s in sorted({r["shard"] for r in got}) for k in range(sum(r["shard"] == s for r in got))]
+    assert all((r["size"], r["text_crc32"]) == ((1, 0) if r["text"] is None else (5, zlib.crc32(b"same"))) for r in got)
+    assert shard_documents(table, 4, keep_text=False).columns == ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
+
+
 def test_near_duplicates_equal_brute_force(spark, docs):
     rows = near_duplicates(docs.unionByName(spark.createDataFrame([(None, "x y", "en", 1, "c")], docs.schema)), block=3).collect()
     got = {r["doc_id"]: r for r in rows}

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillstone.operators.focal import convolve1d, ring_smooth, slope_d2
+from rillstone.operators.spatial import sequential_id
 from rillstone.operators.stats import lookup_mean_std_count
 
 #: Coefficients of the cover and slope polynomial, in the order 1, cover, slope, cover^2, cover*slope, slope^2.
@@ -29,9 +30,7 @@ def prep_samples(samples: DataFrame, value: str, floor: float | None = None, kee
 
 def sample_files(catalog: DataFrame, path: str, n: int, seed: int = 0) -> DataFrame:
     """n draws with replacement from a list of paths: (draw, path)."""
-    from pyspark.sql import Window
-
-    ranked = catalog.select(path, (F.row_number().over(Window.orderBy(path)) - 1).alias("_k"))
+    ranked = sequential_id(catalog.select(path), [path], "_k").withColumn("_k", F.col("_k") - 1)
     total = catalog.count()
     draws = catalog.sparkSession.range(n).select(F.col("id").alias("draw"), F.floor(F.rand(seed) * total).alias("_k"))
     return draws.join(ranked, "_k").select("draw", path)
@@ -92,9 +91,11 @@ def apply_bias_3d(cells: DataFrame, cube: DataFrame, value: str, dx: float, dy:
 
 
 def apply_bias_2d(cells: DataFrame, table: DataFrame, value: str, land_cover: int = 999, max_slope: int = 50) -> DataFrame:
-    """corrected from a table (lc, slope, tc, bias) of one land cover; columns slope and tc of cells are the keys."""
-    chosen = table.where((F.col("lc") == land_cover) & (F.col("slope") <= max_slope)).select("slope", "tc", F.col("bias").alias("_bias"))
-    return cells.join(F.broadcast(chosen), ["slope", "tc"], "left").withColumn("corrected", F.col(value) - F.coalesce("_bias", F.lit(0.0))).drop("_bias")
+    """corrected from a table (lc, slope, tc, bias) of one land cover; columns slope (at most max_slope counts) and tc of cells are the keys."""
+    chosen = table.where((F.col("lc") == land_cover) & (F.col("slope") <= max_slope)).select(F.col("slope").alias("_slope"), F.col("tc").alias("_tc"), F.col("bias").alias("_bias"))
+    # a table has at most max_slope x covers rows; a larger one is joined by a shuffle
+    found = cells.join(chosen, (F.least("slope", F.lit(max_slope)) == F.col("_slope")) & (F.col("tc") == F.col("_tc")), "left")
+    return found.withColumn("corrected", F.col(value) - F.coalesce("_bias", F.lit(0.0))).drop("_slope", "_tc", "_bias")
 
 
 def apply_bias_poly(cells: DataFrame, value: str, cover: str, slope: str, coefficients: Sequence[float] = POLYNOMIAL) -> DataFrame:

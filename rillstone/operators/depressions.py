@@ -14,6 +14,8 @@ from rillstone.operators.focal import moving, neighbours
 from rillstone.operators.zones import clump
 from rillstone.storage import materialize, remove, write_table
 
+#: Pits that one call of the carving search gets, with their windows.
+PITS_A_CALL = 32
 EIGHT = ("e", "ne", "n", "nw", "w", "sw", "s", "se")
 
 
@@ -82,21 +84,17 @@ def fill_depressions(cells: DataFrame, value: str, n_cols: int, block: int = 64,
     level, path = write_table(local.select("label").distinct().join(open_, "label", "left"), "levels")
     spark = cells.sparkSession
 
-    def total(df: DataFrame) -> tuple:
-        return tuple(df.agg(F.count("level"), F.sum("level")).first())
-
     def relax(level: DataFrame) -> DataFrame:
         offer = edges.join(level.where("level is not null"), F.col("a") == F.col("label")).groupBy("b").agg(F.min(F.greatest("level", "w")).alias("o"))
-        return level.join(offer, F.col("label") == F.col("b"), "left").select("label", F.least("level", "o").alias("level"))
+        falls = F.col("o").isNotNull() & (F.col("level").isNull() | (F.col("o") < F.col("level")))
+        return level.join(offer, F.col("label") == F.col("b"), "left").select("label", F.least("level", "o").alias("level"), falls.alias("fell"))
 
-    last = total(level)
-    while True:
+    # levels only fall, so a last step in which none did is the end
+    fell = True
+    while fell:
         level, next_path = write_table(relax(relax(relax(level))), "levels")
         remove(spark, path)
-        path, this = next_path, total(level)
-        if this == last:
-            break
-        last = this
+        path, fell = next_path, not level.where("fell").isEmpty()
     found = local.join(level, "label").select("r", "c", F.greatest("f", "level").alias(out))
     return cells.join(found, ["r", "c"], "left")
 
@@ -122,6 +120,18 @@ def raise_lake_pits(cells: DataFrame, pits: DataFrame, lake: Column, step: float
     return cells.join(raised, ["r", "c"], "left").withColumn(value, F.when(F.col(value) < F.col("_lo"), F.col("_to")).otherwise(F.col(value))).drop("_to", "_lo")
 
 
+def fill_behind(cells: DataFrame, carves: DataFrame, pits: DataFrame, n_cols: int, value: str = "z") -> tuple[DataFrame, DataFrame]:
+    """cells with carved (the surface after carving, then filled again where water still stands), and what that fill raised above ground.
+
+    carves has r, c and value, at most one row per cell; pits has r, c, label.  The second table has r, c and
+    the label of the pit that a raised cell lies in.
+    """
+    cut = cells.join(carves.select("r", "c", F.col("value").alias("_cut")), ["r", "c"], "left").withColumn("_cut", F.coalesce("_cut", F.col(value).cast("double")))
+    done = materialize(fill_depressions(cut, "_cut", n_cols, out="carved").drop("_cut"), "carved")
+    raised = done.where(F.col("carved") > F.col(value)).select("r", "c").join(pits.select("r", "c", "label"), ["r", "c"])
+    return done, raised
+
+
 def pit_catalog(cells: DataFrame, pits: DataFrame, carves: DataFrame, behind: DataFrame, n_cols: int) -> DataFrame:
     """One row per pit: maxfill, volfill, n, carves attached, maxcarve, volcarve, maxfillbehind, volfillbehind, completecarve.
 
@@ -173,7 +183,8 @@ def select_solution(pits: DataFrame, limits: SolutionLimits = SolutionLimits())
     carve = F.when(F.col("n_carve_water") == F.col("n_carve"), 1002).when(vol < F.col("volfill"), cheaper).otherwise(dearer)
     rule = F.when(F.col("n_wall") == F.col("n"), 1).when(F.col("n_sink") > 0, 7)
     if limits.shallow:
-        rule = rule.when(thin, 2006).when(F.col("maxfill") < 0.01, 2005)
+        rule = rule.when(thin, 2006)
+    rule = rule.when(F.col("maxfill") < 0.01, 2005)
     return pits.withColumn("solution", rule.when(valid, carve).when(small_fill, 2009).otherwise(4000))
 
 
@@ -230,11 +241,12 @@ def _carve(window: pd.DataFrame, max_depth: float, radius: int) -> pd.DataFrame:
     return empty
 
 
-def breach_depressions(cells: DataFrame, bottoms: DataFrame, radius: int = 50, max_depth: float = 1e9) -> DataFrame:
+def breach_depressions(cells: DataFrame, bottoms: DataFrame, radius: int = 50, max_depth: float = 1e9, raised: DataFrame | None = None) -> DataFrame:
     """(pit, r, c, value): the carve of each pit that has a way to lower ground within radius steps and max_depth.
 
-    bottoms has pit, r, c of each pit's lowest cell.  A pit sees the (2 radius + 1)^2 cells around it,
-    so its group is bounded; heights along the way fall evenly and never rise above the ground.
+    bottoms has pit, r, c of each pit's lowest cell; raised (pit, r, c, level) holds heights that one
+    pit sees instead of the ground's.  A pit sees the (2 radius + 1)^2 cells around it,
+    so its group is bounded; heights along the way fall evenly and never rise above the surface.
     """
     size = 2 * radius + 1
     bins = bottoms.select("pit", F.col("r").alias("pr"), F.col("c").alias("pc"))
@@ -243,27 +255,51 @@ def breach_depressions(cells: DataFrame, bottoms: DataFrame, radius: int = 50, m
     held = cells.where("z is not null").select("r", "c", F.col("z").cast("double").alias("z"), F.floor(F.col("r") / size).alias("br"), F.floor(F.col("c") / size).alias("bc"))
     window = bins.join(held, ["br", "bc"]).where((F.abs(F.col("r") - F.col("pr")) <= radius) & (F.abs(F.col("c") - F.col("pc")) <= radius))
     window = window.select("pit", "pr", "pc", "r", "c", "z")
-    return window.groupBy("pit").applyInPandas(lambda pdf: _carve(pdf, max_depth, radius), "pit long, r long, c long, value double")
+    if raised is not None:
+        window = window.join(raised.select("pit", "r", "c", "level"), ["pit", "r", "c"], "left").withColumn("z", F.coalesce("level", "z")).drop("level")
+    # some pits to a call, each of bounded size
+    calls = max(1, -(-bins.select("pit").distinct().count() // PITS_A_CALL))
 
+    def carve_all(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.concat([_carve(w, max_depth, radius) for _, w in pdf.groupby("pit", sort=False)], ignore_index=True)
+
+    return window.groupBy(F.pmod(F.xxhash64("pit"), F.lit(calls))).applyInPandas(lambda pdf: carve_all(pdf), "pit long, r long, c long, value double")
 
-def partial_fill(cells: DataFrame, pits: DataFrame, pit_cells: DataFrame, interval: float = 0.2, radius: int = 50, max_depth: float = 1e9) -> DataFrame:
-    """(pit, solution, volume): the cheapest of filling in part and carving the rest, filling wholly (2003) and carving wholly (1003).
 
-    pits has pit, maxfill, volfill; pit_cells has pit, r, c, z, filled.  At each fraction f the fill is
-    lowered by maxfill * (1 - f), not below ground, and the pit is carved from its new bottom; a
-    fraction without a carve drops out.  Codes of partial fills are 3000 + 10 f.
+def partial_fills(cells: DataFrame, pits: DataFrame, pit_cells: DataFrame, interval: float = 0.2, radius: int = 50, max_depth: float = 1e9) -> tuple[DataFrame, DataFrame]:
+    """Every way to solve each pit (pit, solution, volume), and the cells that it writes (pit, solution, r, c, value).
+
+    pits has pit, maxfill, volfill; pit_cells has pit, r, c, z, filled.  The ways are filling wholly
+    (2003), carving wholly (1003), and for each fraction f below 1 in steps of interval (at least
+    0.001) the fill lowered by maxfill * (1 - f), not below ground, with a carve from the lowest cell
+    of that surface (3000 + 10 f).  Partial fills stand only where the pit has no carve of its own,
+    which would lie below any of them.  A way without a carve, or with one deeper than max_depth below ground,
+    drops out.  The volume is that of all changes of height, carved cells of the pit counted once.
     """
     steps = F.sequence(F.lit(0), F.lit(round(1 / interval) - 1))
     plans = pit_cells.join(pits.select("pit", "maxfill"), "pit").withColumn("k", F.explode(steps)).withColumn("f", F.col("k") * interval)
     plans = plans.withColumn("level", F.greatest(F.col("z").cast("double"), F.col("filled") - F.col("maxfill") * (1 - F.col("f"))))
-    key = (F.col("pit") * 100 + F.col("k")).alias("pit")
-    bottoms = plans.groupBy("pit", "k").agg(F.min_by(F.struct("r", "c"), F.struct("z", "r", "c")).alias("b"), F.sum(F.col("level") - F.col("z")).alias("fill"))
-    carved = breach_depressions(cells, bottoms.select(key, "b.r", "b.c"), radius, max_depth)
-    cost = carved.join(cells.select("r", "c", "z"), ["r", "c"]).groupBy("pit").agg(F.sum(F.abs(F.col("z") - F.col("value"))).alias("cut"))
-    cost = cost.select(F.floor(F.col("pit") / 100).alias("pit"), (F.col("pit") % 100).alias("k"), "cut")
-    options = bottoms.join(cost, ["pit", "k"]).select("pit", F.when(F.col("k") == 0, 1003).otherwise(3000 + F.col("k") * 10 * interval).cast("int").alias("solution"), (F.col("fill") + F.col("cut")).alias("volume"))
-    whole = pits.select("pit", F.lit(2003).alias("solution"), F.col("volfill").cast("double").alias("volume"))
-    return options.unionByName(whole).groupBy("pit").agg(F.min_by(F.struct("solution", "volume"), F.struct("volume", "solution")).alias("s")).select("pit", "s.solution", "s.volume")
+    plans = materialize(plans.select((F.col("pit") * 1000 + F.col("k")).alias("pit"), "r", "c", F.col("z").cast("double").alias("z"), "level"), "partial-levels")
+    bottoms = plans.groupBy("pit").agg(F.min_by(F.struct("r", "c"), F.struct("level", "r", "c")).alias("b")).select("pit", "b.r", "b.c")
+    carved = materialize(breach_depressions(cells, bottoms, radius, max_depth, plans).join(cells.select("r", "c", F.col("z").cast("double").alias("z")), ["r", "c"]), "partial-carves")
+    k, pit = F.col("pit") % 1000, F.floor(F.col("pit") / 1000)
+    cost = carved.groupBy("pit").agg(F.sum(F.abs(F.col("z") - F.col("value"))).alias("cut"), F.max(F.col("z") - F.col("value")).alias("deep")).where(F.col("deep") <= max_depth)
+    whole = cost.where(k == 0).select(pit.alias("own")).distinct()
+    kept = cost.join(whole, (pit == F.col("own")) & (k > 0), "left_anti")
+    rest = plans.join(carved.select("pit", "r", "c"), ["pit", "r", "c"], "left_anti").join(kept.select("pit"), "pit")
+    fill = rest.groupBy("pit").agg(F.sum(F.col("level") - F.col("z")).alias("fill"))
+    code = F.when(k == 0, 1003).otherwise(3000 + F.round(k * 10 * interval)).cast("int").alias("solution")
+    ways = kept.join(fill, "pit", "left").select(pit.alias("pit"), code, (F.coalesce("fill", F.lit(0.0)) + F.col("cut")).alias("volume"))
+    ways = ways.unionByName(pits.select("pit", F.lit(2003).alias("solution"), F.col("volfill").cast("double").alias("volume")))
+    writes = rest.select(pit.alias("pit"), code, "r", "c", F.col("level").alias("value"))
+    writes = writes.unionByName(carved.join(kept.select("pit"), "pit").select(pit.alias("pit"), code, "r", "c", "value"))
+    return ways, writes.unionByName(pit_cells.select("pit", F.lit(2003).alias("solution"), "r", "c", F.col("filled").cast("double").alias("value")))
+
+
+def partial_fill(cells: DataFrame, pits: DataFrame, pit_cells: DataFrame, interval: float = 0.2, radius: int = 50, max_depth: float = 1e9) -> DataFrame:
+    """(pit, solution, volume): of the ways of partial_fills the one with the least volume, ties to the smaller code."""
+    ways, _ = partial_fills(cells, pits, pit_cells, interval, radius, max_depth)
+    return ways.groupBy("pit").agg(F.min_by(F.struct("solution", "volume"), F.struct("volume", "solution")).alias("s")).select("pit", "s.solution", "s.volume")
 
 
 def apply_partial(cells: DataFrame, writes: DataFrame) -> DataFrame:
@@ -288,23 +324,53 @@ def empty_units(cells: DataFrame, unit: str, value: str) -> DataFrame:
     return cells.groupBy(unit).agg(F.count(value).alias("n")).where("n = 0").select(unit)
 
 
-def condition_unit(cells: DataFrame, n_cols: int, shallow: float, radius: int = 20, limits: SolutionLimits = SolutionLimits()) -> DataFrame:
-    """The whole conditioning of a grid with z and water: single-cell pits, fill, shallow pits, catalog, choice, application, last fill.
+def condition_unit(
+    cells: DataFrame, n_cols: int, shallow: float, radius: int = 20, limits: SolutionLimits = SolutionLimits(), walls: DataFrame | None = None, wall_height: float = 0.0, wall_floors: dict[int, float] | None = None,
+    sinks: DataFrame | None = None, lake_step: float | None = None, interval: float = 0.2,
+) -> DataFrame:
+    """The conditioning of a grid with z and water (0/1); adds solved, code and final.
 
-    Adds solved, code and final.
+    In order: single-cell pits; walls (r, c, wall) raised by wall_height; fill and pits; pits with lakes
+    raised by lake_step above the lake; shallow pits; carves and the fill behind them; catalog; choice;
+    application; the pits left over (4000) filled in part and carved, if that is less than filling
+    them; walls taken off (with wall_floors); the last fill, with no height at sinks (r, c).
     """
-    start = materialize(single_cell_pits(cells, "z", "_z").withColumn("z", F.col("_z")).drop("_z"), "unit")
-    filled = materialize(fill_depressions(start, "z", n_cols), "unit-filled")
+    from rillstone.operators.water import noflow_wall, remove_wall
+
+    start = single_cell_pits(cells, "z", "_z").withColumn("z", F.col("_z")).drop("_z")
+    if walls is not None:
+        start = noflow_wall(start, walls, wall_height)
+    filled = materialize(fill_depressions(materialize(start, "unit"), "z", n_cols), "unit-filled")
     pits = materialize(pit_zones(filled, "filled", "z", n_cols), "unit-pits")
-    level = fill_shallow(filled, pits, shallow)
-    held = pits.join(level, ["r", "c"]).where("filled > z")
-    bottoms = held.groupBy(F.col("label").alias("pit")).agg(F.min_by(F.struct("r", "c"), F.struct("z", "r", "c")).alias("b")).select("pit", "b.r", "b.c")
+    if lake_step is not None:
+        raised = raise_lake_pits(filled, pits, F.col("water") == 1, lake_step).drop("filled", "label")
+        filled = materialize(fill_depressions(materialize(raised, "unit-raised"), "z", n_cols), "unit-filled")
+        pits = materialize(pit_zones(filled, "filled", "z", n_cols), "unit-pits")
+    level = materialize(fill_shallow(filled, pits, shallow), "unit-level")
+    held = materialize(pits.join(level, ["r", "c"]).where("filled > z").withColumn("pit", F.col("label").cast("long")), "unit-held")
+    bottoms = held.groupBy("pit").agg(F.min_by(F.struct("r", "c"), F.struct("z", "r", "c")).alias("b")).select("pit", "b.r", "b.c")
     carve = materialize(breach_depressions(level, bottoms, radius, limits.max_carve_depth), "unit-carves")
-    wet = level.select("r", "c", "water", "z")
-    cost = carve.join(wet, ["r", "c"]).groupBy("pit").agg(F.max(F.col("z") - F.col("value")).alias("maxcarve"), F.sum(F.col("z") - F.col("value")).alias("volcarve"), F.count("*").alias("n_carve"), F.count_if(F.col("water") == 1).alias("n_carve_water"))
-    catalog = held.groupBy(F.col("label").alias("pit")).agg(F.max(F.col("filled") - F.col("z")).alias("maxfill"), F.sum(F.col("filled") - F.col("z")).alias("volfill"), F.count("*").alias("n"))
-    catalog = catalog.join(cost, "pit", "left").na.fill(0).withColumns({"maxfillbehind": F.lit(0.0), "volfillbehind": F.lit(0.0), "completecarve": F.when(F.col("n_carve") > 0, 1).otherwise(0), "n_wall": F.lit(-1), "n_sink": F.lit(0)})
+    lowest = carve.groupBy("r", "c").agg(F.min("value").alias("value"), F.min_by("pit", F.struct("value", "pit")).alias("label"))
+    done, behind = fill_behind(level, lowest, held.select("r", "c", F.col("pit").alias("label")), n_cols)
+    wet = carve.join(level.select("r", "c", "water"), ["r", "c"]).groupBy("pit").agg(F.count("*").alias("n_carve"), F.count_if(F.col("water") == 1).alias("n_carve_water"))
+    catalog = pit_catalog(done, held.select("r", "c", F.col("pit").alias("label")), lowest, behind, n_cols).join(wet, "pit", "left")
+    marks = held.select("pit", "r", "c")
+    in_wall = marks.join(walls.select("r", "c"), ["r", "c"], "left_semi") if walls is not None else marks.limit(0)
+    in_sink = marks.join(sinks.select("r", "c"), ["r", "c"], "left_semi") if sinks is not None else marks.limit(0)
+    catalog = catalog.join(in_wall.groupBy("pit").agg(F.count("*").alias("n_wall")), "pit", "left").join(in_sink.groupBy("pit").agg(F.count("*").alias("n_sink")), "pit", "left").na.fill(0)
     solved = materialize(select_solution(catalog, limits), "unit-solutions")
-    pit_cells = held.select("r", "c", F.col("label").alias("pit"), F.col("filled").alias("value"))
-    out = apply_solution(level, solved, pit_cells, carve, carve.limit(0))
-    return fill_depressions(out.drop("filled"), "solved", n_cols, out="final")
+    back = behind.select("r", "c", F.col("label").alias("pit")).join(done.select("r", "c", F.col("carved").alias("value")), ["r", "c"])
+    out = materialize(apply_solution(level, solved, held.select("r", "c", "pit", F.col("filled").alias("value")), carve, back), "unit-solved")
+    left = solved.where("solution = 4000").select("pit", "maxfill", "volfill")
+    surface = out.withColumn("z", F.col("solved"))
+    ways, writes = partial_fills(surface, left, held.select("pit", "r", "c", "filled").join(surface.select("r", "c", "z"), ["r", "c"]), interval, radius, limits.max_carve_depth)
+    best = ways.groupBy("pit").agg(F.min_by("solution", F.struct("volume", "solution")).alias("solution"))
+    chosen = writes.join(best, ["pit", "solution"]).groupBy("r", "c").agg(F.max_by(F.struct("value", "solution"), "pit").alias("_w"))
+    out = out.join(chosen, ["r", "c"], "left").withColumns({"solved": F.coalesce("_w.value", "solved"), "code": F.coalesce("_w.solution", "code")}).drop("_w", "filled")
+    if walls is not None:
+        bare = remove_wall(out.withColumns({"fill": F.col("solved") - F.col("z"), "z": F.col("solved")}), wall_floors or {}, 0.0, 0.0)
+        out = bare.withColumn("solved", F.col("z")).drop("fill", "wall", "base")
+    final = fill_depressions(materialize(out.withColumn("z", F.col("solved")), "unit-out"), "solved", n_cols, out="final")
+    if sinks is not None:
+        final = final.join(sinks.select("r", "c", F.lit(True).alias("_k")), ["r", "c"], "left").withColumn("final", F.when(F.col("_k").isNull(), F.col("final"))).drop("_k")
+    return final

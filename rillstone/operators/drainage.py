@@ -5,10 +5,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillstone.operators.focal import neighbours
+from rillstone.operators.spatial import sequential_id
 from rillstone.operators.zones import label, largest_zone
 from rillstone.storage import materialize, remove, write_table
 
@@ -104,7 +105,7 @@ def find_sink(cells: DataFrame, unit: str, n_cols: int, share: float = 0.01, wet
     """
     level = cells.groupBy(unit).agg(F.percentile("z", F.lit(share)).alias("_p"))
     low = materialize(cells.join(level, unit).where("z <= _p").select(unit, "r", "c", "z", "swo"), "sinks")
-    rank = low.select(unit).distinct().withColumn("_k", F.row_number().over(Window.orderBy(unit)))
+    rank = sequential_id(low.select(unit).distinct(), [unit], "_k")
     keyed = low.join(rank, unit)
     zones = label(keyed, F.lit(True), n_cols, 8, ["_k"]).join(keyed, ["_k", "r", "c"])
     best = largest_zone(zones, "zone", [unit])

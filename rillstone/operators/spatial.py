@@ -211,7 +211,7 @@ def sequential_id(rows: DataFrame, order: Sequence[str], out: str = "id", slices
 def merge_sinks(found: DataFrame, supplied: DataFrame, order: Sequence[str], out: str = "id") -> DataFrame:
     """Both sets of sinks, each once, numbered 1..n."""
     both = found.unionByName(supplied, allowMissingColumns=True).distinct()
-    return both.withColumn(out, F.row_number().over(Window.orderBy(*order)))
+    return sequential_id(both, order, out)
 
 
 # polygon algebra on cells

@@ -208,6 +208,8 @@ def water_mask(candidates: DataFrame, cells: DataFrame, border: DataFrame, n_col
     """
     near = candidates.select("r", "c").distinct()
     grown = near.select(F.explode(F.sequence(F.col("r") - gap, F.col("r") + gap)).alias("r"), "c").select("r", F.explode(F.sequence(F.col("c") - gap, F.col("c") + gap)).alias("c")).distinct()
+    # within the grid two squares touch if they do beyond it
+    grown = grown.where(F.col("c").between(0, n_cols - 1) & (F.col("r") >= 0))
     zones = label(grown, F.lit(True), n_cols).join(near, ["r", "c"], "left_semi")
     osm = zones.join(cells.select("r", "c", "osm"), ["r", "c"], "left")
     share = osm.groupBy("zone").agg(F.max((F.col("osm") == 2).cast("int")).alias("river"), F.avg(F.coalesce(F.col("osm").isin(1, 3), F.lit(False)).cast("int")).alias("lake"), F.avg(F.coalesce(F.col("osm") > 0, F.lit(False)).cast("int")).alias("mapped"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rillstone.operators.components import star_components
 from rillstone.operators.focal import box_any
+from rillstone.operators.spatial import sequential_id
 
 STEPS_4 = [(0, 1), (1, 0)]
 STEPS_8 = [*STEPS_4, (1, 1), (1, -1)]
@@ -35,8 +36,8 @@ def label(cells: DataFrame, mask: Column, n_cols: int, connectivity: int = 8, ke
 
 
 def dense_labels(zones: DataFrame, zone: str = "zone", out: str = "label") -> DataFrame:
-    """Zones numbered 1..n in order of their index: the distinct zones are ranked, not the cells."""
-    ranked = zones.select(zone).distinct().withColumn(out, F.row_number().over(Window.orderBy(zone)))
+    """Zones numbered 1..n in order of their index: the distinct zones are ranked in ranges, not the cells."""
+    ranked = sequential_id(zones.select(zone).distinct(), [zone], out)
     return zones.join(ranked, zone)
 
 
@@ -123,7 +124,7 @@ def border_parts(zones: DataFrame, zone: str, mask: DataFrame, n_rows: int, n_co
     A border belongs to one zone, so its pieces are labelled with the zone's rank in the key.
     """
     ring = zone_border(zones, zone, n_rows, n_cols).join(mask.select("r", "c"), ["r", "c"], "left_semi")
-    rank = zones.select(zone).distinct().withColumn("_k", F.row_number().over(Window.orderBy(zone)))
+    rank = sequential_id(zones.select(zone).distinct(), [zone], "_k")
     pieces = label(ring.join(rank, zone), F.lit(True), n_cols, 8, ["_k"], "_piece")
     found = pieces.join(rank, "_k").groupBy(zone).agg(F.count_distinct("_piece").alias("parts"))
     return zones.select(zone).distinct().join(found, zone, "left").select(zone, F.coalesce("parts", F.lit(0)).alias("parts"))

@@ -23,14 +23,26 @@ def _box(how: str, value: str, k: int) -> str:
     SELECT r, c, {second}(v) OVER (PARTITION BY c ORDER BY r RANGE BETWEEN {k} PRECEDING AND {k} FOLLOWING) AS out FROM one"""
 
 
-def _pad(k: int) -> str:
-    """SQL of the layers with k mirrored rows and columns."""
+def _pad(k: int, columns: str = "z_mm", source: str = "layers", name: str = "padded") -> str:
+    """SQL of a grid's columns with k mirrored rows and columns."""
     return f"""
-    size AS (SELECT max(r) + 1 AS nr, max(c) + 1 AS nc FROM layers),
-    tall AS (SELECT r, c, z_mm FROM layers UNION ALL SELECT -1 - r, c, z_mm FROM layers WHERE r < {k}
-             UNION ALL SELECT 2 * nr - 1 - r, c, z_mm FROM layers, size WHERE r >= nr - {k}),
-    padded AS (SELECT r, c, z_mm FROM tall UNION ALL SELECT r, -1 - c, z_mm FROM tall WHERE c < {k}
-               UNION ALL SELECT r, 2 * nc - 1 - c, z_mm FROM tall, size WHERE c >= nc - {k})"""
+    {name}_size AS (SELECT max(r) + 1 AS nr, max(c) + 1 AS nc FROM {source}),
+    {name}_tall AS (SELECT r, c, {columns} FROM {source} UNION ALL SELECT -1 - r, c, {columns} FROM {source} WHERE r < {k}
+             UNION ALL SELECT 2 * nr - 1 - r, c, {columns} FROM {source}, {name}_size WHERE r >= nr - {k}),
+    {name} AS (SELECT r, c, {columns} FROM {name}_tall UNION ALL SELECT r, -1 - c, {columns} FROM {name}_tall WHERE c < {k}
+               UNION ALL SELECT r, 2 * nc - 1 - c, {columns} FROM {name}_tall, {name}_size WHERE c >= nc - {k})"""
+
+
+def ring_sql(source: str, name: str, value: str, kernels: dict[str, list[float]]) -> str:
+    """Two common table expressions: normalized ring kernels over a padded grid, as weighted sums of square windows."""
+    widest = max(len(w) for w in kernels.values())
+    frame = "RANGE BETWEEN {j} PRECEDING AND {j} FOLLOWING"
+    first = ", ".join(f"sum({value}) OVER (PARTITION BY r ORDER BY c {frame.format(j=j)}) AS b{j}" for j in range(widest))
+    second = []
+    for out, weights in kernels.items():
+        parts = [f"sum(b{j}) OVER (PARTITION BY c ORDER BY r {frame.format(j=j)}) * CAST({w - after} AS DOUBLE)" for j, (w, after) in enumerate(zip(weights, [*weights[1:], 0.0], strict=True))]
+        second.append(f"({' + '.join(parts)}) / CAST({sum(w for _, _, w in K.ring_offsets(weights))} AS DOUBLE) AS {out}")
+    return f"{name}_b AS (SELECT r, c, {first} FROM {source}), {name} AS (SELECT r, c, {', '.join(second)} FROM {name}_b)"
 
 
 def _kernel(weights: list[float]) -> str:
@@ -56,22 +68,18 @@ def _gradient(t: str = "layers", z: str = "CAST(z_mm AS DOUBLE)", dx: float = 10
     return GRADIENT.format(t=t, z=z, dx=dx, dy=dy)
 
 
-NEAR = """
-    near AS (SELECT a.r, a.c, a.z_mm AS z, e.z_mm AS e, ne.z_mm AS ne, n.z_mm AS n, nw.z_mm AS nw, w.z_mm AS w, sw.z_mm AS sw, s.z_mm AS s, se.z_mm AS se
-      FROM {t} a
-      LEFT JOIN {t} e ON e.r = a.r AND e.c = a.c + 1 LEFT JOIN {t} w ON w.r = a.r AND w.c = a.c - 1
-      LEFT JOIN {t} n ON n.r = a.r - 1 AND n.c = a.c LEFT JOIN {t} s ON s.r = a.r + 1 AND s.c = a.c
-      LEFT JOIN {t} ne ON ne.r = a.r - 1 AND ne.c = a.c + 1 LEFT JOIN {t} sw ON sw.r = a.r + 1 AND sw.c = a.c - 1
-      LEFT JOIN {t} nw ON nw.r = a.r - 1 AND nw.c = a.c - 1 LEFT JOIN {t} se ON se.r = a.r + 1 AND se.c = a.c + 1)"""
+_SIDES = {"w": "lag(z_mm) OVER (PARTITION BY r ORDER BY c)", "e": "lead(z_mm) OVER (PARTITION BY r ORDER BY c)", "n": "lag(z_mm) OVER (PARTITION BY c ORDER BY r)", "s": "lead(z_mm) OVER (PARTITION BY c ORDER BY r)",
+          "nw": "lag(z_mm) OVER (PARTITION BY r - c ORDER BY r)", "se": "lead(z_mm) OVER (PARTITION BY r - c ORDER BY r)", "ne": "lag(z_mm) OVER (PARTITION BY r + c ORDER BY r)", "sw": "lead(z_mm) OVER (PARTITION BY r + c ORDER BY r)"}
+#: The eight neighbours of each cell of a whole rectangle.
+NEAR = "near AS (SELECT r, c, z_mm AS z, " + ", ".join(f"{sql} AS {d}" for d, sql in _SIDES.items()) + " FROM {t})"
 
 
-@query("c01_ring_kernel", f"SELECT k.i AS dr, k.j AS dc, k.w / 10.2 AS w, n.n FROM {_kernel([1.0, 0.7, 0.35])} CROSS JOIN (SELECT count(*) AS n FROM region) n")
+@query("c01_ring_kernel", f"SELECT k.i AS dr, k.j AS dc, k.w / 10.2 AS w, count(*) AS n, CAST(sum(l.z_mm) AS BIGINT) AS total FROM {_kernel([1.0, 0.7, 0.35])} JOIN layers l ON l.r + k.i >= 0 AND l.c + k.j BETWEEN 0 AND 63 GROUP BY 1, 2, 3", LAYERS)
 def c01(spark, sf):
-    total = 1 + 8 * 0.7 + 16 * 0.35
-    n = spark.read.parquet(f"{sf}/region.parquet").agg(F.count("*").alias("n"))
+    # 25 rows of kernel
     kernel = K.ring_kernel(spark, [1.0, 0.7, 0.35]).withColumn("w", F.col("w") / 10.2)
-    assert total > 0
-    return kernel.crossJoin(n)
+    held = layers(spark, sf).join(F.broadcast(kernel), (F.col("r") + F.col("dr") >= 0) & (F.col("c") + F.col("dc")).between(0, 63))
+    return held.groupBy("dr", "dc", "w").agg(F.count("*").alias("n"), F.sum("z_mm").alias("total"))
 
 
 @query("c02_convolve", f"""

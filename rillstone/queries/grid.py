@@ -12,7 +12,13 @@ from rillstone.sources.fixtures import FEATURES, LAYERS, UNITS, features, layers
 from rillstone.storage import new_path
 
 GRID = G.Grid(10.0, 0.01, 50.0, 0.0125, 500, 64)
-COARSE = G.Grid(10.0, 0.025, 50.0, 0.03, 200, 25)
+
+
+def grids(cells):
+    """The layers' grid and a coarser one over the same ground."""
+    rows = K.extent(cells)[0]
+    return G.Grid(10.0, 0.01, 50.0, 0.0125, rows, 64), G.Grid(10.0, 0.025, 50.0, 0.03, rows * 5 // 12, 25)
+
 
 TILE = "CASE WHEN n_nationkey % 2 = 0 THEN 'N' ELSE 'S' END || lpad(CAST((n_nationkey * 7) % 60 AS VARCHAR), 2, '0') || CASE WHEN n_nationkey % 3 = 0 THEN 'W' ELSE 'E' END || lpad(CAST((n_nationkey * 13) % 180 AS VARCHAR), 3, '0')"
 TILES = f"WITH tiles AS (SELECT n_nationkey, {TILE} AS tile FROM nation)"
@@ -116,7 +122,7 @@ def b08(spark, sf):
 
 @query("b09_clip_window", """
     WITH z AS (SELECT CAST(r % 7 AS BIGINT) AS zone, r, c FROM layers WHERE z_mm < -380),
-    b AS (SELECT zone, greatest(min(r) - 3, 0) AS ra, least(max(r) + 3, 499) AS rb, greatest(min(c) - 3, 0) AS ca, least(max(c) + 3, 63) AS cb FROM z GROUP BY zone)
+    b AS (SELECT zone, greatest(min(r) - 3, 0) AS ra, least(max(r) + 3, (SELECT max(r) FROM layers)) AS rb, greatest(min(c) - 3, 0) AS ca, least(max(c) + 3, 63) AS cb FROM z GROUP BY zone)
     SELECT zone, l.r, l.c, l.z_mm FROM b JOIN layers l ON l.r BETWEEN ra AND rb AND l.c BETWEEN ca AND cb""", LAYERS)
 def b09(spark, sf):
     cells = layers(spark, sf)
@@ -140,7 +146,7 @@ def b11(spark, sf):
     return G.align_window(boxes, grid, 2).select("fid", "ca", "cb", "ra", "rb")
 
 
-@query("b12_trim_halo", "SELECT r, c, z_mm FROM layers WHERE r BETWEEN 5 AND 494 AND c BETWEEN 5 AND 58", LAYERS)
+@query("b12_trim_halo", "SELECT r, c, z_mm FROM layers WHERE r BETWEEN 5 AND (SELECT max(r) FROM layers) - 5 AND c BETWEEN 5 AND 58", LAYERS)
 def b12(spark, sf):
     cells = layers(spark, sf).select("r", "c", "z_mm")
     return G.trim_halo(cells, 5, *K.extent(cells))
@@ -156,24 +162,31 @@ def b14(spark, sf):
     return G.cross_section(layers(spark, sf).select("r", "c", "z_mm"), row=77)
 
 
-def _target(spark):
-    return spark.range(200).select(F.col("id").alias("r"), F.explode(F.sequence(F.lit(0), F.lit(24))).alias("c")).withColumn("c", F.col("c").cast("long"))
+TARGET = "(SELECT DISTINCT r FROM layers WHERE r < (SELECT (max(r) + 1) * 5 // 12 FROM layers)) a"
+
 
+def _target(spark, rows):
+    return spark.range(rows).select(F.col("id").alias("r"), F.explode(F.sequence(F.lit(0), F.lit(24))).alias("c")).withColumn("c", F.col("c").cast("long"))
 
-@query("b15_resample_nearest", """
-    WITH t AS (SELECT a.r AS tr, b.c AS tcol, CAST(trunc((50.0e0 - (50.0e0 - a.r * 0.03e0 - 0.03e0 / 2)) / 0.0125e0) AS BIGINT) AS r, CAST(trunc((10.0e0 + b.c * 0.025e0 + 0.025e0 / 2 - 10.0e0) / 0.01e0) AS BIGINT) AS c FROM range(200) a(r) CROSS JOIN range(25) b(c))
+
+@query("b15_resample_nearest", f"""
+    WITH t AS (SELECT a.r AS tr, b.c AS tcol, CAST(trunc((50.0e0 - (50.0e0 - a.r * 0.03e0 - 0.03e0 / 2)) / 0.0125e0) AS BIGINT) AS r, CAST(trunc((10.0e0 + b.c * 0.025e0 + 0.025e0 / 2 - 10.0e0) / 0.01e0) AS BIGINT) AS c FROM {TARGET} CROSS JOIN range(25) b(c))
     SELECT tr AS r, tcol AS c, l.z_mm FROM t LEFT JOIN layers l ON l.r = t.r AND l.c = t.c""", LAYERS)
 def b15(spark, sf):
-    return G.resample_nearest(layers(spark, sf), GRID, _target(spark), COARSE, ["z_mm"])
+    cells = layers(spark, sf)
+    fine, coarse = grids(cells)
+    return G.resample_nearest(cells, fine, _target(spark, coarse.n_rows), coarse, ["z_mm"])
 
 
-@query("b16_resample_bilinear", """
-    WITH t AS (SELECT a.r AS tr, b.c AS tcol, (50.0 - (50.0 - a.r * 0.03 - 0.015)) / 0.0125 - 0.5 AS fr, (10.0 + b.c * 0.025 + 0.0125 - 10.0) / 0.01 - 0.5 AS fc FROM range(200) a(r) CROSS JOIN range(25) b(c)),
+@query("b16_resample_bilinear", f"""
+    WITH t AS (SELECT a.r AS tr, b.c AS tcol, (50.0 - (50.0 - a.r * 0.03 - 0.015)) / 0.0125 - 0.5 AS fr, (10.0 + b.c * 0.025 + 0.0125 - 10.0) / 0.01 - 0.5 AS fc FROM {TARGET} CROSS JOIN range(25) b(c)),
     k AS (SELECT * FROM (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) AS k(i, j)),
     w AS (SELECT tr, tcol, floor(fr) + i AS r, floor(fc) + j AS c, (CASE WHEN i = 1 THEN fr - floor(fr) ELSE 1 - fr + floor(fr) END) * (CASE WHEN j = 1 THEN fc - floor(fc) ELSE 1 - fc + floor(fc) END) AS w FROM t CROSS JOIN k)
     SELECT tr AS r, tcol AS c, round(sum(w * swo) / sum(w), 4) + 0.0 AS out FROM w JOIN layers l ON l.r = w.r AND l.c = w.c WHERE w > 0 GROUP BY tr, tcol""", LAYERS)
 def b16(spark, sf):
-    return G.resample_bilinear(layers(spark, sf), "swo", GRID, _target(spark), COARSE).select("r", "c", _round("out", 4).alias("out"))
+    cells = layers(spark, sf)
+    fine, coarse = grids(cells)
+    return G.resample_bilinear(cells, "swo", fine, _target(spark, coarse.n_rows), coarse).select("r", "c", _round("out", 4).alias("out"))
 
 
 @query("b17_mosaic", "SELECT r, c, CASE WHEN r >= 245 THEN z_mm + 3 ELSE z_mm END AS z_mm FROM layers WHERE r >= 245 OR r < 250", LAYERS)
@@ -196,7 +209,7 @@ def b19(spark, sf):
     return G.grid_difference(new, cells.select("r", "c", (F.col("z_mm") / 1000.0).alias("z")), "z", 3).select("r", "c", _round("diff", 3).alias("diff"))
 
 
-@query("b20_realign_shifted", "SELECT r, c, CAST(7 AS BIGINT) AS diff FROM layers WHERE r < 499", LAYERS)
+@query("b20_realign_shifted", "SELECT r, c, CAST(7 AS BIGINT) AS diff FROM layers WHERE r < (SELECT max(r) FROM layers)", LAYERS)
 def b20(spark, sf):
     cells = layers(spark, sf).select("r", "c", "z_mm")
     cells = cells.where(F.col("r") < K.extent(cells)[0] - 1)

@@ -10,11 +10,13 @@ from rillstone.operators import drainage as J
 from rillstone.operators import focal as K
 from rillstone.operators import water as H
 from rillstone.plans.noise import KERNELS, adaptive_filter
-from rillstone.queries.focal import NEAR, _gradient, _kernel, _pad, _round
+from rillstone.queries.focal import NEAR, _gradient, _pad, _round, ring_sql
 from rillstone.queries.registry import query
-from rillstone.queries.spatial import cube
+from rillstone.queries.spatial import SLICE, cube
 from rillstone.queries.zones import ROUNDS, feature_cells, labels_sql, low
-from rillstone.sources.fixtures import FEATURES, LAYERS, UNITS, features, layers, table, units
+from rillstone.sources import catalog as A
+from rillstone.sources.fixtures import FEATURES, LAYERS, SAMPLES, UNITS, features, layers, table, units
+from rillstone.storage import materialize, new_path
 
 
 def size(spark, sf):
@@ -108,7 +110,14 @@ def line_cells(spark, sf):
     return layers(spark, sf).withColumn("line", F.when(F.col("z_mm") < -150, 5 + F.col("th") % 4).cast("int"))
 
 
-@query("h09_vector_burn")
+OWN = "CASE line WHEN 5 THEN 3000.0 WHEN 6 THEN 1500.0 WHEN 7 THEN 1000.0 WHEN 8 THEN 500.0 ELSE 0.0 END"
+
+
+@query("h09_vector_burn", f"""
+    WITH w AS (SELECT r, c, line, CAST({OWN} AS DOUBLE) AS b FROM (SELECT r, c, CASE WHEN z_mm < -150 THEN 5 + th % 4 END AS line FROM layers) q),
+    {_pad(1, "b", "w", "p1")}, {ring_sql("p1", "s1", "b", {"b": [1.0, 0.5]})}, f1 AS (SELECT s1.* FROM s1 JOIN w ON w.r = s1.r AND w.c = s1.c), {_pad(1, "b", "f1", "p2")}, {ring_sql("p2", "s2", "b", {"b": [1.0, 0.5]})},
+    f2 AS (SELECT s2.* FROM s2 JOIN w ON w.r = s2.r AND w.c = s2.c), {_pad(1, "b", "f2", "p3")}, {ring_sql("p3", "s3", "b", {"b": [1.0, 0.5]})}, {box_sql("w", "m", {"near_class": ("min", "line", 1)})}
+    SELECT m.r, m.c, round(least(greatest(s3.b * 3, m.b), 3000.0), 4) + 0.0 AS burn, near_class FROM m JOIN s3 ON s3.r = m.r AND s3.c = m.c""", LAYERS)
 def h09(spark, sf):
     return H.vector_burn(line_cells(spark, sf), "line", {5: 3000, 6: 1500, 7: 1000, 8: 500}, *size(spark, sf)).select("r", "c", _round("burn", 4).alias("burn"), "near_class")
 
@@ -120,7 +129,16 @@ def stream_cells(spark, sf):
 STREAM = LAYERS + ", st AS (SELECT r, c, z_mm AS z, swo, edm, CASE WHEN z_mm < -120 THEN 1 + th % 3 ELSE 0 END AS stream, CASE WHEN edm = 3 THEN 1 ELSE 0 END AS big_river, CASE WHEN edm IN (2, 3) THEN 1 ELSE 0 END AS river FROM layers)"
 
 
-@query("h10_stream_minimize")
+@query("h10_stream_minimize", f"""
+    WITH {_pad(1, "z", "st", "p1")}, {ring_sql("p1", "s1", "z", {"t": [1.0, 0.5]})},
+    a AS (SELECT st.*, s1.t, CASE WHEN stream > 0 AND big_river = 0 THEN 1 ELSE 0 END AS on_, CASE WHEN stream = 1 THEN 1 ELSE 0 END AS riv FROM st JOIN s1 ON s1.r = st.r AND s1.c = st.c),
+    {box_sql("a", "b", {"adj": ("max", "on_", 5), "bank": ("max", "on_", 3), "wide": ("max", "riv", 1)})},
+    d AS (SELECT *, CASE WHEN adj = 1 THEN t END AS near_t, CASE WHEN adj = 1 AND bank = 0 THEN t END AS land FROM b),
+    {box_sql("d", "e", {"m1": ("min", "near_t", 15), "m2": ("min", "near_t", 12), "m3": ("min", "near_t", 10), "ml": ("min", "land", 5)})},
+    f AS (SELECT *, CASE WHEN big_river = 1 THEN 0 WHEN wide = 1 THEN 1 ELSE stream END AS kind, coalesce(ml, t) AS mland FROM e),
+    g AS (SELECT *, greatest(CASE kind WHEN 1 THEN coalesce(m1, z) WHEN 2 THEN coalesce(m2, z) WHEN 3 THEN coalesce(m3, z) ELSE z END, z - 300) AS lo, CASE WHEN kind > 0 THEN 7 + kind ELSE 0 END AS code FROM f),
+    h AS (SELECT *, CASE WHEN bank = 1 THEN mland - lo ELSE 0 END AS gap FROM g)
+    SELECT r, c, round(CASE WHEN gap < 20 AND code > 0 AND on_ = 1 THEN mland - 20 WHEN gap > 200 AND code > 0 AND big_river = 0 THEN mland - 200 ELSE lo END, 4) + 0.0 AS low, code FROM h""", STREAM)
 def h10(spark, sf):
     return H.stream_minimize(stream_cells(spark, sf), {1: 15, 2: 12, 3: 10}, *size(spark, sf), 300.0, 200.0, 20.0).select("r", "c", _round("low", 4).alias("low"), "code")
 
@@ -134,7 +152,10 @@ def h11(spark, sf):
     return H.river_minimize(cells, 6, 150).select("r", "c", "low")
 
 
-@query("h12_smooth_rivers")
+@query("h12_smooth_rivers", f"""
+    WITH {_pad(2, "z", "st", "p1")}, {ring_sql("p1", "s1", "z", {"mean": [1.0, 1.0, 1.0]})},
+    a AS (SELECT st.*, CASE WHEN swo > 90 THEN mean END AS w FROM st JOIN s1 ON s1.r = st.r AND s1.c = st.c), {box_sql("a", "b", {"m": ("min", "w", 5)})}
+    SELECT r, c, round(CASE WHEN swo > 90 AND z - m BETWEEN 10 AND 400 THEN m ELSE z END, 4) + 0.0 AS low FROM b""", STREAM)
 def h12(spark, sf):
     return H.smooth_rivers(stream_cells(spark, sf), *size(spark, sf), 5, 400.0).select("r", "c", _round("low", 4).alias("low"))
 
@@ -176,13 +197,24 @@ def h19(spark, sf):
     return H.is_coastal(stream_cells(spark, sf).withColumn("unit", F.floor(F.col("r") / 100)), "unit", 235)
 
 
-@query("h20_water_mask")
+@query("h20_water_mask", f"""
+    WITH RECURSIVE w AS (SELECT *, CASE WHEN swo > 88 THEN 1 ELSE 0 END AS m FROM wet), {box_sql("w", "g", {"near": ("max", "m", 1)})}, {labels_sql("near = 1", name="joined", source="g", rounds=200)},
+    z AS (SELECT r, c, zone, osm FROM joined JOIN wet USING (r, c) WHERE swo > 88),
+    cross_ AS (SELECT r, c, zone FROM z WHERE c < 2 OR c > 61), {labels_sql("true", name="piece", source="cross_", rounds=200)},
+    pieces AS (SELECT cross_.zone, count(DISTINCT piece.zone) AS pieces FROM piece JOIN cross_ USING (r, c) GROUP BY 1),
+    share AS (SELECT zone, max(CASE WHEN osm = 2 THEN 1 ELSE 0 END) AS river, avg(CASE WHEN osm IN (1, 3) THEN 1.0 ELSE 0.0 END) AS lake, avg(CASE WHEN osm > 0 THEN 1.0 ELSE 0.0 END) AS mapped FROM z GROUP BY zone),
+    kind AS (SELECT zone, CASE WHEN lake > 0.9 THEN 3 WHEN river = 1 OR coalesce(pieces, 0) >= 2 AND (coalesce(pieces, 0) <= 4 OR mapped >= 0.1) THEN 4 ELSE 3 END AS kind FROM share LEFT JOIN pieces USING (zone))
+    SELECT r, c, zone, kind FROM z JOIN kind USING (zone)""", WET)
 def h20(spark, sf):
     cells = wet_cells(spark, sf)
-    return H.water_mask(cells.where("swo > 80"), cells, cells.where("c < 2 or c > 61"), 64, 1)
+    return H.water_mask(cells.where("swo > 88"), cells, cells.where("c < 2 or c > 61"), 64, 1)
 
 
-@query("h21_alt_dem_init")
+@query("h21_alt_dem_init", f"""
+    WITH RECURSIVE a AS (SELECT *, CAST(round(z / 100.0) * 100 AS BIGINT) AS alt FROM st), b AS (SELECT *, CASE WHEN ((alt % 200) + 200) % 200 = 0 AND swo >= 2 THEN 1 ELSE 0 END AS m FROM a),
+    {box_sql("b", "d", {"lo": ("min", "m", 1), "n": ("count", "m", 1)})}, e AS (SELECT * EXCLUDE (lo, n, m), CASE WHEN n = 9 THEN lo ELSE 0 END AS e FROM d), {box_sql("e", "f", {"hit": ("max", "e", 1)})},
+    {labels_sql("hit = 1", source="f", rounds=200)}, t AS (SELECT DISTINCT zone FROM zones JOIN st USING (r, c) WHERE river = 1), taken AS (SELECT r, c, 1 AS taken FROM zones WHERE zone IN (SELECT zone FROM t))
+    SELECT a.r, a.c, coalesce(taken, 0) AS taken, CASE WHEN taken = 1 THEN alt WHEN edm = 2 THEN least(z, alt) ELSE z END AS z_new FROM a LEFT JOIN taken ON taken.r = a.r AND taken.c = a.c""", STREAM)
 def h21(spark, sf):
     cells = stream_cells(spark, sf).withColumns({"alt": F.round(F.col("z") / 100.0) * 100, "lake": (F.col("edm") == 2).cast("int")}).withColumn("alt", F.col("alt").cast("long"))
     return H.alternate_dem(cells, 64, 200, F.col("river") == 1).select("r", "c", "taken", "z_new")
@@ -271,8 +303,6 @@ def i02(spark, sf):
 
 
 def pit_tables(spark, sf):
-    from rillstone.storage import materialize
-
     cells = materialize(filled_cells(spark, sf).selectExpr("r", "c", "z_mm AS z", "CAST(filled AS BIGINT) AS filled", "swo", "edm", "CASE WHEN swo > 80 THEN 1 ELSE 0 END AS water"), "filled")
     return cells, materialize(I.pit_zones(cells, "filled", "z", 64), "pits")
 
@@ -315,16 +345,16 @@ def i06(spark, sf):
 
 def _catalog(spark, sf):
     cells, pits = pit_tables(spark, sf)
-    carve = I.breach_depressions(cells, bottoms_of(cells, pits), 10, 200.0)
-    lowest = carve.groupBy("r", "c").agg(F.min("value").alias("value"), F.min("pit").alias("label"))
-    done = cells.join(lowest.select("r", "c", "value"), ["r", "c"], "left").withColumn("carved", F.coalesce("value", F.col("z").cast("double")))
-    return I.pit_catalog(done, pits, lowest.select("r", "c", "label"), lowest.select("r", "c", "label").limit(0), 64)
+    carve = materialize(I.breach_depressions(cells, bottoms_of(cells, pits), 10, 200.0), "carves")
+    lowest = carve.groupBy("r", "c").agg(F.min("value").alias("value"), F.min_by("pit", F.struct("value", "pit")).alias("label"))
+    done, behind = I.fill_behind(cells, lowest, pits, 64)
+    return I.pit_catalog(done, pits, lowest.select("r", "c", "label"), behind, 64)
 
 
 @query("i07_pit_catalog")
 def i07(spark, sf):
     out = _catalog(spark, sf)
-    return out.select("pit", *[_round(x, 3).alias(x) for x in ("maxfill", "volfill", "maxcarve", "volcarve")], "n", "carves", "completecarve")
+    return out.select("pit", *[_round(x, 3).alias(x) for x in ("maxfill", "volfill", "maxcarve", "volcarve", "maxfillbehind", "volfillbehind")], "n", "carves", "completecarve")
 
 
 def pit_rows(spark, sf):
@@ -415,7 +445,21 @@ def i14(spark, sf):
 @query("i15_condition_unit")
 def i15(spark, sf):
     cells = layers(spark, sf).selectExpr("r", "c", "CAST(zt_mm AS DOUBLE) AS z", "CASE WHEN swo > 80 THEN 1 ELSE 0 END AS water")
-    return I.condition_unit(cells, 64, 5.0, 8, I.SolutionLimits(max_carve_depth=300.0)).select("r", "c", _round("solved", 4).alias("solved"), "code", _round("final", 4).alias("final"))
+    # a wall across the grid, a sink in every hundredth row
+    walls = cells.where("r % 250 = 125").select("r", "c", F.lit(1).alias("wall"))
+    sinks = cells.where("r % 100 = 50 and c = 32").select("r", "c")
+    out = I.condition_unit(cells, 64, 5.0, 8, I.SolutionLimits(fill=600.0, max_carve_depth=300.0), walls, 50_000.0, {1: -50.0}, sinks, 10.0)
+    return out.select("r", "c", _round("solved", 4).alias("solved"), "code", _round("final", 4).alias("final"))
+
+
+@query("a12_write_pit_catalog", f"SELECT l_suppkey, l_orderkey, l_linenumber, volfill, {SOLUTION} AS solution FROM p", PIT_ROWS)
+def a12(spark, sf):
+    path = new_path(spark, "pit-catalog")
+    solved = I.select_solution(pit_rows(spark, sf)).select("l_suppkey", "l_orderkey", "l_linenumber", "volfill", "solution")
+    A.write_pit_catalog(solved, path, "l_suppkey")
+    # a second run over some units replaces those and leaves the others
+    A.write_pit_catalog(solved.where("l_suppkey % 3 = 0"), path, "l_suppkey")
+    return A.read_pit_catalog(spark, path, solved.schema).select(*solved.columns)
 
 
 # drainage
@@ -448,7 +492,16 @@ def j04(spark, sf):
     return J.flow_accumulation(pointers(spark, sf), 64)
 
 
-@query("j01_fix_flats")
+FLATS = NEAR.format(t="flat")
+
+
+@query("j01_fix_flats", f"""
+    WITH RECURSIVE flat AS (SELECT r, c, floor(zt_mm / 100.0) * 100 AS z_mm FROM layers), {FLATS},
+    out_ AS (SELECT r, c, z FROM near WHERE {" OR ".join(f"{d} IS NULL OR {d} < z" for d in I.EIGHT)}),
+    walk AS (SELECT r, c, z, 0 AS d FROM out_ UNION SELECT n.r, n.c, n.z, w.d + 1 FROM walk w CROSS JOIN (SELECT i, j FROM range(-1, 2) a(i), range(-1, 2) b(j)) k
+      JOIN near n ON n.r = w.r + k.i AND n.c = w.c + k.j AND n.z = w.z WHERE w.d < 25),
+    least_ AS (SELECT r, c, min(d) AS d FROM walk GROUP BY 1, 2)
+    SELECT n.r, n.c, round(n.z + coalesce(l.d, 0) * 0.01, 4) AS out FROM near n LEFT JOIN least_ l ON l.r = n.r AND l.c = n.c""", LAYERS)
 def j01(spark, sf):
     cells = layers(spark, sf).select("r", "c", (F.floor(F.col("zt_mm") / 100.0) * 100).alias("z"))
     return J.fix_flats(cells, "z", 0.01, 64).select("r", "c", _round("out", 4).alias("out"))
@@ -475,7 +528,15 @@ def unit_cells(spark, sf):
     return layers(spark, sf).select(F.floor(F.col("r") / 50).alias("unit"), "r", "c", F.col("z_mm").alias("z"), "swo")
 
 
-@query("k02_find_sink")
+@query("k02_find_sink", f"""
+    WITH RECURSIVE u AS (SELECT CAST(floor(r / 50) AS BIGINT) AS unit, r, c, z_mm AS z, swo FROM layers), p AS (SELECT unit, quantile_cont(z, 0.05) AS p FROM u GROUP BY unit),
+    lowest AS (SELECT u.* FROM u JOIN p USING (unit) WHERE z <= p), {labels_sql("true", source="lowest", by="unit, ")},
+    n AS (SELECT unit, zone, count(*) AS n FROM zones GROUP BY 1, 2), best AS (SELECT unit, zone FROM (SELECT *, row_number() OVER (PARTITION BY unit ORDER BY n DESC, zone) AS k FROM n) q WHERE k = 1),
+    held AS (SELECT l.* FROM lowest l JOIN zones z ON z.unit = l.unit AND z.r = l.r AND z.c = l.c JOIN best b ON b.unit = z.unit AND b.zone = z.zone),
+    wet_ AS (SELECT * FROM (SELECT *, max(CASE WHEN swo >= 80 THEN 1 ELSE 0 END) OVER (PARTITION BY unit) AS any_ FROM held) q WHERE any_ = 0 OR swo >= 80),
+    ties AS (SELECT * FROM (SELECT *, min(z) OVER (PARTITION BY unit) AS lo FROM wet_) q WHERE z = lo),
+    far AS (SELECT *, round((r - avg(r) OVER (PARTITION BY unit)) ** 2 + (c - avg(c) OVER (PARTITION BY unit)) ** 2, 9) AS d FROM ties)
+    SELECT unit, r, c FROM (SELECT *, row_number() OVER (PARTITION BY unit ORDER BY d, r, c) AS k FROM far) q WHERE k = 1""", LAYERS)
 def k02(spark, sf):
     return J.find_sink(unit_cells(spark, sf), "unit", 64, 0.05)
 
@@ -490,14 +551,10 @@ def k03(spark, sf):
 # the adaptive filter, bias removal and the noise-removal plan
 
 
-def _kernel_sql(size: int, weights) -> str:
-    total = sum(w for _, _, w in K.ring_offsets(weights))
-    return f"k{size} AS (SELECT l.r, l.c, sum(p.z_mm * k.w) / {total} AS k{size} FROM layers l CROSS JOIN {_kernel(list(weights))} JOIN padded p ON p.r = l.r + k.i AND p.c = l.c + k.j GROUP BY l.r, l.c)"
-
-
-FILTERED = f"""
-    WITH {_pad(4)}, {", ".join(_kernel_sql(k, w) for k, w in KERNELS.items())},
-    smooth AS (SELECT l.*, k9, k7, k5, k3 FROM layers l JOIN k9 USING (r, c) JOIN k7 USING (r, c) JOIN k5 USING (r, c) JOIN k3 USING (r, c)),
+def filtered_sql(source: str, value: str, swo_limit: int) -> str:
+    """Common table expressions ending in adapted (r, c, filtered, filter_mask) over a grid with swo and edm."""
+    return f"""{_pad(4, value, source, "fp")}, {ring_sql("fp", "kernels", value, {f"k{k}": list(w) for k, w in KERNELS.items()})},
+    smooth AS (SELECT l.*, k9, k7, k5, k3 FROM {source} l JOIN kernels k ON k.r = l.r AND k.c = l.c),
     {_gradient("smooth", "k9", 1000.0, 1200.0)},
     bend AS (SELECT *, lag(gx) OVER (PARTITION BY r ORDER BY c) AS gw, lead(gx) OVER (PARTITION BY r ORDER BY c) AS ge, lag(gy) OVER (PARTITION BY c ORDER BY r) AS gn, lead(gy) OVER (PARTITION BY c ORDER BY r) AS gs FROM grad),
     curve AS (SELECT *, CAST(floor(degrees(atan(sqrt(gx * gx + gy * gy)))) AS INT) AS slope,
@@ -505,10 +562,22 @@ FILTERED = f"""
       + CASE WHEN gn IS NULL THEN (gs - gy) / 1200.0 WHEN gs IS NULL THEN (gy - gn) / 1200.0 ELSE (gs - gn) / 2400.0 END AS cv FROM bend),
     judged AS (SELECT *, CASE WHEN cv > 2.5 * sd THEN 0 WHEN cv < -2.5 * sd THEN 2 WHEN slope >= 30 THEN 1
       WHEN abs(cv) > sd OR slope BETWEEN 15 AND 30 THEN 3 WHEN slope BETWEEN 6 AND 15 THEN 5 WHEN slope BETWEEN 2 AND 6 THEN 7 ELSE 9 END AS m FROM curve CROSS JOIN (SELECT stddev_pop(cv) AS sd FROM curve) x),
-    wet AS (SELECT *, CASE WHEN swo > 80 THEN 3 ELSE m END AS m2 FROM judged),
-    patched AS (SELECT *, CASE WHEN edm = 5 AND m2 < 3 THEN 3 ELSE m2 END AS m3 FROM wet)
-    SELECT r, c, CASE WHEN edm IN (2, 3) THEN 1 ELSE m3 END AS filter_mask,
-      round(CASE WHEN edm IN (2, 3) THEN z_mm WHEN m3 = 9 THEN k9 WHEN m3 = 7 THEN k7 WHEN m3 = 5 THEN k5 WHEN m3 = 3 THEN k3 ELSE z_mm END, 4) + 0.0 AS filtered FROM patched"""
+    soaked AS (SELECT *, CASE WHEN swo > {swo_limit} THEN 3 ELSE m END AS m2 FROM judged),
+    patched AS (SELECT *, CASE WHEN edm = 5 AND m2 < 3 THEN 3 ELSE m2 END AS m3 FROM soaked),
+    adapted AS (SELECT r, c, CASE WHEN edm IN (2, 3) THEN 1 ELSE m3 END AS filter_mask,
+      CASE WHEN edm IN (2, 3) THEN {value} WHEN m3 = 9 THEN k9 WHEN m3 = 7 THEN k7 WHEN m3 = 5 THEN k5 WHEN m3 = 3 THEN k3 ELSE {value} END AS filtered FROM patched)"""
+
+
+FILTERED = f"WITH {filtered_sql('layers', 'z_mm', 80)} SELECT r, c, filter_mask, round(filtered, 4) + 0.0 AS filtered FROM adapted"
+
+UNBIASED = f"""{SLICE},
+    ground AS (SELECT r, c, CAST(z_mm AS DOUBLE) AS z, coalesce(tc, 0) AS gtc, coalesce(th, 0) AS gth, swo, edm FROM layers),
+    {_pad(4, "z, gtc, gth", "ground", "bp")}, {ring_sql("bp", "bz", "z", {"s9": list(KERNELS[9])})}, {ring_sql("bp", "bt", "gtc", {"tcs": [1.0, 1.0]})}, {ring_sql("bp", "bh", "gth", {"ths": [1.0, 1.0]})},
+    shaped AS (SELECT g.*, s9, tcs, ths FROM ground g JOIN bz ON bz.r = g.r AND bz.c = g.c JOIN bt ON bt.r = g.r AND bt.c = g.c JOIN bh ON bh.r = g.r AND bh.c = g.c),
+    {_gradient("shaped", "s9", 1000.0, 1200.0).replace("grad AS", "bgrad AS").replace(" g AS", " bg AS").replace("FROM g)", "FROM bg)")},
+    keyed AS (SELECT *, least(CAST(floor(degrees(atan(sqrt(gx * gx + gy * gy)))) AS INT), 19) AS sk, CAST(floor(round(tcs, 9)) AS INT) AS tk, CAST(floor(round(ths, 9)) AS INT) AS hk FROM bgrad),
+    unbiased AS (SELECT k.r, k.c, k.z, k.swo, k.edm, CASE WHEN gtc = 0 OR gth = 0 OR edm IN (2, 3) THEN 0.0 ELSE coalesce(cube.bias, 0.0) END AS bias FROM keyed k LEFT JOIN cube ON cube.slope = sk AND cube.tc = tk AND cube.th = hk),
+    clean AS (SELECT r, c, z - bias AS corrected, swo, edm, bias FROM unbiased)"""
 
 
 @query("c24_adaptive_filter", FILTERED, LAYERS)
@@ -518,7 +587,11 @@ def c24(spark, sf):
     return out.select("r", "c", _round("filtered", 4).alias("filtered"), "filter_mask")
 
 
-@query("c25_noise_removal")
+@query("c25_noise_removal", f"""
+    WITH {UNBIASED}, {filtered_sql("clean", "corrected", 10)},
+    {_gradient("adapted", "filtered", 1000.0, 1200.0).replace("grad AS", "fgrad AS").replace(" g AS", " fg AS").replace("FROM g)", "FROM fg)")}
+    SELECT r, c, round(filtered, 4) + 0.0 AS filtered, filter_mask, CAST(floor(degrees(atan(sqrt(gx * gx + gy * gy)))) AS INT) AS slope FROM fgrad
+    WHERE r BETWEEN 5 AND (SELECT max(r) FROM layers) - 5 AND c BETWEEN 5 AND 58""", LAYERS + "," + SAMPLES.strip()[4:])
 def c25(spark, sf):
     from rillstone.plans.noise import noise_removal
 
@@ -527,7 +600,7 @@ def c25(spark, sf):
     return out.select("r", "c", _round("filtered", 4).alias("filtered"), "filter_mask", F.col("slope").cast("int").alias("slope"))
 
 
-@query("v05_apply_bias_3d")
+@query("v05_apply_bias_3d", f"WITH {UNBIASED} SELECT r, c, round(bias, 4) + 0.0 AS bias, round(corrected, 4) + 0.0 AS corrected FROM clean", LAYERS + "," + SAMPLES.strip()[4:])
 def v05(spark, sf):
     from rillstone.operators.bias import apply_bias_3d
 

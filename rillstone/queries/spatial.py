@@ -96,12 +96,12 @@ def a11(spark, sf):
 
 
 @query("v06_apply_bias_2d", """
-    WITH t AS (SELECT slope_smooth AS slope, treecover AS tc, avg(h_diff_mm) AS bias FROM samples GROUP BY 1, 2)
+    WITH t AS (SELECT slope_smooth * 10 AS slope, treecover AS tc, avg(h_diff_mm) AS bias FROM samples WHERE slope_smooth * 10 <= 50 GROUP BY 1, 2)
     SELECT l_orderkey, l_linenumber, l_partkey, round(l_extendedprice - coalesce(t.bias, 0), 4) + 0.0 AS corrected
-    FROM lineitem LEFT JOIN t ON t.slope = CAST(round(l_tax*100) AS INT) AND t.tc = CAST(l_quantity*2 AS INT)""", SAMPLES)
+    FROM lineitem LEFT JOIN t ON t.slope = least(50, CAST(round(l_tax*100) AS INT) * 10) AND t.tc = CAST(l_quantity*2 AS INT)""", SAMPLES)
 def v06(spark, sf):
-    lookup = bias_samples(spark, sf).groupBy("slope", "tc").agg(F.avg("h_diff_mm").alias("bias")).withColumn("lc", F.lit(999))
-    cells = table(spark, sf, "lineitem").selectExpr("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "CAST(round(l_tax*100) AS INT) slope", "CAST(l_quantity*2 AS INT) tc")
+    lookup = bias_samples(spark, sf).groupBy((F.col("slope") * 10).alias("slope"), "tc").agg(F.avg("h_diff_mm").alias("bias")).withColumn("lc", F.lit(999))
+    cells = table(spark, sf, "lineitem").selectExpr("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "CAST(round(l_tax*100) AS INT) * 10 slope", "CAST(l_quantity*2 AS INT) tc")
     return V.apply_bias_2d(cells, lookup, "l_extendedprice").select("l_orderkey", "l_linenumber", "l_partkey", _round("corrected", 4).alias("corrected"))
 
 
@@ -373,7 +373,7 @@ def p07(spark, sf):
     return S.relation(a, b)
 
 
-@query("p08_rasterize", "SELECT a.r, b.c, max(fid) AS fid, arg_max(fclass, fid) AS fclass FROM features JOIN range(500) a(r) ON a.r >= r0 AND a.r < r1 JOIN range(64) b(c) ON b.c >= c0 AND b.c < c1 GROUP BY 1, 2", FEATURES)
+@query("p08_rasterize", "SELECT a.r, b.c, max(fid) AS fid, arg_max(fclass, fid) AS fclass FROM features JOIN (SELECT DISTINCT r FROM layers) a ON a.r >= r0 AND a.r < r1 JOIN range(64) b(c) ON b.c >= c0 AND b.c < c1 GROUP BY 1, 2", LAYERS + "," + FEATURES.strip()[4:])
 def p08(spark, sf):
     return S.rasterize(feature_segments(spark, sf), features(spark, sf), "fid", "fclass", *K.extent(layers(spark, sf)))
 

@@ -15,13 +15,13 @@ LOW = "z_mm < -60"
 ROUNDS = 120
 
 
-def labels_sql(mask: str, connectivity: int = 8, name: str = "zones", source: str = "layers", rounds: int = ROUNDS) -> str:
-    """Common table expressions that label the cells of a mask by their least linear index."""
-    four = "least(min(l) OVER (PARTITION BY r ORDER BY c RANGE BETWEEN 1 PRECEDING AND 1 FOLLOWING), min(l) OVER (PARTITION BY c ORDER BY r RANGE BETWEEN 1 PRECEDING AND 1 FOLLOWING)"
-    diagonal = ", min(l) OVER (PARTITION BY r - c ORDER BY r RANGE BETWEEN 1 PRECEDING AND 1 FOLLOWING), min(l) OVER (PARTITION BY r + c ORDER BY r RANGE BETWEEN 1 PRECEDING AND 1 FOLLOWING)"
-    return f"""{name}_it AS (SELECT 0 AS k, r, c, r * 64 + c AS l FROM {source} WHERE {mask}
-      UNION ALL SELECT k + 1, r, c, {four}{diagonal if connectivity == 8 else ""}) FROM {name}_it WHERE k < {rounds}),
-    {name} AS (SELECT r, c, l AS zone FROM {name}_it WHERE k = {rounds})"""
+def labels_sql(mask: str, connectivity: int = 8, name: str = "zones", source: str = "layers", rounds: int = ROUNDS, by: str = "") -> str:
+    """Common table expressions that label the cells of a mask by their least linear index; by (a column and a comma) keeps groups apart."""
+    four = f"least(min(l) OVER (PARTITION BY {by}r ORDER BY c RANGE BETWEEN 1 PRECEDING AND 1 FOLLOWING), min(l) OVER (PARTITION BY {by}c ORDER BY r RANGE BETWEEN 1 PRECEDING AND 1 FOLLOWING)"
+    diagonal = f", min(l) OVER (PARTITION BY {by}r - c ORDER BY r RANGE BETWEEN 1 PRECEDING AND 1 FOLLOWING), min(l) OVER (PARTITION BY {by}r + c ORDER BY r RANGE BETWEEN 1 PRECEDING AND 1 FOLLOWING)"
+    return f"""{name}_it AS (SELECT 0 AS k, {by}r, c, r * 64 + c AS l FROM {source} WHERE {mask}
+      UNION ALL SELECT k + 1, {by}r, c, {four}{diagonal if connectivity == 8 else ""}) FROM {name}_it WHERE k < {rounds}),
+    {name} AS (SELECT {by}r, c, l AS zone FROM {name}_it WHERE k = {rounds})"""
 
 
 Z = f"WITH RECURSIVE {labels_sql(LOW)}"

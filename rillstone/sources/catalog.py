@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def catalog_files(spark: SparkSession, path: str, include: Sequence[str] = (), exclude: Sequence[str] = ()) -> DataFrame:
@@ -68,9 +69,14 @@ def read_bias_cube(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("slope", "tc", F.posexplode("v").alias("th", "bias"))
 
 
-def write_partitioned(df: DataFrame, path: str, unit: str) -> None:
-    """A table by unit; a run replaces the units that it holds."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(unit).parquet(path)
+def write_pit_catalog(solved: DataFrame, path: str, unit: str) -> None:
+    """Solved pits as Parquet by unit; a run replaces the units that it holds.  Each unit is written by one task."""
+    solved.repartition(unit).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(unit).parquet(path)
+
+
+def read_pit_catalog(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Pits of write_pit_catalog; a filter on the unit reads its folder alone."""
+    return spark.read.schema(schema).parquet(path)
 
 
 def read_features(spark: SparkSession, path: str, where: str | None = None) -> DataFrame:

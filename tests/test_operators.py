@@ -6,11 +6,13 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from rillstone.operators import bias as V
 from rillstone.operators import depressions as I
 from rillstone.operators import drainage as J
 from rillstone.operators import focal as K
 from rillstone.operators import grid as G
 from rillstone.operators import spatial as S
+from rillstone.operators import water as H
 from rillstone.operators import zones as D
 from rillstone.operators.components import star_components
 
@@ -150,6 +152,57 @@ def test_partial_fill_and_unit_run_on_a_bowl(spark):
     assert np.array_equal(done, priority_flood(grid_of(out, "solved", z.shape)))
 
 
+def test_partial_fill_wins_where_no_whole_carve_goes(spark):
+    z = np.full((3, 8), 30.0)
+    z[1, 1:6] = [5.0, 10.0, 10.0, 20.0, 6.0]
+    cells = cells_of(spark, z)
+    pit = [(1, 1, c, float(z[1, c]), 20.0) for c in (1, 2, 3)]
+    held = spark.createDataFrame(pit, "pit long, r long, c long, z double, filled double")
+    pits = spark.createDataFrame([(1, 15.0, 35.0)], "pit long, maxfill double, volfill double")
+    ways, writes = I.partial_fills(cells, pits, held, 0.2, 6, 14.0)
+    want = {2003: 35.0}
+    for k in (1, 2, 3, 4):
+        surface = {c: max(z[1, c], 20 - 15 * (1 - 0.2 * k)) for c in (1, 2, 3)} | {4: 20.0, 5: 6.0}
+        even = [surface[1] + (6 - surface[1]) * i / 4 for i in range(5)]
+        want[3000 + 2 * k] = sum(abs(z[1, c] - min(surface[c], even[c - 1])) for c in range(1, 6))
+    got = {r["solution"]: r["volume"] for r in ways.collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    assert [tuple(r) for r in I.partial_fill(cells, pits, held, 0.2, 6, 14.0).collect()] == [(1, 3004, 20.5)]
+    # with lower ground in reach of the bottom itself, partial fills give way to the whole carve
+    low = cells.withColumn("z", F.when((F.col("r") == 1) & (F.col("c") == 5), 4.0).otherwise(F.col("z")))
+    assert {r["solution"] for r in I.partial_fills(low, pits, held, 0.2, 6, 50.0)[0].collect()} == {1003, 2003}
+    assert writes.where("solution = 3004").count() == 5
+
+
+def test_solutions_of_very_low_pits_and_fill_behind(spark):
+    schema = "pit long, maxfill double, volfill double, n long, maxcarve double, volcarve double, maxfillbehind double, volfillbehind double, completecarve int, n_wall long, n_sink long, n_carve long, n_carve_water long"
+    pits = spark.createDataFrame([(1, 0.005, 50.0, 10, 1.0, 5.0, 0.0, 0.0, 1, 0, 0, 3, 0)], schema)
+    assert I.select_solution(pits, I.SolutionLimits(shallow=False)).first()["solution"] == 2005
+    z = np.full((3, 9), 30.0)
+    z[1, 1:8] = [10.0, 12.0, 4.0, 20.0, 8.0, 30.0, 30.0]
+    z[1, 8] = 1.0
+    cells = cells_of(spark, z)
+    carves = spark.createDataFrame([(1, 4, 8.0)], "r long, c long, value double")
+    pit = spark.createDataFrame([(1, c, 1) for c in (1, 2, 3)], "r long, c long, label long")
+    done, behind = I.fill_behind(cells, carves, pit, 9)
+    flooded = z.copy()
+    flooded[1, 4] = 8.0
+    assert np.array_equal(grid_of(done, "carved", z.shape), priority_flood(flooded))
+    assert {(r["c"], r["label"]) for r in behind.collect()} == {(1, 1), (2, 1), (3, 1)}
+
+
+def test_slopes_beyond_the_table_take_its_last(spark):
+    cells = spark.createDataFrame([(1, 50, 20, 100.0), (2, 60, 20, 100.0), (3, 10, 20, 100.0)], "id long, slope int, tc int, z double")
+    table = spark.createDataFrame([(999, 50, 20, 7.0), (999, 60, 20, 1.0), (5, 10, 20, 9.0)], "lc int, slope int, tc int, bias double")
+    assert {r["id"]: r["corrected"] for r in V.apply_bias_2d(cells, table, "z").collect()} == {1: 93.0, 2: 93.0, 3: 100.0}
+
+
+def test_water_mask_does_not_join_across_the_sides(spark):
+    cells = cells_of(spark, np.zeros((6, 8))).withColumn("osm", F.lit(None).cast("int"))
+    wet = spark.createDataFrame([(1, 7), (2, 0)], "r long, c long")
+    assert H.water_mask(wet, cells, wet.limit(0), 8, 1).select("zone").distinct().count() == 2
+
+
 def test_breach_keeps_a_dearer_but_shorter_way(spark):
     z = np.full((5, 9), 100.0)
     z[2, 1:8] = [2.0, 9.0, 5.0, 5.0, 5.0, 5.0, 1.0]

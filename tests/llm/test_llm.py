@@ -68,6 +68,22 @@ def test_top_k_equals_brute_force(spark):
     assert top_k_search(table.limit(0), table.limit(0)).count() == 0
 
 
+def test_top_k_stops_early_on_clusters(spark):
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(40, 16))
+    values = np.repeat(centres, 50, axis=0) + rng.normal(scale=0.02, size=(2000, 16))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(values)], "vec_id long, embedding array<double>")
+    queries = table.where("vec_id % 50 = 0")
+    compared = spark.sparkContext.accumulator(0)
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in top_k_search(table, queries, part_rows=256, compared=compared).collect()}
+    whole = np.floor(256 * values).astype(int)
+    for q in range(0, 2000, 50):
+        score = whole @ whole[q]
+        best = sorted((i for i in range(2000) if i != q), key=lambda i: (-score[i], i))[:5]
+        assert [got[q, k + 1] for k in range(5)] == [(i, score[i]) for i in best]
+    assert 0 < compared.value < 0.5 * 40 * 2000
+
+
 def test_first_fit_decreasing():
     sizes = np.random.default_rng(0).integers(1, 101, 400)
     bins, offsets = first_fit_decreasing(sizes, 100)

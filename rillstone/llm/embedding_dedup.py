@@ -1,25 +1,32 @@
 """Near-duplicate vectors by random-hyperplane sign hashing in several tables.
 
 A vector's code in a table is the signs of its products with the table's hyperplanes.  Vectors
-that share a code in a table are compared exactly, as matrices; a pair counts in the first table
-that holds it together.  Buckets beyond a block's size are cut into blocks and compared block by
-block, so no pair is lost and no task or message grows with a bucket.
+that share a code in a table meet first as sketches, their first 128 signs over all tables: those
+that differ from every other by more than a linked pair may stay behind.  The rest are compared
+exactly, as matrices; a pair counts in the first table that holds it together.  Buckets beyond a
+block's size are cut into blocks and compared block by block, so no pair is lost and no task or
+message grows with a bucket.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from rillstone.llm.near_dup import _groups
 from rillstone.operators.components import star_components, union_find
-from rillstone.storage import materialize
+from rillstone.storage import materialize, remove, write_table
 
 TABLES, BITS = 32, 12
+#: Signs of a sketch, and how many standard deviations of differing signs a linked pair is granted.
+SKETCH, GRANTED = 128, 6.5
 
 
 def usual_length(vectors: DataFrame, vector_col: str) -> int:
@@ -42,10 +49,22 @@ def vectors_of(column: pa.Array | pa.ChunkedArray, dim: int) -> tuple[np.ndarray
     return rows[good], values[good]
 
 
-def _codes(vectors: np.ndarray, tables: int, bits: int) -> np.ndarray:
-    planes = np.random.default_rng(31).standard_normal((vectors.shape[1], tables * bits))
-    signs = (vectors @ planes > 0).reshape(-1, tables, bits)
-    return (signs @ (1 << np.arange(bits))).astype(np.uint16)
+def _units(values: np.ndarray) -> np.ndarray:
+    """Vectors of length 1; a vector of zeros stays one."""
+    scale = np.abs(values).max(1, keepdims=True)
+    values = values / np.where(scale > 0, scale, 1)
+    norm = np.linalg.norm(values, axis=1, keepdims=True)
+    return values / np.where(norm > 0, norm, 1)
+
+
+def _signs(units: np.ndarray, tables: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each vector's code in each table, and its sketch as two 64-bit words."""
+    planes = np.random.default_rng(31).standard_normal((units.shape[1], tables * bits))
+    signs = units @ planes > 0
+    codes = (signs.reshape(-1, tables, bits) @ (1 << np.arange(bits))).astype(np.uint16)
+    sketch = np.zeros((len(units), SKETCH), bool)
+    sketch[:, : min(SKETCH, tables * bits)] = signs[:, :SKETCH]
+    return codes, np.packbits(sketch, axis=1).view(np.int64)
 
 
 def duplicate_vectors(
@@ -55,59 +74,82 @@ def duplicate_vectors(
 
     Vectors with a cosine of at least cosine (in double precision) are linked if they share a code in
     one of the tables; none below it are.  At a cosine of 0.9 a pair is missed with probability
-    0.004 with the defaults, at 0.95 with 6e-6.  n_links counts the vectors linked directly;
-    component_id is the smallest id reachable; kept tells whether that is the row's own.  Vectors
-    that are null, zero, or hold null or non-finite components, or have another length than the
-    table's most frequent one, link with nothing.  Rows that repeat an id count as vectors of their own
-    and share their id's row results; a null id is returned with no links and takes no part.
-    Other columns are ignored.
+    0.004 with the defaults, at 0.95 with 6e-6; its sketches differ by too much with less than 1e-9.
+    n_links counts the vectors linked directly; component_id is the smallest id reachable; kept tells
+    whether that is the row's own.  Vectors that are null, zero, or hold null or non-finite
+    components, or have another length than the table's most frequent one, link with nothing.  Rows
+    that repeat an id count as vectors of their own and share their id's row results; a null id is
+    returned with no links and takes no part.  Other columns are ignored.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"))
-
     dim = usual_length(rows, "vector")
+    # vectors travel as they are stored; cosines are taken in double precision
+    stored = np.float32 if isinstance(rows.schema["vector"].dataType.elementType, FloatType) else np.float64
+    differ = math.acos(cosine) / math.pi
+    seen = min(SKETCH, tables * bits)
+    limit = seen * differ + GRANTED * math.sqrt(seen * differ * (1 - differ)) + 1
 
     def hash_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, values = vectors_of(batch.column(1), dim)
-            if not len(values):
-                continue
-            scale = np.abs(values).max(1)
-            at, values = at[scale > 0], values[scale > 0] / scale[scale > 0, None]
-            norm = np.linalg.norm(values, axis=1)
             ids = batch.column(0).take(pa.array(at))
-            here = ids.is_valid().to_numpy(zero_copy_only=False)
-            unit = (values / norm[:, None])[here]
-            if len(unit):
-                codes = _codes(unit, tables, bits)
-                yield pa.RecordBatch.from_arrays([ids.filter(pa.array(here)), pa.array([x.tobytes() for x in codes], pa.binary()), pa.array([x.tobytes() for x in unit], pa.binary())], names=["id", "codes", "unit"])
-
-    hashed = rows.mapInArrow(hash_rows, "id long, codes binary, unit binary").withColumn("copy", F.monotonically_increasing_id())
-    hashed = materialize(hashed, "hashed")
-    code = [F.xxhash64(F.expr(f"substring(codes, {2 * t + 1}, 2)"), F.lit(t)) for t in range(tables)]
-    keys = hashed.select("copy", F.posexplode(F.array(*code)).alias("t", "key"))
-    counts = keys.groupBy("t", "key").agg(F.count("*").alias("m")).where("m > 1")
-    parts = F.ceil(F.col("m") / block).cast("int")
-    mine = F.pmod(F.xxhash64("copy"), parts).cast("int")
-    dealt = keys.join(counts, ["t", "key"]).withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    dealt = dealt.select("copy", "t", "key", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), "mine")
-    full = dealt.join(hashed, "copy").select("t", "key", "p", "q", "mine", "copy", "id", "codes", "unit")
+            here = ids.is_valid().to_numpy(zero_copy_only=False) & (values != 0).any(1) if len(at) else np.zeros(0, bool)
+            if not here.any():
+                continue
+            values = values[here]
+            codes, sketch = _signs(_units(values), tables, bits)
+            places = codes.astype(np.int32) + (np.arange(tables, dtype=np.int32) << 16)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1, dtype=np.int32) * tables), pa.array(places.ravel()))
+            raw = pa.array([x.tobytes() for x in values.astype(stored)], pa.binary())
+            yield pa.RecordBatch.from_arrays([ids.filter(pa.array(here)), lists, pa.array(sketch[:, 0]), pa.array(sketch[:, 1]), raw], names=["id", "places", "s1", "s2", "raw"])
+
+    hashed = rows.mapInArrow(hash_rows, "id long, places array<int>, s1 long, s2 long, raw binary").withColumn("copy", F.monotonically_increasing_id())
+    hashed, hashed_path = write_table(hashed, "hashed")
+    keys = hashed.select("copy", "s1", "s2", F.explode("places").alias("place"))
+    large = keys.groupBy("place").agg(F.count("*").alias("m")).where(F.col("m") > block)
+    parts = F.coalesce(F.ceil(F.col("m") / block), F.lit(1)).cast("int")
+    dealt = keys.join(large, "place", "left").withColumn("parts", parts).withColumn("mine", F.pmod(F.xxhash64("copy"), F.col("parts")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    both = F.least("mine", "other").cast("long") * (1 << 31) + F.greatest("mine", "other")
+    dealt = dealt.select("place", both.alias("pq"), "mine", "copy", "s1", "s2")
+
+    def sides(table: pa.Table) -> tuple[bool, np.ndarray, np.ndarray]:
+        """Whether a block meets itself, and the rows of its two sides."""
+        p, q = divmod(table.column("pq")[0].as_py(), 1 << 31)
+        mine = table.column("mine").to_numpy()
+        return p == q, np.flatnonzero(mine == p), np.flatnonzero(mine == q)
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _groups(batches, 2):
+            itself, left, right = sides(table)
+            if table.num_rows < 2 or not len(left) or not len(right):
+                continue
+            words = [table.column(c).to_numpy().view(np.uint64) for c in ("s1", "s2")]
+            apart = sum(np.bitwise_count(w[left][:, None] ^ w[right][None, :]).astype(np.uint8) for w in words)
+            near = apart <= limit
+            if itself:
+                np.fill_diagonal(near, False)
+            keep = np.union1d(left[near.any(1)], right[near.any(0)])
+            if len(keep):
+                yield from table.select(["place", "pq", "mine", "copy"]).take(pa.array(keep)).combine_chunks().to_batches()
+
+    sifted = dealt.repartition("place", "pq").sortWithinPartitions("place", "pq").mapInArrow(sift, "place int, pq long, mine int, copy long")
+    full = sifted.join(hashed.select("copy", "id", "places", "raw"), "copy").select("place", "pq", "mine", "copy", "id", "places", "raw")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _groups(batches, 4):
-            t, p, q = (table.column(c)[0].as_py() for c in ("t", "p", "q"))
-            ids, copies, part = (table.column(c).to_numpy() for c in ("id", "copy", "mine"))
-            unit = np.frombuffer(b"".join(table.column("unit").to_pylist())).reshape(len(ids), -1)
-            left, right = np.flatnonzero(part == p), np.flatnonzero(part == q)
+        for table in _groups(batches, 2):
+            itself, left, right = sides(table)
             if not len(left) or not len(right):
                 continue
-            near = unit[left] @ unit[right].T >= cosine
-            a, b = np.nonzero(near)
+            t, ids, copies = table.column("place")[0].as_py() >> 16, table.column("id").to_numpy(), table.column("copy").to_numpy()
+            unit = _units(np.frombuffer(b"".join(table.column("raw").to_pylist()), stored).astype(np.float64).reshape(len(ids), -1))
+            a, b = np.nonzero(unit[left] @ unit[right].T >= cosine)
             a, b = left[a], right[b]
-            keep = copies[a] < copies[b] if p == q else slice(None)
+            keep = copies[a] < copies[b] if itself else slice(None)
             a, b = a[keep], b[keep]
             if t and len(a):
-                codes = np.frombuffer(b"".join(table.column("codes").to_pylist()), np.uint16).reshape(len(ids), -1)
-                first = ~(codes[a, :t] == codes[b, :t]).any(1)
+                codes = pc.list_flatten(table.column("places").combine_chunks()).to_numpy().reshape(len(ids), -1)[:, :t]
+                first = ~(codes[a] == codes[b]).any(1)
                 a, b = a[first], b[first]
             if not len(a):
                 continue
@@ -119,8 +161,9 @@ def duplicate_vectors(
             n = np.concatenate([np.zeros(int(away.sum()), np.int64), links[linked]])
             yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.array(copy), pa.array(n)], names=["u", "v", "copy", "n"])
 
-    found = full.repartition("t", "key", "p", "q").sortWithinPartitions("t", "key", "p", "q").mapInArrow(compare, "u long, v long, copy long, n long")
+    found = full.repartition("place", "pq").sortWithinPartitions("place", "pq").mapInArrow(compare, "u long, v long, copy long, n long")
     found = materialize(found, "vector-links")
+    remove(vectors.sparkSession, hashed_path)
     component = star_components(found.where("copy < 0"), "u", "v")
     links = found.where("copy >= 0").groupBy(F.col("u").alias("id"), "copy").agg(F.sum("n").alias("n")).groupBy("id").agg(F.max("n").alias("n_links"))
     out = rows.select("id").join(links, "id", "left").join(component.withColumnRenamed("node", "id"), "id", "left")

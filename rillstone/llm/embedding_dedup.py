@@ -1,7 +1,7 @@
 """Near-duplicate vectors by random-hyperplane sign hashing in several tables.
 
 A vector's code in a table is the signs of its products with the table's hyperplanes.  Vectors
-that share a code in a table meet first as sketches, their first 128 signs over all tables: those
+that share a code in a table meet first as sketches, their first 256 signs over all tables: those
 that differ from every other by more than a linked pair may stay behind.  The rest are compared
 exactly, as matrices; a pair counts in the first table that holds it together.  Buckets beyond a
 block's size are cut into blocks and compared block by block, so no pair is lost and no task or
@@ -26,7 +26,9 @@ from rillstone.storage import materialize, remove, write_table
 
 TABLES, BITS = 32, 12
 #: Signs of a sketch, and how many standard deviations of differing signs a linked pair is granted.
-SKETCH, GRANTED = 128, 6.5
+SKETCH, GRANTED = 256, 5.0
+#: Rows of a bucket up to which many buckets are sifted at once.
+FEW = 64
 
 
 def usual_length(vectors: DataFrame, vector_col: str) -> int:
@@ -58,7 +60,7 @@ def _units(values: np.ndarray) -> np.ndarray:
 
 
 def _signs(units: np.ndarray, tables: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Each vector's code in each table, and its sketch as two 64-bit words."""
+    """Each vector's code in each table, and its sketch as 64-bit words."""
     planes = np.random.default_rng(31).standard_normal((units.shape[1], tables * bits))
     signs = units @ planes > 0
     codes = (signs.reshape(-1, tables, bits) @ (1 << np.arange(bits))).astype(np.uint16)
@@ -67,6 +69,27 @@ def _signs(units: np.ndarray, tables: int, bits: int) -> tuple[np.ndarray, np.nd
     return codes, np.packbits(sketch, axis=1).view(np.int64)
 
 
+def _whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """The same rows in tables that end where a group of equal first keys columns ends."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy() for k in range(keys)]
+        change = np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in columns])) + 1
+        cut = int(change[-1]) if len(change) else 0
+        if held and (cut or any(held[-1].column(k)[-1].as_py() != columns[k][0] for k in range(keys))):
+            if cut:
+                held.append(batch.slice(0, cut))
+            yield pa.Table.from_batches(held)
+            held = []
+        elif cut:
+            yield pa.Table.from_batches([batch.slice(0, cut)])
+        held.append(batch.slice(cut))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def duplicate_vectors(
     vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = 0.9, tables: int = TABLES, bits: int = BITS, block: int = 1024
 ) -> DataFrame:
@@ -74,7 +97,7 @@ def duplicate_vectors(
 
     Vectors with a cosine of at least cosine (in double precision) are linked if they share a code in
     one of the tables; none below it are.  At a cosine of 0.9 a pair is missed with probability
-    0.004 with the defaults, at 0.95 with 6e-6; its sketches differ by too much with less than 1e-9.
+    0.004 with the defaults, at 0.95 with 6e-6; its sketches differ by too much with less than 1e-6.
     n_links counts the vectors linked directly; component_id is the smallest id reachable; kept tells
     whether that is the row's own.  Vectors that are null, zero, or hold null or non-finite
     components, or have another length than the table's most frequent one, link with nothing.  Rows
@@ -89,6 +112,8 @@ def duplicate_vectors(
     seen = min(SKETCH, tables * bits)
     limit = seen * differ + GRANTED * math.sqrt(seen * differ * (1 - differ)) + 1
 
+    words = [f"s{k}" for k in range(SKETCH // 64)]
+
     def hash_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, values = vectors_of(batch.column(1), dim)
@@ -101,17 +126,17 @@ def duplicate_vectors(
             places = codes.astype(np.int32) + (np.arange(tables, dtype=np.int32) << 16)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1, dtype=np.int32) * tables), pa.array(places.ravel()))
             raw = pa.array([x.tobytes() for x in values.astype(stored)], pa.binary())
-            yield pa.RecordBatch.from_arrays([ids.filter(pa.array(here)), lists, pa.array(sketch[:, 0]), pa.array(sketch[:, 1]), raw], names=["id", "places", "s1", "s2", "raw"])
+            yield pa.RecordBatch.from_arrays([ids.filter(pa.array(here)), lists, *(pa.array(np.ascontiguousarray(x)) for x in sketch.T), raw], names=["id", "places", *words, "raw"])
 
-    hashed = rows.mapInArrow(hash_rows, "id long, places array<int>, s1 long, s2 long, raw binary").withColumn("copy", F.monotonically_increasing_id())
+    hashed = rows.mapInArrow(hash_rows, f"id long, places array<int>, {' long, '.join(words)} long, raw binary").withColumn("copy", F.monotonically_increasing_id())
     hashed, hashed_path = write_table(hashed, "hashed")
-    keys = hashed.select("copy", "s1", "s2", F.explode("places").alias("place"))
+    keys = hashed.select("copy", *words, F.explode("places").alias("place"))
     large = keys.groupBy("place").agg(F.count("*").alias("m")).where(F.col("m") > block)
     parts = F.coalesce(F.ceil(F.col("m") / block), F.lit(1)).cast("int")
     dealt = keys.join(large, "place", "left").withColumn("parts", parts).withColumn("mine", F.pmod(F.xxhash64("copy"), F.col("parts")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     both = F.least("mine", "other").cast("long") * (1 << 31) + F.greatest("mine", "other")
-    dealt = dealt.select("place", both.alias("pq"), "mine", "copy", "s1", "s2")
+    dealt = dealt.select("place", both.alias("pq"), "mine", "copy", *words)
 
     def sides(table: pa.Table) -> tuple[bool, np.ndarray, np.ndarray]:
         """Whether a block meets itself, and the rows of its two sides."""
@@ -120,18 +145,32 @@ def duplicate_vectors(
         return p == q, np.flatnonzero(mine == p), np.flatnonzero(mine == q)
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _groups(batches, 2):
-            itself, left, right = sides(table)
-            if table.num_rows < 2 or not len(left) or not len(right):
-                continue
-            words = [table.column(c).to_numpy().view(np.uint64) for c in ("s1", "s2")]
-            apart = sum(np.bitwise_count(w[left][:, None] ^ w[right][None, :]).astype(np.uint8) for w in words)
-            near = apart <= limit
-            if itself:
-                np.fill_diagonal(near, False)
-            keep = np.union1d(left[near.any(1)], right[near.any(0)])
-            if len(keep):
-                yield from table.select(["place", "pq", "mine", "copy"]).take(pa.array(keep)).combine_chunks().to_batches()
+        for table in _whole_groups(batches, 2):
+            place, pq, mine = (table.column(c).to_numpy() for c in ("place", "pq", "mine"))
+            sketch = [table.column(c).to_numpy().view(np.uint64) for c in words]
+            first = np.flatnonzero(np.r_[True, (place[1:] != place[:-1]) | (pq[1:] != pq[:-1])])
+            size = np.diff(np.append(first, len(place)))
+            keep = np.zeros(len(place), bool)
+            # buckets of few rows, all at once: each row and the one d places behind it
+            few = np.flatnonzero((size <= FEW) & (pq[first] == 0))
+            for d in range(1, int(size[few].max(initial=1))):
+                long = few[size[few] > d]
+                count = size[long] - d
+                ends = np.cumsum(count)
+                i = np.repeat(first[long] - (ends - count), count) + np.arange(ends[-1])
+                hit = i[sum(np.bitwise_count(w[i] ^ w[i + d]).astype(np.uint16) for w in sketch) <= limit]
+                keep[hit] = keep[hit + d] = True
+            for g in np.flatnonzero((size > FEW) | (pq[first] != 0)).tolist():
+                rows_ = np.arange(first[g], first[g] + size[g])
+                p, q = divmod(int(pq[first[g]]), 1 << 31)
+                left, right = rows_[mine[rows_] == p], rows_[mine[rows_] == q]
+                near = sum(np.bitwise_count(w[left][:, None] ^ w[right][None, :]).astype(np.uint16) for w in sketch) <= limit if len(left) and len(right) else np.zeros((len(left), len(right)), bool)
+                if p == q:
+                    np.fill_diagonal(near, False)
+                keep[left[near.any(1)]] = True
+                keep[right[near.any(0)]] = True
+            if keep.any():
+                yield from table.select(["place", "pq", "mine", "copy"]).filter(pa.array(keep)).combine_chunks().to_batches()
 
     sifted = dealt.repartition("place", "pq").sortWithinPartitions("place", "pq").mapInArrow(sift, "place int, pq long, mine int, copy long")
     full = sifted.join(hashed.select("copy", "id", "places", "raw"), "copy").select("place", "pq", "mine", "copy", "id", "places", "raw")

@@ -28,6 +28,8 @@ REGISTERS, BANDS, BAND_WIDTH = 512, 32, 4
 SLACK = 0.08
 #: Pairs whose share of equal registers is this much lower still are not estimated at all.
 ROUGH = 0.1
+#: Pairs of one document that a task compares.
+SHARE = 512
 _SEEDS = np.random.default_rng(4242).integers(0, 1 << 32, 1024, dtype=np.uint32)
 
 
@@ -127,10 +129,23 @@ def _sketch_matrix(column: pa.ChunkedArray | pa.Array, registers: int) -> np.nda
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, registers)
 
 
+def _with_both(pairs: DataFrame, table: DataFrame, key: str, columns: list[str], share: int = SHARE) -> DataFrame:
+    """(a, b) with the columns of a's row in table (prefixed a_) and of b's (b_).
+
+    The pairs of one a are dealt into parts of about share, each with a copy of a's row, so that no
+    task meets all pairs of a document that very many others are compared with.
+    """
+    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / share).cast("int").alias("parts"))
+    right = pairs.join(parts, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int")).drop("parts")
+    right = right.join(table.select(F.col(key).alias("b"), *[F.col(c).alias(f"b_{c}") for c in columns]), "b")
+    left = table.select(F.col(key).alias("a"), *[F.col(c).alias(f"a_{c}") for c in columns]).join(parts, "a")
+    left = left.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    return right.join(left, ["a", "part"]).select("a", "b", *[f"{s}_{c}" for c in columns for s in ("a", "b")])
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets have 100 * intersection >= percent * union."""
-    right = pairs.join(texts.select(F.col("doc").alias("b"), F.col("text").alias("text_b")), "b")
-    both = right.join(texts.select(F.col("doc").alias("a"), F.col("text").alias("text_a")), "a").select("a", "b", "text_a", "text_b")
+    both = _with_both(materialize(pairs, "pairs"), texts, "doc", ["text"])
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
@@ -184,9 +199,7 @@ def near_duplicates(
     wanted = ["rep", "n", "sketch"]
 
     def likely(pairs: DataFrame) -> DataFrame:
-        a = nodes.select(*[F.col(c).alias(f"a_{c}") for c in wanted])
-        b = nodes.select(*[F.col(c).alias(f"b_{c}") for c in wanted])
-        full = pairs.join(a, F.col("a") == F.col("a_rep")).join(b, F.col("b") == F.col("b_rep")).select("a", "b", "a_n", "b_n", "a_sketch", "b_sketch")
+        full = _with_both(pairs, nodes, "rep", ["n", "sketch"])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -198,6 +211,7 @@ def near_duplicates(
         return full.mapInArrow(run, "a long, b long")
 
     stars = members.where("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
+    stars = materialize(stars, "stars")
     links = materialize(_verified(likely(stars), texts, width, percent), "links")
     component = star_components(links)
 

@@ -113,6 +113,12 @@ def fit_linear(x: np.ndarray, target: np.ndarray, steps: int = 600, ridge: float
     return w, b
 
 
+def slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of few rows, so that few texts are Python strings at a time."""
+    for k in range(0, batch.num_rows, rows):
+        yield batch.slice(k, rows)
+
+
 class ToxicityModel:
     """The classifier: features and voters by number, their weights and the offset."""
 
@@ -142,9 +148,10 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sides = (Counter(), Counter())
         for batch in batches:
-            for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                sides[y].update(features_of(text))
-                sides[y][""] += 1
+            for part in slices(batch):
+                for text, y in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    sides[y].update(features_of(text))
+                    sides[y][""] += 1
         for y, side in enumerate(sides):
             names = list(side)
             for k in range(0, len(names), 50_000):
@@ -168,7 +175,7 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     first = len(known)
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             hits = [hits_of(text, known, first) for text in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(hits, pa.list_(pa.int32())), batch.column(1)], names=["hits", "y"])
 
@@ -199,7 +206,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     schema = StructType([*docs.schema.fields]).add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             scores = [model.score(text) for text in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, "score"])
 

@@ -27,6 +27,8 @@ SHALLOW = 24
 WORD = 8
 #: Stretches around one anchor hash beyond which its windows are dealt out one by one.
 HOT = 1 << 15
+#: Windows sorted at a time.
+SORTED = 1 << 20
 
 
 def _by_group(key: np.ndarray, group: np.ndarray) -> np.ndarray:
@@ -157,9 +159,9 @@ def _repeated(bucket: int, messages: list[dict], hot: int) -> Iterator[tuple]:
 def _padded(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """Strings as rows of equal width, whole words: their bytes, zeros, and their length (below 256) at the end."""
     width = -(-int(length.max(initial=0)) // WORD) * WORD + WORD
-    column = np.arange(width)
-    inside = column < length[:, None]
-    rows = np.where(inside, data[np.where(inside, start[:, None] + column, 0)], 0).astype(np.uint8)
+    ended = np.append(data, np.zeros(width, np.uint8))
+    rows = np.lib.stride_tricks.sliding_window_view(ended, width)[start]
+    rows *= np.arange(width) < length[:, None]
     rows[:, -1] = length
     return rows
 
@@ -236,6 +238,26 @@ def _stretches(row: dict, id_col: str, text_col: str, n: int, buckets: int) -> I
     yield row["chunk"], -1 - row["chunk"], b"".join(parts), pack_array(np.array([len(x) for x in parts])), b""
 
 
+def _foreign(data: np.ndarray, starts: np.ndarray, holder: np.ndarray, n: int) -> np.ndarray:
+    """Which of the n-byte windows at starts an earlier holder than their own has too.
+
+    Many windows are sorted in parts by a hash of their bytes; equal ones share a part.
+    """
+    parts, out = 1 + len(starts) // SORTED, np.zeros(len(starts), bool)
+    part = np.zeros(len(starts), np.uint16)
+    for i in range(0, len(starts) if parts > 1 else 0, SORTED):
+        part[i : i + SORTED] = _window_hash(data, starts[i : i + SORTED], n) % np.uint64(parts)
+    for k in range(parts):
+        rows = np.flatnonzero(part == k)
+        if not len(rows):
+            continue
+        order, group = sort_suffixes(data, starts[rows], n)
+        rows = rows[order]
+        first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+        out[rows] = np.minimum.reduceat(holder[rows], first)[group] < holder[rows]
+    return out
+
+
 def _earliest(bucket: int, messages: list[dict], n: int) -> Iterator[tuple]:
     """For each stretch, the windows (as bits) that an earlier document than the chunk's first holder has."""
     if bucket < 0:
@@ -254,14 +276,9 @@ def _earliest(bucket: int, messages: list[dict], n: int) -> Iterator[tuple]:
     own, holder, number = order[head], np.minimum.reduceat(least[order], head), np.empty(len(order), np.int64)
     number[order] = group
     count = length[own] - n + 1
-    owner = np.repeat(np.arange(len(own)), count)
-    inside = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-    order, group = sort_suffixes(data, begin[own][owner] + inside, n)
-    first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
-    earliest = np.minimum.reduceat(holder[owner[order]], first)[group]
-    earlier = np.zeros(len(owner), np.uint32)
-    earlier[order] = earliest < holder[owner[order]]
-    bits = np.bitwise_or.reduceat(earlier << inside.astype(np.uint32), np.cumsum(count) - count)[number]
+    inside = (np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)).astype(np.uint8)
+    earlier = _foreign(data, np.repeat(begin[own], count) + inside, np.repeat(holder, count), n).astype(np.uint32)
+    bits = np.bitwise_or.reduceat(earlier << inside, np.cumsum(count) - count)[number]
     every = ((np.uint64(1) << count.astype(np.uint64)) - np.uint64(1)).astype(np.uint32)[number]
     bits = np.where(least > holder[number], every, bits)
     for m, x in zip(messages, np.split(bits, np.cumsum([len(x) for x in sizes])[:-1]), strict=True):
@@ -328,10 +345,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.select(["payload", "found"]).to_pylist():
-                table = table_of(row["payload"])
+            for payload, found in zip(batch.column("payload"), batch.column("found"), strict=True):
+                table = table_of(payload.as_py())
                 raw, starts = texts_of(table.column(text_col))
-                gone = _covered(len(raw), row["found"] or [], n)
+                gone = _covered(len(raw), found.as_py() or [], n)
                 total = np.concatenate([[0], np.cumsum(gone)])
                 edge = np.r_[gone[:1], gone[1:] & ~gone[:-1]] if len(gone) else gone
                 edge = edge.copy()

@@ -421,3 +421,21 @@ def test_an_odd_length_at_the_head_drops_no_other_vector(spark):
     assert got[0]["n_links"] == got[1]["n_links"] == 1 and got[1000]["n_links"] == 0
     found = top_k_search(table, table, k=3, pivots=4, part_rows=16).collect()
     assert {r["query_id"] for r in found} == set(range(40)) and 1000 not in {r["vec_id"] for r in found}
+
+
+def test_windows_sorted_in_parts_find_the_same_earlier_holders(monkeypatch):
+    from rillstone.llm import suffix_dedup as X
+
+    rng = np.random.default_rng(12)
+    data = np.frombuffer(rng.choice(list(b"ab"), 400).astype(np.uint8).tobytes() * 3, np.uint8)
+    starts = np.arange(len(data) - 50)
+    holder = rng.integers(0, 9, len(starts))
+    least: dict[bytes, int] = {}
+    windows = [data[a : a + 50].tobytes() for a in starts]
+    for w, h in zip(windows, holder.tolist(), strict=True):
+        least[w] = min(h, least.get(w, h))
+    expected = [least[w] < h for w, h in zip(windows, holder.tolist(), strict=True)]
+    for most in (1 << 20, 100):
+        monkeypatch.setattr(X, "SORTED", most)
+        assert X._foreign(data, starts, holder, 50).tolist() == expected
+    assert X._foreign(data, starts[:0], holder[:0], 50).tolist() == []

@@ -316,11 +316,14 @@ def enforce_rivers(cells: DataFrame, n_rows: int, n_cols: int, heights: Sequence
     return streams.select("r", "c", F.col("low").alias("z"), code.alias("code")).transform(lambda d: water_floor(d, -1000.0, -500.0)).withColumnRenamed("z", "z_water").join(cells, ["r", "c"])
 
 
-def reservoir_barrier(cells: DataFrame, reservoirs: DataFrame, unit: DataFrame, n_cols: int, metres: float, dx_m: float, dy_m: float, step: float, height: float) -> DataFrame:
-    """z raised by height on pieces of the unit's rim that a reservoir crosses where the rim's water is step above the reservoir.
+def reservoir_barrier(cells: DataFrame, reservoirs: DataFrame, unit: DataFrame, n_cols: int, metres: float, dx_m: float, dy_m: float, step: float, height: float, min_area: float = 3e6) -> DataFrame:
+    """z raised by height on pieces of the unit's rim that a reservoir of at least min_area square metres crosses where the
+    rim's water is step above the reservoir.
 
     reservoirs has r, c, zone; unit r, c; the rim is the ring between the unit and its inset.
     """
+    large = reservoirs.groupBy("zone").agg((F.count("*") * (dx_m * dy_m)).alias("_a")).where(F.col("_a") >= min_area).select("zone")
+    reservoirs = reservoirs.join(large, "zone", "left_semi")
     inner = inset_cells(unit, metres, dx_m, dy_m)
     rim = unit.select("r", "c").join(inner, ["r", "c"], "left_anti")
     crossing = reservoirs.join(rim, ["r", "c"], "left_semi")

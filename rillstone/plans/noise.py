@@ -49,9 +49,12 @@ def adaptive_filter(
     return found.withColumns({"filter_mask": F.when(edited, 1).otherwise(F.col("_mask")), "filtered": F.when(keep, raw).otherwise(F.col("_pick"))}).select(*cells.columns, "filtered", "filter_mask")
 
 
-def noise_removal(cells: DataFrame, cube: DataFrame, value: str, dx: float, dy: float, n_rows: int, n_cols: int, halo: int = 0, swo_cutoff: int = 10) -> DataFrame:
-    """The plan of a tile on cells with swo, edm, tc, th: bias off, adaptive filter, final slope, halo off."""
+def noise_removal(cells: DataFrame, cube: DataFrame, value: str, dx: float, dy: float, n_rows: int, n_cols: int, halo: int = 0, swo_cutoff: int = 10, artifact: Column | None = None) -> DataFrame:
+    """The plan of a tile on cells with swo, edm, tc, th: bias off, adaptive filter, final slope, halo off.
+
+    Cells of artifact (see artifact_mask) keep their unbiased height.
+    """
     water = F.col("edm").isin(2, 3)
     clean = apply_bias_3d(cells, cube, value, dx, dy, n_rows, n_cols, water).drop("bias")
-    kept = adaptive_filter(clean, "corrected", dx, dy, n_rows, n_cols, water=F.col("swo") > swo_cutoff, edited=water, fill=F.col("edm") == 5)
+    kept = adaptive_filter(clean, "corrected", dx, dy, n_rows, n_cols, water=F.col("swo") > swo_cutoff, edited=water, fill=F.col("edm") == 5, artifact=artifact)
     return trim_halo(slope_d2(kept, "filtered", dx, dy, out="slope"), halo, n_rows, n_cols)

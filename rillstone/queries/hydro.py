@@ -263,7 +263,7 @@ def h28(spark, sf):
 @query("h29_reservoir_barrier")
 def h29(spark, sf):
     cells = stream_cells(spark, sf)
-    return H.reservoir_barrier(cells, low(spark, sf), cells.select("r", "c"), 64, 150.0, 80.0, 100.0, 20.0, 100_000).select("r", "c", "z", "wall")
+    return H.reservoir_barrier(cells, low(spark, sf), cells.select("r", "c"), 64, 150.0, 80.0, 100.0, 20.0, 100_000, min_area=160_000.0).select("r", "c", "z", "wall")
 
 
 @query("h30_noflow_wall", f"""

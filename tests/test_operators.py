@@ -215,3 +215,25 @@ def test_nearest_points_with_more_columns(spark):
     points = spark.createDataFrame([(1, 0.0, 0.0, 5.0, "a"), (2, 100.0, 0.0, 7.0, "b")], "pid long, x double, y double, z double, name string")
     queries = spark.createDataFrame([(1, 40.0, 0.0)], "qid long, x double, y double")
     assert [(r["pid"], r["rank"]) for r in S.nearest_points(points, queries, 2, 1.0).orderBy("rank").collect()] == [(1, 1), (2, 2)]
+
+
+def test_small_reservoirs_get_no_barrier(spark):
+    z = np.zeros((12, 12))
+    z[3, 0] = z[8, 0] = 50
+    cells = cells_of(spark, z)
+    held = spark.createDataFrame([(3, c, 1) for c in range(9)] + [(8, c, 2) for c in range(3)], "r long, c long, zone long")
+    walls = {}
+    for least in (0.0, 5e4, 1e6):
+        out = H.reservoir_barrier(cells, held, cells.select("r", "c"), 12, 100.0, 100.0, 100.0, 20.0, 1000.0, min_area=least)
+        walls[least] = {(r["r"], r["c"], r["z"]) for r in out.where("wall = 1").collect()}
+    assert walls == {0.0: {(3, 0, 1050.0), (8, 0, 1050.0)}, 5e4: {(3, 0, 1050.0)}, 1e6: set()}
+
+
+def test_noise_removal_leaves_artifacts(spark, hills):
+    from rillstone.plans.noise import noise_removal
+
+    cells = cells_of(spark, hills).withColumns({"swo": F.lit(0), "edm": F.lit(0), "tc": F.lit(0), "th": F.lit(0)})
+    cube = spark.createDataFrame([(0, 10, 1, 1.0)], "slope int, tc int, th int, bias double")
+    out = noise_removal(cells, cube, "z", 1000.0, 1200.0, *hills.shape, artifact=F.col("c") < 5)
+    got = grid_of(out, "filtered", hills.shape)
+    assert np.array_equal(got[:, :5], hills[:, :5]) and not np.array_equal(got[:, 5:], hills[:, 5:])

@@ -478,5 +478,5 @@ def a08(spark, sf):
 @query("a10_read_write_features", "SELECT fid, r0, c0, r1, c1 FROM features WHERE fclass = 'river'", FEATURES)
 def a10(spark, sf):
     path = new_path(spark, "features")
-    A.write_partitioned(features(spark, sf), path, "fclass")
+    A.write_features(features(spark, sf), path, "fclass")
     return A.read_features(spark, path, "fclass = 'river'").select("fid", "r0", "c0", "r1", "c1")

@@ -79,6 +79,14 @@ def read_pit_catalog(spark: SparkSession, path: str, schema: StructType) -> Data
     return spark.read.schema(schema).parquet(path)
 
 
+def write_features(features: DataFrame, path: str, by: str) -> None:
+    """Features as Parquet in a folder for each value of the column by, which a filter on it reads alone.
+
+    A value's rows stay in as many files as tasks hold them, so a frequent value has no task of its own.
+    """
+    features.write.mode("overwrite").partitionBy(by).parquet(path)
+
+
 def read_features(spark: SparkSession, path: str, where: str | None = None) -> DataFrame:
     table = spark.read.parquet(path)
     return table if where is None else table.where(where)

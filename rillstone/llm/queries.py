@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rillstone.llm.bag_search import ranked_search
 from rillstone.llm.embedding_dedup import duplicate_vectors
 from rillstone.llm.line_dedup import drop_common_lines
 from rillstone.llm.near_dup import near_duplicates
@@ -72,6 +73,10 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk_search": op1_topk_search,
     "op2_packing": op2_packing,
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_sharding": op9_sharding,
     "op10_near_dup": op10_near_dup,
+    "op11_ranked_search": op11_ranked_search,
 }
 
 SQL: dict[str, str] = {
@@ -141,4 +147,20 @@ SQL: dict[str, str] = {
         least_of AS (SELECT a, min(b) AS m FROM reach GROUP BY a)
         SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id, doc_id <= coalesce(m, doc_id) AS kept
         FROM sets LEFT JOIN least_of ON a = doc_id""",
+    "op11_ranked_search": r"""
+        WITH cut AS (
+          SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+        asked AS (
+          SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+        whole AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(len(t)) AS BIGINT) AS total FROM cut WHERE len(t) > 0),
+        counts AS (SELECT row, doc_id, len(t) AS n, term, count(*) AS tf FROM (SELECT row, doc_id, t, unnest(t) AS term FROM cut) u GROUP BY ALL),
+        weights AS (
+          SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * docs + 2) / (2.0::DOUBLE * count(*) + 1))) AS BIGINT) AS w
+          FROM counts, whole WHERE term IN (SELECT term FROM asked) GROUP BY term, docs),
+        parts AS (
+          SELECT row, doc_id, c.term, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // total))) AS s
+          FROM counts c JOIN weights USING (term), whole),
+        scores AS (SELECT item_id, row, doc_id, CAST(sum(s) AS BIGINT) AS score FROM asked JOIN parts USING (term) GROUP BY ALL),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0 AND doc_id IS NOT NULL AND item_id IS NOT NULL)
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 50""",
 }

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillstone.llm.bag_search import ranked_search
+from rillstone.llm.collocations import collocations
 from rillstone.llm.embedding_dedup import duplicate_vectors
 from rillstone.llm.line_dedup import drop_common_lines
 from rillstone.llm.near_dup import near_duplicates
@@ -77,6 +78,10 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk_search": op1_topk_search,
     "op2_packing": op2_packing,
@@ -89,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sharding": op9_sharding,
     "op10_near_dup": op10_near_dup,
     "op11_ranked_search": op11_ranked_search,
+    "op12_collocations": op12_collocations,
 }
 
 SQL: dict[str, str] = {
@@ -163,4 +169,26 @@ SQL: dict[str, str] = {
         scores AS (SELECT item_id, row, doc_id, CAST(sum(s) AS BIGINT) AS score FROM asked JOIN parts USING (term) GROUP BY ALL),
         ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0 AND doc_id IS NOT NULL AND item_id IS NOT NULL)
         SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 50""",
+    "op12_collocations": r"""
+        WITH pieces AS (
+          SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+        cut AS (SELECT lang, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+        grams AS (
+          SELECT lang, unnest(w) AS p, 1 AS size FROM cut
+          UNION ALL SELECT lang, unnest(list_transform(range(1, len(w)), lambda i: array_to_string(w[i:i + 1], ' '))), 2 FROM cut
+          UNION ALL SELECT lang, unnest(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))), 3 FROM cut),
+        f AS (SELECT lang, p, size, count(*) AS f FROM grams GROUP BY ALL),
+        totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang),
+        candidates AS (SELECT lang, p, size, f AS a, string_split(p, ' ') AS w FROM f WHERE size > 1 AND f >= 10),
+        cuts AS (SELECT *, unnest(range(1, size)) AS k FROM candidates),
+        scored AS (
+          SELECT c.lang, c.p, c.size, c.a, c.k, l.f AS l, r.f AS r, CAST((1000000::HUGEINT * c.a * c.a) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+          FROM cuts c JOIN f l ON l.lang = c.lang AND l.p = array_to_string(c.w[1:c.k], ' ') JOIN f r ON r.lang = c.lang AND r.p = array_to_string(c.w[c.k + 1:c.size], ' ')),
+        lowest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, p ORDER BY score, k) AS i FROM scored) s WHERE i = 1),
+        around AS (
+          SELECT lang, p, max(a) AS longer FROM (
+            SELECT lang, array_to_string(w[1:2], ' ') AS p, a FROM candidates WHERE size = 3 UNION ALL SELECT lang, array_to_string(w[2:3], ' '), a FROM candidates WHERE size = 3) x GROUP BY ALL),
+        kept AS (SELECT s.* FROM lowest s LEFT JOIN around o ON o.lang = s.lang AND o.p = s.p WHERE o.longer IS NULL OR 100 * o.longer < 50 * s.a),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p) AS rank FROM kept)
+        SELECT r.lang, rank, p AS phrase, a, l, r, n, score FROM ranked r JOIN totals t ON t.lang = r.lang WHERE rank <= 2000""",
 }

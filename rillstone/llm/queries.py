@@ -14,6 +14,7 @@ from rillstone.llm.embedding_dedup import duplicate_vectors
 from rillstone.llm.line_dedup import drop_common_lines
 from rillstone.llm.near_dup import near_duplicates
 from rillstone.llm.packing import pack_documents
+from rillstone.llm.quality import score_quality
 from rillstone.llm.sentencepiece_codec import codec_report
 from rillstone.llm.sharding import shard_documents
 from rillstone.llm.suffix_dedup import remove_repeats
@@ -82,6 +83,11 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(_table(spark, sf_dir, "documents"))
 
 
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_quality(docs, _table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk_search": op1_topk_search,
     "op2_packing": op2_packing,
@@ -95,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_near_dup": op10_near_dup,
     "op11_ranked_search": op11_ranked_search,
     "op12_collocations": op12_collocations,
+    "op13_quality": op13_quality,
 }
 
 SQL: dict[str, str] = {

@@ -25,13 +25,13 @@ from rillstone.llm.kernels import BASE, BYTE_CODES, LOWER, blocks, mix
 from rillstone.storage import materialize, remove, write_table
 
 #: Text in a block: so few words that numbers of three fit into 63 bits, unless words are very short.
-BLOCK_BYTES = 10 << 20
+BLOCK_BYTES = 6 << 20
 #: Documents of the sample about, words that get a short code, cells that the sample's loads are kept in.
 SAMPLE, SHORT, LOADS = 4096, 65_534, 1 << 16
 #: A cell of words may fill this share of a part; a fuller one is dealt to several.
 FULL = 0.25
 #: Windows that a part holds before it adds equal ones together.
-HELD = 1 << 21
+HELD = 1 << 20
 #: A phrase is common if its count is this share of all words, so that each length has at most COMMON of them.
 COMMON = 4096
 _BREAK = np.zeros(256, bool)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rillstone.operators.components import star_components
 from rillstone.operators.focal import box_any
 from rillstone.operators.spatial import sequential_id
+from rillstone.operators.tiles import tile_labels
 
 STEPS_4 = [(0, 1), (1, 0)]
 STEPS_8 = [*STEPS_4, (1, 1), (1, -1)]
@@ -20,19 +21,18 @@ def label(cells: DataFrame, mask: Column, n_cols: int, connectivity: int = 8, ke
     """(keys..., r, c, out) for masked cells; out is the zone's least linear index r * n_cols + c.
 
     With keys (short integers such as a step number), cells meet only within equal keys, and the
-    index counts them in front.
+    index counts them in front.  Tiles are labelled on their own; only where zones cross from tile to
+    tile do their parts meet as edges of a graph.
     """
     on = [*keys, "r", "c"]
     index = F.col("r") * n_cols + F.col("c")
     for k in reversed(keys):
         index = index + F.col(k).cast("long") * (1 << 40)
     held = cells.where(mask).select(*on).withColumn("_id", index.cast("long"))
-    steps = STEPS_4 if connectivity == 4 else STEPS_8
-    sent = held.withColumn("_s", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in steps])))
-    sent = sent.select(*keys, (F.col("r") + F.col("_s.i")).alias("r"), (F.col("c") + F.col("_s.j")).alias("c"), F.col("_id").alias("a"))
-    edges = sent.join(held.withColumnRenamed("_id", "b"), on).select("a", "b")
-    found = held.join(star_components(edges).select(F.col("node").alias("_id"), "component"), "_id", "left")
-    return found.select(*on, F.coalesce("component", "_id").alias(out))
+    parts, edges = tile_labels(held, n_cols, STEPS_4 if connectivity == 4 else STEPS_8, keys)
+    # a part lies within one tile, so no part has very many cells
+    found = parts.join(star_components(edges).select(F.col("node").alias("local"), "component"), "local", "left")
+    return found.select(*on, F.coalesce("component", "local").alias(out))
 
 
 def dense_labels(zones: DataFrame, zone: str = "zone", out: str = "label") -> DataFrame:

@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from rillstone.operators.components import union_find
 from rillstone.storage import materialize
@@ -22,25 +23,25 @@ SIDE = 256
 
 
 def to_tiles(cells: DataFrame, halo: int, side: int = SIDE) -> DataFrame:
-    """cells with tr and tc, the place of a tile; once for each tile that holds them or has them in its halo."""
+    """cells with _tile_r and _tile_c, the place of a tile; once for each tile that holds them or has them in its halo."""
 
     def places(name: str) -> F.Column:
         x = F.col(name)
         return F.explode(F.sequence(F.floor((x - halo) / side), F.floor((x + halo) / side))) if halo else F.floor(x / side)
 
-    return cells.withColumn("tr", places("r")).withColumn("tc", places("c"))
+    return cells.withColumn("_tile_r", places("r")).withColumn("_tile_c", places("c"))
 
 
-def map_tiles(cells: DataFrame, halo: int, fn: Callable[[pa.Table, int, int], pa.Table | None], schema: str, keys: Sequence[str] = (), side: int = SIDE) -> DataFrame:
+def map_tiles(cells: DataFrame, halo: int, fn: Callable[[pa.Table, int, int], pa.Table | None], schema: str | StructType, keys: Sequence[str] = (), side: int = SIDE) -> DataFrame:
     """fn(a tile's rows, its first r, its first c) for each tile of each grid; None returns nothing."""
     empty = cells.sparkSession.createDataFrame([], schema).limit(0).toArrow().schema
 
     def run(table: pa.Table) -> pa.Table:
-        at = table.column("tr")[0].as_py() * side, table.column("tc")[0].as_py() * side
-        out = fn(table.drop_columns(["tr", "tc"]), *at)
+        at = table.column("_tile_r")[0].as_py() * side, table.column("_tile_c")[0].as_py() * side
+        out = fn(table.drop_columns(["_tile_r", "_tile_c"]), *at)
         return empty.empty_table() if out is None else out.cast(empty)
 
-    return to_tiles(cells, halo, side).groupBy(*keys, "tr", "tc").applyInArrow(run, schema)
+    return to_tiles(cells, halo, side).groupBy(*keys, "_tile_r", "_tile_c").applyInArrow(run, schema)
 
 
 def places_of(table: pa.Table, r0: int, c0: int, halo: int) -> tuple[np.ndarray, np.ndarray]:

@@ -139,7 +139,7 @@ def around(cells: DataFrame, pieces: DataFrame, reach: int, zone: str = "zone",
     """
     both = cells.withColumn(zone, F.lit(None).cast("long")).unionByName(pieces.select(F.col(zone).cast("long").alias(zone), "r", "c"), allowMissingColumns=True)
     schema = f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in cells.schema)}, {zone} long, d int"
-    width = side + 2 * reach
+    width, names_in = side + 2 * reach, cells.columns
 
     def run(table: pa.Table, r0: int, c0: int) -> pa.Table | None:
         i, j = places_of(table, r0, c0, reach)
@@ -152,7 +152,7 @@ def around(cells: DataFrame, pieces: DataFrame, reach: int, zone: str = "zone",
         mine = np.flatnonzero(piece)
         if not len(mine) or not len(inner):
             return None
-        z = zones.to_numpy(zero_copy_only=False)[mine].astype(np.int64) if hasattr(zones, "to_numpy") else zones
+        z = zones.take(pa.array(mine)).to_numpy()
         order = np.argsort(z, kind="stable")
         mine, z = mine[order], z[order]
         cuts = [*np.flatnonzero(np.r_[True, z[1:] != z[:-1]]).tolist(), len(z)]
@@ -177,6 +177,6 @@ def around(cells: DataFrame, pieces: DataFrame, reach: int, zone: str = "zone",
             names.append(np.full(int(found.sum()), z[a]))
         rows = np.concatenate(rows)
         out = table.drop_columns([zone]).take(pa.array(rows)).append_column(zone, pa.array(np.concatenate(names))).append_column("d", pa.array(np.concatenate(far).astype(np.int32)))
-        return out.select([*[f.name for f in cells.schema], zone, "d"])
+        return out.select([*names_in, zone, "d"])
 
     return map_tiles(both, reach, run, schema, (), side)

@@ -8,6 +8,7 @@ from rillstone.functions import scalar as S
 from rillstone.operators import depressions as I
 from rillstone.operators import drainage as J
 from rillstone.operators import focal as K
+from rillstone.operators import ladders as L
 from rillstone.operators import water as H
 from rillstone.plans.noise import KERNELS, adaptive_filter
 from rillstone.queries.focal import NEAR, _gradient, _pad, _round, ring_sql
@@ -15,7 +16,7 @@ from rillstone.queries.registry import query
 from rillstone.queries.spatial import SLICE, cube
 from rillstone.queries.zones import ROUNDS, feature_cells, labels_sql, low
 from rillstone.sources import catalog as A
-from rillstone.sources.fixtures import FEATURES, LAYERS, SAMPLES, UNITS, features, layers, table, units
+from rillstone.sources.fixtures import FEATURES, LAYERS, SAMPLES, UNITS, features, layers, table, units, valley
 from rillstone.storage import materialize, new_path
 
 
@@ -229,17 +230,17 @@ def h22(spark, sf):
 
 @query("h23_lower_river_below_land")
 def h23(spark, sf):
-    return H.height_ladder(stream_cells(spark, sf), F.col("swo") > 60, [-60.0, -80.0, -100.0], 64, 5).select("r", "c", _round("low", 4).alias("low"), "code")
+    return L.lower_river_below_land(valley(spark, sf), 64).select("r", "c", _round("z", 4).alias("z"), "code")
 
 
 @query("h24_monotonic_streams")
 def h24(spark, sf):
-    return H.monotonic_pieces(stream_cells(spark, sf), F.col("swo") > 55, [-40.0, -60.0], 64, 2, 200, 13).select("r", "c", _round("low", 4).alias("low"), "code")
+    return L.monotonic_streams(valley(spark, sf), 64).select("r", "c", _round("z", 4).alias("z"), "code")
 
 
 @query("h25_monotonic_rivers")
 def h25(spark, sf):
-    return H.monotonic_pieces(stream_cells(spark, sf), F.col("swo") > 65, [-80.0, -100.0], 64, 4, 400, 7, 3).select("r", "c", _round("low", 4).alias("low"), "code")
+    return L.monotonic_rivers(valley(spark, sf), 64).select("r", "c", _round("z", 4).alias("z"), "code")
 
 
 @query("h26_water_floor", "SELECT r, c, CASE WHEN th BETWEEN 1 AND 7 OR th = 15 THEN greatest(z_mm, -100) WHEN th BETWEEN 8 AND 14 THEN greatest(z_mm, -50) ELSE z_mm END AS z FROM layers", LAYERS)

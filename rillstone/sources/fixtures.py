@@ -102,3 +102,19 @@ WITH features AS (
     CASE WHEN p_size % 11 = 0 THEN 'reservoir' END landuse, p_name other_tags,
     p_partkey % 500 r0, p_partkey % 60 c0,
     p_partkey % 500 + p_size % 9 + 2 r1, p_partkey % 60 + p_size % 4 + 1 c1 FROM part)"""
+
+
+def valley(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Water in a valley, heights in millimetres with the layers' noise: a river that zigzags, a stream down one side, humps
+    on both, and reaches where the land lies below the river.  code is the water class."""
+    cells = layers(spark, sf_dir).select("r", "c", "z_mm", "swo")
+    t = F.pmod("r", F.lit(96))
+    off = F.abs(F.col("c") - (12 + F.when(t < 48, t).otherwise(96 - t) * F.lit(0.9)))
+    river, bank, stream = off <= 4, off <= 6, F.col("c") == 2
+    hump = F.when(F.pmod("r", F.lit(48)).between(12, 34) & (F.pmod(F.floor(F.col("r") / 48), F.lit(4)) != 3), 3000).otherwise(0)
+    ridge = F.when(F.pmod("r", F.lit(40)).between(10, 25), 7000).otherwise(0)
+    fall, noise = 10_000 - 3 * F.col("r"), F.pmod("z_mm", F.lit(40))
+    land = F.when((F.col("c") > 6) & (F.pmod(F.floor(F.col("r") / 96), F.lit(3)) == 2), fall - 2000).otherwise(fall + 15_000)
+    z = F.when(river, fall + hump).when(stream, fall + ridge).otherwise(land) + noise
+    code = F.when(river & (F.pmod("r", F.lit(192)) > 184), 3).when(river, 4).when(bank, 2).when(stream, 8).otherwise(0)
+    return cells.select("r", "c", z.cast("long").alias("z"), "swo", code.cast("int").alias("code"))

@@ -270,12 +270,14 @@ def partial_fills(cells: DataFrame, pits: DataFrame, pit_cells: DataFrame, inter
     """Every way to solve each pit (pit, solution, volume), and the cells that it writes (pit, solution, r, c, value).
 
     pits has pit, maxfill, volfill; pit_cells has pit, r, c, z, filled.  The ways are filling wholly
-    (2003), carving wholly (1003), and for each fraction f below 1 in steps of interval (at least
-    0.001) the fill lowered by maxfill * (1 - f), not below ground, with a carve from the lowest cell
+    (2003), carving wholly (1003), and for each fraction f below 1 in steps of interval (0.1 or
+    more, so that each has a code of its own) the fill lowered by maxfill * (1 - f), not below ground, with a carve from the lowest cell
     of that surface (3000 + 10 f).  Partial fills stand only where the pit has no carve of its own,
     which would lie below any of them.  A way without a carve, or with one deeper than max_depth below ground,
     drops out.  The volume is that of all changes of height, carved cells of the pit counted once.
     """
+    if interval < 0.1:
+        raise ValueError("fractions closer than 0.1 would share a code")
     steps = F.sequence(F.lit(0), F.lit(round(1 / interval) - 1))
     plans = pit_cells.join(pits.select("pit", "maxfill"), "pit").withColumn("k", F.explode(steps)).withColumn("f", F.col("k") * interval)
     plans = plans.withColumn("level", F.greatest(F.col("z").cast("double"), F.col("filled") - F.col("maxfill") * (1 - F.col("f"))))
@@ -326,18 +328,33 @@ def empty_units(cells: DataFrame, unit: str, value: str) -> DataFrame:
 
 def condition_unit(
     cells: DataFrame, n_cols: int, shallow: float, radius: int = 20, limits: SolutionLimits = SolutionLimits(), walls: DataFrame | None = None, wall_height: float = 0.0, wall_floors: dict[int, float] | None = None,
-    sinks: DataFrame | None = None, lake_step: float | None = None, interval: float = 0.2,
+    sinks: DataFrame | None = None, lake_step: float | None = None, interval: float = 0.2, metre: float | None = None, reservoirs: DataFrame | None = None, cell_metres: tuple[float, float] = (12.0, 12.0),
+    rim_metres: float = 150.0, heights: Sequence[float] | None = None,
 ) -> DataFrame:
     """The conditioning of a grid with z and water (0/1); adds solved, code and final.
 
-    In order: single-cell pits; walls (r, c, wall) raised by wall_height; fill and pits; pits with lakes
+    If metre, the units of height in one, is given, cells has swo and class too, the water class, and the river steps
+    take part.  In order: single-cell pits; humps of rivers lowered and narrow rivers brought to their window's
+    minimum (river steps); barriers where reservoirs (r, c, zone) cross the grid's rim; walls (r, c, wall) raised by wall_height; fill and pits; pits with lakes
     raised by lake_step above the lake; shallow pits; carves and the fill behind them; catalog; choice;
     application; the pits left over (4000) filled in part and carved, if that is less than filling
-    them; walls taken off (with wall_floors); the last fill, with no height at sinks (r, c).
+    them; walls taken off (with wall_floors); small streams and rivers raised above large ones beside them (river
+    steps); the last fill, with no height at sinks (r, c) and barriers.
     """
-    from rillstone.operators.water import noflow_wall, remove_wall
+    from rillstone.operators.ladders import monotonic_rivers
+    from rillstone.operators.water import noflow_wall, raise_small, remove_wall, reservoir_barrier, river_minimize
 
     start = single_cell_pits(cells, "z", "_z").withColumn("z", F.col("_z")).drop("_z")
+    if metre is not None:
+        mono = monotonic_rivers(materialize(start.withColumnRenamed("class", "code"), "unit-start"), n_cols, None, metre, radius, heights=heights).withColumnRenamed("code", "class")
+        river = river_minimize(materialize(mono, "unit-mono").withColumn("river", F.col("class").between(4, 7).cast("int")), 2, 15 * metre)
+        start = river.withColumn("z", F.col("low").cast("double")).drop("low", "river")
+    barrier = None
+    if reservoirs is not None:
+        start = materialize(start, "unit-open")
+        raised = reservoir_barrier(start, reservoirs, start.select("r", "c"), n_cols, rim_metres, *cell_metres, 20 * (metre or 1.0), limits.max_carve_depth)
+        barrier = materialize(raised.where("wall = 1").select("r", "c"), "unit-barrier")
+        start = raised.drop("wall")
     if walls is not None:
         start = noflow_wall(start, walls, wall_height)
     filled = materialize(fill_depressions(materialize(start, "unit"), "z", n_cols), "unit-filled")
@@ -370,7 +387,14 @@ def condition_unit(
     if walls is not None:
         bare = remove_wall(out.withColumns({"fill": F.col("solved") - F.col("z"), "z": F.col("solved")}), wall_floors or {}, 0.0, 0.0)
         out = bare.withColumn("solved", F.col("z")).drop("fill", "wall", "base")
+    if metre is not None:
+        # small waters beside rivers end above them: streams, then narrow rivers beside wide ones
+        for small, large in ((F.col("class").between(8, 10) | (F.col("class") == 13), F.col("class").between(4, 7)), (F.col("class").between(4, 7) & (F.col("swo") < 50), F.col("class").between(4, 7) & (F.col("swo") >= 90))):
+            raised = raise_small(out.withColumn("z", F.col("solved").cast("double")), small, large, 2, 0.4 * metre, 5 * metre)
+            out = materialize(raised.withColumn("solved", F.col("raised").cast("double")).drop("raised"), "unit-raised")
     final = fill_depressions(materialize(out.withColumn("z", F.col("solved")), "unit-out"), "solved", n_cols, out="final")
+    if barrier is not None:
+        sinks = barrier if sinks is None else sinks.select("r", "c").unionByName(barrier).distinct()
     if sinks is not None:
         final = final.join(sinks.select("r", "c", F.lit(True).alias("_k")), ["r", "c"], "left").withColumn("final", F.when(F.col("_k").isNull(), F.col("final"))).drop("_k")
     return final

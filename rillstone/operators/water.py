@@ -258,64 +258,6 @@ def all_water_unit(cells: DataFrame, unit: str, cutoff: float, depth: float, sha
     return out.withColumn("z_new", F.when(F.col("_all"), F.col("z") - swo_burn(F.col("swo"), cutoff, depth)).otherwise(F.col("z").cast("double"))).withColumn("code", F.when(F.col("_all"), 3).otherwise(0)).drop("_all")
 
 
-def height_ladder(cells: DataFrame, water: Column, heights: Sequence[float], n_cols: int, min_cells: int, min_banks: int = 2, drop: float = 0.0) -> DataFrame:
-    """Adds low and code: river pieces that stand above land are lowered, step by step along a ladder of heights.
-
-    At each height h the cells of water at or above it form pieces; a piece of at least min_cells with
-    at least min_banks cells of land around it that lie lower than its lowest quarter falls to that
-    land's lowest twentieth minus drop (code 5).  Later steps see what earlier ones have lowered, so
-    steps run one after another; each is one plan and its cells a table in the shared folder.
-    """
-    from rillstone.operators.zones import zone_border
-    from rillstone.storage import materialize
-
-    now = materialize(cells.select("r", "c", F.col("z").cast("double").alias("low"), water.cast("int").alias("_w"), F.lit(0).alias("code")), "ladder")
-    for h in sorted(heights, reverse=True):
-        pieces = label(now, (F.col("_w") == 1) & (F.col("low") >= h), n_cols)
-        inside = pieces.join(now, ["r", "c"]).groupBy("zone").agg(F.count("*").alias("n"), F.percentile("low", F.lit(0.25)).alias("q"))
-        ring = zone_border(pieces, "zone").join(now, ["r", "c"]).where("_w = 0")
-        land = ring.groupBy("zone").agg(F.count("*").alias("banks"), F.percentile("low", F.lit(0.05)).alias("p"))
-        fall = inside.join(land, "zone").where((F.col("n") >= min_cells) & (F.col("banks") >= min_banks) & (F.col("q") > F.col("p") - drop)).select("zone", (F.col("p") - drop).alias("to"))
-        changed = pieces.join(fall, "zone").select("r", "c", "to")
-        now = now.join(changed, ["r", "c"], "left").select("r", "c", F.least("low", F.coalesce("to", "low")).alias("low"), "_w", F.when(F.col("to") < F.col("low"), 5).otherwise(F.col("code")).alias("code"))
-        now = materialize(now, "ladder")
-    return cells.join(now.select("r", "c", "low", "code"), ["r", "c"])
-
-
-def monotonic_pieces(cells: DataFrame, water: Column, heights: Sequence[float], n_cols: int, min_cells: int, max_cells: int, code: int, min_ends: int = 2) -> DataFrame:
-    """Adds low and code: raised pieces of a stream or river between lower parts of it fall to the highest adjacent water.
-
-    A piece (water at or above a height of the ladder, min_cells to max_cells) needs min_ends adjacent
-    lower water cells and higher land beside it.
-    """
-    from rillstone.operators.zones import zone_border
-    from rillstone.storage import materialize
-
-    now = materialize(cells.select("r", "c", F.col("z").cast("double").alias("low"), water.cast("int").alias("_w"), F.lit(0).alias("code")), "pieces")
-    for h in sorted(heights, reverse=True):
-        pieces = label(now, (F.col("_w") == 1) & (F.col("low") >= h), n_cols)
-        size = pieces.join(now, ["r", "c"]).groupBy("zone").agg(F.count("*").alias("n"), F.max("low").alias("top"))
-        ring = zone_border(pieces, "zone").join(now, ["r", "c"])
-        around = ring.groupBy("zone").agg(F.count_if(F.col("_w") == 1).alias("ends"), F.max(F.when(F.col("_w") == 1, F.col("low"))).alias("to"), F.max(F.when(F.col("_w") == 0, F.col("low"))).alias("land"))
-        fall = size.join(around, "zone").where(F.col("n").between(min_cells, max_cells) & (F.col("ends") >= min_ends) & (F.col("land") > F.col("to"))).select("zone", "to")
-        changed = pieces.join(fall, "zone").select("r", "c", "to")
-        now = now.join(changed, ["r", "c"], "left").select("r", "c", F.least("low", F.coalesce("to", "low")).alias("low"), "_w", F.when(F.col("to") < F.col("low"), code).otherwise(F.col("code")).alias("code"))
-        now = materialize(now, "pieces")
-    return cells.join(now.select("r", "c", "low", "code"), ["r", "c"])
-
-
-def enforce_rivers(cells: DataFrame, n_rows: int, n_cols: int, heights: Sequence[float]) -> DataFrame:
-    """The whole enforcement on cells with z, swo, stream, river (0/1): bank and occurrence burns, lowering below land,
-    monotonic pieces, floors and stream minima.  Adds z_water and code."""
-    banks = river_bank(cells, F.col("river") == 1, 1000.0).withColumn("_z", F.col("z"))
-    burned = banks.withColumn("z", F.col("z") - F.col("burn") - F.when(F.col("river") == 1, swo_burn(F.col("swo"), 20, 1000.0)).otherwise(0.0)).drop("burn", "bank")
-    low = height_ladder(burned, F.col("river") == 1, heights, n_cols, 5).drop("z").withColumnRenamed("low", "z").withColumnRenamed("code", "_c1")
-    mono = monotonic_pieces(low, F.col("river") == 1, heights, n_cols, 2, 400, 7).drop("z").withColumnRenamed("low", "z").withColumnRenamed("code", "_c2")
-    streams = stream_minimize(mono.withColumn("big_river", F.col("river")), {1: 15, 2: 12, 3: 10}, n_rows, n_cols, 15_000.0, 5_000.0, 500.0)
-    code = F.greatest("_c1", "_c2", "code", F.when(F.col("river") == 1, 4).otherwise(0))
-    return streams.select("r", "c", F.col("low").alias("z"), code.alias("code")).transform(lambda d: water_floor(d, -1000.0, -500.0)).withColumnRenamed("z", "z_water").join(cells, ["r", "c"])
-
-
 def reservoir_barrier(cells: DataFrame, reservoirs: DataFrame, unit: DataFrame, n_cols: int, metres: float, dx_m: float, dy_m: float, step: float, height: float, min_area: float = 3e6) -> DataFrame:
     """z raised by height on pieces of the unit's rim that a reservoir of at least min_area square metres crosses where the
     rim's water is step above the reservoir.

@@ -14,6 +14,8 @@ from rillstone.operators.tiles import tile_labels
 
 STEPS_4 = [(0, 1), (1, 0)]
 STEPS_8 = [*STEPS_4, (1, 1), (1, -1)]
+#: Edges between tiles that one task may join, 16 bytes each.
+FEW = 500_000
 RING = [(i, j) for i in (-1, 0, 1) for j in (-1, 0, 1) if (i, j) != (0, 0)]
 
 
@@ -31,7 +33,7 @@ def label(cells: DataFrame, mask: Column, n_cols: int, connectivity: int = 8, ke
     held = cells.where(mask).select(*on).withColumn("_id", index.cast("long"))
     parts, edges = tile_labels(held, n_cols, STEPS_4 if connectivity == 4 else STEPS_8, keys)
     # a part lies within one tile, so no part has very many cells
-    found = parts.join(star_components(edges).select(F.col("node").alias("local"), "component"), "local", "left")
+    found = parts.join(star_components(edges, few=FEW).select(F.col("node").alias("local"), "component"), "local", "left")
     return found.select(*on, F.coalesce("component", "local").alias(out))
 
 

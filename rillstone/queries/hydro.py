@@ -11,6 +11,7 @@ from rillstone.operators import focal as K
 from rillstone.operators import ladders as L
 from rillstone.operators import water as H
 from rillstone.plans.noise import KERNELS, adaptive_filter
+from rillstone.plans.rivers import enforce_rivers
 from rillstone.queries.focal import NEAR, _gradient, _pad, _round, ring_sql
 from rillstone.queries.registry import query
 from rillstone.queries.spatial import SLICE, cube
@@ -256,9 +257,18 @@ def h27(spark, sf):
     return H.all_water_unit(cells, "unit", 20, 1000.0, 0.88).select("r", "c", _round("z_new", 6).alias("z_new"), "code")
 
 
+def valley_units(spark, sf):
+    """The valley as a surface without classes: lines on its streams, candidates on its river and lakes."""
+    cells = valley(spark, sf)
+    bare = cells.select("r", "c", "z", "swo", F.when(F.col("code") == 3, 3).when(F.col("code") == 4, 2).cast("int").alias("osm"), F.when(F.col("code") == 8, 6).cast("int").alias("line"))
+    return bare, cells.where("code in (3, 4)").select("r", "c")
+
+
 @query("h28_enforce_rivers")
 def h28(spark, sf):
-    return H.enforce_rivers(stream_cells(spark, sf).drop("big_river"), *size(spark, sf), [-60.0, -100.0]).select("r", "c", _round("z_water", 4).alias("z_water"), "code")
+    cells, candidates = valley_units(spark, sf)
+    out = enforce_rivers(cells, candidates, *size(spark, sf), floor=0.0)
+    return out.select("r", "c", _round("z_water", 4).alias("z_water"), "code")
 
 
 @query("h29_reservoir_barrier")
@@ -445,12 +455,16 @@ def i14(spark, sf):
 
 @query("i15_condition_unit")
 def i15(spark, sf):
-    cells = layers(spark, sf).selectExpr("r", "c", "CAST(zt_mm AS DOUBLE) AS z", "CASE WHEN swo > 80 THEN 1 ELSE 0 END AS water")
-    # a wall across the grid, a sink in every hundredth row
+    cells = valley(spark, sf).selectExpr("r", "c", "CAST(z AS DOUBLE) AS z", "swo", "code AS class", "CASE WHEN code > 2 THEN 1 ELSE 0 END AS water")
+    # a wall across the grid, a sink in every hundredth row, lakes as reservoirs
     walls = cells.where("r % 250 = 125").select("r", "c", F.lit(1).alias("wall"))
     sinks = cells.where("r % 100 = 50 and c = 32").select("r", "c")
-    out = I.condition_unit(cells, 64, 5.0, 8, I.SolutionLimits(fill=600.0, max_carve_depth=300.0), walls, 50_000.0, {1: -50.0}, sinks, 10.0)
-    return out.select("r", "c", _round("solved", 4).alias("solved"), "code", _round("final", 4).alias("final"))
+    reservoirs = cells.where("class = 3").select("r", "c", F.floor(F.col("r") / 192).alias("zone"))
+    out = I.condition_unit(
+        cells, 64, 5.0, 8, I.SolutionLimits(fill=600.0, max_carve_depth=300.0), walls, 50_000.0, {1: -50.0}, sinks, 10.0, metre=1000.0, reservoirs=reservoirs, cell_metres=(80.0, 100.0),
+        heights=[9_500.0, 10_500.0, 11_500.0],
+    )
+    return out.select("r", "c", "class", _round("solved", 4).alias("solved"), "code", _round("final", 4).alias("final"))
 
 
 @query("a12_write_pit_catalog", f"SELECT l_suppkey, l_orderkey, l_linenumber, volfill, {SOLUTION} AS solution FROM p", PIT_ROWS)

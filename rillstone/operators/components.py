@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,6 +12,9 @@ from pyspark.sql import functions as F
 
 from rillstone.storage import remove, write_table
 
+#: The node that stands for all that lies outside, less than any other.
+OUTSIDE = -1
+
 
 def union_find(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Nodes of the edges (a, b) and the smallest node that each of them reaches."""
@@ -83,3 +87,68 @@ def star_components(edges: DataFrame, a: str = "a", b: str = "b", few: int = 0)
         last = this
     roots = now.select(F.col("v").alias("u"), "v").distinct()
     return now.unionByName(roots).select(F.col("u").alias("node"), F.col("v").alias("component"))
+
+
+def _flood_graph(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, level) of every node that the outside reaches over all edges of a partition; for graphs whose size has been checked."""
+    near: dict[int, list[tuple[float, int]]] = {}
+    for batch in batches:
+        for a, b, w in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+            near.setdefault(a, []).append((w, b))
+            near.setdefault(b, []).append((w, a))
+    level: dict[int, float] = {}
+    heap = [(float("-inf"), OUTSIDE)] if near else []
+    while heap:
+        v, node = heapq.heappop(heap)
+        if node not in level:
+            level[node] = v
+            for w, other in near[node]:
+                if other not in level:
+                    heapq.heappush(heap, (max(v, w), other))
+    level.pop(OUTSIDE, None)
+    yield pa.RecordBatch.from_arrays([pa.array(list(level), pa.int64()), pa.array(list(level.values()), pa.float64())], names=["node", "level"])
+
+
+def spill_levels(edges: DataFrame, open_: DataFrame, few: int = 0) -> DataFrame:
+    """(node, level): the least, over all ways from a node to the outside, of the highest weight on the way.
+
+    edges has a, b, w (undirected), open_ has node, w: ways straight out; ids are not negative.  It contracts the
+    graph along a minimum spanning forest: in each round every part takes its lowest way out of itself,
+    whose weight is the least level that its nodes may have, and parts that meet become one; so rounds
+    grow with the logarithm of the nodes.  A part that meets the outside is done.  Levels then go
+    back down through the rounds.  A rest of at most few edges is flooded in one task.  Each round's tables lie
+    in the shared folder.
+    """
+    spark = edges.sparkSession
+    pairs = edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.col("w").cast("double").alias("w"))
+    ways = open_.select(F.lit(OUTSIDE).cast("long").alias("a"), F.col("node").alias("b"), F.col("w").cast("double").alias("w"))
+    now, path = write_table(pairs.unionByName(ways).groupBy("a", "b").agg(F.min("w").alias("w")), "spill-edges")
+    rounds: list[tuple[DataFrame, str]] = []
+    n = now.count()
+    while n > few:
+        ends = now.select(F.col("a").alias("node"), "a", "b", "w").where(F.col("a") != OUTSIDE).unionByName(now.select(F.col("b").alias("node"), "a", "b", "w"))
+        # one order of all edges, so that parts meet in pairs or chains and never in a ring
+        lowest = ends.groupBy("node").agg(F.min(F.struct("w", "a", "b")).alias("e"))
+        lowest, lowest_path = write_table(lowest.select("node", (F.col("e.a") + F.col("e.b") - F.col("node")).alias("to"), "e.w"), "spill-lowest")
+        parts, parts_path = write_table(star_components(lowest, "node", "to", few), "spill-parts")
+        parts = parts.where(F.col("node") != OUTSIDE)
+        rounds.append(write_table(lowest.join(parts, "node").select("node", F.col("component").alias("part"), "w"), "spill-round"))
+        b = parts.select(F.col("node").alias("b"), F.col("component").alias("pb"))
+        a = parts.select(F.col("node").alias("a"), F.col("component").alias("pa"))
+        # the outside may have very many edges and stays what it is
+        mapped = now.join(b, "b")
+        inner = mapped.where(F.col("a") != OUTSIDE).join(a, "a").select("pa", "pb", "w")
+        mapped = inner.unionByName(mapped.where(F.col("a") == OUTSIDE).select(F.col("a").alias("pa"), "pb", "w")).where("pa <> pb")
+        left, next_path = write_table(mapped.groupBy(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).agg(F.min("w").alias("w")), "spill-edges")
+        for gone in (path, lowest_path, parts_path):
+            remove(spark, gone)
+        now, path, n = left, next_path, left.count()
+    level, level_path = write_table(now.coalesce(1).mapInArrow(_flood_graph, "node long, level double"), "spill-levels")
+    remove(spark, path)
+    for step, step_path in reversed(rounds):
+        above = level.select(F.col("node").alias("part"), "level")
+        level, next_path = write_table(step.join(above, "part", "left").select("node", F.greatest("w", "level").alias("level")), "spill-levels")
+        remove(spark, level_path)
+        remove(spark, step_path)
+        level_path = next_path
+    return level

@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rillstone.operators.components import spill_levels
 from rillstone.operators.focal import moving, neighbours
 from rillstone.operators.zones import clump
 from rillstone.storage import materialize, remove, write_table
@@ -61,13 +62,13 @@ def _flood(block: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"r": r, "c": c, "z": block["z"], "f": level, "label": tag})
 
 
-def fill_depressions(cells: DataFrame, value: str, n_cols: int, block: int = 64, out: str = "filled") -> DataFrame:
+def fill_depressions(cells: DataFrame, value: str, n_cols: int, block: int = 64, out: str = "filled", few: int = 500_000) -> DataFrame:
     """Adds out: the least level at which each cell drains to the grid's edge or to missing cells.
 
     Each block is flooded on its own from its rim; where two floods meet, the labels get an edge with
-    the higher of the two levels; then levels travel along edges (the minimax of paths) until nothing
-    falls, and a cell's fill is the higher of its local fill and its label's level.  Only rim labels
-    take part in the loop, and a block is block x block cells.
+    the higher of the two levels; the least level at which each label spills (the minimax of paths) comes from
+    spill_levels, whose rounds grow with the logarithm of the labels, and a cell's fill is the higher of its
+    local fill and its label's level.  Only rim labels take part, and a block is block x block cells.
     """
     valid = cells.where(F.col(value).isNotNull()).select("r", "c", F.col(value).cast("double").alias("z"), (F.col("r") * n_cols + F.col("c")).cast("long").alias("id"))
     near = moving(valid, {"_n": ("count", "z", 1)})
@@ -79,22 +80,8 @@ def fill_depressions(cells: DataFrame, value: str, n_cols: int, block: int = 64,
     sent = local.select("label", "f", "r", "c", step.alias("s")).select(F.col("label").alias("a"), F.col("f").alias("fa"), (F.col("r") + F.col("s.i")).alias("r"), (F.col("c") + F.col("s.j")).alias("c"))
     met = sent.join(local.select("r", "c", F.col("label").alias("b"), F.col("f").alias("fb")), ["r", "c"]).where("a <> b")
     pairs = met.groupBy("a", "b").agg(F.min(F.greatest("fa", "fb")).alias("w"))
-    edges = materialize(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "w")), "flood-edges")
-    open_ = local.join(near.where(outlet).select("r", "c"), ["r", "c"], "left_semi").groupBy("label").agg(F.min("f").alias("level"))
-    level, path = write_table(local.select("label").distinct().join(open_, "label", "left"), "levels")
-    spark = cells.sparkSession
-
-    def relax(level: DataFrame) -> DataFrame:
-        offer = edges.join(level.where("level is not null"), F.col("a") == F.col("label")).groupBy("b").agg(F.min(F.greatest("level", "w")).alias("o"))
-        falls = F.col("o").isNotNull() & (F.col("level").isNull() | (F.col("o") < F.col("level")))
-        return level.join(offer, F.col("label") == F.col("b"), "left").select("label", F.least("level", "o").alias("level"), falls.alias("fell"))
-
-    # levels only fall, so a last step in which none did is the end
-    fell = True
-    while fell:
-        level, next_path = write_table(relax(relax(relax(level))), "levels")
-        remove(spark, path)
-        path, fell = next_path, not level.where("fell").isEmpty()
+    open_ = local.join(near.where(outlet).select("r", "c"), ["r", "c"], "left_semi").groupBy(F.col("label").alias("node")).agg(F.min("f").alias("w"))
+    level = spill_levels(pairs, open_, few).withColumnRenamed("node", "label")
     found = local.join(level, "label").select("r", "c", F.greatest("f", "level").alias(out))
     return cells.join(found, ["r", "c"], "left")
 

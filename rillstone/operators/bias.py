@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillstone.operators.focal import convolve1d, ring_smooth, slope_d2
@@ -45,9 +45,16 @@ def bias_slice(samples: DataFrame, value: str, n_cutoff: int = 30, cover_cutoff:
     """
     means = lookup_mean_std_count(samples, ["slope", "tc", "th"], value, n_cutoff).select("slope", F.col("tc").alias("_tc"), F.col("th").alias("_th"), "mean")
     grid = means.select("slope").distinct().select("slope", F.explode(F.sequence(F.lit(0), F.lit(covers - 1))).alias("tc")).select("slope", "tc", F.explode(F.sequence(F.lit(0), F.lit(heights - 1))).alias("th"))
-    # a slope has at most covers x heights means, so the candidates of a place are bounded
+    # nearest along the height first, in the covers that have means; then along the cover: covers + heights steps for a place, not covers x heights
+    rows = means.select("slope", "_tc").distinct().select("slope", "_tc", F.explode(F.sequence(F.lit(0), F.lit(heights - 1))).alias("th"))
+    rows = rows.join(means.withColumnRenamed("_th", "th").withColumn("_at", F.col("th")), ["slope", "_tc", "th"], "left")
+    line = Window.partitionBy("slope", "_tc").orderBy("th")
+    mean = F.when(F.col("_at").isNotNull(), F.struct("_at", "mean"))
+    rows = rows.withColumns({"_below": F.last(mean, True).over(line.rowsBetween(Window.unboundedPreceding, 0)), "_above": F.first(mean, True).over(line.rowsBetween(0, Window.unboundedFollowing))})
+    lower = F.col("_above").isNull() | (F.col("th") - F.col("_below._at") <= F.col("_above._at") - F.col("th"))
+    rows = rows.withColumn("_m", F.when(F.col("_below").isNotNull() & lower, F.col("_below")).otherwise(F.col("_above"))).select("slope", "th", "_tc", F.col("_m._at").alias("_th"), F.col("_m.mean").alias("mean"))
     distance = (F.col("tc") - F.col("_tc")) * (F.col("tc") - F.col("_tc")) + (F.col("th") - F.col("_th")) * (F.col("th") - F.col("_th"))
-    near = grid.join(means, "slope").groupBy("slope", "tc", "th").agg(F.min_by("mean", F.struct(distance, "_tc", "_th")).alias("bias"))
+    near = grid.join(rows, ["slope", "th"]).groupBy("slope", "tc", "th").agg(F.min_by("mean", F.struct(distance, "_tc", "_th")).alias("bias"))
     zero = (F.col("tc") < cover_cutoff) | (F.col("th") == 0)
     cells = near.select("slope", F.col("tc").alias("r"), F.col("th").alias("c"), F.when(zero, 0.0).otherwise(F.col("bias")).alias("b"))
     smooth = ring_smooth(cells, "b", {"bias": [1.0, 0.5]}, covers, heights, ["slope"])

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rillstone.storage import materialize
+
 
 def boxes_meet(a: str, b: str) -> Column:
     """Two boxes (columns <prefix>xmin ...) share a point."""
@@ -110,36 +112,51 @@ def neighbours8(tiles: DataFrame, tile: str, x: str, y: str) -> DataFrame:
     return sent.join(tiles.select(F.col(tile).alias("neighbour"), F.col(x).alias("_x"), F.col(y).alias("_y")), ["_x", "_y"]).select(tile, "side", "position", "neighbour")
 
 
-def nearest_points(points: DataFrame, queries: DataFrame, k: int, cell: float, point_id: str = "pid", query_id: str = "qid") -> DataFrame:
+#: Levels of bins with at most so many bins are broadcast, some 40 bytes each.
+FEW_BINS = 50_000
+
+
+def nearest_points(points: DataFrame, queries: DataFrame, k: int, cell: float, point_id: str = "pid", query_id: str = "qid", few_bins: int = FEW_BINS) -> DataFrame:
     """(query_id, point_id, z, d, rank): the k nearest points of each query, ties to the smaller point id.
 
-    Points (x, y, z) and queries (x, y) are keyed by square bins.  A query looks at bins out to a ring
-    and is settled once its k-th distance is covered by the ring; the rest look twice as far, until
-    every point has been within reach.
+    Points (x, y, z) and queries (x, y).  Square bins that hold points are counted at all levels, each of twice
+    the side of the one below.  A query starts at the coarsest bins and goes down: at each level it keeps
+    the bins that may hold one of its k nearest, as those within reach of the bins that surely hold k points;
+    only at the last level it meets points.  So empty regions cost nothing, and dense ones only what lies near.
     """
-    spark_points = points.select(F.col(point_id), F.col("x").alias("_px"), F.col("y").alias("_py"), "z", F.floor(F.col("x") / cell).alias("_bx"), F.floor(F.col("y") / cell).alias("_by"))
-    size = points.select("x", "y").unionByName(queries.select("x", "y"))
-    span = size.agg(F.max("x") - F.min("x"), F.max("y") - F.min("y")).first()
-    furthest = int(max(span[0] or 0, span[1] or 0) / cell) + 2
-    reach, open_, settled = 1, queries.select(query_id, "x", "y"), []
-    while True:
-        step = F.sequence(F.lit(-reach), F.lit(reach))
-        sent = open_.withColumn("_i", F.explode(step)).withColumn("_j", F.explode(step))
-        sent = sent.withColumns({"_bx": F.floor(F.col("x") / cell) + F.col("_i"), "_by": F.floor(F.col("y") / cell) + F.col("_j")})
-        d = F.sqrt((F.col("x") - F.col("_px")) * (F.col("x") - F.col("_px")) + (F.col("y") - F.col("_py")) * (F.col("y") - F.col("_py")))
-        near = sent.join(spark_points, ["_bx", "_by"]).withColumn("d", d)
-        best = near.withColumn("rank", F.row_number().over(Window.partitionBy(query_id).orderBy("d", point_id))).where(F.col("rank") <= k)
-        best = best.select(query_id, point_id, "z", "d", "rank")
-        if reach >= furthest:
-            settled.append(best)
-            break
-        sure = best.groupBy(query_id).agg(F.max("d").alias("_d"), F.count("*").alias("_n")).where((F.col("_n") == k) & (F.col("_d") <= reach * cell)).select(query_id)
-        settled.append(best.join(sure, query_id, "left_semi"))
-        open_ = open_.join(sure, query_id, "left_anti")
-        if open_.isEmpty():
-            break
-        reach = min(reach * 4, furthest)
-    return reduce(DataFrame.unionByName, settled)
+    bins = points.groupBy(F.floor(F.col("x") / cell).alias("bx"), F.floor(F.col("y") / cell).alias("by")).agg(F.count("*").alias("n"))
+    edge = bins.agg(F.min("bx"), F.max("bx"), F.min("by"), F.max("by")).first()
+    if edge[0] is None:
+        return queries.select(query_id).limit(0).join(points.select(point_id, "z"), F.lit(True)).select(query_id, point_id, "z", F.lit(0.0).alias("d"), F.lit(1).alias("rank"))
+    top = 0
+    while (edge[1] >> top) - (edge[0] >> top) > 1 or (edge[3] >> top) - (edge[2] >> top) > 1:
+        top += 1
+    level = F.explode(F.sequence(F.lit(0), F.lit(top))).alias("level")
+    pyramid = bins.select("bx", "by", "n", level)
+    shifted = [F.floor(F.col(b) / F.pow(F.lit(2.0), F.col("level"))).alias(b) for b in ("bx", "by")]
+    pyramid = materialize(pyramid.select("level", *shifted, "n").groupBy("level", "bx", "by").agg(F.sum("n").alias("n")), "bins")
+    counts = {r["level"]: r["count"] for r in pyramid.groupBy("level").count().collect()}  # a row for each level
+    roots = F.explode(F.array(*[F.struct(F.lit(i).alias("bx"), F.lit(j).alias("by")) for i in sorted({edge[0] >> top, edge[1] >> top}) for j in sorted({edge[2] >> top, edge[3] >> top})]))
+    seen = queries.select(query_id, "x", "y", roots.alias("_b")).select(query_id, "x", "y", F.col("_b.bx").cast("long").alias("bx"), F.col("_b.by").cast("long").alias("by"))
+    for step in range(top, -1, -1):
+        if step < top:
+            child = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)]))
+            seen = seen.withColumn("_s", child).select(query_id, "x", "y", (2 * F.col("bx") + F.col("_s.i")).alias("bx"), (2 * F.col("by") + F.col("_s.j")).alias("by"))
+        held = pyramid.where(F.col("level") == step).drop("level")
+        seen = seen.join(F.broadcast(held) if counts[step] <= few_bins else held, ["bx", "by"])
+        side, low, high = cell * 2.0**step, {}, {}
+        for axis, b in (("x", "bx"), ("y", "by")):
+            near, far = F.col(b) * side - F.col(axis), F.col(axis) - (F.col(b) + 1) * side
+            low[axis], high[axis] = F.greatest(near, far, F.lit(0.0)), F.greatest(F.abs(near), F.abs(far))
+        seen = seen.withColumns({"_lo": F.sqrt(low["x"] * low["x"] + low["y"] * low["y"]), "_hi": F.sqrt(high["x"] * high["x"] + high["y"] * high["y"])})
+        sure = F.sum("n").over(Window.partitionBy(query_id).orderBy("_hi", "bx", "by").rowsBetween(Window.unboundedPreceding, 0))
+        seen = seen.withColumn("_sum", sure).withColumn("_reach", F.min(F.when(F.col("_sum") >= k, F.col("_hi"))).over(Window.partitionBy(query_id)))
+        seen = seen.where(F.col("_reach").isNull() | (F.col("_lo") <= F.col("_reach") * (1 + 1e-9))).select(query_id, "x", "y", "bx", "by")
+    keyed = points.select(F.col(point_id), F.col("x").alias("_px"), F.col("y").alias("_py"), "z", F.floor(F.col("x") / cell).alias("bx"), F.floor(F.col("y") / cell).alias("by"))
+    d = F.sqrt((F.col("x") - F.col("_px")) * (F.col("x") - F.col("_px")) + (F.col("y") - F.col("_py")) * (F.col("y") - F.col("_py")))
+    near = seen.join(keyed, ["bx", "by"]).withColumn("d", d)
+    best = near.withColumn("rank", F.row_number().over(Window.partitionBy(query_id).orderBy("d", point_id))).where(F.col("rank") <= k)
+    return best.select(query_id, point_id, "z", "d", "rank")
 
 
 def knn_idw(points: DataFrame, queries: DataFrame, k: int, power: float, cell: float, dmax: float | None = None, point_id: str = "pid", query_id: str = "qid") -> DataFrame:

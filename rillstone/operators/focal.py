@@ -182,8 +182,23 @@ def curvature_d2(cells: DataFrame, value: str, dx: float, dy: float, keys: Seque
     return yy.withColumn(out, F.col("_gxx") + F.col("_gyy")).drop("_gx", "_gy", "_gxx", "_gyy", "_u")
 
 
-def curvature_d4(cells: DataFrame, value: str, dx: float, dy: float, n_rows: int, n_cols: int, keys: Sequence[str] = (), out: str = "curvature") -> DataFrame:
-    """Divergence over four directions: half the sum of second differences along rows, columns and diagonals, mirrored edges."""
+def curvature_d4(cells: DataFrame, value: str, dx: float, dy: float, n_rows: int, n_cols: int, keys: Sequence[str] = (), out: str = "curvature", geometric: bool = False) -> DataFrame:
+    """Divergence over four directions: half the sum of second differences along rows, columns and diagonals, mirrored edges.
+
+    Geometric: the sum, over the directions, of central differences of gradient_d4, each pair (rows and
+    columns, the diagonals) first divided by its length + 0.1; one-sided at edges of rows and columns, mirrored on diagonals.
+    """
+    if geometric:
+        four = gradient_d4(cells, value, dx, dy, n_rows, n_cols, keys)
+        flat, slant = (F.sqrt(F.col(a) ** 2 + F.col(b) ** 2) + 0.1 for a, b in (("gx", "gy"), ("gne", "gnw")))
+        unit = four.select(*keys, "r", "c", (F.col("gx") / flat).alias("_x"), (F.col("gne") / slant).alias("_ne"), (F.col("gy") / flat).alias("_y"), (F.col("gnw") / slant).alias("_nw"))
+        along = gradient(gradient(unit, "_x", dx, dy, keys, "_xx", "_u").drop("_u"), "_y", dx, dy, keys, "_u", "_yy").drop("_u")
+        step = 2 * (dx * dx + dy * dy) ** 0.5
+        for name, (a, b) in (("_ne", ("ne", "sw")), ("_nw", ("nw", "se"))):
+            sides = neighbours(pad_symmetric(unit.select(*keys, "r", "c", name), 1, n_rows, n_cols), name, keys)
+            along = along.join(sides.select(*keys, "r", "c", ((F.col(a) - F.col(b)) / step).alias(f"_{name}")), [*keys, "r", "c"])
+        # gx points west, so its difference along the row is that of -gx
+        return cells.join(along.select(*keys, "r", "c", (F.col("_yy") - F.col("_xx") + F.col("__ne") + F.col("__nw")).alias(out)), [*keys, "r", "c"])
     padded = neighbours(pad_symmetric(cells.select(*keys, "r", "c", value), 1, n_rows, n_cols), value, keys)
     z, diagonal = F.col(value), dx * dx + dy * dy
     total = (F.col("e") + F.col("w") - 2 * z) / (dx * dx) + (F.col("n") + F.col("s") - 2 * z) / (dy * dy) + (F.col("ne") + F.col("sw") - 2 * z) / diagonal + (F.col("nw") + F.col("se") - 2 * z) / diagonal

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from rillstone.operators.focal import binary_close, box_any, moving, ring_smooth
 from rillstone.operators.spatial import buffer_cells, inset_cells
 from rillstone.operators.zones import close_holes, label
+from rillstone.storage import materialize
 
 #: Class of rasterised features.
 POLYGON_CLASSES = {"reservoir": 1, "river": 2, "riverbank": 2, "water": 3, "wetland": 4}
@@ -185,11 +186,23 @@ def clip_ocean(cells: DataFrame, land: Column, osm_water: Column, edm: str = "ed
     return cells.withColumn("z", F.when(~(sea if interior is None else sea & ~interior), F.col("z")))
 
 
-def coast_land_mask(cells: DataFrame, osm_water: Column, k: int = 7, edm: str = "edm") -> DataFrame:
-    """Adds ocean and shore: ocean is the closing (k) of height 0 with fill, or edited ocean, without mapped water; shore its 7 x 7 surround."""
+def coast_land_mask(cells: DataFrame, osm_water: Column, k: int = 7, edm: str = "edm", dx_m: float = 12.0, dy_m: float = 12.0, tight: float = 10.0, wide: float = 100.0) -> DataFrame:
+    """Adds ocean, land, land_wide and shore (0/1).
+
+    Ocean is height 0 with fill, or edited ocean, without mapped water; cells below 0 with edited fill or ocean (codes 4
+    and more) that its closing over (2k+1) x (2k+1) cells takes in are ocean too.  land is all other cells with
+    a height, grown by tight metres, land_wide by wide metres; shore lies within three cells of a cell off land.
+    """
     sea = (((F.col("z") == 0) & (F.col(edm) == 5)) | (F.col(edm) == 4)) & ~osm_water
-    out = binary_close(cells, sea, k, "ocean")
-    return box_any(out, F.col("ocean") == 1, 3, "_near").withColumn("shore", F.when((F.col("_near") == 1) & (F.col("ocean") == 0), 1).otherwise(0)).drop("_near")
+    out = binary_close(cells, F.coalesce(sea, F.lit(False)), k, "_closed")
+    hole = (F.col("_closed") == 1) & (F.col("z") < 0) & (F.col(edm) >= 4) & ~osm_water
+    out = out.withColumn("ocean", F.coalesce(sea | hole, F.lit(False)).cast("int")).withColumn("_land", ((F.col("ocean") == 0) & F.col("z").isNotNull()).cast("int"))
+    # only land beside other cells can reach them
+    rim = box_any(out, F.col("_land") == 0, 1, "_rim").where("_rim = 1 and _land = 1").select("r", "c")
+    for name, metres in (("land", tight), ("land_wide", wide)):
+        grown = buffer_cells(rim, metres, dx_m, dy_m).withColumn(name, F.lit(1))
+        out = out.join(grown, ["r", "c"], "left").withColumn(name, F.greatest(F.coalesce(name, F.lit(0)), "_land"))
+    return box_any(out, F.col("land") == 0, 3, "shore").drop("_closed", "_land")
 
 
 def is_coastal(cells: DataFrame, unit: str, min_cells: int = 1000, edm: str = "edm", inland_cutoff: int = 20, coast_cutoff: int = 65) -> DataFrame:
@@ -221,19 +234,50 @@ def water_mask(candidates: DataFrame, cells: DataFrame, border: DataFrame, n_col
     return zones.join(judged.select("zone", kind.alias("kind")), "zone").select("r", "c", "zone", "kind")
 
 
-def alternate_dem(cells: DataFrame, n_cols: int, step: int, river: Column, min_swo: int = 2) -> DataFrame:
-    """Adds taken and z_new: zones of the alternate surface's whole steps that touch rivers take the alternate height; lakes the lower of both.
+def alternate_dem(
+    cells: DataFrame, n_cols: int, step: int, river: Column, min_swo: int = 2, edm: str | None = None, edm_codes: Sequence[int] = (2, 3), code: Column | None = None, redraw: bool = False, swo_cutoff: int = 20, min_overlap: int = 1000,
+    fill_reach: int = 5,
+) -> DataFrame:
+    """Adds taken (0/1), z_new and code_new where an alternate surface takes the place of heights in and around rivers.
 
-    cells has z, alt, swo, lake (0/1).
+    cells has z, alt, swo, lake (0/1).  taken are the zones of the alternate surface's whole steps (opened, sometimes
+    wet) that touch rivers, grown by a cell, and the zones of the edit mask's codes (edm_codes; with fill,
+    5, for surfaces whose fill belongs to rivers) that have edited water in a river.  They take alt; the cells within two cells
+    of them are filled in anew from the rest; lakes take the lower of both.  code_new is 15 on that edge, 11 on what was taken
+    and on rivers, 3 on lakes, else code (0 if not given).  With redraw, the wet part of that and the zones of steps are the new river: a
+    river zone of more than min_overlap cells gives way to the new zone that overlaps it most, by min_overlap cells at least,
+    if that has half to twice its cells, else it stays; rivers have code 4.
     """
+    from rillstone.operators.focal import fill_missing
     from rillstone.operators.grid import modulo_mask
-
-    hit = modulo_mask(cells, "alt", "swo", step, min_swo, out="_m")
-    zones = label(hit, F.col("_m") == 1, n_cols)
-    touched = zones.join(cells.where(river).select("r", "c"), ["r", "c"], "left_semi").select("zone").distinct()
-    taken = zones.join(touched, "zone", "left_semi").select("r", "c", F.lit(1).alias("taken"))
-    out = cells.join(taken, ["r", "c"], "left").withColumn("taken", F.coalesce("taken", F.lit(0)))
-    return out.withColumn("z_new", F.when(F.col("taken") == 1, F.col("alt")).when(F.col("lake") == 1, F.least("z", "alt")).otherwise(F.col("z")))
+    from rillstone.operators.zones import zone_match, zone_size_filter, zones_intersecting
+
+    base = materialize(cells.withColumns({"_river": F.coalesce(river, F.lit(False)).cast("int"), "code_new": F.lit(0) if code is None else code}), "alternate")
+    streams = base.where("_river = 1").select("r", "c")
+    zones = label(modulo_mask(base, "alt", "swo", step, min_swo, out="_m"), F.col("_m") == 1, n_cols)
+    steps = zones_intersecting(zones, streams, "zone").select("r", "c").withColumn("_steps", F.lit(1))
+    taken = box_any(base.join(steps, ["r", "c"], "left"), F.col("_steps") == 1, 1, "_only").withColumn("taken", F.coalesce("_only", F.lit(0)))
+    if edm is not None:
+        water = label(base, F.col(edm).isin(*edm_codes), n_cols)
+        with_river = zones_intersecting(water, base.where(F.col(edm).isin(2, 3) & (F.col("_river") == 1)).select("r", "c"), "zone")
+        taken = taken.join(with_river.select("r", "c", F.lit(1).alias("_edm")), ["r", "c"], "left").withColumn("taken", F.greatest("taken", F.coalesce("_edm", F.lit(0)))).drop("_edm")
+    edge = box_any(taken.drop("_steps"), F.col("taken") == 1, 2, "_near").withColumn("_edge", (F.col("_near") == 1) & (F.col("taken") == 0))
+    new = edge.withColumn("z_new", F.when(F.col("_edge"), None).when(F.col("taken") == 1, F.col("alt")).otherwise(F.col("z")).cast("double")).withColumn("_missing", F.col("z").isNull())
+    new = fill_missing(materialize(new, "alternate"), "z_new", fill_reach)
+    lake = F.col("lake") == 1
+    new = new.withColumn("z_new", F.when(F.col("_missing"), None).otherwise(F.when(lake, F.least("z_new", F.col("alt").cast("double"))).otherwise(F.coalesce("z_new", F.col("z").cast("double")))))
+    mark = F.when(lake, 3).when(F.col("_edge"), 15).when((F.col("taken") == 1) | (F.col("_river") == 1), 11).otherwise(F.col("code_new"))
+    new = new.withColumn("code_new", mark.cast("int"))
+    if redraw:
+        new = materialize(new, "alternate")
+        drawn = label(new, ((F.col("code_new") == 11) & (F.col("swo") >= swo_cutoff) & (F.col("_river") == 0) & (F.col("taken") == 1)) | (F.col("_only") == 1), n_cols)
+        old = zone_size_filter(label(new, F.col("_river") == 1, n_cols), "zone", min_overlap + 1)
+        match = materialize(zone_match(old, drawn, min_overlap), "alternate-match")
+        keep = old.join(match.select(F.col("old_zone").alias("zone")), "zone", "left_anti").select("r", "c")
+        take = drawn.join(match.select(F.col("new_zone").alias("zone")).distinct(), "zone", "left_semi").select("r", "c")
+        rivers = keep.unionByName(take).distinct().withColumn("_four", F.lit(4))
+        new = new.join(rivers, ["r", "c"], "left").withColumn("code_new", F.when(lake, 3).otherwise(F.coalesce("_four", "code_new")).cast("int"))
+    return new.select(*cells.columns, "taken", "z_new", "code_new")
 
 
 def river_bank(cells: DataFrame, river: Column, depth: float, k: int = 3) -> DataFrame:

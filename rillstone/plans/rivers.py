@@ -40,8 +40,8 @@ def enforce_rivers(
     now = vector_burn(now, "line", {k: d * metre for k, d in LINE_DEPTHS.items()}, n_rows, n_cols).withColumnRenamed("burn", "_line_burn")
     now = now.withColumn("code", F.when((F.col("_line_burn") > 0) & F.col("line").isNotNull() & (F.col("code") == 0), 12).otherwise(F.col("code")))
     if alternate_step is not None:
-        now = alternate_dem(now.withColumn("lake", (F.col("code") == 3).cast("int")), n_cols, alternate_step, F.col("code") == 4)
-        now = now.withColumn("z", F.col("z_new").cast("double")).drop("z_new", "lake", "taken")
+        now = alternate_dem(now.withColumn("lake", (F.col("code") == 3).cast("int")), n_cols, alternate_step, F.col("code") == 4, code=F.col("code"), redraw=True, swo_cutoff=swo_cutoff)
+        now = now.withColumns({"z": F.col("z_new"), "code": F.col("code_new")}).drop("z_new", "code_new", "lake", "taken")
     now = river_bank(materialize(now, "rivers-start"), F.col("code") == 4, initial_burn * metre)
     fall = F.when(F.col("code") == 4, initial_burn * metre).when((F.col("bank") == 1) & (F.col("code") == 0), F.col("burn")).otherwise(0.0)
     now = now.withColumns({"z": F.col("z") - fall, "code": F.when((F.col("bank") == 1) & (F.col("code") == 0), 1).otherwise(F.col("code"))}).drop("bank", "burn")

@@ -186,12 +186,17 @@ def h17(spark, sf):
     return H.clip_ocean(stream_cells(spark, sf), F.col("c") < 10, F.col("swo") > 90).select("r", "c", "z")
 
 
+SEA = "(z = 0 AND edm = 5 OR edm = 4) AND NOT swo > 90"
+
+
 @query("h18_coast_land_mask", f"""
-    WITH s AS (SELECT r, c, CASE WHEN (z = 0 AND edm = 5 OR edm = 4) AND NOT swo > 90 THEN 1 ELSE 0 END AS m FROM st), {box_sql("s", "g", {"gr": ("max", "m", 2)})},
-    {box_sql("g", "e", {"lo": ("min", "gr", 2), "n": ("count", "gr", 2)})}, o AS (SELECT r, c, CASE WHEN n = 25 THEN lo ELSE 0 END AS ocean FROM e), {box_sql("o", "f", {"near": ("max", "ocean", 3)})}
-    SELECT r, c, ocean, CASE WHEN near = 1 AND ocean = 0 THEN 1 ELSE 0 END AS shore FROM f""", STREAM)
+    WITH s AS (SELECT *, CASE WHEN {SEA} THEN 1 ELSE 0 END AS m FROM st), {box_sql("s", "g", {"gr": ("max", "m", 2)})},
+    {box_sql("g", "e", {"lo": ("min", "gr", 2), "n": ("count", "gr", 2)})}, o AS (SELECT r, c, CASE WHEN {SEA} OR n = 25 AND lo = 1 AND z < 0 AND edm >= 4 AND NOT swo > 90 THEN 1 ELSE 0 END AS ocean FROM e),
+    w AS (SELECT o.*, 1 - ocean AS land, greatest(1 - ocean, coalesce(1 - lag(ocean) OVER (PARTITION BY r ORDER BY c), 0), coalesce(1 - lead(ocean) OVER (PARTITION BY r ORDER BY c), 0),
+          coalesce(1 - lag(ocean) OVER (PARTITION BY c ORDER BY r), 0), coalesce(1 - lead(ocean) OVER (PARTITION BY c ORDER BY r), 0)) AS land_wide FROM o), {box_sql("w", "f", {"shore": ("max", "ocean", 3)})}
+    SELECT r, c, ocean, land, land_wide, shore FROM f""", STREAM)
 def h18(spark, sf):
-    return H.coast_land_mask(stream_cells(spark, sf), F.col("swo") > 90, 2).select("r", "c", "ocean", "shore")
+    return H.coast_land_mask(stream_cells(spark, sf), F.col("swo") > 90, 2, dx_m=80.0, dy_m=100.0).select("r", "c", "ocean", "land", "land_wide", "shore")
 
 
 @query("h19_is_coastal", "SELECT CAST(floor(r / 100) AS BIGINT) AS unit, count(*) FILTER (WHERE edm = 4) > 235 AS coastal, CASE WHEN count(*) FILTER (WHERE edm = 4) > 235 THEN 65 ELSE 20 END AS swo_cutoff FROM st GROUP BY 1", STREAM)
@@ -215,11 +220,19 @@ def h20(spark, sf):
 @query("h21_alt_dem_init", f"""
     WITH RECURSIVE a AS (SELECT *, CAST(round(z / 100.0) * 100 AS BIGINT) AS alt FROM st), b AS (SELECT *, CASE WHEN ((alt % 200) + 200) % 200 = 0 AND swo >= 2 THEN 1 ELSE 0 END AS m FROM a),
     {box_sql("b", "d", {"lo": ("min", "m", 1), "n": ("count", "m", 1)})}, e AS (SELECT * EXCLUDE (lo, n, m), CASE WHEN n = 9 THEN lo ELSE 0 END AS e FROM d), {box_sql("e", "f", {"hit": ("max", "e", 1)})},
-    {labels_sql("hit = 1", source="f", rounds=200)}, t AS (SELECT DISTINCT zone FROM zones JOIN st USING (r, c) WHERE river = 1), taken AS (SELECT r, c, 1 AS taken FROM zones WHERE zone IN (SELECT zone FROM t))
-    SELECT a.r, a.c, coalesce(taken, 0) AS taken, CASE WHEN taken = 1 THEN alt WHEN edm = 2 THEN least(z, alt) ELSE z END AS z_new FROM a LEFT JOIN taken ON taken.r = a.r AND taken.c = a.c""", STREAM)
+    {labels_sql("hit = 1", source="f", rounds=200)}, {labels_sql("edm IN (2, 3)", name="water", source="st", rounds=200)},
+    t AS (SELECT DISTINCT zone FROM zones JOIN st USING (r, c) WHERE big_river = 1), u AS (SELECT DISTINCT zone FROM water JOIN st USING (r, c) WHERE big_river = 1),
+    g AS (SELECT a.*, CASE WHEN z1.zone IN (SELECT zone FROM t) THEN 1 ELSE 0 END AS s, CASE WHEN z2.zone IN (SELECT zone FROM u) THEN 1 ELSE 0 END AS w FROM a LEFT JOIN zones z1 ON z1.r = a.r AND z1.c = a.c LEFT JOIN water z2 ON z2.r = a.r AND z2.c = a.c),
+    {box_sql("g", "h", {"near": ("max", "s", 1)})}, i AS (SELECT r, c, z, alt, swo, edm, big_river, greatest(near, w) AS taken FROM h), {box_sql("i", "j", {"around": ("max", "taken", 2)})},
+    k AS (SELECT *, CASE WHEN around = 1 AND taken = 0 THEN 1 ELSE 0 END AS edge, CASE WHEN around = 1 AND taken = 0 THEN NULL WHEN taken = 1 THEN alt ELSE z END AS x FROM j),
+    fill AS (SELECT p.r, p.c, sum(q.x * 1.0 / ((p.r - q.r) * (p.r - q.r) + (p.c - q.c) * (p.c - q.c))) / sum(1.0 / ((p.r - q.r) * (p.r - q.r) + (p.c - q.c) * (p.c - q.c))) AS v
+             FROM k p JOIN (SELECT unnest(range(-5, 6)) AS dr) o ON true JOIN k q ON q.r = p.r + o.dr AND q.c BETWEEN p.c - 5 AND p.c + 5 WHERE p.edge = 1 AND q.x IS NOT NULL GROUP BY p.r, p.c)
+    SELECT k.r, k.c, taken, round(CASE WHEN edm = 2 THEN least(coalesce(x, v), alt) ELSE coalesce(x, v, z) END, 4) + 0.0 AS z_new, CASE WHEN edm = 2 THEN 3 WHEN edge = 1 THEN 15 WHEN taken = 1 OR big_river = 1 THEN 11 ELSE 0 END AS code_new
+    FROM k LEFT JOIN fill ON fill.r = k.r AND fill.c = k.c""", STREAM)
 def h21(spark, sf):
     cells = stream_cells(spark, sf).withColumns({"alt": F.round(F.col("z") / 100.0) * 100, "lake": (F.col("edm") == 2).cast("int")}).withColumn("alt", F.col("alt").cast("long"))
-    return H.alternate_dem(cells, 64, 200, F.col("river") == 1).select("r", "c", "taken", "z_new")
+    out = H.alternate_dem(cells, 64, 200, F.col("big_river") == 1, edm="edm")
+    return out.select("r", "c", "taken", _round("z_new", 4).alias("z_new"), "code_new")
 
 
 @query("h22_river_bank", f"""

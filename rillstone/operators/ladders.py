@@ -21,7 +21,7 @@ from rillstone.operators.focal import fill_missing
 from rillstone.operators.spatial import sequential_id
 from rillstone.operators.tiles import around
 from rillstone.operators.zones import RING, label
-from rillstone.storage import materialize
+from rillstone.storage import keep, materialize, remove, scratch, write_table
 
 
 def _percentile(value: Column, p: float) -> Column:
@@ -129,19 +129,25 @@ def _rounds(state: DataFrame, heights: Sequence[float], n_cols: int, on: Column,
     bodies = label(grown, F.lit(True), 2 * n_cols + 20, 8, out="body")
     state = materialize(state.join(bodies, ["r", "c"], "left").withColumn("done", F.lit(-1)), "ladder-state")
     ladder = F.array(*[F.struct(F.lit(k).alias("step"), F.lit(float(h)).alias("h")) for k, h in enumerate(heights)])
+    spark, path = state.sparkSession, None
     while heights:
-        held = state.where(on).withColumn("_s", F.explode(ladder)).where(F.col("_s.step") > F.col("done")).withColumns({"step": F.col("_s.step"), "h": F.col("_s.h")}).drop("_s")
-        found = materialize(pieces(held), "ladder-pieces")
-        fall = judge(found, state)
-        body = found.select("zone", "r", "c").join(state.select("r", "c", "body"), ["r", "c"]).groupBy("zone").agg(F.min("body").alias("body"))
-        fall = materialize(fall.join(body, "zone"), "ladder-fall")
-        first = fall.groupBy("body").agg(F.min("step").alias("step"))
-        fall = fall.join(first, ["body", "step"], "left_semi")
-        if not fall.limit(1).count():
-            break
-        state = apply(state, found.join(fall.select("zone"), "zone", "left_semi"), fall)
-        ahead = first.select("body", F.col("step").alias("_done"))
-        state = materialize(state.join(ahead, "body", "left").withColumn("done", F.coalesce("_done", "done")).drop("_done"), "ladder-state")
+        with scratch(spark) as held_paths:
+            held = state.where(on).withColumn("_s", F.explode(ladder)).where(F.col("_s.step") > F.col("done")).withColumns({"step": F.col("_s.step"), "h": F.col("_s.h")}).drop("_s")
+            found = materialize(pieces(held), "ladder-pieces")
+            fall = judge(found, state)
+            body = found.select("zone", "r", "c").join(state.select("r", "c", "body"), ["r", "c"]).groupBy("zone").agg(F.min("body").alias("body"))
+            fall = materialize(fall.join(body, "zone"), "ladder-fall")
+            first = fall.groupBy("body").agg(F.min("step").alias("step"))
+            fall = fall.join(first, ["body", "step"], "left_semi")
+            if fall.isEmpty():
+                break
+            changed = apply(state, found.join(fall.select("zone"), "zone", "left_semi"), fall)
+            ahead = first.select("body", F.col("step").alias("_done"))
+            state, next_path = write_table(changed.join(ahead, "body", "left").withColumn("done", F.coalesce("_done", "done")).drop("_done"), "ladder-state")
+            keep(held_paths, next_path)
+        if path is not None:
+            remove(spark, path)
+        path = next_path
     return state.drop("body", "done")
 
 

@@ -3,18 +3,25 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own_folders: dict[str, str] = {}
+#: Of each thread: the paths written in the scratch blocks that are open.
+_open = threading.local()
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a folder of our own only where it is unset."""
+    """The folder named by spark.checkpoint.dir; a folder of our own only where it is unset and all runs on one machine."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if root:
         return root.rstrip("/")
+    if not (spark.sparkContext.master or "").startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_folders:
         _own_folders[app] = tempfile.mkdtemp(prefix="spark-")
@@ -33,6 +40,8 @@ def write_table(df: DataFrame, tag: str, row_group_bytes: int | None = None) ->
     if row_group_bytes:
         writer = writer.option("parquet.block.size", row_group_bytes).option("parquet.page.size", 1 << 20)
     writer.parquet(path)
+    for paths in getattr(_open, "blocks", [])[-1:]:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
@@ -45,3 +54,28 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a table of ours that no later plan reads."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """A block whose tables go when it ends; paths taken out of the list that it gives stay (and belong to the block around)."""
+    blocks = _open.__dict__.setdefault("blocks", [])
+    blocks.append([])
+    try:
+        yield blocks[-1]
+    finally:
+        written = blocks.pop()
+        for path in written:
+            remove(spark, path)
+
+
+def keep(held: list[str], path: str) -> None:
+    """Take a path out of a scratch block; the block around it, if any, holds it from now on."""
+    held.remove(path)
+    for outer in _open.blocks[-2:-1]:
+        outer.append(path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all temporary tables of this library in the shared folder; results that still read them fail from then on."""
+    remove(spark, f"{shared_root(spark)}/rillstone")

@@ -7,16 +7,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillstone.operators.components import spill_levels
 from rillstone.operators.focal import moving, neighbours
+from rillstone.operators.tiles import SIDE, map_tiles, places_of
 from rillstone.operators.zones import clump
 from rillstone.storage import materialize, remove, write_table
 
-#: Pits that one call of the carving search gets, with their windows.
-PITS_A_CALL = 32
 EIGHT = ("e", "ne", "n", "nw", "w", "sw", "s", "se")
 
 
@@ -191,66 +191,113 @@ def apply_solution(cells: DataFrame, solved: DataFrame, pit_cells: DataFrame, ca
     return out.withColumns({"solved": F.coalesce("w.value", F.col("z").cast("double")), "code": F.coalesce("w.solution", F.lit(0))}).drop("w")
 
 
-def _carve(window: pd.DataFrame, max_depth: float, radius: int) -> pd.DataFrame:
-    """Least-cost path of at most radius steps from a pit's lowest cell to a lower one in its window: the cost is the depth to cut.
+@dataclass(frozen=True)
+class Carving:
+    """How carves are sought: constrained (the least depth cut, then the shortest) or, with least_cost, by the cost of all that is cut.
+
+    least_cost ways end at max_cost, weigh each step by its length if shortest, and fall by increment a step.
+    """
+
+    radius: int = 50
+    max_depth: float = 1e9
+    least_cost: bool = False
+    max_cost: float = float("inf")
+    shortest: bool = False
+    increment: float = 0.0
+
 
-    A cell keeps each way that no other beats in both cost and length, as a dearer but shorter one may go further.
+#: Steps to the eight neighbours and their lengths.
+_STEPS = tuple((i, j, (i * i + j * j) ** 0.5) for i in (-1, 0, 1) for j in (-1, 0, 1) if i or j)
+
+
+def _carve(z: list[float], stride: int, start: int, how: Carving, raised: dict[int, float]) -> tuple[list[int], list[float]] | None:
+    """The way of at most radius steps from a pit's lowest cell to a lower one, over the places of a tile, and its heights.
+
+    Its cost is the depth to cut.  A cell keeps each way that no other beats in both cost and length, as a dearer but
+    shorter one may go further.  Places without a height are nan.
     """
-    empty = pd.DataFrame({"pit": pd.Series(dtype="int64"), "r": pd.Series(dtype="int64"), "c": pd.Series(dtype="int64"), "value": pd.Series(dtype="float64")})
-    z = {(a, b): v for a, b, v in zip(window["r"].tolist(), window["c"].tolist(), window["z"].tolist(), strict=True)}
-    start = (int(window["pr"].iloc[0]), int(window["pc"].iloc[0]))
-    low, came, best, heap, shortest = z[start], {(start, 0): None}, {}, [(0.0, 0, start)], {}
+    row, col = divmod(start, stride)
+    low = raised.get(start, z[start])
+    came, best, heap, shortest = {(start, 0): None}, {}, [(0.0, 0, start)], {}
     while heap:
         cost, length, here = heapq.heappop(heap)
         # ways come in order of cost, so only shorter ones than before are of use
         if length >= shortest.get(here, length + 1):
             continue
         shortest[here] = length
-        if z[here] < low:
+        at = raised.get(here, z[here])
+        if at < low - how.increment * length:
             path = []
             while here is not None:
                 path.append(here)
                 here, length = came[here, length], length - 1
             path.reverse()
-            end, n = z[path[-1]], len(path) - 1
-            values = [min(z[p], low + (end - low) * k / n) for k, p in enumerate(path)]
-            return pd.DataFrame({"pit": window["pit"].iloc[0], "r": [p[0] for p in path], "c": [p[1] for p in path], "value": values})
-        if length == radius:
+            n, ground = len(path) - 1, [raised.get(p, z[p]) for p in path]
+            if how.least_cost:
+                return path, [min(g, low - how.increment * k) for k, g in enumerate(ground)]
+            return path, [min(g, low + (at - low) * k / n) for k, g in enumerate(ground)]
+        if length == how.radius:
             continue
-        for i in (-1, 0, 1):
-            for j in (-1, 0, 1):
-                there = (here[0] + i, here[1] + j)
-                if there in z and length + 1 < shortest.get(there, length + 2) and z[there] - low <= max_depth:
-                    new = cost + max(0.0, z[there] - low)
-                    if new < best.get((there, length + 1), float("inf")):
-                        came[there, length + 1], best[there, length + 1] = here, new
-                        heapq.heappush(heap, (new, length + 1, there))
-    return empty
-
-
-def breach_depressions(cells: DataFrame, bottoms: DataFrame, radius: int = 50, max_depth: float = 1e9, raised: DataFrame | None = None) -> DataFrame:
+        for i, j, away in _STEPS:
+            there = here + i * stride + j
+            if abs(there // stride - row) > how.radius or abs(there % stride - col) > how.radius or length + 1 >= shortest.get(there, length + 2):
+                continue
+            height = raised.get(there, z[there])
+            if height - low <= how.max_depth:  # not if nan
+                new = cost + max(0.0, height - (low - how.increment * (length + 1))) * (away if how.shortest else 1.0)
+                if new <= how.max_cost and new < best.get((there, length + 1), float("inf")):
+                    came[there, length + 1], best[there, length + 1] = here, new
+                    heapq.heappush(heap, (new, length + 1, there))
+    return None
+
+
+def breach_depressions(cells: DataFrame, bottoms: DataFrame, radius: int = 50, max_depth: float = 1e9, raised: DataFrame | None = None, how: Carving | None = None, side: int = SIDE) -> DataFrame:
     """(pit, r, c, value): the carve of each pit that has a way to lower ground within radius steps and max_depth.
 
     bottoms has pit, r, c of each pit's lowest cell; raised (pit, r, c, level) holds heights that one
-    pit sees instead of the ground's.  A pit sees the (2 radius + 1)^2 cells around it,
-    so its group is bounded; heights along the way fall evenly and never rise above the surface.
+    pit sees instead of the ground's.  how (see Carving) takes the place of radius and max_depth.  A tile holds its cells and
+    those within radius once, for all pits whose lowest cell it has.  Heights along a constrained way fall
+    evenly and never rise above the surface.
     """
-    size = 2 * radius + 1
-    bins = bottoms.select("pit", F.col("r").alias("pr"), F.col("c").alias("pc"))
-    for axis, p in (("br", "pr"), ("bc", "pc")):
-        bins = bins.withColumn(axis, F.explode(F.sequence(F.floor((F.col(p) - radius) / size), F.floor((F.col(p) + radius) / size))))
-    held = cells.where("z is not null").select("r", "c", F.col("z").cast("double").alias("z"), F.floor(F.col("r") / size).alias("br"), F.floor(F.col("c") / size).alias("bc"))
-    window = bins.join(held, ["br", "bc"]).where((F.abs(F.col("r") - F.col("pr")) <= radius) & (F.abs(F.col("c") - F.col("pc")) <= radius))
-    window = window.select("pit", "pr", "pc", "r", "c", "z")
+    how = how or Carving(radius, max_depth)
+    reach = how.radius + 1  # a rim of nothing around
+    held = cells.where("z is not null").select("r", "c", F.col("z").cast("double").alias("z"), F.lit(None).cast("long").alias("pit"), F.lit(0).alias("kind"))
+    held = held.unionByName(bottoms.select("r", "c", F.lit(None).cast("double").alias("z"), F.col("pit").cast("long").alias("pit"), F.lit(1).alias("kind")))
     if raised is not None:
-        window = window.join(raised.select("pit", "r", "c", "level"), ["pit", "r", "c"], "left").withColumn("z", F.coalesce("level", "z")).drop("level")
-    # some pits to a call, each of bounded size
-    calls = max(1, -(-bins.select("pit").distinct().count() // PITS_A_CALL))
-
-    def carve_all(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.concat([_carve(w, max_depth, radius) for _, w in pdf.groupby("pit", sort=False)], ignore_index=True)
-
-    return window.groupBy(F.pmod(F.xxhash64("pit"), F.lit(calls))).applyInPandas(lambda pdf: carve_all(pdf), "pit long, r long, c long, value double")
+        held = held.unionByName(raised.select("r", "c", F.col("level").cast("double").alias("z"), F.col("pit").cast("long").alias("pit"), F.lit(2).alias("kind")))
+    width = side + 2 * reach
+
+    def run(table: pa.Table, r0: int, c0: int) -> pa.Table | None:
+        i, j = places_of(table, r0, c0, reach)
+        kind, pit = table.column("kind").to_numpy(), table.column("pit").fill_null(0).to_numpy()
+        place, value = i * width + j, table.column("z").fill_null(0).to_numpy()
+        starts = np.flatnonzero((kind == 1) & (i >= reach) & (i < reach + side) & (j >= reach) & (j < reach + side))
+        if not len(starts):
+            return None
+        z = np.full(width * width, np.nan)
+        z[place[kind == 0]] = value[kind == 0]
+        z[[*range(width), *range(width * (width - 1), width * width)]] = np.nan
+        own: dict[int, dict[int, float]] = {}
+        for k in np.flatnonzero((kind == 2) & np.isin(pit, pit[starts])).tolist():
+            own.setdefault(int(pit[k]), {})[int(place[k])] = float(value[k])
+        z, names, where, heights = z.tolist(), [], [], []
+        for k in starts.tolist():
+            found = _carve(z, width, int(place[k]), how, own.get(int(pit[k]), {}))
+            if found is not None:
+                names += [int(pit[k])] * len(found[0])
+                where += found[0]
+                heights += found[1]
+        row, col = np.divmod(np.array(where, np.int64), width)
+        return pa.Table.from_arrays([pa.array(names, pa.int64()), pa.array(row + r0 - reach), pa.array(col + c0 - reach), pa.array(heights, pa.float64())], names=["pit", "r", "c", "value"])
+
+    return map_tiles(held, reach, run, "pit long, r long, c long, value double", (), side)
+
+
+def breach_and_fill(cells: DataFrame, bottoms: DataFrame, n_cols: int, how: Carving = Carving(least_cost=True), out: str = "out") -> DataFrame:
+    """Adds out: the surface after the carves (the lowest where they cross), and then a fill of the pits that are left."""
+    lowest = breach_depressions(cells, bottoms, how=how).groupBy("r", "c").agg(F.min("value").alias("_cut"))
+    cut = materialize(cells.join(lowest, ["r", "c"], "left").withColumn("_cut", F.least(F.col("z").cast("double"), "_cut")), "breached")
+    return fill_depressions(cut, "_cut", n_cols, out=out).drop("_cut")
 
 
 def partial_fills(cells: DataFrame, pits: DataFrame, pit_cells: DataFrame, interval: float = 0.2, radius: int = 50, max_depth: float = 1e9) -> tuple[DataFrame, DataFrame]:

@@ -5,11 +5,14 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillstone.operators.focal import neighbours
 from rillstone.operators.spatial import sequential_id
+from rillstone.operators.tiles import SIDE, dense, map_tiles, places_of
 from rillstone.operators.zones import label, largest_zone
 from rillstone.storage import materialize, remove, write_table
 
@@ -51,25 +54,48 @@ def flow_accumulation(pointers: DataFrame, n_cols: int, out: str = "cells") -> D
     return now.select(F.floor(F.col("v") / n_cols).alias("r"), (F.col("v") % n_cols).alias("c"), F.col("a").alias(out))
 
 
-def fix_flats(cells: DataFrame, value: str, increment: float, n_cols: int, out: str = "out") -> DataFrame:
+def fix_flats(cells: DataFrame, value: str, increment: float, n_cols: int, out: str = "out", side: int = SIDE) -> DataFrame:
     """Adds out: cells of flats rise by increment for each step from the flat's nearest outlet.
 
     An outlet is a cell of equal height with a lower neighbour, or at the edge; flats without one stay.
+    Distances spread within tiles of side x side cells, then from tile to tile, so rounds grow with the
+    tiles that a way to an outlet crosses.
     """
     near = neighbours(cells.select("r", "c", value), value)
     low = F.least(*[F.coalesce(F.col(d), F.lit(float("-inf"))) for d, _, _ in DIRECTIONS])
-    state = near.select("r", "c", F.col(value).alias("z"), F.when(low < F.col(value), 0).alias("d"))
-    state, path = write_table(state, "flats")
-    step = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for _, i, j in DIRECTIONS]))
-    depth = 0
-    while True:
-        sent = state.where(F.col("d") == depth).select(step.alias("s"), "r", "c", "z").select((F.col("r") + F.col("s.i")).alias("r"), (F.col("c") + F.col("s.j")).alias("c"), "z").distinct()
-        reached = state.where("d is null").join(sent, ["r", "c", "z"], "left_semi").select("r", "c", F.lit(depth + 1).alias("_d"))
-        new, next_path = write_table(state.join(reached, ["r", "c"], "left").select("r", "c", "z", F.coalesce("d", "_d").alias("d")), "flats")
-        remove(cells.sparkSession, path)
-        state, path, depth = new, next_path, depth + 1
-        if state.where(F.col("d") == depth).first() is None:
-            break
+    start = near.select("r", "c", F.col(value).cast("double").alias("z"), F.when(low < F.col(value), 0).cast("int").alias("d"), F.lit(False).alias("moved"))
+    spark, (state, path) = cells.sparkSession, write_table(start, "flats")
+
+    def walk(table: pa.Table, r0: int, c0: int) -> pa.Table | None:
+        i, j = places_of(table, r0, c0, 1)
+        core = (i > 0) & (i <= side) & (j > 0) & (j <= side)
+        if not core.any():
+            return None
+        z, d = dense(table, "z", i, j, side + 2), dense(table, "d", i, j, side + 2)
+        d[np.isnan(d)] = np.inf
+        before = d.copy()
+        while True:
+            least = d.copy()
+            for a, b in ((a, b) for _, a, b in DIRECTIONS):
+                here = slice(max(0, -a), side + 2 - max(0, a)), slice(max(0, -b), side + 2 - max(0, b))
+                there = slice(max(0, a), side + 2 - max(0, -a)), slice(max(0, b), side + 2 - max(0, -b))
+                same = z[here] == z[there]
+                least[here][same] = np.minimum(least[here][same], d[there][same] + 1)
+            if np.array_equal(least, d):
+                break
+            d = least
+        moved = (d != before)[i, j] & ((i == 1) | (i == side) | (j == 1) | (j == side))
+        found = d[i, j]
+        columns = [*(table.column(x).filter(pa.array(core)) for x in ("r", "c", "z")), pa.array(np.where(np.isfinite(found), found, np.nan)[core], from_pandas=True).cast(pa.int32()), pa.array(moved[core])]
+        return pa.Table.from_arrays(columns, names=["r", "c", "z", "d", "moved"])
+
+    # each round walks as far as a tile reaches; only steps onto a tile's rim matter to others
+    again = True
+    while again:
+        new, next_path = write_table(map_tiles(state, 1, walk, state.schema, (), side), "flats")
+        remove(spark, path)
+        state, path = new, next_path
+        again = not state.where("moved").isEmpty()
     return cells.join(state.select("r", "c", "d"), ["r", "c"]).withColumn(out, F.col(value) + F.coalesce("d", F.lit(0)) * increment).drop("d")
 
 

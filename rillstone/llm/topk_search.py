@@ -133,7 +133,8 @@ def top_k_search(
     part, nor do rows with a null id; a query without any candidate returns no row.  Pivots (by default
     as many as the square root of the rows, at least 64) come from
     a sample of at most sample rows; every row is indexed and the result is exact.  Rows that repeat
-    an id are candidates of their own.  Other columns are ignored.  The result is a table in the shared
+    an id are candidates of their own; rows of queries that repeat an id are one query, that of the least
+    vector by its bytes.  Other columns are ignored.  The result is a table in the shared
     folder; compared, if given, gains the number of inner products taken.
     """
     spark = vectors.sparkSession

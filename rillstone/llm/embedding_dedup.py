@@ -5,7 +5,8 @@ that share a code in a table meet first as sketches, their first 256 signs over
 that differ from every other by more than a linked pair may stay behind.  The rest are compared
 exactly, as matrices; a pair counts in the first table that holds it together.  Buckets beyond a
 block's size are cut into blocks and compared block by block, so no pair is lost and no task or
-message grows with a bucket.
+message grows with a bucket.  Equal vectors are one class with a count before anything is compared, so
+a group of copies costs no more than a single vector.
 """
 
 from __future__ import annotations
@@ -114,21 +115,30 @@ def duplicate_vectors(
 
     words = [f"s{k}" for k in range(SKETCH // 64)]
 
-    def hash_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def take_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, values = vectors_of(batch.column(1), dim)
             ids = batch.column(0).take(pa.array(at))
             here = ids.is_valid().to_numpy(zero_copy_only=False) & (values != 0).any(1) if len(at) else np.zeros(0, bool)
-            if not here.any():
+            if here.any():
+                # adding 0 makes one zero of 0 and -0
+                raw = pa.array([x.tobytes() for x in values[here].astype(stored) + stored(0)], pa.binary())
+                yield pa.RecordBatch.from_arrays([ids.filter(pa.array(here)), raw], names=["id", "raw"])
+
+    def hash_classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            values = values[here]
+            values = np.frombuffer(b"".join(batch.column(2).to_pylist()), stored).astype(np.float64).reshape(batch.num_rows, -1)
             codes, sketch = _signs(_units(values), tables, bits)
             places = codes.astype(np.int32) + (np.arange(tables, dtype=np.int32) << 16)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1, dtype=np.int32) * tables), pa.array(places.ravel()))
-            raw = pa.array([x.tobytes() for x in values.astype(stored)], pa.binary())
-            yield pa.RecordBatch.from_arrays([ids.filter(pa.array(here)), lists, *(pa.array(np.ascontiguousarray(x)) for x in sketch.T), raw], names=["id", "places", *words, "raw"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, lists, *(pa.array(np.ascontiguousarray(x)) for x in sketch.T)], names=["id", "rows", "raw", "places", *words])
 
-    hashed = rows.mapInArrow(hash_rows, f"id long, places array<int>, {' long, '.join(words)} long, raw binary").withColumn("copy", F.monotonically_increasing_id())
+    taken, taken_path = write_table(rows.mapInArrow(take_rows, "id long, raw binary"), "vectors")
+    # a class of equal vectors goes by its least id and counts its rows
+    classes = taken.groupBy("raw").agg(F.min("id").alias("id"), F.count("*").alias("rows")).select("id", "rows", "raw")
+    hashed = classes.mapInArrow(hash_classes, f"id long, rows long, raw binary, places array<int>, {' long, '.join(words)} long").withColumn("copy", F.monotonically_increasing_id())
     hashed, hashed_path = write_table(hashed, "hashed")
     keys = hashed.select("copy", *words, F.explode("places").alias("place"))
     large = keys.groupBy("place").agg(F.count("*").alias("m")).where(F.col("m") > block)
@@ -173,14 +183,14 @@ def duplicate_vectors(
                 yield from table.select(["place", "pq", "mine", "copy"]).filter(pa.array(keep)).combine_chunks().to_batches()
 
     sifted = dealt.repartition("place", "pq").sortWithinPartitions("place", "pq").mapInArrow(sift, "place int, pq long, mine int, copy long")
-    full = sifted.join(hashed.select("copy", "id", "places", "raw"), "copy").select("place", "pq", "mine", "copy", "id", "places", "raw")
+    full = sifted.join(hashed.select("copy", "id", "rows", "places", "raw"), "copy").select("place", "pq", "mine", "copy", "id", "rows", "places", "raw")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _groups(batches, 2):
             itself, left, right = sides(table)
             if not len(left) or not len(right):
                 continue
-            t, ids, copies = table.column("place")[0].as_py() >> 16, table.column("id").to_numpy(), table.column("copy").to_numpy()
+            t, ids, copies, held = table.column("place")[0].as_py() >> 16, *(table.column(c).to_numpy() for c in ("id", "copy", "rows"))
             unit = _units(np.frombuffer(b"".join(table.column("raw").to_pylist()), stored).astype(np.float64).reshape(len(ids), -1))
             a, b = np.nonzero(unit[left] @ unit[right].T >= cosine)
             a, b = left[a], right[b]
@@ -192,7 +202,7 @@ def duplicate_vectors(
                 a, b = a[first], b[first]
             if not len(a):
                 continue
-            links = np.bincount(np.concatenate([a, b]), minlength=len(ids))
+            links = np.bincount(np.concatenate([a, b]), held[np.concatenate([b, a])], len(ids)).astype(np.int64)
             node, root = union_find(ids[a], ids[b])
             away, linked = node != root, np.flatnonzero(links)
             u, v = np.concatenate([node[away], ids[linked]]), np.concatenate([root[away], ids[linked]])
@@ -202,9 +212,15 @@ def duplicate_vectors(
 
     found = full.repartition("place", "pq").sortWithinPartitions("place", "pq").mapInArrow(compare, "u long, v long, copy long, n long")
     found = materialize(found, "vector-links")
-    remove(vectors.sparkSession, hashed_path)
-    component = star_components(found.where("copy < 0"), "u", "v")
-    links = found.where("copy >= 0").groupBy(F.col("u").alias("id"), "copy").agg(F.sum("n").alias("n")).groupBy("id").agg(F.max("n").alias("n_links"))
+    linked = found.where("copy >= 0").groupBy("copy").agg(F.sum("n").alias("n"))
+    # a row links with the other rows of its class and with all rows of the classes that its class links with
+    classes = hashed.join(linked, "copy", "left").select("raw", F.col("id").alias("first"), (F.coalesce("n", F.lit(0)) + F.col("rows") - 1).alias("n"))
+    members = materialize(taken.join(classes, "raw").select("id", "first", "n"), "vector-classes")
+    for path in (hashed_path, taken_path):
+        remove(vectors.sparkSession, path)
+    equal = members.where("id <> first").select(F.col("id").alias("u"), F.col("first").alias("v")).distinct()
+    component = star_components(found.where("copy < 0").select("u", "v").unionByName(equal), "u", "v")
+    links = members.groupBy("id").agg(F.max("n").alias("n_links"))
     out = rows.select("id").join(links, "id", "left").join(component.withColumnRenamed("node", "id"), "id", "left")
     own = F.coalesce("component", "id")
     return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), own.alias("component_id"), F.coalesce(own == F.col("id"), F.lit(True)).alias("kept"))

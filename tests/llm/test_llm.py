@@ -439,3 +439,41 @@ def test_windows_sorted_in_parts_find_the_same_earlier_holders(monkeypatch):
         monkeypatch.setattr(X, "SORTED", most)
         assert X._foreign(data, starts, holder, 50).tolist() == expected
     assert X._foreign(data, starts[:0], holder[:0], 50).tolist() == []
+
+
+def test_classes_of_equal_vectors_count_every_row(spark):
+    rng = np.random.default_rng(21)
+    base = rng.normal(size=(6, 16))
+    base[3] = base[2] + 0.05 * rng.normal(size=16)  # two classes that link
+    base[4, 0] = 0.0
+    rows = [(10 + i, base[i % 5].tolist()) for i in range(700)]
+    rows += [(5000 + i, base[0].tolist()) for i in range(900)]
+    rows += [(7000, [-0.0, *base[4, 1:].tolist()]), (9000, base[5].tolist()), (9001, (base[5] + 0.02 * rng.normal(size=16)).tolist())]
+    # an id with two rows: one a copy in the largest class, one alone with a near vector
+    rows += [(8000, base[0].tolist()), (8000, base[5].tolist()), (None, base[0].tolist())]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = duplicate_vectors(table, block=64).collect()
+    assert len(got) == len(rows)
+    at = [(i, np.array(v)) for i, v in rows if i is not None]
+    units = np.array([v / np.linalg.norm(v) for _, v in at])
+    close = units @ units.T >= 0.9
+    np.fill_diagonal(close, False)
+    ids = np.array([i for i, _ in at])
+    links: dict[int, int] = {}
+    root = {i: i for i in ids.tolist()}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for k, i in enumerate(ids.tolist()):
+        links[i] = max(links.get(i, 0), int(close[k].sum()))
+        for j in ids[close[k]].tolist():
+            a, b = sorted((find(i), find(j)))
+            root[b] = a
+    for r in got:
+        if r["vec_id"] is None:
+            assert r["n_links"] == 0 and r["kept"]
+        else:
+            assert (r["n_links"], r["component_id"], r["kept"]) == (links[r["vec_id"]], find(r["vec_id"]), find(r["vec_id"]) == r["vec_id"])

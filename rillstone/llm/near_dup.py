@@ -30,6 +30,8 @@ SLACK = 0.08
 ROUGH = 0.1
 #: Pairs of one document that a task compares.
 SHARE = 512
+#: Slots into which the pairs of one document fall while they are counted.
+SLOTS = 1024
 _SEEDS = np.random.default_rng(4242).integers(0, 1 << 32, 1024, dtype=np.uint32)
 
 
@@ -133,10 +135,14 @@ def _with_both(pairs: DataFrame, table: DataFrame, key: str, columns: list[str],
     """(a, b) with the columns of a's row in table (prefixed a_) and of b's (b_).
 
     The pairs of one a are dealt into parts of about share, each with a copy of a's row, so that no
-    task meets all pairs of a document that very many others are compared with.
+    task meets all pairs of a document that very many others are compared with.  How many parts an a
+    has is learnt from counts by (a, slot), and comes back to its pairs by both.
     """
-    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / share).cast("int").alias("parts"))
-    right = pairs.join(parts, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int")).drop("parts")
+    dealt = pairs.withColumn("slot", F.pmod(F.xxhash64("b"), F.lit(SLOTS)).cast("int"))
+    counts = dealt.groupBy("a", "slot").agg(F.count("*").alias("n"))
+    parts = counts.groupBy("a").agg(F.ceil(F.sum("n") / share).cast("int").alias("parts"))
+    right = dealt.join(counts.join(parts, "a").select("a", "slot", "parts"), ["a", "slot"])
+    right = right.withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int")).drop("slot", "parts")
     right = right.join(table.select(F.col(key).alias("b"), *[F.col(c).alias(f"b_{c}") for c in columns]), "b")
     left = table.select(F.col(key).alias("a"), *[F.col(c).alias(f"a_{c}") for c in columns]).join(parts, "a")
     left = left.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")

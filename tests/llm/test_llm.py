@@ -477,3 +477,22 @@ def test_classes_of_equal_vectors_count_every_row(spark):
             assert r["n_links"] == 0 and r["kept"]
         else:
             assert (r["n_links"], r["component_id"], r["kept"]) == (links[r["vec_id"]], find(r["vec_id"]), find(r["vec_id"]) == r["vec_id"])
+
+
+@pytest.mark.parametrize("label", [0, 1])
+def test_toxicity_with_labels_of_one_class_goes_by_the_fixed_voters(spark, docs, label):
+    marks = docs.where("doc_id is not null").select("doc_id", F.lit(label).alias("toxic"))
+    got, without = by_id(score_toxicity(docs, marks)), by_id(score_toxicity(docs, marks.limit(0)))
+    assert {i: r["score"] for i, r in got.items()} == {i: r["score"] for i, r in without.items()}
+
+
+def test_rows_of_queries_that_repeat_an_id_are_one_query(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.integers(-4, 5, 8).astype(float).tolist()) for i in range(60)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    twice = [(7, [1.0] * 8), (7, [2.0] * 8), (8, [1.0] * 8), (8, [1.0] * 8)]
+    got = top_k_search(table, spark.createDataFrame(twice, "vec_id long, embedding array<double>"), k=3, pivots=4, part_rows=16).collect()
+    assert sorted((r["query_id"], r["rank"]) for r in got) == [(q, k) for q in (7, 8) for k in (1, 2, 3)]
+    for r in got:
+        v = np.array(rows[r["vec_id"]][1])
+        assert r["score"] in {int(65536 * (v @ np.array(q))) for i, q in twice if i == r["query_id"]}

@@ -93,7 +93,10 @@ def texts_of(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray
 
 
 def with_answers(chunks: DataFrame, answers: DataFrame | None, columns: list[str]) -> DataFrame:
-    """Each chunk with the list of its answers (structs of columns); no answer: an empty list."""
+    """Each chunk with the list of its answers (structs of columns, at most one for each bucket that it wrote to).
+
+    A chunk writes at most as many messages as it holds keys, so its size bounds the list.
+    """
     gathered = answers.groupBy("chunk").agg(F.collect_list(F.struct(*columns)).alias("answers"))
     return chunks.join(gathered, "chunk", "left")
 

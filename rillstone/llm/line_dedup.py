@@ -4,6 +4,8 @@ Every distinct line key is hashed to 128 bits; each shard of hashes gets a minim
 function and, at each key's slot, a fingerprint, the number of documents and the last document.
 Documents do not join lines: each chunk sends the hashes of its distinct keys to the shards, which
 probe their arrays and answer with the keys to drop.
+Counts combine before the shuffle, and a shard that very many chunks ask lends its arrays to several
+tasks, so no group of rows grows with the number of chunks.
 """
 
 from __future__ import annotations
@@ -12,17 +14,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from rillstone.llm.chunks import by_bucket, pack, pack_array, per_row, table_of, unpack_array, with_answers
+from rillstone.llm.chunks import CHUNK_BYTES, pack, pack_array, per_row, table_of, unpack_array, with_answers
 from rillstone.llm.kernels import mix
 from rillstone.storage import materialize
 
 GAMMA = 1.5
 LEVELS = 40
+#: Probes that one task answers from one copy of a shard's arrays.
+PROBES = 1 << 18
+#: Shards with several copies that are broadcast as (shard, copies); more of them are joined.
+SENT = 100_000
 
 
 class PerfectHash:
@@ -122,57 +129,67 @@ class _ChunkKeys:
         self.shard = (self.digest[:, 0] >> np.uint64(40)) % np.uint64(shards)
         self.rows = [np.flatnonzero(self.shard == s) for s in np.unique(self.shard)]
 
-    def messages(self, chunk: int) -> Iterator[tuple]:
+    def probes(self, chunk: int) -> Iterator[tuple]:
         for rows in self.rows:
-            yield chunk, int(self.shard[rows[0]]), self.digest[rows].tobytes(), pack_array(self.count[rows].astype(np.uint32)), pack_array(self.last[rows])
-
-
-def _index(shard: int, messages: list[dict]) -> Iterator[tuple]:
-    """Merge what the chunks counted and build the shard's arrays."""
-    digest = np.frombuffer(b"".join(m["digest"] for m in messages), np.uint64).reshape(-1, 2)
-    count = np.concatenate([unpack_array(m["count"], np.uint32) for m in messages]).astype(np.int64)
-    last = np.concatenate([unpack_array(m["last"], np.int64) for m in messages])
-    order = np.lexsort((digest[:, 1], digest[:, 0]))
-    digest, count, last = digest[order], count[order], last[order]
-    first = np.flatnonzero(np.r_[True, (digest[1:] != digest[:-1]).any(1)])
-    key, mark = digest[first, 0], digest[first, 1]
+            yield chunk, int(self.shard[rows[0]]), self.digest[rows].tobytes()
+
+
+def _build(key: tuple, table: pa.Table) -> pa.Table:
+    """The arrays of a shard from its distinct hashes, in slot order."""
+    high, mark, count, last, asked = (table.column(c).to_numpy() for c in ("high", "low", "count", "last", "asked"))
+    order = np.lexsort((mark.view(np.uint64), high.view(np.uint64)))
+    high, mark, count, last = high.view(np.uint64)[order], mark.view(np.uint64)[order], count[order].astype(np.uint32), last[order]
     # two keys that share 64 bits keep one slot each: the second is told apart by its fingerprint
-    key = np.where(np.r_[False, key[1:] == key[:-1]], key ^ mark, key)
-    count, last = np.add.reduceat(count, first), np.maximum.reduceat(last, first)
-    function = PerfectHash.build(key)
-    slot = function(key)
+    high = np.where(np.r_[False, high[1:] == high[:-1]], high ^ mark, high)
+    function = PerfectHash.build(high)
+    slot = function(high)
     arrays = []
-    for values in (mark, count.astype(np.uint32), last):
+    for values in (mark, count, last):
         placed = np.empty_like(values)
         placed[slot] = values
         arrays.append(pack_array(placed))
-    yield shard, len(key), function.dump(), *arrays
+    return pa.Table.from_pydict({"shard": [key[0].as_py()], "n": [len(high)], "asked": [int(asked.sum())], "function": [function.dump()], "fingerprints": [arrays[0]], "counts": [arrays[1]], "last": [arrays[2]]})
 
 
 def line_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20, chunks: DataFrame | None = None, shards: int | None = None) -> DataFrame:
     """The index of all distinct line keys: one row per shard with its function and arrays, in slot order.
 
-    shard, n, function, fingerprints (unsigned 64 bit), counts (documents, unsigned 32 bit), last (largest id).
+    shard, n, asked (chunks that hold a key, summed over keys), function, fingerprints (unsigned 64 bit),
+    counts (documents, unsigned 32 bit), last (largest id).
     """
     chunks, shards = (chunks, shards) if chunks is not None else _chunks(docs, id_col, text_col)
-    counted = chunks.mapInArrow(
-        per_row(
-            lambda row: _ChunkKeys(row, id_col, text_col, shards, min_chars).messages(row["chunk"]), ["chunk", "bucket", "digest", "count", "last"], [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-        ),
-        "chunk long, bucket long, digest binary, count binary, last binary",
-    )
-    names = ["shard", "n", "function", "fingerprints", "counts", "last"]
-    index = by_bucket(counted, _index, names, [pa.int64(), pa.int64(), *[pa.binary()] * 4], "shard long, n long, function binary, fingerprints binary, counts binary, last binary")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                held = _ChunkKeys(row, id_col, text_col, shards, min_chars)
+                yield pa.RecordBatch.from_pydict({"high": held.digest[:, 0].view(np.int64), "low": held.digest[:, 1].view(np.int64), "count": held.count, "last": held.last})
+
+    counted = chunks.mapInArrow(count, "high long, low long, count long, last long").groupBy("high", "low").agg(F.sum("count").alias("count"), F.max("last").alias("last"), F.count(F.lit(1)).alias("asked"))
+    shard = F.shiftrightunsigned("high", 40) % shards
+    index = counted.groupBy(shard.alias("shard")).applyInArrow(_build, "shard long, n long, asked long, function binary, fingerprints binary, counts binary, last binary")
     return materialize(index, "line-index")
 
 
-def _chunks(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
-    chunks, _ = pack(docs, text_col)
+def _chunks(docs: DataFrame, id_col: str, text_col: str, target: int = CHUNK_BYTES) -> tuple[DataFrame, int]:
+    chunks, _ = pack(docs, text_col, target)
     size = chunks.agg(F.coalesce(F.sum(F.length("payload")), F.lit(0)).alias("b")).first()["b"]
     return chunks, max(8, int(size >> 21))
 
 
-def drop_common_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20, min_docs: int = 3) -> DataFrame:
+def dealt(probes: DataFrame, index: DataFrame, most: int = PROBES) -> tuple[DataFrame, DataFrame]:
+    """probes and index with a column part: each shard in as many copies as it takes for about most probes to each."""
+    copies = F.ceil(F.col("asked") / most).cast("long")
+    several = index.where(F.col("asked") > most).select(F.col("shard").alias("bucket"), copies.alias("_copies"))
+    number = several.count()
+    if not number:
+        return probes.withColumn("part", F.lit(0).cast("long")), index.withColumn("part", F.lit(0).cast("long"))
+    probes = probes.join(F.broadcast(several) if number <= SENT else several, "bucket", "left")
+    probes = probes.withColumn("part", F.pmod(F.xxhash64("chunk"), F.coalesce("_copies", F.lit(1).cast("long")))).drop("_copies")
+    return probes, index.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(copies, F.lit(1)) - 1)))
+
+
+def drop_common_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20, min_docs: int = 3, chunk_bytes: int = CHUNK_BYTES, probes_per_task: int = PROBES) -> DataFrame:
     """docs without the lines whose key at least min_docs documents hold, except in the last of them.
 
     Lines are cut at newlines (a null or empty text is one empty line).  A key is the line stripped
@@ -182,18 +199,15 @@ def drop_common_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     null text stays null.  Rows count as documents of their own even if they repeat an id, and all
     rows with the largest id keep the line; rows with a null id are returned as they are and count for nothing.
     Other columns are returned as they are; columns named like the two new ones are replaced.
+    chunk_bytes and probes_per_task set the size of tasks and do not change the result.
     """
     docs = docs.drop("n_lines", "n_dropped")
     docs = docs.withColumn(id_col, F.col(id_col).cast("long"))
-    chunks, shards = _chunks(docs.where(F.col(id_col).isNotNull()), id_col, text_col)
+    chunks, shards = _chunks(docs.where(F.col(id_col).isNotNull()), id_col, text_col, chunk_bytes)
     index = line_index(docs, id_col, text_col, min_chars, chunks, shards)
 
-    probes = chunks.mapInArrow(
-        per_row(
-            lambda row: ((c, b, d) for c, b, d, _, _ in _ChunkKeys(row, id_col, text_col, shards, min_chars).messages(row["chunk"])), ["chunk", "bucket", "digest"], [pa.int64(), pa.int64(), pa.binary()]
-        ),
-        "chunk long, bucket long, digest binary",
-    )
+    asking = per_row(lambda row: _ChunkKeys(row, id_col, text_col, shards, min_chars).probes(row["chunk"]), ["chunk", "bucket", "digest"], [pa.int64(), pa.int64(), pa.binary()])
+    probes, copies = dealt(chunks.mapInArrow(asking, "chunk long, bucket long, digest binary"), index, probes_per_task)
     answer_schema = pa.schema([("chunk", pa.int64()), ("bucket", pa.int64()), ("often", pa.binary()), ("last", pa.binary())])
 
     def probe(asked: pa.Table, shard: pa.Table) -> pa.Table:
@@ -202,21 +216,22 @@ def drop_common_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             row = shard.to_pylist()[0]
             function = PerfectHash.load(row["function"])
             marks, counts, last = unpack_array(row["fingerprints"], np.uint64), unpack_array(row["counts"], np.uint32), unpack_array(row["last"], np.int64)
-            for chunk, bucket, raw in zip(*(asked.column(c).to_pylist() for c in ("chunk", "bucket", "digest")), strict=True):
-                digest = np.frombuffer(raw, np.uint64).reshape(-1, 2)
-                slot = function(digest[:, 0])
-                other = (slot < 0) | (marks[slot] != digest[:, 1])
-                if other.any():
-                    again = function(digest[other, 0] ^ digest[other, 1])
-                    good = (again >= 0) & (marks[again] == digest[other, 1])
-                    slot[other] = np.where(good, again, -1)
-                often = (slot >= 0) & (counts[slot] >= min_docs)
+            ends = np.cumsum(pc.binary_length(asked.column("digest")).to_numpy() >> 4)
+            digest = np.frombuffer(b"".join(asked.column("digest").to_pylist()), np.uint64).reshape(-1, 2)
+            slot = function(digest[:, 0])
+            other = (slot < 0) | (marks[slot] != digest[:, 1])
+            if other.any():
+                again = function(digest[other, 0] ^ digest[other, 1])
+                good = (again >= 0) & (marks[again] == digest[other, 1])
+                slot[other] = np.where(good, again, -1)
+            hit = (slot >= 0) & (counts[slot] >= min_docs)
+            for chunk, bucket, often, at in zip(asked.column("chunk").to_pylist(), asked.column("bucket").to_pylist(), np.split(hit, ends[:-1]), np.split(slot, ends[:-1]), strict=True):
                 if often.any():
-                    out.append((chunk, bucket, np.packbits(often).tobytes(), pack_array(last[slot[often]])))
+                    out.append((chunk, bucket, np.packbits(often).tobytes(), pack_array(last[at[often]])))
         columns = zip(*out, strict=True) if out else [[]] * 4
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, answer_schema.types, strict=True)], schema=answer_schema)
 
-    answers = probes.groupBy("bucket").cogroup(index.groupBy("shard")).applyInArrow(probe, "chunk long, bucket long, often binary, last binary")
+    answers = probes.groupBy("bucket", "part").cogroup(copies.groupBy("shard", "part")).applyInArrow(probe, "chunk long, bucket long, often binary, last binary")
     known = with_answers(chunks, answers, ["bucket", "often", "last"])
     names = list(docs.columns)
     out_schema = StructType([*docs.schema.fields]).add("n_lines", "long").add("n_dropped", "long")

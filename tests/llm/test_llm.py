@@ -15,6 +15,7 @@ import zstandard
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from rillstone.llm import line_dedup
 from rillstone.llm.chunks import _payload, texts_of, unpack_array
 from rillstone.llm.embedding_dedup import duplicate_vectors
 from rillstone.llm.encode import WordEncoder
@@ -191,6 +192,23 @@ def test_common_lines_go_as_by_brute_force(docs):
         assert ((got[i]["text"] or ""), got[i]["n_lines"], got[i]["n_dropped"]) == ("\n".join(kept), len(own), len(own) - len(kept))
         dropped += len(own) - len(kept)
     assert dropped > 2 and drop_common_lines(docs.limit(0)).count() == 0
+    small = by_id(drop_common_lines(docs, chunk_bytes=200, probes_per_task=5))
+    assert {i: (r["text"], r["n_dropped"]) for i, r in small.items()} == {i: (r["text"], r["n_dropped"]) for i, r in got.items()}
+
+
+def test_groups_of_line_probes_do_not_grow_with_the_chunks(spark):
+    largest = []
+    for n in (400, 800):
+        docs = spark.range(n).selectExpr("id doc_id", "concat('a line that every document holds\n', repeat(concat('own line ', id), 9)) text")
+        chunks, shards = line_dedup._chunks(docs, "doc_id", "text", 64)
+        assert chunks.count() >= n
+        index = line_dedup.line_index(docs, chunks=chunks, shards=shards)
+        asking = line_dedup.per_row(lambda row: line_dedup._ChunkKeys(row, "doc_id", "text", shards, 20).probes(row["chunk"]), ["chunk", "bucket", "digest"], [pa.int64(), pa.int64(), pa.binary()])  # noqa: B023
+        probes, copies = line_dedup.dealt(chunks.mapInArrow(asking, "chunk long, bucket long, digest binary"), index, 100)
+        assert probes.join(copies, (probes.bucket == copies.shard) & (probes.part == copies.part)).count() == probes.count()
+        largest.append(probes.groupBy("bucket", "part").count().agg(F.max("count")).first()[0])
+        assert index.agg(F.sum("asked")).first()[0] == 2 * n
+    assert max(largest) < 160 and largest[1] < 1.4 * largest[0]
 
 
 def test_toxicity_learns_from_allowed_rows_alone(spark):

@@ -10,19 +10,22 @@ from __future__ import annotations
 
 import io
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillstone.storage import write_table
+from rillstone.storage import materialize, write_table
 
 CHUNK_SCHEMA = "chunk long, n long, payload binary"
 CHUNK_BYTES = 4 << 20
+#: Chunks whose messages a bucket takes as they are; those of more are merged first.
+FAN = 1 << 14
 
 
 def pack_array(values: np.ndarray, level: int = 1) -> bytes:
@@ -116,13 +119,52 @@ def per_row(fn: Callable[[dict], Iterator[tuple]], names: list[str], kinds: list
     return run
 
 
-def by_bucket(messages: DataFrame, fn: Callable[[int, list[dict]], Iterator[tuple]], names: list[str], kinds: list[pa.DataType], schema: str, key: str | Column = "bucket") -> DataFrame:
-    """fn(bucket, its messages) for each bucket; buckets are sized by their number, not by the data's keys."""
-    out = pa.schema(list(zip(names, kinds, strict=True)))
+class Exchange(NamedTuple):
+    """What buckets do with messages (chunk, bucket, fields) and answer with rows (chunk, bucket, results); all fields by name and type.
+
+    answer(bucket, messages) yields the answers; merge(bucket, messages) gives the fields of one message that stands for
+    all of them; spread(bucket, messages, found) yields their answers from the one to that message (None: no answer).
+    merge and spread get messages in order of their chunks.
+    """
+
+    fields: list[tuple[str, str, pa.DataType]]
+    results: list[tuple[str, str, pa.DataType]]
+    answer: Callable[[int, list[dict]], Iterator[tuple]]
+    merge: Callable[[int, list[dict]], tuple]
+    spread: Callable[[int, list[dict], dict | None], Iterator[tuple]]
+
+    @staticmethod
+    def schemas(columns: list[tuple[str, str, pa.DataType]]) -> tuple[str, pa.Schema]:
+        columns = [("chunk", "long", pa.int64()), ("bucket", "long", pa.int64()), *columns]
+        return ", ".join(f"{n} {t}" for n, t, _ in columns), pa.schema([(n, k) for n, _, k in columns])
 
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        rows = list(fn(key[0].as_py(), table.to_pylist()))
-        columns = zip(*rows, strict=True) if rows else [[] for _ in kinds]
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], schema=out)
 
-    return messages.groupBy(key).applyInArrow(run, schema)
+def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
+    columns = zip(*rows, strict=True) if rows else [[] for _ in schema]
+    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
+
+
+def exchange(messages: DataFrame, number: int, work: Exchange, fan: int = FAN) -> DataFrame:
+    """The buckets' answers to the messages of number chunks.
+
+    Of more than fan chunks, messages of about fan chunks to a bucket merge into one first, level by
+    level, and answers come back the same way: no group has many more than fan rows, and what many chunks
+    send alike is held once.  The answers are the same.
+    """
+    text, out = work.schemas(work.results)
+    if number <= fan:
+        return messages.groupBy("bucket").applyInArrow(lambda key, table: _table(list(work.answer(key[0].as_py(), table.to_pylist())), out), text)
+    parts = -(-number // fan)
+    messages = materialize(messages.withColumn("part", F.pmod(F.xxhash64("chunk"), F.lit(parts))), "messages", row_group_bytes=8 << 20)
+    merged_text, merged_out = work.schemas(work.fields)
+
+    def merge(key: tuple, table: pa.Table) -> pa.Table:
+        return _table([(key[1].as_py(), key[0].as_py(), *work.merge(key[0].as_py(), table.sort_by("chunk").to_pylist()))], merged_out)
+
+    def spread(asked: pa.Table, found: pa.Table) -> pa.Table:
+        rows = asked.sort_by("chunk").to_pylist()
+        return _table(list(work.spread(rows[0]["bucket"], rows, (found.to_pylist() or [None])[0])) if rows else [], out)
+
+    merged = messages.groupBy("bucket", "part").applyInArrow(merge, merged_text)
+    found = exchange(merged, parts, work, fan)
+    return messages.groupBy("bucket", "part").cogroup(found.groupBy("bucket", "chunk")).applyInArrow(spread, text)

@@ -6,7 +6,8 @@ in two documents take part.  Their suffixes are dealt out by anchor and sorted i
 deep-shallow sorting: multikey quicksort on eight bytes at a time to a shallow depth, then blind
 tries for the groups that still share a prefix.  Equal n-byte strings are neighbours then.
 The windows of an anchor that very many stretches share are dealt out one by one, by a hash of
-their own n bytes: equal windows still meet, and no bucket holds a whole anchor.
+their own n bytes: equal windows still meet, and no bucket holds a whole anchor.  What very many
+chunks send a bucket alike is merged on the way, level by level.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillstone.llm.chunks import by_bucket, pack, pack_array, per_row, table_of, texts_of, unpack_array, with_answers
+from rillstone.llm.chunks import CHUNK_BYTES, FAN, Exchange, exchange, pack, pack_array, per_row, table_of, texts_of, unpack_array, with_answers
 from rillstone.llm.kernels import anchors
 from rillstone.storage import materialize, remove
 
@@ -120,8 +121,14 @@ def _grams(row: dict, id_col: str, text_col: str, n: int, buckets: int) -> Itera
     bucket, short = (h >> np.uint64(32)) % np.uint64(buckets), (h & np.uint64(0xFFFFFF)).astype(np.uint32)
     for b, rows in _split(bucket, buckets):
         rows = rows[np.argsort(short[rows], kind="stable")]
-        steps = np.diff(short[rows], prepend=np.uint32(0))
-        yield row["chunk"], b, pack_array(steps.astype(np.uint16) if steps.max() < 1 << 16 else steps), int(steps.max() < 1 << 16), np.packbits(shared[rows]).tobytes(), pack_array(times[rows])
+        yield row["chunk"], b, *_packed(short[rows], shared[rows], times[rows])
+
+
+def _packed(hashes: np.ndarray, shared: np.ndarray, times: np.ndarray) -> tuple:
+    """A message of ascending 32-bit hashes: their steps, whether two documents hold them and how often."""
+    steps = np.diff(hashes, prepend=np.uint32(0))
+    narrow = bool(steps.max() < 1 << 16)
+    return pack_array(steps.astype(np.uint16) if narrow else steps), int(narrow), np.packbits(shared).tobytes(), pack_array(times)
 
 
 def _split(bucket: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -142,20 +149,41 @@ def _window_hash(data: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def _repeated(bucket: int, messages: list[dict], hot: int) -> Iterator[tuple]:
-    """Tell each chunk which of its anchor hashes occur in two documents, and which more than hot times."""
+def _gathered(messages: list[dict]) -> tuple:
+    """The hashes of all messages in one list: distinct ones, the number of each in it, shared, times and the messages' ends."""
     lists = [np.cumsum(unpack_array(m["hashes"], np.uint16 if m["narrow"] else np.uint32), dtype=np.uint32) for m in messages]
     shared = [np.unpackbits(np.frombuffer(m["shared"], np.uint8), count=len(x)).astype(bool) for m, x in zip(messages, lists, strict=True)]
     values, number, count = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
     often = count > 1
     np.logical_or.at(often, number, np.concatenate(shared))
     times = np.bincount(number, np.concatenate([unpack_array(m["times"], np.uint32) for m in messages]))
-    cuts = np.cumsum([len(x) for x in lists])[:-1]
-    for m, x, y in zip(messages, np.split(often[number], cuts), np.split((often & (times > hot))[number], cuts), strict=True):
+    return values, number, often, times, np.cumsum([len(x) for x in lists])[:-1]
+
+
+def _told(bucket: int, messages: list[dict], often: np.ndarray, hot: np.ndarray, cuts: np.ndarray) -> Iterator[tuple]:
+    for m, x, y in zip(messages, np.split(often, cuts), np.split(hot, cuts), strict=True):
         if x.any():
             yield m["chunk"], bucket, np.packbits(x).tobytes(), np.packbits(y).tobytes() if y.any() else None
 
 
+def _repeated(bucket: int, messages: list[dict], hot: int) -> Iterator[tuple]:
+    """Tell each chunk which of its anchor hashes occur in two documents, and which more than hot times."""
+    _, number, often, times, cuts = _gathered(messages)
+    yield from _told(bucket, messages, often[number], (often & (times > hot))[number], cuts)
+
+
+def _merged_grams(bucket: int, messages: list[dict]) -> tuple:
+    values, _, often, times, _ = _gathered(messages)
+    return _packed(values, often, np.minimum(times, np.iinfo(np.uint32).max).astype(np.uint32))
+
+
+def _spread_grams(bucket: int, messages: list[dict], found: dict | None) -> Iterator[tuple]:
+    if found is not None:
+        values, number, _, _, cuts = _gathered(messages)
+        often, hot = (np.unpackbits(np.frombuffer(found[k] or bytes(len(values) // 8 + 1), np.uint8), count=len(values)).astype(bool) for k in ("often", "hot"))
+        yield from _told(bucket, messages, often[number], hot[number], cuts)
+
+
 def _padded(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """Strings as rows of equal width, whole words: their bytes, zeros, and their length (below 256) at the end."""
     width = -(-int(length.max(initial=0)) // WORD) * WORD + WORD
@@ -258,17 +286,29 @@ def _foreign(data: np.ndarray, starts: np.ndarray, holder: np.ndarray, n: int) -
     return out
 
 
+def _strings(messages: list[dict]) -> tuple:
+    """The stretches of all messages in one list: bytes, where each begins, lengths, first holders and the messages' ends."""
+    sizes = [unpack_array(m["lengths"], np.uint8) for m in messages]
+    length = np.concatenate(sizes).astype(np.int64)
+    data = np.concatenate([unpack_array(m["strings"], np.uint8) for m in messages])
+    return data, np.cumsum(length) - length, length, np.concatenate([unpack_array(m["least"], np.int64) for m in messages]), np.cumsum([len(x) for x in sizes])[:-1]
+
+
+def _every(count: np.ndarray) -> np.ndarray:
+    return ((np.uint64(1) << count.astype(np.uint64)) - np.uint64(1)).astype(np.uint32)
+
+
+def _itself(bucket: int, messages: list[dict]) -> Iterator[tuple]:
+    for m in messages:
+        yield m["chunk"], bucket, m["strings"], m["lengths"]
+
+
 def _earliest(bucket: int, messages: list[dict], n: int) -> Iterator[tuple]:
     """For each stretch, the windows (as bits) that an earlier document than the chunk's first holder has."""
     if bucket < 0:
-        for m in messages:
-            yield m["chunk"], bucket, m["strings"], m["lengths"]
+        yield from _itself(bucket, messages)
         return
-    sizes = [unpack_array(m["lengths"], np.uint8) for m in messages]
-    length = np.concatenate(sizes).astype(np.int64)
-    least = np.concatenate([unpack_array(m["least"], np.int64) for m in messages])
-    data = np.concatenate([unpack_array(m["strings"], np.uint8) for m in messages])
-    begin = np.cumsum(length) - length
+    data, begin, length, least, cuts = _strings(messages)
     # whole stretches first: chunks that hold the same one need its windows sorted once
     rows = _padded(data, begin, length)
     order, group = sort_suffixes(rows.ravel(), np.arange(len(rows)) * rows.shape[1], rows.shape[1])
@@ -279,9 +319,33 @@ def _earliest(bucket: int, messages: list[dict], n: int) -> Iterator[tuple]:
     inside = (np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)).astype(np.uint8)
     earlier = _foreign(data, np.repeat(begin[own], count) + inside, np.repeat(holder, count), n).astype(np.uint32)
     bits = np.bitwise_or.reduceat(earlier << inside, np.cumsum(count) - count)[number]
-    every = ((np.uint64(1) << count.astype(np.uint64)) - np.uint64(1)).astype(np.uint32)[number]
-    bits = np.where(least > holder[number], every, bits)
-    for m, x in zip(messages, np.split(bits, np.cumsum([len(x) for x in sizes])[:-1]), strict=True):
+    bits = np.where(least > holder[number], _every(count)[number], bits)
+    for m, x in zip(messages, np.split(bits, cuts), strict=True):
+        yield m["chunk"], bucket, pack_array(x), None
+
+
+def _merged_strings(bucket: int, messages: list[dict]) -> tuple:
+    if bucket < 0:
+        return b"", b"", b""
+    data, begin, length, least, _ = _strings(messages)
+    stands, number = _distinct(data, begin, length)
+    first = np.full(len(stands), np.iinfo(np.int64).max)
+    np.minimum.at(first, number, least)
+    size = length[stands]
+    ends = np.cumsum(size)
+    return pack_array(data[np.repeat(begin[stands] - (ends - size), size) + np.arange(ends[-1])], level=3), pack_array(size.astype(np.uint8)), pack_array(first)
+
+
+def _spread_strings(bucket: int, messages: list[dict], found: dict, n: int) -> Iterator[tuple]:
+    if bucket < 0:
+        yield from _itself(bucket, messages)
+        return
+    data, begin, length, least, cuts = _strings(messages)
+    stands, number = _distinct(data, begin, length)
+    first = np.full(len(stands), np.iinfo(np.int64).max)
+    np.minimum.at(first, number, least)
+    bits = np.where(least > first[number], _every(length - n + 1), unpack_array(found["bits"], np.uint32)[number])
+    for m, x in zip(messages, np.split(bits, cuts), strict=True):
         yield m["chunk"], bucket, pack_array(x), None
 
 
@@ -307,7 +371,7 @@ def _covered(size: int, answers: list[dict], n: int) -> np.ndarray:
     return total > 0
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = 50, hot: int = HOT) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = 50, hot: int = HOT, chunk_bytes: int = CHUNK_BYTES, fan: int = FAN) -> DataFrame:
     """docs with every byte removed that an earlier document's min_bytes-byte string covers.
 
     Texts are UTF-8 bytes, a null text is empty; a byte goes if it lies in a string of min_bytes
@@ -317,28 +381,39 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     column.  Rows with a null id take no part and are returned unchanged; rows with equal ids do
     not count as earlier than each other.
     Any other columns are returned as they are; columns named like the four new ones are replaced.
-    An anchor with more than hot stretches has its windows dealt out one by one; the result is the same.
+    An anchor with more than hot stretches has its windows dealt out one by one, messages of more than fan
+    chunks (of chunk_bytes of text) to a bucket are merged before they meet; the result is the same.
     """
     if not 2 * GRAM <= min_bytes <= GRAM + 31:
         raise ValueError(f"min_bytes must lie between {2 * GRAM} and {GRAM + 31}")
     docs = docs.drop("kept_bytes", "n_bytes", "n_removed", "n_spans")
-    chunks, path = pack(docs.where(F.col(id_col).isNotNull()).withColumn(id_col, F.col(id_col).cast("long")), text_col)
-    weight = chunks.agg(F.coalesce(F.sum(F.length("payload")), F.lit(0)).alias("b")).first()["b"]
-    buckets = max(8, int(weight >> 20))
-    n = min_bytes
-    grams = chunks.mapInArrow(
-        per_row(lambda row: _grams(row, id_col, text_col, n, buckets), ["chunk", "bucket", "hashes", "narrow", "shared", "times"], [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary()]),
-        "chunk long, bucket long, hashes binary, narrow long, shared binary, times binary",
+    chunks, path = pack(docs.where(F.col(id_col).isNotNull()).withColumn(id_col, F.col(id_col).cast("long")), text_col, chunk_bytes)
+    held = chunks.agg(F.coalesce(F.sum(F.length("payload")), F.lit(0)).alias("b"), F.count(F.lit(1)).alias("n")).first()
+    buckets, number = max(8, int(held["b"] >> 20)), held["n"]
+    n, blob, whole = min_bytes, pa.binary(), pa.int64()
+    grams = Exchange(
+        [("hashes", "binary", blob), ("narrow", "long", whole), ("shared", "binary", blob), ("times", "binary", blob)],
+        [("often", "binary", blob), ("hot", "binary", blob)],
+        lambda b, m: _repeated(b, m, hot),
+        _merged_grams,
+        _spread_grams,
     )
-    often = by_bucket(grams, lambda b, m: _repeated(b, m, hot), ["chunk", "bucket", "often", "hot"], [pa.int64(), pa.int64(), pa.binary(), pa.binary()], "chunk long, bucket long, often binary, hot binary")
+    strings = Exchange(
+        [("strings", "binary", blob), ("lengths", "binary", blob), ("least", "binary", blob)],
+        [("bits", "binary", blob), ("lengths", "binary", blob)],
+        lambda b, m: _earliest(b, m, n),
+        _merged_strings,
+        lambda b, m, found: _spread_strings(b, m, found, n),
+    )
+
+    def sent(table: DataFrame, fn, work: Exchange) -> DataFrame:
+        text, out = work.schemas(work.fields)
+        return table.mapInArrow(per_row(lambda row: fn(row, id_col, text_col, n, buckets), out.names, out.types), text)
+
+    often = exchange(sent(chunks, _grams, grams), number, grams, fan)
     known = materialize(with_answers(chunks, often, ["bucket", "often", "hot"]), "stretches", row_group_bytes=8 << 20)
     remove(docs.sparkSession, path)
-    stretches = known.mapInArrow(
-        per_row(lambda row: _stretches(row, id_col, text_col, n, buckets), ["chunk", "bucket", "strings", "lengths", "least"], [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]),
-        "chunk long, bucket long, strings binary, lengths binary, least binary",
-    )
-    earliest = by_bucket(stretches, lambda b, m: _earliest(b, m, n), ["chunk", "bucket", "bits", "lengths"], [pa.int64(), pa.int64(), pa.binary(), pa.binary()], "chunk long, bucket long, bits binary, lengths binary")
-    bits = earliest.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "bits", "lengths")).alias("found"))
+    bits = exchange(sent(known, _stretches, strings), number, strings, fan).groupBy("chunk").agg(F.collect_list(F.struct("bucket", "bits", "lengths")).alias("found"))
     schema = docs.withColumn(id_col, F.col(id_col).cast("long")).schema
     names = list(schema.names)
     out_schema = schema.add("kept_bytes", "binary").add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long")

@@ -15,7 +15,7 @@ import zstandard
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from rillstone.llm import line_dedup
+from rillstone.llm import chunks, line_dedup
 from rillstone.llm.chunks import _payload, texts_of, unpack_array
 from rillstone.llm.embedding_dedup import duplicate_vectors
 from rillstone.llm.encode import WordEncoder
@@ -211,6 +211,39 @@ def test_groups_of_line_probes_do_not_grow_with_the_chunks(spark):
     assert max(largest) < 160 and largest[1] < 1.4 * largest[0]
 
 
+def test_repeats_are_the_same_when_messages_merge(spark, docs):
+    columns = ("doc_id", "kept_bytes", "n_removed", "n_spans")
+    passage = "a passage of well over fifty bytes that every document of this table holds, whatever else it says"
+    rows = spark.range(60).selectExpr("59 - id doc_id", f"concat('own words of number ', id, ' before ', '{passage}', ' and after it ', repeat(string(id % 3), 40)) text")
+    for table in (docs.select("doc_id", "text"), rows):
+        whole = sorted(remove_repeats(table).select(*columns).collect(), key=str)
+        assert sum(r["n_removed"] for r in whole) > 100
+        for hot in (4, 1 << 15):
+            assert sorted(remove_repeats(table, hot=hot, chunk_bytes=100, fan=3).select(*columns).collect(), key=str) == whole
+
+
+def test_merged_messages_meet_in_groups_of_bounded_size(spark):
+    largest = []
+    kinds = [("value", "long", pa.int64())]
+
+    def answer(bucket, messages):
+        assert len(messages) <= 32
+        total = sum(m["value"] for m in messages)
+        for m in messages:
+            yield m["chunk"], bucket, total
+
+    def spread(bucket, messages, found):
+        assert len(messages) <= 32
+        for m in messages:
+            yield m["chunk"], bucket, found["value"]
+
+    work = chunks.Exchange(kinds, kinds, answer, lambda b, messages: (sum(m["value"] for m in messages),), spread)
+    for n in (500, 1000):
+        messages = spark.range(n).selectExpr("id chunk", "0L bucket", "id value")
+        largest.append({r["value"] for r in chunks.exchange(messages, n, work, 10).collect()})
+        assert largest[-1] == {n * (n - 1) // 2}
+
+
 def test_toxicity_learns_from_allowed_rows_alone(spark):
     rng = np.random.default_rng(6)
     rows, labels = [], []

@@ -152,7 +152,7 @@ def b12(spark, sf):
     return G.trim_halo(cells, 5, *K.extent(cells))
 
 
-@query("b13_add_halo", "SELECT t.tr, u.tc, l.r, l.c, l.z_mm FROM range(4) t(tr) CROSS JOIN range(2) u(tc) JOIN layers l ON l.r BETWEEN t.tr * 125 - 4 AND t.tr * 125 + 128 AND l.c BETWEEN u.tc * 32 - 4 AND u.tc * 32 + 35", LAYERS)
+@query("b13_add_halo", "SELECT t.tr, u.tc, l.r, l.c, l.z_mm FROM (SELECT unnest(range(max(r) // 125 + 1)) AS tr FROM layers) t CROSS JOIN range(2) u(tc) JOIN layers l ON l.r BETWEEN t.tr * 125 - 4 AND t.tr * 125 + 128 AND l.c BETWEEN u.tc * 32 - 4 AND u.tc * 32 + 35", LAYERS)
 def b13(spark, sf):
     return G.add_halo(layers(spark, sf).select("r", "c", "z_mm"), 125, 32, 4).select("tr", "tc", "r", "c", "z_mm")
 

@@ -104,9 +104,11 @@ def d11(spark, sf):
     return D.dissolve(feature_cells(spark, sf, "fclass = 'lake'"), 64)
 
 
-@query("d12_close_holes", f"""
-    WITH RECURSIVE {labels_sql("z_mm >= -20", 4)}
-    SELECT r, c FROM layers WHERE z_mm < -20 UNION SELECT r, c FROM zones WHERE zone NOT IN (SELECT zone FROM zones WHERE r = 0 OR c = 0 OR c = 63 OR r = (SELECT max(r) FROM layers))""", LAYERS)
+@query("d12_close_holes", """
+    WITH RECURSIVE rest AS (SELECT r, c FROM layers WHERE z_mm >= -20), k4 AS (SELECT * FROM (VALUES (0, 1), (1, 0), (0, -1), (-1, 0)) AS k(i, j)),
+    flood AS (SELECT r, c FROM rest WHERE r = 0 OR c = 0 OR c = 63 OR r = (SELECT max(r) FROM layers)
+      UNION SELECT rest.r, rest.c FROM flood CROSS JOIN k4 JOIN rest ON rest.r = flood.r + i AND rest.c = flood.c + j)
+    SELECT r, c FROM layers EXCEPT SELECT r, c FROM flood""", LAYERS)
 def d12(spark, sf):
     cells = layers(spark, sf)
     return D.close_holes(cells.where("z_mm < -20"), cells.agg(F.max("r")).first()[0] + 1, 64)

@@ -1,9 +1,10 @@
 """Height ladders: pieces of water that stand too high along a ladder of heights, and how they are lowered.
 
 All steps of a ladder are looked at together, with the step as a key of the pieces.  Where a step
-must see what lower steps have changed, only the lowest step that changes anything is applied in each
-body of water, and the steps above it are looked at anew: bodies do not meet, so the result is
-that of going up step by step, in as many rounds as one body has steps that change it.
+must see what lower steps have changed, a piece falls only if no chain of pieces, each a step above the one
+before and near it, leads to it from another that falls; pieces that such a chain reaches are looked at anew.
+So the result is that of going up step by step, in as many rounds as falls follow on each other in one place,
+however long a river is.
 
 Tables have r, c, z, swo and code, the water class (0 to 2 land and banks, 3 lake, 4 to 7 river, 8 to 10
 streams); metre says how many units of height make one metre.
@@ -11,16 +12,17 @@ streams); metre says how many units of height make one metre.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from math import ceil, floor, pi
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillstone.operators.focal import fill_missing
 from rillstone.operators.spatial import sequential_id
 from rillstone.operators.tiles import around
-from rillstone.operators.zones import RING, label
+from rillstone.operators.zones import FEW, RING, label
 from rillstone.storage import keep, materialize, remove, scratch, write_table
 
 
@@ -113,42 +115,79 @@ def lower_river_below_land(cells: DataFrame, n_cols: int, metre: float = 1000.0,
 # rounds of the ladders that see what they have changed
 
 
-def _rounds(state: DataFrame, heights: Sequence[float], n_cols: int, on: Column, pieces: Callable[[DataFrame], DataFrame], judge: Callable[[DataFrame, DataFrame], DataFrame], apply: Callable[[DataFrame, DataFrame, DataFrame], DataFrame]) -> DataFrame:
-    """Goes up the ladder by body of water until no step changes anything.
+#: Side of the blocks that say which pieces are near: more than any piece looks around for water, and one more.
+BLOCK = 8
+
+
+def _reached(edges: DataFrame, start: DataFrame) -> DataFrame:
+    """(zone) of all that the zones of start reach along edges (a, b); few edges are walked in one task."""
+    if edges.count() <= FEW:
+        both = edges.unionByName(start.select(F.lit(None).cast("long").alias("a"), F.col("zone").alias("b")))
+        return both.coalesce(1).mapInArrow(_walk, "zone long")
+    front = edges.join(start.select(F.col("zone").alias("a")), "a", "left_semi").select(F.col("b").alias("zone")).distinct()
+    found = front = materialize(front, "ladder-front")
+    while not front.isEmpty():
+        ahead = edges.join(front.select(F.col("zone").alias("a")), "a", "left_semi").select(F.col("b").alias("zone")).distinct()
+        front = materialize(ahead.join(found, "zone", "left_anti"), "ladder-front")
+        found = materialize(found.unionByName(front), "ladder-found")
+    return found
+
+
+def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What the starts (null, b) reach along the edges (a, b) of a partition; for graphs whose size has been checked."""
+    ahead: dict[int | None, list[int]] = {}
+    for batch in batches:
+        for a, b in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+            ahead.setdefault(a, []).append(b)
+    todo, found = ahead.pop(None, []), set()
+    while todo:
+        for b in ahead.pop(todo.pop(), []):
+            if b not in found:
+                found.add(b)
+                todo.append(b)
+    yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64())], names=["zone"])
+
+
+def _rounds(state: DataFrame, heights: Sequence[float], on: Column, pieces: Callable[[DataFrame], DataFrame], fit: Callable[[DataFrame], DataFrame], judge: Callable[[DataFrame, DataFrame], DataFrame], apply: Callable[[DataFrame, DataFrame, DataFrame], DataFrame]) -> DataFrame:
+    """Goes up the ladder until no step changes anything.
 
     state has r, c, z, code and what judge and apply need; on says which cells are water of the kind.
     pieces(held) gives (zone, step, r, c) from held, the state's water cells once for each step (with h, its
-    height) that is still to come in their body; judge(pieces, state) the zones that fall, with their step
-    and what apply needs; apply(state, pieces, fall) the state after them.
+    height) that is still to come for them, fit(pieces) those that may fall; judge(pieces, state) the zones that fall, with
+    their step and what apply needs; apply(state, pieces, fall) the state after them.
+
+    A fall changes cells of its piece only.  Pieces of the step above within BLOCK cells may see it, or what they
+    do then, and so on; as pieces of higher steps lie in those of lower ones, all that a fall may come to change or
+    reshape is reached so.  What is not reached is settled, whether it fell or not.
     """
-    # bodies lie more than 8 cells apart, so no ring of one holds a cell of another
-    mask = state.where(on).select("r", "c")
-    reach = F.sequence(F.lit(-4), F.lit(4))
-    grown = mask.withColumn("_i", F.explode(reach)).select((F.col("r") + F.col("_i")).alias("r"), "c").distinct()
-    grown = grown.withColumn("_j", F.explode(reach)).select("r", (F.col("c") + F.col("_j")).alias("c")).distinct()
-    bodies = label(grown, F.lit(True), 2 * n_cols + 20, 8, out="body")
-    state = materialize(state.join(bodies, ["r", "c"], "left").withColumn("done", F.lit(-1)), "ladder-state")
+    last = len(heights) - 1
+    state = materialize(state.withColumn("done", F.lit(-1)), "ladder-state")
     ladder = F.array(*[F.struct(F.lit(k).alias("step"), F.lit(float(h)).alias("h")) for k, h in enumerate(heights)])
     spark, path = state.sparkSession, None
     while heights:
         with scratch(spark) as held_paths:
-            held = state.where(on).withColumn("_s", F.explode(ladder)).where(F.col("_s.step") > F.col("done")).withColumns({"step": F.col("_s.step"), "h": F.col("_s.h")}).drop("_s")
-            found = materialize(pieces(held), "ladder-pieces")
-            fall = judge(found, state)
-            body = found.select("zone", "r", "c").join(state.select("r", "c", "body"), ["r", "c"]).groupBy("zone").agg(F.min("body").alias("body"))
-            fall = materialize(fall.join(body, "zone"), "ladder-fall")
-            first = fall.groupBy("body").agg(F.min("step").alias("step"))
-            fall = fall.join(first, ["body", "step"], "left_semi")
+            held = state.where(on & (F.col("done") < last)).withColumn("_s", F.explode(ladder)).where(F.col("_s.step") > F.col("done")).withColumns({"step": F.col("_s.step"), "h": F.col("_s.h")}).drop("_s")
+            every = materialize(pieces(held), "ladder-every")
+            found = materialize(fit(every), "ladder-pieces")
+            fall = materialize(judge(found, state), "ladder-fall")
             if fall.isEmpty():
                 break
+            blocks = materialize(every.select("zone", "step", F.floor(F.col("r") / BLOCK).alias("i"), F.floor(F.col("c") / BLOCK).alias("j")).distinct(), "ladder-blocks")
+            near = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in [(0, 0), *RING]]))
+            above = blocks.withColumn("_s", near).select(F.col("zone").alias("b"), (F.col("step") - 1).alias("step"), (F.col("i") + F.col("_s.i")).alias("i"), (F.col("j") + F.col("_s.j")).alias("j"))
+            edges = materialize(blocks.withColumnRenamed("zone", "a").join(above, ["step", "i", "j"]).select("a", "b").distinct(), "ladder-edges")
+            waits = materialize(_reached(edges, fall), "ladder-waits")
+            fall = materialize(fall.join(waits, "zone", "left_anti"), "ladder-fall")
             changed = apply(state, found.join(fall.select("zone"), "zone", "left_semi"), fall)
-            ahead = first.select("body", F.col("step").alias("_done"))
-            state, next_path = write_table(changed.join(ahead, "body", "left").withColumn("done", F.coalesce("_done", "done")).drop("_done"), "ladder-state")
+            open_ = every.join(waits, "zone", "left_semi").select("r", "c", (F.col("step") - 1).alias("_done"))
+            open_ = open_.unionByName(found.join(fall.select("zone"), "zone", "left_semi").select("r", "c", F.col("step").alias("_done")))
+            open_ = open_.groupBy("r", "c").agg(F.min("_done").alias("_done"))
+            state, next_path = write_table(changed.join(open_, ["r", "c"], "left").withColumn("done", F.coalesce("_done", F.lit(last))).drop("_done"), "ladder-state")
             keep(held_paths, next_path)
         if path is not None:
             remove(spark, path)
         path = next_path
-    return state.drop("body", "done")
+    return state.drop("done")
 
 
 def _off_rim(pieces: DataFrame, rim: DataFrame | None) -> DataFrame:
@@ -203,7 +242,10 @@ def monotonic_rivers(cells: DataFrame, n_cols: int, rim: DataFrame | None = None
         step = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in [(0, 0), *RING]]))
         beside = above.withColumn("_s", step).select("step", (F.col("r") + F.col("_s.i")).alias("r"), (F.col("c") + F.col("_s.j")).alias("c")).distinct()
         near = held.where(F.col("z") != F.col("h")).select("step", "r", "c").join(beside, ["step", "r", "c"], "left_semi")
-        found = _off_rim(label(near, F.lit(True), n_cols, 4, ["step"]), rim)
+        return label(near, F.lit(True), n_cols, 4, ["step"])
+
+    def fit(every: DataFrame) -> DataFrame:
+        found = _off_rim(every, rim)
         big = found.groupBy("zone").agg(F.count("*").alias("n")).where(F.col("n") > area)
         return found.join(big.select("zone"), "zone", "left_semi")
 
@@ -260,7 +302,7 @@ def monotonic_rivers(cells: DataFrame, n_cols: int, rim: DataFrame | None = None
         moved = moved.withColumns({"_z": z, "code": code.cast("int"), "_left": F.when(~F.col("absolute"), 2).otherwise(F.col("_left")), "_ring": F.coalesce("_new", "_ring")})
         return moved.withColumn("z", F.col("_z")).select(*state.columns)
 
-    done = _rounds(state, heights, n_cols, F.col("_on"), pieces, judge, apply)
+    done = _rounds(state, heights, F.col("_on"), pieces, fit, judge, apply)
     done = done.withColumn("code", F.when(F.col("_ring") == 1, 2).otherwise(F.col("code")).cast("int"))
     return _refill(done, done.where("_ring > 0"), fill_reach).select(*cells.columns)
 
@@ -300,9 +342,12 @@ def monotonic_streams(cells: DataFrame, n_cols: int, rim: DataFrame | None = Non
     level = F.element_at(F.array(*[F.lit(float(h)) for h in heights]), F.col("step") + 1)
 
     def pieces(held: DataFrame) -> DataFrame:
-        found = _off_rim(label(held.where(F.col("z") > F.col("h")), F.lit(True), n_cols, 8, ["step"]), rim)
-        fit = found.groupBy("zone").agg(F.count("*").alias("n")).where((F.col("n") >= radius / 4) & (F.col("n") <= got["n"] / 4))
-        return found.join(fit.select("zone"), "zone", "left_semi")
+        return label(held.where(F.col("z") > F.col("h")), F.lit(True), n_cols, 8, ["step"])
+
+    def fit(every: DataFrame) -> DataFrame:
+        found = _off_rim(every, rim)
+        fits = found.groupBy("zone").agg(F.count("*").alias("n")).where((F.col("n") >= radius / 4) & (F.col("n") <= got["n"] / 4))
+        return found.join(fits.select("zone"), "zone", "left_semi")
 
     def judge(found: DataFrame, state: DataFrame) -> DataFrame:
         own = found.join(state.select("r", "c", "z"), ["r", "c"]).groupBy("zone", "step").agg(F.count("*").alias("n"), F.max("z").alias("top"))
@@ -330,6 +375,6 @@ def monotonic_streams(cells: DataFrame, n_cols: int, rim: DataFrame | None = Non
         mark = F.when(F.col("to").isNotNull(), 2).otherwise(F.coalesce("_new", "_ring"))
         return moved.withColumns({"z": F.coalesce("to", "z"), "_ring": mark}).select(*state.columns)
 
-    done = _rounds(state, heights, n_cols, F.col("_on"), pieces, judge, apply)
+    done = _rounds(state, heights, F.col("_on"), pieces, fit, judge, apply)
     done = done.withColumn("code", F.when(F.col("_ring") == 2, 13).when(F.col("_ring") == 1, 14).otherwise(F.col("code")).cast("int"))
     return _refill(done, done.where("_ring = 1"), fill_reach).select(*cells.columns)

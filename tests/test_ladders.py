@@ -267,3 +267,27 @@ def test_zones_and_rings_across_tiles(spark):
                 if 0 < d <= 3:
                     want[zone, i, j] = d, i * 1000 + j
     assert found == want
+
+
+def test_falls_in_places_apart_share_a_round(spark, monkeypatch):
+    from rillstone.operators import ladders
+
+    z, swo, code = river_grid(2, 240)
+    z += (240 - np.arange(240))[:, None] // 60 * 1_000.0  # humps begin at higher and higher steps
+    heights = [9_500.0 + 1_000.0 * k for k in range(9)]
+    want_z, want_code = plain_rivers(z, swo, code, heights)
+    rounds, write = [], ladders.write_table
+    monkeypatch.setattr(ladders, "write_table", lambda df, tag, *a: rounds.append(tag) or write(df, tag, *a))
+    same(monotonic_rivers(frame(spark, z, swo, code), z.shape[1], heights=heights), want_z, want_code)
+    steps = {int(v) for v in want_z[(want_code != code) & (want_code > 5)] // 1_000}
+    assert len(steps) >= 4 and rounds.count("ladder-state") <= 3
+
+
+def test_what_falls_reach(spark, monkeypatch):
+    from rillstone.operators import ladders
+
+    edges = spark.createDataFrame([(1, 2), (2, 3), (3, 5), (4, 5), (6, 7)], "a long, b long")
+    for few in (10, 0):
+        monkeypatch.setattr(ladders, "FEW", few)
+        found = ladders._reached(edges, spark.createDataFrame([(1,), (2,), (9,)], "zone long"))
+        assert sorted(x["zone"] for x in found.collect()) == [2, 3, 5]

@@ -9,8 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
+
+from rillstone.operators.tiles import SIDE, map_tiles, places_of
 
 AGGREGATES = {"min": F.min, "max": F.max, "sum": F.sum, "count": F.count}
 _SECOND = {"min": F.min, "max": F.max, "sum": F.sum, "count": F.sum}
@@ -239,16 +244,33 @@ def laplacian(cells: DataFrame, value: str, keys: Sequence[str] = (), out: str =
 
 
 def fill_missing(cells: DataFrame, value: str, k: int, power: float = 2.0, keys: Sequence[str] = ()) -> DataFrame:
-    """Null cells take the inverse-distance mean of the valid cells within k; others stay.  Only null cells send offsets."""
-    holes = cells.where(F.col(value).isNull()).select(*keys, F.col("r").alias("_r"), F.col("c").alias("_c"))
-    reach = F.sequence(F.lit(-k), F.lit(k))
-    sent = holes.withColumn("_i", F.explode(reach)).withColumn("_j", F.explode(reach)).where("_i <> 0 or _j <> 0")
-    sent = sent.withColumn("r", F.col("_r") + F.col("_i")).withColumn("c", F.col("_c") + F.col("_j"))
-    weight = F.lit(1.0) / F.pow(F.sqrt(F.col("_i") * F.col("_i") + F.col("_j") * F.col("_j")), F.lit(power))
-    known = sent.join(cells.where(F.col(value).isNotNull()).select(*keys, "r", "c", value), [*keys, "r", "c"])
-    mean = known.groupBy(*keys, "_r", "_c").agg((F.sum(F.col(value) * weight) / F.sum(weight)).alias("_v"))
-    joined = cells.join(mean.withColumnRenamed("_r", "r").withColumnRenamed("_c", "c"), [*keys, "r", "c"], "left")
-    return joined.withColumn(value, F.coalesce(F.col(value).cast("double"), F.col("_v"))).drop("_v")
+    """Null cells take the inverse-distance mean of the valid cells within k; others stay.  A tile holds all that its null cells look at, so cells move once."""
+    place = cells.columns.index(value)
+    schema = StructType([StructField(value, DoubleType()) if f.name == value else f for f in cells.schema])
+    offsets = [(i, j, 1.0 / ((i * i + j * j) ** 0.5) ** power) for i in range(-k, k + 1) for j in range(-k, k + 1) if i or j]
+
+    def run(table: pa.Table, r0: int, c0: int) -> pa.Table | None:
+        i, j = places_of(table, r0, c0, k)
+        core = (i >= k) & (i < k + SIDE) & (j >= k) & (j < k + SIDE)
+        if not core.any():
+            return None
+        column = table.column(place).cast(pa.float64())
+        held = column.is_valid().to_numpy()
+        z, known = np.zeros((SIDE + 2 * k, SIDE + 2 * k)), np.zeros((SIDE + 2 * k, SIDE + 2 * k))
+        z[i[held], j[held]], known[i[held], j[held]] = column.drop_null().to_numpy(), 1.0
+        holes = np.flatnonzero(core & ~held)
+        total, weight = np.zeros(len(holes)), np.zeros(len(holes))
+        for di, dj, w in offsets:
+            at = i[holes] + di, j[holes] + dj
+            total += w * z[at]
+            weight += w * known[at]
+        new, valid = column.fill_null(0.0).to_numpy().copy(), held.copy()
+        found = weight > 0
+        new[holes[found]] = total[found] / weight[found]
+        valid[holes[found]] = True
+        return table.set_column(place, value, pa.array(new, mask=~valid)).filter(pa.array(core))
+
+    return map_tiles(cells, k, run, schema, keys)
 
 
 def fill_leftover_mean(cells: DataFrame, value: str, k: int = 10, keys: Sequence[str] = ()) -> DataFrame:

@@ -7,10 +7,11 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StructField, StructType
 
-from rillstone.operators.focal import neighbours
 from rillstone.operators.spatial import sequential_id
 from rillstone.operators.tiles import SIDE, dense, map_tiles, places_of
 from rillstone.operators.zones import label, largest_zone
@@ -20,38 +21,108 @@ from rillstone.storage import materialize, remove, write_table
 DIRECTIONS = (("e", 0, 1), ("ne", -1, 1), ("n", -1, 0), ("nw", -1, -1), ("w", 0, -1), ("sw", 1, -1), ("s", 1, 0), ("se", 1, 1))
 
 
-def d8_pointer(cells: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Adds dir (1 to 8 in the order of DIRECTIONS, 0 without lower neighbour) and slope, the steepest drop per cell width."""
-    near = neighbours(cells, value, keys)
-    drops = [(F.col(value) - F.col(d)) / (math.sqrt(2) if i and j else 1.0) for d, i, j in DIRECTIONS]
-    best = F.greatest(*drops)
-    pointer = F.lit(0)
-    for k in range(8, 0, -1):
-        pointer = F.when(drops[k - 1] == best, k).otherwise(pointer)
-    out = near.withColumns({"slope": F.when(best > 0, best).otherwise(0.0), "dir": F.when(best > 0, pointer).otherwise(0)})
-    return out.select(*cells.columns, "dir", "slope")
+#: Row and column steps by direction; direction 0 stays.
+_DR, _DC = (np.array([0, *steps]) for steps in zip(*((i, j) for _, i, j in DIRECTIONS), strict=True))
 
 
-def flow_accumulation(pointers: DataFrame, n_cols: int, out: str = "cells") -> DataFrame:
-    """(r, c, out): how many cells drain through each, itself included; by path doubling, two joins a round.
+def d8_pointer(cells: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Adds dir (1 to 8 in the order of DIRECTIONS, 0 without lower neighbour) and slope, the steepest drop per cell width."""
 
-    Each node knows its count so far and its pointer; a round adds the counts of all that point at it
-    and doubles the pointers, so rounds grow with the logarithm of the longest path.
+    def run(table: pa.Table, r0: int, c0: int) -> pa.Table | None:
+        i, j = places_of(table, r0, c0, 1)
+        core = (i > 0) & (i <= SIDE) & (j > 0) & (j <= SIDE)
+        if not core.any():
+            return None
+        z = dense(table, value, i, j, SIDE + 2)
+        here = z[1:-1, 1:-1]
+        slope, pointer = np.zeros((SIDE, SIDE)), np.zeros((SIDE, SIDE), np.int32)
+        for k, (_, a, b) in enumerate(DIRECTIONS, 1):
+            drop = (here - z[1 + a : SIDE + 1 + a, 1 + b : SIDE + 1 + b]) / (math.sqrt(2) if a and b else 1.0)
+            steeper = drop > slope
+            slope[steeper], pointer[steeper] = drop[steeper], k
+        at = i[core] - 1, j[core] - 1
+        return table.filter(pa.array(core)).append_column("dir", pa.array(pointer[at])).append_column("slope", pa.array(slope[at]))
+
+    return map_tiles(cells, 1, run, StructType([*cells.schema, StructField("dir", IntegerType()), StructField("slope", DoubleType())]), keys)
+
+
+def _drain(p: np.ndarray, a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of a over all that drain through each place, and the last place of each one's way; p is the next place, len(p) if none."""
+    n = len(p)
+    a, last = a.copy(), np.where(p < n, p, np.arange(n))
+    while len(live := np.flatnonzero(p < n)):
+        gain = a[live]
+        np.add.at(a, p[live], gain)
+        last = last[last]
+        p = np.append(p, n)[p]
+    return a, last
+
+
+def _next_places(table: pa.Table, i: np.ndarray, j: np.ndarray, width: int) -> np.ndarray:
+    """The row that each row's direction points to, -1 if there is none in the square."""
+    at = np.full((width, width), -1)
+    at[i, j] = np.arange(len(i))
+    k = table.column("dir").to_numpy()
+    ti, tj = i + _DR[k], j + _DC[k]
+    inside = (k > 0) & (ti >= 0) & (ti < width) & (tj >= 0) & (tj < width)
+    return np.where(inside, at[np.clip(ti, 0, width - 1), np.clip(tj, 0, width - 1)], -1)
+
+
+def flow_accumulation(pointers: DataFrame, n_cols: int, out: str = "cells", side: int = SIDE) -> DataFrame:
+    """(r, c, out): how many cells drain through each, itself included.
+
+    Tiles of side x side cells are summed on their own.  Only cells whose way leaves their tile are nodes of a graph, which
+    path doubling sums in rounds that grow with the logarithm of the tiles on a way; what flows into a tile is then
+    added where it enters.
     """
     spark = pointers.sparkSession
-    i = (F.col("r") * n_cols + F.col("c")).cast("long")
-    steps = F.create_map(*[x for k, (_, dr, dc) in enumerate(DIRECTIONS, 1) for x in (F.lit(k), F.lit(dr * n_cols + dc))])
-    now = pointers.select(i.alias("v"), F.when(F.col("dir") > 0, i + F.element_at(steps, F.col("dir"))).alias("p"), F.lit(1).cast("long").alias("a"))
-    now = now.join(now.select(F.col("v").alias("p"), F.lit(1).alias("_is")), "p", "left").select("v", F.when(F.col("_is") == 1, F.col("p")).alias("p"), "a")
-    now, path = write_table(now, "flow")
+    flow = materialize(pointers.select("r", "c", F.coalesce(F.col("dir"), F.lit(0)).cast("int").alias("dir")), "flow")
+
+    def leaving(table: pa.Table, r0: int, c0: int) -> pa.Table | None:
+        i, j = places_of(table, r0, c0, 1)
+        core = (i > 0) & (i <= side) & (j > 0) & (j <= side)
+        if not core.any():
+            return None
+        r, c = table.column("r").to_numpy(), table.column("c").to_numpy()
+        ids, to, n = r * n_cols + c, _next_places(table, i, j, side + 2), len(i)
+        goes = to >= 0
+        stays = goes & core & core[to]
+        a, last = _drain(np.where(stays, to, n), core.astype(np.int64))
+        gone = goes & core & ~core[to]
+        x, entry = np.flatnonzero(gone), np.flatnonzero(goes & ~core & core[to])
+        end = last[to[entry]]
+        on, none = gone[end], np.zeros(len(x), bool)
+        return pa.Table.from_arrays([
+            pa.array(np.concatenate([ids[x], ids[entry]])),
+            pa.array(np.concatenate([ids[x], ids[end]]), mask=~np.concatenate([none, on])),
+            pa.array(np.concatenate([a[x], np.zeros(len(entry), np.int64)])),
+            *(pa.array(np.concatenate([y[to[x]], y[to[entry]]])) for y in (r, c)),
+        ], names=["v", "p", "a", "tr", "tc"])
+
+    # its own tile knows what a node brings, the tile that it enters where that goes on
+    now, path = write_table(map_tiles(flow, 1, leaving, "v long, p long, a long, tr long, tc long", (), side).groupBy("v", "tr", "tc").agg(F.max("p").alias("p"), F.sum("a").alias("a")), "flow-links")
     while now.where("p is not null").first() is not None:
         gained = now.where("p is not null").groupBy(F.col("p").alias("v")).agg(F.sum("a").alias("g"))
-        far = now.select(F.col("v").alias("p"), F.col("p").alias("pp"))
-        new = now.join(gained, "v", "left").join(far, "p", "left").select("v", F.col("pp").alias("p"), (F.col("a") + F.coalesce("g", F.lit(0))).alias("a"))
-        now, next_path = write_table(new, "flow")
+        # ways that have ended meet themselves, so no task gets them all
+        far = now.select(F.col("v").alias("_k"), F.col("p").alias("pp"))
+        new = now.join(gained, "v", "left").withColumn("_k", F.coalesce("p", "v")).join(far, "_k")
+        new = new.select("v", "tr", "tc", F.when(F.col("p").isNotNull(), F.col("pp")).alias("p"), (F.col("a") + F.coalesce("g", F.lit(0))).alias("a"))
+        now, next_path = write_table(new, "flow-links")
         remove(spark, path)
         path = next_path
-    return now.select(F.floor(F.col("v") / n_cols).alias("r"), (F.col("v") % n_cols).alias("c"), F.col("a").alias(out))
+    inflow = now.groupBy(F.col("tr").alias("r"), F.col("tc").alias("c")).agg(F.sum("a").alias("inflow")).select("r", "c", F.lit(-1).alias("dir"), "inflow")
+
+    def sums(table: pa.Table, r0: int, c0: int) -> pa.Table:
+        into = table.filter(pc.less(table.column("dir"), 0))
+        table = table.filter(pc.greater_equal(table.column("dir"), 0))
+        i, j = places_of(table, r0, c0, 0)
+        to, at = _next_places(table, i, j, side), np.zeros((side, side), np.int64)
+        at[i, j] = np.arange(len(i))
+        a = np.ones(len(i), np.int64)
+        np.add.at(a, at[places_of(into, r0, c0, 0)], into.column("inflow").to_numpy())
+        return table.select(["r", "c"]).append_column(out, pa.array(_drain(np.where(to >= 0, to, len(i)), a)[0]))
+
+    return map_tiles(flow.withColumn("inflow", F.lit(0).cast("long")).unionByName(inflow), 0, sums, f"r long, c long, {out} long", (), side)
 
 
 def fix_flats(cells: DataFrame, value: str, increment: float, n_cols: int, out: str = "out", side: int = SIDE) -> DataFrame:
@@ -59,21 +130,15 @@ def fix_flats(cells: DataFrame, value: str, increment: float, n_cols: int, out:
 
     An outlet is a cell of equal height with a lower neighbour, or at the edge; flats without one stay.
     Distances spread within tiles of side x side cells, then from tile to tile, so rounds grow with the
-    tiles that a way to an outlet crosses.
+    tiles that a way to an outlet crosses.  The rounds carry the cells' columns, so that nothing is joined.
     """
-    near = neighbours(cells.select("r", "c", value), value)
-    low = F.least(*[F.coalesce(F.col(d), F.lit(float("-inf"))) for d, _, _ in DIRECTIONS])
-    start = near.select("r", "c", F.col(value).cast("double").alias("z"), F.when(low < F.col(value), 0).cast("int").alias("d"), F.lit(False).alias("moved"))
-    spark, (state, path) = cells.sparkSession, write_table(start, "flats")
+    spark, columns = cells.sparkSession, cells.columns
+    schema = StructType([*cells.schema, StructField("_d", IntegerType()), StructField("_moved", BooleanType())])
 
-    def walk(table: pa.Table, r0: int, c0: int) -> pa.Table | None:
-        i, j = places_of(table, r0, c0, 1)
+    def spread(z: np.ndarray, d: np.ndarray, table: pa.Table, i: np.ndarray, j: np.ndarray) -> pa.Table:
+        """The tile's rows after walking as far as it reaches; i and j count from the corner of a halo of one."""
         core = (i > 0) & (i <= side) & (j > 0) & (j <= side)
-        if not core.any():
-            return None
-        z, d = dense(table, "z", i, j, side + 2), dense(table, "d", i, j, side + 2)
-        d[np.isnan(d)] = np.inf
-        before = d.copy()
+        before = d
         while True:
             least = d.copy()
             for a, b in ((a, b) for _, a, b in DIRECTIONS):
@@ -84,19 +149,36 @@ def fix_flats(cells: DataFrame, value: str, increment: float, n_cols: int, out:
             if np.array_equal(least, d):
                 break
             d = least
-        moved = (d != before)[i, j] & ((i == 1) | (i == side) | (j == 1) | (j == side))
-        found = d[i, j]
-        columns = [*(table.column(x).filter(pa.array(core)) for x in ("r", "c", "z")), pa.array(np.where(np.isfinite(found), found, np.nan)[core], from_pandas=True).cast(pa.int32()), pa.array(moved[core])]
-        return pa.Table.from_arrays(columns, names=["r", "c", "z", "d", "moved"])
+        i, j, table = i[core], j[core], table.filter(pa.array(core))
+        found, moved = d[i, j], (d != before)[i, j] & ((i == 1) | (i == side) | (j == 1) | (j == side))
+        steps = pa.array(np.where(np.isfinite(found), found, np.nan), from_pandas=True).cast(pa.int32())
+        return pa.Table.from_arrays([*table.select(columns).columns, steps, pa.array(moved)], names=[*columns, "_d", "_moved"])
+
+    def start(table: pa.Table, r0: int, c0: int) -> pa.Table | None:
+        i, j = places_of(table, r0, c0, 2)
+        if not ((i > 1) & (i < side + 2) & (j > 1) & (j < side + 2)).any():
+            return None
+        z = dense(table, value, i, j, side + 4)
+        low = np.where(np.isnan(z), -np.inf, z)
+        low = np.min([low[1 + a : side + 3 + a, 1 + b : side + 3 + b] for _, a, b in DIRECTIONS], axis=0)
+        z = z[1:-1, 1:-1]
+        near = (i > 0) & (i < side + 3) & (j > 0) & (j < side + 3)
+        return spread(z, np.where(low < z, 0.0, np.inf), table.filter(pa.array(near)), i[near] - 1, j[near] - 1)
+
+    def walk(table: pa.Table, r0: int, c0: int) -> pa.Table | None:
+        i, j = places_of(table, r0, c0, 1)
+        if not ((i > 0) & (i <= side) & (j > 0) & (j <= side)).any():
+            return None
+        d = dense(table, "_d", i, j, side + 2)
+        return spread(dense(table, value, i, j, side + 2), np.where(np.isnan(d), np.inf, d), table, i, j)
 
     # each round walks as far as a tile reaches; only steps onto a tile's rim matter to others
-    again = True
-    while again:
-        new, next_path = write_table(map_tiles(state, 1, walk, state.schema, (), side), "flats")
+    state, path = write_table(map_tiles(cells, 2, start, schema, (), side), "flats")
+    while not state.where("_moved").isEmpty():
+        new, next_path = write_table(map_tiles(state, 1, walk, schema, (), side), "flats")
         remove(spark, path)
         state, path = new, next_path
-        again = not state.where("moved").isEmpty()
-    return cells.join(state.select("r", "c", "d"), ["r", "c"]).withColumn(out, F.col(value) + F.coalesce("d", F.lit(0)) * increment).drop("d")
+    return state.withColumn(out, F.col(value) + F.coalesce("_d", F.lit(0)) * increment).drop("_d", "_moved")
 
 
 def flowdir_check(cells: DataFrame, unit: str, skip: DataFrame | None = None) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import numpy as np
 
+from rillstone.operators import drainage as J
 from rillstone.operators import focal as K
 
 
@@ -28,3 +29,37 @@ def test_holes_are_filled_from_their_tile_without_a_join(spark):
         value, name = got[r + 250, c + 252]
         assert name == f"{r + 250}-{c + 252}"
         assert value is None if want is None else abs(value - want) < 1e-9
+
+
+def test_accumulation_follows_ways_through_many_tiles(spark):
+    rng = np.random.default_rng(3)
+    height = {(r, c): 3 * r + (5 * c if r % 7 < 3 else -2 * c) + int(rng.integers(0, 25)) for r in range(31) for c in range(14) if rng.random() < 0.97}
+    cells = spark.createDataFrame([(r, c, z) for (r, c), z in height.items()], "r long, c long, z long")
+    pointers = J.d8_pointer(cells, "z")
+    assert "Window" not in plan_of(pointers)  # whole columns of the grid were single tasks
+    to, want = {}, dict.fromkeys(height, 0)
+    for (r, c), z in height.items():
+        drops = [((z - height[r + i, c + j]) / (2**0.5 if i and j else 1.0), -k, (r + i, c + j)) for k, (_, i, j) in enumerate(J.DIRECTIONS, 1) if (r + i, c + j) in height]
+        best = max(drops, default=(0.0, 0, None))
+        to[r, c] = best[2] if best[0] > 0 else None
+    for at in height:
+        while at is not None:
+            want[at] += 1
+            at = to[at]
+    for side in (4, 256):
+        got = {(r, c): n for r, c, n in J.flow_accumulation(pointers, 14, side=side).select("r", "c", "cells").collect()}
+        assert got == want, side
+
+
+def test_flats_keep_their_columns_and_join_nothing(spark):
+    rng = np.random.default_rng(4)
+    rows = [(r, c, int(rng.integers(0, 2)), f"{r}/{c}") for r in range(17) for c in range(12)]
+    out = J.fix_flats(spark.createDataFrame(rows, "r long, c long, z long, name string"), "z", 0.5, 12, side=5)
+    assert "Join" not in plan_of(out)  # the join broadcast all cells, as their files are small
+    height, far = {(r, c): z for r, c, z, _ in rows}, {}
+    near = {at: [(at[0] + i, at[1] + j) for i in (-1, 0, 1) for j in (-1, 0, 1) if i or j] for at in height}
+    ring = [at for at, z in height.items() if any(height.get(n, -1) < z for n in near[at])]
+    while ring:
+        far |= dict.fromkeys(ring, max(far.values(), default=-1) + 1)
+        ring = list({n for at in ring for n in near[at] if height.get(n) == height[at] and n not in far})
+    assert {(r, c): (v, name) for r, c, v, name in out.select("r", "c", "out", "name").collect()} == {(r, c): (z + 0.5 * far.get((r, c), 0), name) for r, c, z, name in rows}

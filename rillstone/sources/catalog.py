@@ -6,7 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
+
+from rillstone.storage import remove
 
 
 def catalog_files(spark: SparkSession, path: str, include: Sequence[str] = (), exclude: Sequence[str] = ()) -> DataFrame:
@@ -69,14 +71,50 @@ def read_bias_cube(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("slope", "tc", F.posexplode("v").alias("th", "bias"))
 
 
+#: Column that numbers the runs of a pit catalog.
+RUN = "catalog_run"
+
+
+def _runs(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the runs in a folder, in order; none if there is no folder."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in files.listStatus(hadoop)] if files.exists(hadoop) else []
+    return sorted(int(n.removeprefix(f"{RUN}=")) for n in names if n.startswith(f"{RUN}="))
+
+
 def write_pit_catalog(solved: DataFrame, path: str, unit: str) -> None:
-    """Solved pits as Parquet by unit; a run replaces the units that it holds.  Each unit is written by one task."""
-    solved.repartition(unit).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(unit).parquet(path)
+    """Solved pits as Parquet, a folder for each run; a run replaces the units that it holds.
+
+    Files grow with the rows, not with the units.  They are sorted by unit, so that a filter on it skips most of them, and a unit of
+    very many pits is spread over tasks.  A run counts from when its list of units is there; runs none of whose units
+    are the newest go.
+    """
+    spark = solved.sparkSession
+    n = max(_runs(spark, f"{path}/pits"), default=0) + 1
+    rest = F.xxhash64(*[c for c in solved.columns if c != unit])
+    solved.repartitionByRange(F.col(unit), rest).sortWithinPartitions(unit).write.parquet(f"{path}/pits/{RUN}={n}")
+    spark.read.schema(solved.schema).parquet(f"{path}/pits/{RUN}={n}").select(unit).distinct().write.parquet(f"{path}/units/{RUN}={n}")
+    live = {row[RUN] for row in _newest(spark, path).select(RUN).distinct().collect()}
+    for old in _runs(spark, f"{path}/pits"):
+        if old != n and old not in live:
+            remove(spark, f"{path}/units/{RUN}={old}")
+            remove(spark, f"{path}/pits/{RUN}={old}")
+
+
+def _newest(spark: SparkSession, path: str) -> DataFrame:
+    """The last run that holds each unit: the unit's column and RUN."""
+    held = spark.read.parquet(f"{path}/units")
+    return held.groupBy([c for c in held.columns if c != RUN]).agg(F.max(RUN).alias(RUN))
 
 
 def read_pit_catalog(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Pits of write_pit_catalog; a filter on the unit reads its folder alone."""
-    return spark.read.schema(schema).parquet(path)
+    """Pits of write_pit_catalog, each unit's of its last run; a filter on the unit reaches the scan."""
+    newest = _newest(spark, path)
+    unit = newest.columns[0]
+    pits = spark.read.schema(StructType([*schema, StructField(RUN, IntegerType())])).parquet(f"{path}/pits")
+    newest = newest.select(F.col(unit).alias("_unit"), F.col(RUN).alias("_run"))
+    return pits.join(newest, pits[unit].eqNullSafe(newest["_unit"]) & (F.col(RUN) == F.col("_run")), "left_semi").drop(RUN)
 
 
 def write_features(features: DataFrame, path: str, by: str) -> None:

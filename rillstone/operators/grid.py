@@ -197,7 +197,8 @@ def cross_section(cells: DataFrame, row: int | None = None, col: int | None = No
 def resample_nearest(cells: DataFrame, source: Grid, target: DataFrame, target_grid: Grid, values: Sequence[str]) -> DataFrame:
     """values at the target's cells (r, c), from the source cell that holds their centre."""
     at = cell_to_xy(target.select("r", "c"), target_grid).select(F.col("r").alias("tr"), F.col("c").alias("tc"), "x", "y")
-    found = xy_to_cell(at, source).join(cells.select("r", "c", *values), ["r", "c"], "left")
+    # a grid of cells is no small table, whatever its estimate
+    found = xy_to_cell(at, source).join(cells.select("r", "c", *values).hint("merge"), ["r", "c"], "left")
     return found.select(F.col("tr").alias("r"), F.col("tc").alias("c"), *values)
 
 
@@ -209,7 +210,8 @@ def resample_bilinear(cells: DataFrame, value: str, source: Grid, target: DataFr
     corners = [(0, 0, (1 - F.col("u")) * (1 - F.col("v"))), (0, 1, F.col("u") * (1 - F.col("v"))), (1, 0, (1 - F.col("u")) * F.col("v")), (1, 1, F.col("u") * F.col("v"))]
     four = F.explode(F.array(*[F.struct((F.col("r0") + i).alias("r"), (F.col("c0") + j).alias("c"), w.alias("w")) for i, j, w in corners]))
     spread = at.withColumn("q", four).select("tr", "tc", "q.r", "q.c", "q.w").where("w > 0")
-    found = spread.join(cells.where(F.col(value).isNotNull()).select("r", "c", value), ["r", "c"])
+    # neither side is small: the target's plan is estimated without what it is multiplied by
+    found = spread.hint("merge").join(cells.where(F.col(value).isNotNull()).select("r", "c", value), ["r", "c"])
     return found.groupBy(F.col("tr").alias("r"), F.col("tc").alias("c")).agg((F.sum(F.col("w") * F.col(value)) / F.sum("w")).alias(out))
 
 

@@ -1,9 +1,12 @@
 """Steps that hold a tile at a time: equal to plain versions across tile borders, by plans that do not multiply the cells."""
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from rillstone.operators import drainage as J
 from rillstone.operators import focal as K
+from rillstone.operators import grid as G
+from rillstone.operators import water as H
 
 
 def plan_of(df) -> str:
@@ -63,3 +66,30 @@ def test_flats_keep_their_columns_and_join_nothing(spark):
         far |= dict.fromkeys(ring, max(far.values(), default=-1) + 1)
         ring = list({n for at in ring for n in near[at] if height.get(n) == height[at] and n not in far})
     assert {(r, c): (v, name) for r, c, v, name in out.select("r", "c", "out", "name").collect()} == {(r, c): (z + 0.5 * far.get((r, c), 0), name) for r, c, z, name in rows}
+
+
+def test_targets_of_a_resampling_are_not_broadcast(spark):
+    fine, coarse = G.Grid(0.0, 1.0, 40.0, 1.0, 40, 40), G.Grid(0.0, 2.0, 40.0, 2.0, 20, 20)
+    cells = spark.range(1600).selectExpr("id div 40 AS r", "id % 40 AS c", "id AS v")
+    target = spark.range(400).selectExpr("id div 20 AS r", "id % 20 AS c")
+    for out in (G.resample_bilinear(cells, "v", fine, target, coarse), G.resample_nearest(cells, fine, target, coarse, ["v"])):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in plan and "SortMergeJoin" in plan
+        assert out.count() == 400
+
+
+def test_cells_without_a_lake_do_not_seek_its_level(spark):
+    cells = spark.range(4000).selectExpr("id div 40 AS r", "id % 40 AS c", "id % 97 AS z", "CAST(90 AS INT) AS swo")
+    lakes = cells.where("r >= 90").selectExpr("r", "c", "r div 5 AS lake")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = H.flatten_lakes(cells, lakes, 60, 0.0, 1e9, 1e9)
+        plan = plan_of(out)
+        # the join on lakes, the last one, has a filter on its cells' side
+        assert "isnull(lake" in plan and "isnotnull(lake" in plan
+        rows = out.collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(rows) == 4000 and set(out.columns) == {"r", "c", "z", "swo", "lake", "flat"}
+    level = {k: float(np.quantile([x["z"] for x in rows if x["lake"] == k], 0.1)) for k in (18, 19)}
+    assert all(abs(x["flat"] - (x["z"] if x["lake"] is None else level[x["lake"]])) < 1e-9 for x in rows)

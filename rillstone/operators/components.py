@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillstone.storage import remove, write_table
+from rillstone.storage import LIGHT, remove, write_table
 
 #: The node that stands for all that lies outside, less than any other.
 OUTSIDE = -1
@@ -67,7 +67,9 @@ def star_components(edges: DataFrame, a: str = "a", b: str = "b", few: int = 0)
 
     last = print_of(now)
     if last[0] <= few:
-        return now.coalesce(1).mapInArrow(_whole_forest, "node long, component long")
+        whole = now.coalesce(1).mapInArrow(_whole_forest, "node long, component long")
+        # its files tell Spark less than its rows take in the driver that would broadcast them
+        return whole if last[0] <= LIGHT else whole.hint("merge")
     while last[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -86,7 +88,8 @@ def star_components(edges: DataFrame, a: str = "a", b: str = "b", few: int = 0)
             break
         last = this
     roots = now.select(F.col("v").alias("u"), "v").distinct()
-    return now.unionByName(roots).select(F.col("u").alias("node"), F.col("v").alias("component"))
+    found = now.unionByName(roots).select(F.col("u").alias("node"), F.col("v").alias("component"))
+    return found.hint("merge") if few else found
 
 
 def _flood_graph(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,7 +134,7 @@ def spill_levels(edges: DataFrame, open_: DataFrame, few: int = 0) -> DataFrame:
         lowest = ends.groupBy("node").agg(F.min(F.struct("w", "a", "b")).alias("e"))
         lowest, lowest_path = write_table(lowest.select("node", (F.col("e.a") + F.col("e.b") - F.col("node")).alias("to"), "e.w"), "spill-lowest")
         parts, parts_path = write_table(star_components(lowest, "node", "to", few), "spill-parts")
-        parts = parts.where(F.col("node") != OUTSIDE)
+        parts = parts.where(F.col("node") != OUTSIDE).hint("merge")  # as many as there are nodes
         rounds.append(write_table(lowest.join(parts, "node").select("node", F.col("component").alias("part"), "w"), "spill-round"))
         b = parts.select(F.col("node").alias("b"), F.col("component").alias("pb"))
         a = parts.select(F.col("node").alias("a"), F.col("component").alias("pa"))
@@ -146,7 +149,7 @@ def spill_levels(edges: DataFrame, open_: DataFrame, few: int = 0) -> DataFrame:
     level, level_path = write_table(now.coalesce(1).mapInArrow(_flood_graph, "node long, level double"), "spill-levels")
     remove(spark, path)
     for step, step_path in reversed(rounds):
-        above = level.select(F.col("node").alias("part"), "level")
+        above = level.select(F.col("node").alias("part"), "level").hint("merge")
         level, next_path = write_table(step.join(above, "part", "left").select("node", F.greatest("w", "level").alias("level")), "spill-levels")
         remove(spark, level_path)
         remove(spark, step_path)

@@ -23,6 +23,7 @@ from rillstone.operators.focal import fill_missing
 from rillstone.operators.spatial import sequential_id
 from rillstone.operators.tiles import SIDE, around, to_tiles
 from rillstone.operators.zones import FEW, RING, label
+from rillstone.storage import beside as _beside
 from rillstone.storage import keep, materialize, remove, scratch, write_table
 
 
@@ -37,15 +38,6 @@ def _parts(rows: DataFrame, n_cols: int, connectivity: int) -> DataFrame:
     return found.join(rank, "_k").select("zone", "r", "c", "part")
 
 
-#: Rows of a table that a join may broadcast, as counted.
-LIGHT = 100_000
-
-
-def _beside(table: DataFrame) -> DataFrame:
-    """A written table as one side of a join: sent to all tasks if its rows are few, else merged, whatever its files' size."""
-    return F.broadcast(table) if table.count() <= LIGHT else table.hint("merge")
-
-
 def _refill(cells: DataFrame, gone: DataFrame, k: int) -> DataFrame:
     """z of the cells (r, c) of gone anew from valid cells within k; as it was where there are none.  Tiles without such cells are not moved."""
     gone = materialize(gone.select("r", "c").distinct().withColumn("_gone", F.lit(True)), "ladder-gone")

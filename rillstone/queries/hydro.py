@@ -332,7 +332,7 @@ def pit_tables(spark, sf):
 
 
 def bottoms_of(cells, pits):
-    held = pits.join(cells, ["r", "c"])
+    held = pits.hint("merge").join(cells, ["r", "c"])
     return held.groupBy(F.col("label").cast("long").alias("pit")).agg(F.min_by(F.struct("r", "c"), F.struct("z", "r", "c")).alias("b")).select("pit", "b.r", "b.c")
 
 
@@ -438,7 +438,7 @@ def i09(spark, sf):
 @query("i10_partial_fill")
 def i10(spark, sf):
     cells, pits = pit_tables(spark, sf)
-    held = pits.select("r", "c", F.col("label").cast("long").alias("pit")).join(cells, ["r", "c"])
+    held = pits.select("r", "c", F.col("label").cast("long").alias("pit")).hint("merge").join(cells, ["r", "c"])
     big = held.groupBy("pit").agg(F.max(F.col("filled") - F.col("z")).alias("maxfill"), F.sum(F.col("filled") - F.col("z")).alias("volfill")).where("maxfill > 60")
     return I.partial_fill(cells, big, held.join(big.select("pit"), "pit", "left_semi"), 0.2, 8, 300.0).select("pit", "solution", _round("volume", 3).alias("volume"))
 

@@ -9,8 +9,11 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _own_folders: dict[str, str] = {}
+#: Rows of a table that a join may broadcast, as counted.
+LIGHT = 100_000
 #: Of each thread: the paths written in the scratch blocks that are open.
 _open = threading.local()
 
@@ -50,6 +53,11 @@ def materialize(df: DataFrame, tag: str, row_group_bytes: int | None = None) ->
     return write_table(df, tag, row_group_bytes)[0]
 
 
+def beside(table: DataFrame) -> DataFrame:
+    """A written table as one side of a join: sent to all tasks if its rows are few, else merged, whatever its files' size."""
+    return F.broadcast(table) if table.count() <= LIGHT else table.hint("merge")
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a table of ours that no later plan reads."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
